@@ -26,6 +26,12 @@ from barflow.schema import BAR_COLUMNS, INDICATOR_DIGITS, MONEY_DIGITS
 from barflow.sources.codec import decode_bars, encode_bars, normalise_ts, split_quarantine
 from barflow.sources.scan import scan_bars
 from barflow.sources.ticks import event_ticks, lineitem_ticks, order_ticks
+from barflow.streaming.control import Run
+from barflow.streaming.protocol import EmaCross
+from barflow.streaming.replay import stage_replay
+from barflow.streaming.sinks import accumulate, history
+from barflow.streaming.source import bar_stream, parsed_bars
+from barflow.streaming.stateful import stream_strategy
 
 # Fixed parameters of the catalog queries.
 CASH = 1000.0            # reference UI default
@@ -35,6 +41,7 @@ RSI_N = 5
 SWEEP_PAIRS = [(5, 30), (10, 50), (3, 20), (20, 60)]
 SCAN = ("A", "1996-01-01", "1996-12-31")
 WARMUP = ("1997-01-01", "1998-12-31")
+REPLAY_SLICES = 4
 
 
 def bars_L(spark, sf):
@@ -219,6 +226,43 @@ def q_summary(spark, sf):
                     "text")
 
 
+def _replay_through(spark, bars: DataFrame, make_output) -> tuple[Run, str]:
+    """Replay ``bars`` slice by slice through a file-source stream; each slice is
+    fully processed before the next is published. Returns the run and the
+    folder of its accumulated history."""
+    run = Run(spark)
+    rep = stage_replay(bars, f"{run.folder}/replay", REPLAY_SLICES)
+    rep.feed(0)
+    good, _dead = parsed_bars(bar_stream(spark, rep.source))
+    hist = f"{run.folder}/history"
+    q = run.start(make_output(good), foreach_batch=accumulate(hist, run.run_id))
+    try:
+        q.processAllAvailable()
+        for k in range(1, REPLAY_SLICES):
+            rep.feed(k)
+            q.processAllAvailable()
+    finally:
+        run.stop()
+    return run, hist
+
+
+def q_replay_sma(spark, sf):
+    """S8 -> S1 -> S2/S3 -> S9, then E1 on the accumulated (deduplicated) history."""
+    bars = bars_L(spark, sf).select(*BAR_COLUMNS)
+    run, hist = _replay_through(spark, bars, lambda good: good)
+    got = dedupe_bars(history(spark, hist, run.run_id).select(*BAR_COLUMNS))
+    return _final_out(sma_crossover(got, CASH, SHORT, LONG))
+
+
+def q_stream_ema(spark, sf):
+    """EMA crossover evaluated bar by bar with per-symbol state."""
+    bars = bars_L(spark, sf).select(*BAR_COLUMNS)
+    run, hist = _replay_through(
+        spark, bars, lambda good: stream_strategy(good, EmaCross(SHORT, LONG), CASH))
+    out = history(spark, hist, run.run_id).filter(~F.col("late"))
+    return out.select("symbol", "ts", "close", r2("cash").alias("cash"), "pos", r2("equity").alias("equity"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bars_daily": q_bars_daily,
     "bars_hourly": q_bars_hourly,
@@ -248,4 +292,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sweep_sma": q_sweep_sma,
     "chart_frame": q_chart_frame,
     "summary": q_summary,
+    "replay_sma": q_replay_sma,
+    "stream_ema": q_stream_ema,
 }

@@ -297,4 +297,6 @@ def oracle_sql() -> dict[str, str]:
             SELECT symbol, 'sma' AS strategy, n_signals, n_opened, {r2('final_value')} AS final_value,
                    printf('Ending cash: $%.2f', {r2('final_value')}) AS text FROM fin""",
     }
+    q["replay_sma"] = q["final_sma"]
+    q["stream_ema"] = q["equity_ema"]
     return q

@@ -14,13 +14,15 @@ from barflow.schema import BAR_COLUMNS, UPSTREAM_FIELDS, WIRE_SCHEMA
 _EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
-def encode_bars(bars: DataFrame) -> DataFrame:
-    """Bars -> (key, value) binary rows, ready for a kafka or file sink."""
+def encode_bars(bars: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Bars -> (key, value) binary rows, ready for a kafka or file sink.
+
+    ``keep`` columns are carried along unchanged (e.g. a replay slice)."""
     ms = F.expr(f"timestampdiff(MILLISECOND, {_EPOCH}, ts)")
     payload = F.struct(
         F.col("symbol"), ms.alias("timestamp"), "open", "high", "low", "close",
         F.col("volume").cast("double").alias("volume"))
-    return bars.select(F.col("symbol").cast("binary").alias("key"),
+    return bars.select(*keep, F.col("symbol").cast("binary").alias("key"),
                        F.to_json(payload).cast("binary").alias("value"))
 
 
