@@ -16,10 +16,9 @@ from barflow.functions.columns import round_half_up
 from barflow.operators.bars import ohlcv_bars
 from barflow.operators.dedupe import dedupe_bars
 from barflow.operators import indicators as ind
-from barflow.operators.sequence import with_seq
 from barflow.plans import report
 from barflow.plans.strategies import (
-    Backtest, ema_crossover, rsi_strategy, sma_crossover, trim_warmup, with_warmup,
+    Backtest, ema_crossover, rsi_strategy, series, sma_crossover, trim_warmup, with_warmup,
 )
 from barflow.plans.sweep import sweep_sma
 from barflow.schema import BAR_COLUMNS, INDICATOR_DIGITS, MONEY_DIGITS
@@ -107,12 +106,12 @@ def q_dedupe(spark, sf):
 
 
 def q_sma(spark, sf):
-    f = ind.rolling_means(with_seq(bars_L(spark, sf)), {"fast": SHORT, "slow": LONG}, with_prev=False)
+    f = ind.rolling_means(series(bars_L(spark, sf)), {"fast": SHORT, "slow": LONG}, with_prev=False)
     return f.select("symbol", "ts", "close", r6("fast").alias("fast"), r6("slow").alias("slow"))
 
 
 def _gains(spark, sf):
-    return ind.gains_losses(with_seq(bars_O(spark, sf)), RSI_N)
+    return ind.gains_losses(series(bars_O(spark, sf)), RSI_N)
 
 
 def q_price_change(spark, sf):
@@ -129,7 +128,7 @@ def q_rolling_gain_loss(spark, sf):
 
 
 def q_ema(spark, sf):
-    f = ind.ema(with_seq(bars_L(spark, sf)), {"fast": SHORT, "slow": LONG}, with_prev=False)
+    f = ind.ema(series(bars_L(spark, sf)), {"fast": SHORT, "slow": LONG}, with_prev=False)
     return f.select("symbol", "ts", "close", r6("fast").alias("fast"), r6("slow").alias("slow"))
 
 
@@ -139,7 +138,7 @@ def q_wilder(spark, sf):
 
 
 def q_rsi(spark, sf):
-    f = ind.rsi(with_seq(bars_O(spark, sf)), RSI_N)
+    f = ind.rsi(series(bars_O(spark, sf)), RSI_N)
     return f.select("symbol", "ts", "close", r6("rsi").alias("rsi"))
 
 

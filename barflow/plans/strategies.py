@@ -8,7 +8,7 @@ columns ride along) and returns a ``Backtest`` of lazy DataFrames.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,21 +18,33 @@ from barflow.operators.ledger import equity_curve, final_values, run_ledger
 from barflow.operators.sequence import DEFAULT_CHUNK_ROWS, _keys, with_seq
 from barflow.operators.signals import with_cross_signal, with_threshold_signal
 from barflow.schema import DEFAULT_CASH, DEFAULT_LONG, DEFAULT_RSI_PERIOD, DEFAULT_SHORT
+from barflow.session import materialize
 
 
 @dataclass
 class Backtest:
+    """A strategy run. ``frame`` (per bar: bar columns, seq, indicators, sig) is
+    materialized once; ``trades`` is materialized on first use, so ``final``
+    and ``equity`` read small stored tables instead of re-running the plan."""
+
     name: str
-    frame: DataFrame            # per bar: bar columns, seq, indicators, sig
+    frame: DataFrame
     starting_cash: float
     keys: list[str]
     insolvency: str = "reference"
     chunk_rows: int = DEFAULT_CHUNK_ROWS
     overlays: tuple[str, ...] = ()
+    _trades: DataFrame | None = field(default=None, repr=False)
+
+    def __post_init__(self):
+        self.frame = materialize(self.frame)
 
     @property
     def trades(self) -> DataFrame:
-        return run_ledger(self.frame, self.starting_cash, self.keys, insolvency=self.insolvency)
+        if self._trades is None:
+            self._trades = materialize(
+                run_ledger(self.frame, self.starting_cash, self.keys, insolvency=self.insolvency))
+        return self._trades
 
     @property
     def final(self) -> DataFrame:
@@ -44,8 +56,15 @@ class Backtest:
                             chunk_rows=self.chunk_rows)
 
 
+def series(bars: DataFrame, keys: Sequence[str] | str = ("symbol",)) -> DataFrame:
+    """Bars with their per-key index ``seq``. The bars are materialized first:
+    the index reads them twice (segment counts and rows)."""
+    ks = _keys(keys)
+    return bars if "seq" in bars.columns else with_seq(materialize(bars), ks)
+
+
 def _prepare(bars: DataFrame, keys) -> DataFrame:
-    return bars if "seq" in bars.columns else with_seq(bars, keys)
+    return series(bars, keys)
 
 
 def sma_crossover(bars: DataFrame, starting_cash: float = DEFAULT_CASH, short_period: int = DEFAULT_SHORT,

@@ -52,3 +52,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path below the shared checkpoint folder."""
     return "/".join([checkpoint_dir(spark).rstrip("/"), *parts])
+
+
+def materialize(df):
+    """Write ``df`` to the shared checkpoint folder and continue from there.
+
+    Used where a small derived table (bars, a strategy frame, trades) feeds
+    several branches: without it every branch would re-run the plan down to
+    the tick scan. ``checkpoint`` (not ``localCheckpoint``) survives executor
+    loss.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

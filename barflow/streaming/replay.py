@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barflow.session import materialize
 from barflow.sources.codec import encode_bars
 
 _MICROS = "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)"
@@ -40,11 +41,12 @@ class Replay:
 def stage_replay(bars: DataFrame, folder: str, n_slices: int = 4) -> Replay:
     """Cut bars into ``n_slices`` equal time spans and stage their messages.
 
-    The span bounds come from one min/max aggregate (a single row)."""
+    The bars are materialized once; the span bounds come from one min/max
+    aggregate (a single row)."""
     if n_slices < 1:
         raise ValueError("n_slices must be >= 1")
     spark = bars.sparkSession
-    b = bars.withColumn("_us", F.expr(_MICROS))
+    b = materialize(bars.withColumn("_us", F.expr(_MICROS)))
     lo, hi = b.agg(F.min("_us"), F.max("_us")).first()
     lo, hi = (0, 0) if lo is None else (int(lo), int(hi))
     span = max(1, (hi - lo) // n_slices + 1)
