@@ -30,6 +30,9 @@ def test_bar_scan_prunes_and_preaggregates(spark):
 
 
 def test_fold_partitioned_by_key(spark):
-    plan = _plan(E.queries()["trades_sma"](spark, SF001))
-    assert "MapInPandas" in plan or "PythonMapInArrow" in plan or "MapInArrow" in plan
+    from barflow.operators.ledger import run_ledger
+    from barflow.plans.strategies import sma_crossover
+    bt = sma_crossover(ohlcv_bars(lineitem_ticks(spark, SF001)), 1000.0, 5, 30)
+    plan = _plan(run_ledger(bt.frame, 1000.0))
+    assert "MapInPandas" in plan or "MapInArrow" in plan
     assert "hashpartitioning(symbol" in plan
