@@ -75,3 +75,17 @@ def threshold_signal(prev, cur, low: float = RSI_LOW, high: float = RSI_HIGH) ->
 def money_text(value) -> Column:
     """'Ending cash: $x.xx'."""
     return F.format_string("Ending cash: $%.2f", round_half_up(value, 2))
+
+
+_EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+
+
+def event_time(name: str) -> Column:
+    """Wall-clock (NTZ) column -> instant, reading the wall clock as UTC whatever
+    the session time zone. Watermarks and stream windows need an instant."""
+    return F.timestamp_micros(F.expr(f"timestampdiff(MICROSECOND, {_EPOCH_NTZ}, `{name}`)"))
+
+
+def wall_clock(instant: str) -> Column:
+    """Inverse of ``event_time`` for an instant column or field name."""
+    return F.expr(f"timestampadd(MICROSECOND, unix_micros({instant}), {_EPOCH_NTZ})")

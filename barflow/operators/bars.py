@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barflow.functions.columns import event_time, wall_clock
+
 
 def ohlcv_bars(ticks: DataFrame, every: str = "1 day", key: str = "symbol") -> DataFrame:
     """Tumbling-window bars per symbol.
@@ -27,3 +29,34 @@ def ohlcv_bars(ticks: DataFrame, every: str = "1 day", key: str = "symbol") -> D
             F.count(F.lit(1)).alias("n_ticks"),
         )
     )
+
+
+def ohlcv_bar_stream(ticks: DataFrame, every: str = "1 hour", delay: str = "1 hour") -> DataFrame:
+    """S7 on a tick stream: tumbling windows with a watermark.
+
+    Run it in ``update`` mode to see the current (partial) bar after every
+    micro-batch; ``latest_bars`` compacts such a changelog. In ``append`` mode a
+    bar is emitted once the watermark passes its end. State older than the
+    watermark is dropped.
+    """
+    return (
+        ticks.withColumn("_et", event_time("ts")).withWatermark("_et", delay)
+        .groupBy(F.col("symbol"), F.window("_et", every).alias("w"))
+        .agg(
+            F.min_by("px", "ord").alias("open"),
+            F.max("px").alias("high"),
+            F.min("px").alias("low"),
+            F.max_by("px", "ord").alias("close"),
+            F.sum("qty").cast("long").alias("volume"),
+            F.count(F.lit(1)).alias("n_ticks"),
+        )
+        .select("symbol", wall_clock("w.start").alias("ts"), "open", "high", "low", "close", "volume",
+                "n_ticks")
+    )
+
+
+def latest_bars(changelog: DataFrame, version: str = "batch_id") -> DataFrame:
+    """Last emitted version of every (symbol, ts) bar in an update-mode history."""
+    cols = ["open", "high", "low", "close", "volume", "n_ticks"]
+    return (changelog.groupBy("symbol", "ts")
+            .agg(*[F.max_by(c, version).alias(c) for c in cols]))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from barflow.functions.columns import event_time
+
 
 def dedupe_bars(bars: DataFrame, keys=("symbol", "ts")) -> DataFrame:
     """Batch: one row per (symbol, ts). A hash aggregate on a near-unique key,
@@ -14,4 +16,5 @@ def dedupe_bars(bars: DataFrame, keys=("symbol", "ts")) -> DataFrame:
 def dedupe_bar_stream(stream: DataFrame, delay: str = "1 day", keys=("symbol", "ts")) -> DataFrame:
     """Stream: repeats arriving within ``delay`` of the event time are dropped;
     state older than the watermark is evicted."""
-    return stream.withWatermark("ts", delay).dropDuplicatesWithinWatermark(list(keys))
+    marked = stream.withColumn("_et", event_time("ts")).withWatermark("_et", delay)
+    return marked.dropDuplicatesWithinWatermark(list(keys)).drop("_et")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barflow.functions.columns import round_half_up
-from barflow.operators.bars import ohlcv_bars
+from barflow.operators.bars import latest_bars, ohlcv_bar_stream, ohlcv_bars
 from barflow.operators.dedupe import dedupe_bars
 from barflow.operators import indicators as ind
 from barflow.plans import report
@@ -27,7 +27,7 @@ from barflow.sources.scan import scan_bars
 from barflow.sources.ticks import event_ticks, lineitem_ticks, order_ticks
 from barflow.streaming.control import Run
 from barflow.streaming.protocol import EmaCross
-from barflow.streaming.replay import stage_replay
+from barflow.streaming.replay import stage_frame_replay, stage_replay
 from barflow.streaming.sinks import accumulate, history
 from barflow.streaming.source import bar_stream, parsed_bars
 from barflow.streaming.stateful import stream_strategy
@@ -262,6 +262,35 @@ def q_stream_ema(spark, sf):
     return out.select("symbol", "ts", "close", r2("cash").alias("cash"), "pos", r2("equity").alias("equity"))
 
 
+def q_bars_stream_hourly(spark, sf):
+    """S7 on a stream: event ticks replayed in time slices, hourly windows with a
+    watermark in update mode, history compacted to the last version per bar."""
+    run = Run(spark)
+    rep = stage_frame_replay(event_ticks(spark, sf), f"{run.folder}/ticks", REPLAY_SLICES)
+    rep.feed(0)
+    hist = f"{run.folder}/history"
+    q = run.start(ohlcv_bar_stream(rep.stream(), "1 hour", "1 hour"),
+                  foreach_batch=accumulate(hist, run.run_id), output_mode="update")
+    try:
+        q.processAllAvailable()
+        for k in range(1, REPLAY_SLICES):
+            rep.feed(k)
+            q.processAllAvailable()
+    finally:
+        run.stop()
+    return latest_bars(history(spark, hist, run.run_id)).select(*BAR_COLUMNS, "n_ticks")
+
+
+def q_final_ema_hourly(spark, sf):
+    """E2 on hourly bars of the events table."""
+    return _final_out(ema_crossover(bars_E(spark, sf), CASH, SHORT, LONG))
+
+
+def q_final_sma_orders(spark, sf):
+    """E1 on daily bars of the orders table (larger account: prices exceed 1000)."""
+    return _final_out(sma_crossover(bars_O(spark, sf), RSI_CASH, SHORT, LONG))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bars_daily": q_bars_daily,
     "bars_hourly": q_bars_hourly,
@@ -291,6 +320,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sweep_sma": q_sweep_sma,
     "chart_frame": q_chart_frame,
     "summary": q_summary,
+    "bars_stream_hourly": q_bars_stream_hourly,
+    "final_ema_hourly": q_final_ema_hourly,
+    "final_sma_orders": q_final_sma_orders,
     "replay_sma": q_replay_sma,
     "stream_ema": q_stream_ema,
 }

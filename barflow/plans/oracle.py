@@ -195,6 +195,11 @@ def _bars_q(frame: str) -> str:
 
 
 def _strategy_ctes(name: str, halt: bool = False) -> tuple[str, float]:
+    if name == "ema_hourly":
+        return f"{series_ctes('E')}, {ema_frame_ctes(C.SHORT, C.LONG)}, {fold_ctes(C.CASH, halt)}", C.CASH
+    if name == "sma_orders":
+        return (f"{series_ctes('O')}, {sma_frame_ctes(C.SHORT, C.LONG)}, {fold_ctes(C.RSI_CASH, halt)}",
+                C.RSI_CASH)
     if name == "sma":
         return f"{series_ctes('L')}, {sma_frame_ctes(C.SHORT, C.LONG)}, {fold_ctes(C.CASH, halt)}", C.CASH
     if name == "ema":
@@ -297,6 +302,9 @@ def oracle_sql() -> dict[str, str]:
             SELECT symbol, 'sma' AS strategy, n_signals, n_opened, {r2('final_value')} AS final_value,
                    printf('Ending cash: $%.2f', {r2('final_value')}) AS text FROM fin""",
     }
+    q["bars_stream_hourly"] = q["bars_hourly"]
+    q["final_ema_hourly"] = _final_q("ema_hourly")
+    q["final_sma_orders"] = _final_q("sma_orders")
     q["replay_sma"] = q["final_sma"]
     q["stream_ema"] = q["equity_ema"]
     return q

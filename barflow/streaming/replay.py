@@ -55,3 +55,38 @@ def stage_replay(bars: DataFrame, folder: str, n_slices: int = 4) -> Replay:
     base = folder.rstrip("/")
     staged.write.mode("overwrite").partitionBy("slice").parquet(f"{base}/staging")
     return Replay(spark, f"{base}/staging", f"{base}/source", n_slices)
+
+
+@dataclass
+class FrameReplay:
+    """Replay of any frame (e.g. ticks) as parquet files, slice by slice."""
+
+    spark: SparkSession
+    staging: str
+    source: str
+    n_slices: int
+    schema: object
+
+    def feed(self, k: int) -> None:
+        part = self.spark.read.parquet(self.staging).filter(F.col("slice") == int(k)).drop("slice")
+        part.write.mode("append").parquet(self.source)
+
+    def stream(self) -> DataFrame:
+        return self.spark.readStream.schema(self.schema).parquet(self.source)
+
+
+def stage_frame_replay(df: DataFrame, folder: str, n_slices: int = 4, ts: str = "ts") -> FrameReplay:
+    """Like ``stage_replay`` but keeps the rows as they are (parquet)."""
+    if n_slices < 1:
+        raise ValueError("n_slices must be >= 1")
+    spark = df.sparkSession
+    micros = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{ts}`)")
+    b = materialize(df.withColumn("_us", micros))
+    lo, hi = b.agg(F.min("_us"), F.max("_us")).first()
+    lo, hi = (0, 0) if lo is None else (int(lo), int(hi))
+    span = max(1, (hi - lo) // n_slices + 1)
+    slice_col = F.least(F.floor((F.col("_us") - F.lit(lo)) / F.lit(span)), F.lit(n_slices - 1))
+    base = folder.rstrip("/")
+    b.withColumn("slice", slice_col.cast("int")).drop("_us").write.mode("overwrite") \
+        .partitionBy("slice").parquet(f"{base}/staging")
+    return FrameReplay(spark, f"{base}/staging", f"{base}/source", n_slices, df.schema)

@@ -80,3 +80,21 @@ def test_memory_sink_snapshot(spark):
     snap = snapshot(spark, "ohlcv_table_test")
     assert snap.count() == bars.count()
     q.stop()
+
+
+def test_dedupe_stream_and_publish_roundtrip(spark):
+    from barflow.operators.dedupe import dedupe_bar_stream
+    from barflow.streaming.publish import publish_bars
+
+    bars = ohlcv_bars(lineitem_ticks(spark, SF001)).select(*BAR_COLUMNS)
+    run = Run(spark)
+    src = f"{run.folder}/published"
+    publish_bars(bars, src)
+    publish_bars(bars, src)  # every message twice
+    good, _ = parsed_bars(bar_stream(spark, src))
+    q = memory_table(dedupe_bar_stream(good, "30 days"), "dedup_test", checkpoint=run.checkpoint)
+    q.processAllAvailable()
+    q.stop()
+    got = spark.table("dedup_test")
+    assert got.count() == bars.count()
+    assert got.select(*BAR_COLUMNS).exceptAll(bars).count() == 0
