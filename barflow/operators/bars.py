@@ -18,8 +18,10 @@ def ohlcv_bars(ticks: DataFrame, every: str = "1 day", key: str = "symbol") -> D
     ticks costs no more shuffle than any other.
     """
     bucket = F.window("ts", every).start
+    # Bucket first: when the order key forces a sort-based aggregate, the sort
+    # prefix is then the timestamp (radix-sortable) instead of the symbol string.
     return (
-        ticks.groupBy(F.col(key).alias("symbol"), bucket.alias("ts"))
+        ticks.groupBy(bucket.alias("ts"), F.col(key).alias("symbol"))
         .agg(
             F.min_by("px", "ord").alias("open"),
             F.max("px").alias("high"),
@@ -28,6 +30,7 @@ def ohlcv_bars(ticks: DataFrame, every: str = "1 day", key: str = "symbol") -> D
             F.sum("qty").cast("long").alias("volume"),
             F.count(F.lit(1)).alias("n_ticks"),
         )
+        .select("symbol", "ts", "open", "high", "low", "close", "volume", "n_ticks")
     )
 
 
