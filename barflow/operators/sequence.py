@@ -98,10 +98,12 @@ def ffill_last(df: DataFrame, flag: str, cols: Sequence[str], keys: Sequence[str
         carry_seq.alias("_c_seq"),
     )
     upto = chunk_window(ks, seq).rowsBetween(Window.unboundedPreceding, 0)
-    local_seq = F.last(flagged_seq, ignorenulls=True).over(upto)
-    out = d.join(carry, [*ks, CHUNK], "left").withColumn("_l_seq", local_seq)
-    for c in cols:
-        local = F.last(F.when(F.col(flag), F.col(c)), ignorenulls=True).over(upto)
-        out = out.withColumn(c, F.when(F.col("_l_seq").isNotNull(), local)
-                             .when(F.col("_c_seq").isNotNull(), F.col(f"_c_{c}")))
-    return out.drop(CHUNK, "_l_seq", "_c_seq", *[f"_c_{c}" for c in cols])
+    out = d.join(carry, [*ks, CHUNK], "left").select(
+        "*",
+        F.last(flagged_seq, ignorenulls=True).over(upto).alias("_l_seq"),
+        *[F.last(F.when(F.col(flag), F.col(c)), ignorenulls=True).over(upto).alias(f"_l_{c}") for c in cols],
+    )
+    filled = [F.when(F.col("_l_seq").isNotNull(), F.col(f"_l_{c}"))
+              .when(F.col("_c_seq").isNotNull(), F.col(f"_c_{c}")).alias(c) for c in cols]
+    keep = [c for c in df.columns if c not in cols]
+    return out.select(*keep, *filled)

@@ -37,13 +37,14 @@ class Backtest:
     _trades: DataFrame | None = field(default=None, repr=False)
 
     def __post_init__(self):
-        self.frame = materialize(self.frame)
+        self.frame = materialize(self.frame, f"{self.name}-frame")
 
     @property
     def trades(self) -> DataFrame:
         if self._trades is None:
             self._trades = materialize(
-                run_ledger(self.frame, self.starting_cash, self.keys, insolvency=self.insolvency))
+                run_ledger(self.frame, self.starting_cash, self.keys, insolvency=self.insolvency),
+                f"{self.name}-trades")
         return self._trades
 
     @property
@@ -60,7 +61,7 @@ def series(bars: DataFrame, keys: Sequence[str] | str = ("symbol",)) -> DataFram
     """Bars with their per-key index ``seq``. The bars are materialized first:
     the index reads them twice (segment counts and rows)."""
     ks = _keys(keys)
-    return bars if "seq" in bars.columns else with_seq(materialize(bars), ks)
+    return bars if "seq" in bars.columns else with_seq(materialize(bars, "bars"), ks)
 
 
 def _prepare(bars: DataFrame, keys) -> DataFrame:

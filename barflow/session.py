@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -54,13 +55,17 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([checkpoint_dir(spark).rstrip("/"), *parts])
 
 
-def materialize(df):
-    """Write ``df`` to the shared checkpoint folder and continue from there.
+def materialize(df, name: str = "table"):
+    """Write ``df`` as a parquet table in the shared checkpoint folder and
+    continue from that table.
 
     Used where a small derived table (bars, a strategy frame, trades) feeds
     several branches: without it every branch would re-run the plan down to
-    the tick scan. ``checkpoint`` (not ``localCheckpoint``) survives executor
-    loss.
+    the tick scan. Reading it back as parquet keeps column pruning, filter
+    pushdown and size statistics; the files live in the shared folder, so
+    they survive executor loss (unlike ``localCheckpoint``).
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, "tables", f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)

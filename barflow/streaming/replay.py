@@ -46,7 +46,7 @@ def stage_replay(bars: DataFrame, folder: str, n_slices: int = 4) -> Replay:
     if n_slices < 1:
         raise ValueError("n_slices must be >= 1")
     spark = bars.sparkSession
-    b = materialize(bars.withColumn("_us", F.expr(_MICROS)))
+    b = materialize(bars.withColumn("_us", F.expr(_MICROS)), "replay-bars")
     lo, hi = b.agg(F.min("_us"), F.max("_us")).first()
     lo, hi = (0, 0) if lo is None else (int(lo), int(hi))
     span = max(1, (hi - lo) // n_slices + 1)
@@ -81,7 +81,7 @@ def stage_frame_replay(df: DataFrame, folder: str, n_slices: int = 4, ts: str =
         raise ValueError("n_slices must be >= 1")
     spark = df.sparkSession
     micros = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{ts}`)")
-    b = materialize(df.withColumn("_us", micros))
+    b = materialize(df.withColumn("_us", micros), "replay-frame")
     lo, hi = b.agg(F.min("_us"), F.max("_us")).first()
     lo, hi = (0, 0) if lo is None else (int(lo), int(hi))
     span = max(1, (hi - lo) // n_slices + 1)
