@@ -11,6 +11,10 @@ there. Whatever that start differs from the true value by is scaled by
 (1-a)^H <= 2^-64 at the chunk's first home row, far below double rounding of
 bounded inputs, so the chunked result equals a single pass to the last bits.
 Chunk 0 starts at the series' first row exactly like a single pass.
+
+``affine_scan`` is the exact alternative (three passes: per-chunk composition,
+a scan over the per-chunk summaries, re-application); ``ewm_scan_columns``
+builds EMA/Wilder on it (``method="scan"`` in the indicator functions).
 """
 
 from __future__ import annotations
@@ -20,6 +24,7 @@ from collections.abc import Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barflow.operators.sequence import CHUNK, DEFAULT_CHUNK_ROWS, HOME, _keys, over_chunks
@@ -72,3 +77,121 @@ def ewm_columns(df: DataFrame, specs: Mapping[str, tuple[str, float]],
         return pdf[out_cols]
 
     return chunked.groupBy(*ks, CHUNK).applyInPandas(run, out_schema)
+
+
+def affine_scan(df: DataFrame, series: Sequence[tuple[str, str, str]],
+                keys: Sequence[str] | str = ("symbol",), seq: str = "seq",
+                chunk_rows: int = DEFAULT_CHUNK_ROWS, with_prev: bool = False) -> DataFrame:
+    """y_t = a_t·y_{t-1} + b_t per key along ``seq`` (y_{-1} = 0), for each
+    ``(a column, b column, output column)`` in ``series``.
+
+    Affine maps compose, so the scan is exact in three passes, none of which
+    holds more than a chunk:
+      1. per (key, chunk): compose the chunk's maps into one (A, B);
+      2. per key, over the one-row-per-chunk summaries: the value entering each
+         chunk (this table has rows/chunk_rows rows per key);
+      3. per (key, chunk): re-apply the maps from that value.
+    With ``with_prev`` the previous row's value is emitted as ``prev_<out>``.
+    """
+    ks = _keys(keys)
+    chunked = df.withColumn(CHUNK, F.expr(f"`{seq}` div {int(chunk_rows)}"))
+    a_cols = [a for a, _, _ in series]
+    b_cols = [b for _, b, _ in series]
+    outs = [o for _, _, o in series]
+
+    summary_fields = [chunked.schema[k] for k in ks] + [T.StructField(CHUNK, T.LongType())]
+    summary_fields += [T.StructField(f"_A{i}", T.DoubleType()) for i in range(len(series))]
+    summary_fields += [T.StructField(f"_B{i}", T.DoubleType()) for i in range(len(series))]
+    summary_schema = T.StructType(summary_fields)
+
+    def compose(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(seq, kind="stable")
+        row = {k: pdf[k].iloc[0] for k in ks}
+        row[CHUNK] = int(pdf[CHUNK].iloc[0])
+        for i, (a, b) in enumerate(zip(a_cols, b_cols)):
+            big_a, big_b = 1.0, 0.0
+            for x_a, x_b in zip(pdf[a].tolist(), pdf[b].tolist()):
+                big_a, big_b = x_a * big_a, x_a * big_b + x_b
+            row[f"_A{i}"], row[f"_B{i}"] = big_a, big_b
+        return pd.DataFrame([row])
+
+    carry_fields = summary_fields[: len(ks) + 1] + [T.StructField(f"_Y{i}", T.DoubleType())
+                                                    for i in range(len(series))]
+    carry_schema = T.StructType(carry_fields)
+
+    def prefix(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(CHUNK, kind="stable").reset_index(drop=True)
+        out = pdf[[*ks, CHUNK]].copy()
+        for i in range(len(series)):
+            y, ys = 0.0, []
+            for big_a, big_b in zip(pdf[f"_A{i}"].tolist(), pdf[f"_B{i}"].tolist()):
+                ys.append(y)
+                y = big_a * y + big_b
+            out[f"_Y{i}"] = ys
+        return out
+
+    summaries = (chunked.select(*ks, CHUNK, seq, *a_cols, *b_cols)
+                 .groupBy(*ks, CHUNK).applyInPandas(compose, summary_schema))
+    carry = summaries.groupBy(*ks).applyInPandas(prefix, carry_schema)
+
+    fields = list(df.schema.fields)
+    for o in outs:
+        fields.append(T.StructField(o, T.DoubleType()))
+        if with_prev:
+            fields.append(T.StructField(f"prev_{o}", T.DoubleType()))
+    out_schema = T.StructType(fields)
+    out_names = [f.name for f in fields]
+
+    def apply(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(seq, kind="stable")
+        for i, (a, b, o) in enumerate(series):
+            y = float(pdf[f"_Y{i}"].iloc[0])
+            ys, prevs = [], []
+            for x_a, x_b in zip(pdf[a].tolist(), pdf[b].tolist()):
+                prevs.append(y)
+                y = x_a * y + x_b
+                ys.append(y)
+            pdf[o] = ys
+            if with_prev:
+                pdf[f"prev_{o}"] = prevs
+        return pdf[out_names]
+
+    joined = chunked.join(carry, [*ks, CHUNK])
+    return joined.groupBy(*ks, CHUNK).applyInPandas(apply, out_schema)
+
+
+def ewm_scan_columns(df: DataFrame, specs: Mapping[str, tuple[str, float]],
+                     keys: Sequence[str] | str = ("symbol",), seq: str = "seq",
+                     with_prev: bool = True, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+    """``ewm_columns`` computed with the exact ``affine_scan``.
+
+    Per source column: the first non-NULL row of a key starts the series
+    (a = 0, b = x), later rows use a = 1-alpha, b = alpha·x with pandas'
+    effective alpha, and a NULL row repeats the last value (a = 1, b = 0) and
+    does not re-weight the next one (the default method follows pandas there).
+    Values before the start are NULL. The first non-NULL row per key comes from
+    a one-row-per-key aggregate.
+    """
+    ks = _keys(keys)
+    d = df
+    series = []
+    for i, (name, (src, alpha)) in enumerate(specs.items()):
+        a_eff = 1.0 / (1.0 + (1.0 - alpha) / alpha)
+        first = (d.filter(F.col(src).isNotNull()).groupBy(*ks)
+                 .agg(F.min(seq).alias(f"_first{i}")))
+        d = d.join(first, ks, "left")
+        x, s, f = F.col(src), F.col(seq), F.col(f"_first{i}")
+        d = (d.withColumn(f"_a{i}", F.when(x.isNull(), F.lit(1.0)).when(s == f, F.lit(0.0))
+                          .otherwise(F.lit(1.0 - a_eff)))
+              .withColumn(f"_b{i}", F.when(x.isNull(), F.lit(0.0)).when(s == f, x)
+                          .otherwise(F.lit(a_eff) * x)))
+        series.append((f"_a{i}", f"_b{i}", name))
+    out = affine_scan(d, series, keys=ks, seq=seq, chunk_rows=chunk_rows, with_prev=with_prev)
+    for i, name in enumerate(specs):
+        f = F.col(f"_first{i}")
+        out = out.withColumn(name, F.when(f.isNotNull() & (F.col(seq) >= f), F.col(name)))
+        if with_prev:
+            out = out.withColumn(f"prev_{name}", F.when(f.isNotNull() & (F.col(seq) - 1 >= f),
+                                                        F.col(f"prev_{name}")))
+        out = out.drop(f"_first{i}", f"_a{i}", f"_b{i}")
+    return out

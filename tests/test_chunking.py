@@ -60,3 +60,23 @@ def test_ffill_last_across_chunks(spark):
         if r["seq"] % 37 == 5 or r["seq"] == 150:
             last = r["seq"] * 10
         assert r["v"] == last, (r["seq"], r["v"], last)
+
+
+def test_affine_scan_method_equals_halo(spark):
+    from barflow.operators import indicators as ind
+    bars = series_of(spark)
+    halo = _by_key(ind.ema(bars, {"f": 5, "s": 30}), ["f", "s", "prev_f", "prev_s"])
+    scan = _by_key(ind.ema(bars, {"f": 5, "s": 30}, method="scan", chunk_rows=101),
+                   ["f", "s", "prev_f", "prev_s"])
+    assert halo.keys() == scan.keys()
+    for k in halo:
+        assert all(_close(a, b, 1e-12) for a, b in zip(halo[k], scan[k])), (k, halo[k], scan[k])
+    obars = with_seq(ohlcv_bars(order_ticks(spark, SF001)))
+    h = _by_key(ind.rsi(obars, 5), ["avg_gain", "avg_loss", "rsi"])
+    s = _by_key(ind.rsi(obars, 5, method="scan", chunk_rows=89), ["avg_gain", "avg_loss", "rsi"])
+    for k in h:
+        assert all(_close(a, b, 1e-12) for a, b in zip(h[k], s[k])), (k, h[k], s[k])
+
+
+def series_of(spark):
+    return with_seq(ohlcv_bars(lineitem_ticks(spark, SF001)))
