@@ -12,7 +12,6 @@ P3 (final value) and P4 (equity) are joins and scans around the fold.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 from functools import partial
 
 import pandas as pd
@@ -25,12 +24,6 @@ from barflow.operators.sequence import DEFAULT_CHUNK_ROWS, _keys, ffill_last
 INSOLVENCY_MODES = ("reference", "halt")
 
 
-@dataclass
-class LedgerState:
-    cash: float
-    pos: int = 0
-
-
 def ledger_step(cash: float, pos: int, sig: int, price: float, halt: bool = False):
     """One signal at ``price``. Returns (cash, pos, closed, opened).
 
