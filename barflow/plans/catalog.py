@@ -225,6 +225,11 @@ def q_summary(spark, sf):
                     "text")
 
 
+def _state_partitions(spark) -> int:
+    """State-store partitions for the catalog's streams: the cluster's cores."""
+    return max(1, spark.sparkContext.defaultParallelism)
+
+
 def _replay_through(spark, bars: DataFrame, make_output) -> tuple[Run, str]:
     """Replay ``bars`` slice by slice through a file-source stream; each slice is
     fully processed before the next is published. Returns the run and the
@@ -234,7 +239,8 @@ def _replay_through(spark, bars: DataFrame, make_output) -> tuple[Run, str]:
     rep.feed(0)
     good, _dead = parsed_bars(bar_stream(spark, rep.source))
     hist = f"{run.folder}/history"
-    q = run.start(make_output(good), foreach_batch=accumulate(hist, run.run_id))
+    q = run.start(make_output(good), foreach_batch=accumulate(hist, run.run_id),
+                  state_partitions=_state_partitions(spark))
     try:
         q.processAllAvailable()
         for k in range(1, REPLAY_SLICES):
@@ -270,7 +276,8 @@ def q_bars_stream_hourly(spark, sf):
     rep.feed(0)
     hist = f"{run.folder}/history"
     q = run.start(ohlcv_bar_stream(rep.stream(), "1 hour", "1 hour"),
-                  foreach_batch=accumulate(hist, run.run_id), output_mode="update")
+                  foreach_batch=accumulate(hist, run.run_id), output_mode="update",
+                  state_partitions=_state_partitions(spark))
     try:
         q.processAllAvailable()
         for k in range(1, REPLAY_SLICES):

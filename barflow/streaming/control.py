@@ -40,8 +40,14 @@ class Run:
         return f"{self.folder}/checkpoint"
 
     def start(self, stream: DataFrame, foreach_batch=None, interval_ms: int | None = None,
-              fmt: str | None = None, path: str | None = None, output_mode: str = "append") -> StreamingQuery:
-        """Stop the current query (if any) and start ``stream``."""
+              fmt: str | None = None, path: str | None = None, output_mode: str = "append",
+              state_partitions: int | None = None) -> StreamingQuery:
+        """Stop the current query (if any) and start ``stream``.
+
+        ``state_partitions`` sets the number of state-store partitions of a new
+        stateful query (fixed in its checkpoint from then on). The query copies
+        the session conf when it starts, so the session's own setting is
+        restored right after."""
         self.stop()
         w = stream.writeStream.option("checkpointLocation", self.checkpoint).outputMode(output_mode)
         trig = trigger_options(interval_ms)
@@ -53,7 +59,14 @@ class Run:
             w = w.format(fmt)
             if path is not None:
                 w = w.option("path", path)
-        self.query = w.start()
+        key = "spark.sql.shuffle.partitions"
+        before = self.spark.conf.get(key)
+        if state_partitions:
+            self.spark.conf.set(key, str(int(state_partitions)))
+        try:
+            self.query = w.start()
+        finally:
+            self.spark.conf.set(key, before)
         return self.query
 
     def stop(self) -> None:
