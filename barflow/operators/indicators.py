@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barflow.functions.columns import gain, loss, price_change, rsi_from_averages
-from barflow.operators.recurrence import ewm_columns, ewm_scan_columns, span_alpha
+from barflow.operators.recurrence import ewm_columns, ewm_scan_columns, halo_rows, span_alpha
 from barflow.operators.sequence import DEFAULT_CHUNK_ROWS, chunk_window, home_rows, over_chunks
 
 
@@ -65,27 +65,32 @@ def gains_losses(df: DataFrame, n: int | None = None, src: str = "close",
     return home_rows(ch)
 
 
-def _ewm(method: str):
+def _ewm(method: str, alphas, chunk_rows: int):
+    """'halo' (one pass), 'scan' (exact affine scan) or 'auto': halo unless the
+    halo would exceed a quarter chunk (very long spans), then scan."""
+    if method == "auto":
+        method = "halo" if 4 * max(halo_rows(a) for a in alphas) <= chunk_rows else "scan"
     if method == "halo":
         return ewm_columns
     if method == "scan":
         return ewm_scan_columns
-    raise ValueError("method must be 'halo' or 'scan'")
+    raise ValueError("method must be 'auto', 'halo' or 'scan'")
 
 
 def ema(df: DataFrame, spans: Mapping[str, int], src: str = "close", with_prev: bool = True,
         keys: Sequence[str] | str = ("symbol",), seq: str = "seq",
-        chunk_rows: int = DEFAULT_CHUNK_ROWS, method: str = "halo") -> DataFrame:
+        chunk_rows: int = DEFAULT_CHUNK_ROWS, method: str = "auto") -> DataFrame:
     """Exponential means with alpha = 2/(span+1), no warm-up gap.
 
-    ``method="halo"`` (default): one pass, chunks warm up on a halo;
-    ``method="scan"``: exact three-pass affine scan (Y4)."""
+    ``method="halo"``: one pass, chunks warm up on a halo; ``method="scan"``:
+    exact three-pass affine scan (Y4); ``"auto"`` picks halo for ordinary spans."""
     specs = {name: (src, span_alpha(_check_period(s))) for name, s in spans.items()}
-    return _ewm(method)(df, specs, keys=keys, seq=seq, with_prev=with_prev, chunk_rows=chunk_rows)
+    run = _ewm(method, [a for _, a in specs.values()], chunk_rows)
+    return run(df, specs, keys=keys, seq=seq, with_prev=with_prev, chunk_rows=chunk_rows)
 
 
 def wilder(df: DataFrame, n: int, keys: Sequence[str] | str = ("symbol",), seq: str = "seq",
-           with_prev: bool = True, chunk_rows: int = DEFAULT_CHUNK_ROWS, method: str = "halo") -> DataFrame:
+           with_prev: bool = True, chunk_rows: int = DEFAULT_CHUNK_ROWS, method: str = "auto") -> DataFrame:
     """Wilder averages of gain and loss.
 
     Missing before row n; row n holds the mean of the gains of rows 1..n;
@@ -100,13 +105,14 @@ def wilder(df: DataFrame, n: int, keys: Sequence[str] | str = ("symbol",), seq:
             F.when(F.col(seq) < n, F.lit(None).cast("double"))
              .when(F.col(seq) == n, F.col(f"rolling_{c}"))
              .otherwise(F.col(c)))
-    out = _ewm(method)(seeded, {"avg_gain": ("_w_gain", 1.0 / n), "avg_loss": ("_w_loss", 1.0 / n)},
-                       keys=keys, seq=seq, with_prev=with_prev, chunk_rows=chunk_rows)
+    run = _ewm(method, [1.0 / n], chunk_rows)
+    out = run(seeded, {"avg_gain": ("_w_gain", 1.0 / n), "avg_loss": ("_w_loss", 1.0 / n)},
+              keys=keys, seq=seq, with_prev=with_prev, chunk_rows=chunk_rows)
     return out.drop("_w_gain", "_w_loss")
 
 
 def rsi(df: DataFrame, n: int, keys: Sequence[str] | str = ("symbol",), seq: str = "seq",
-        chunk_rows: int = DEFAULT_CHUNK_ROWS, method: str = "halo") -> DataFrame:
+        chunk_rows: int = DEFAULT_CHUNK_ROWS, method: str = "auto") -> DataFrame:
     """RSI and the previous row's RSI from Wilder averages."""
     g = gains_losses(df, n, keys=keys, seq=seq, chunk_rows=chunk_rows)
     w = wilder(g, n, keys=keys, seq=seq, with_prev=True, chunk_rows=chunk_rows, method=method)

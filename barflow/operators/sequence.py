@@ -7,9 +7,10 @@ symbol, so one symbol's series is spread over many tasks however long it is:
 * ``with_seq`` numbers the bars of each key 0, 1, 2, ... without sorting a key
   in one task: it counts bars per (key, time segment), prefix-sums those counts
   on the small count table and adds a row number inside each segment.
-* ``over_chunks`` cuts the index into chunks of ``chunk_rows`` and copies the
-  last ``halo`` rows of each chunk into the next one(s), so a lookback of up to
-  ``halo`` rows is exact inside every chunk. ``home_rows`` drops the copies.
+* ``over_chunks`` cuts the index into chunks of ``chunk_rows`` (at least four
+  halos) and copies the last ``halo`` rows of each chunk into the next one(s),
+  so a lookback of up to ``halo`` rows is exact inside every chunk.
+  ``home_rows`` drops the copies.
 * ``ffill_last`` carries the latest flagged row forward along the index: a
   window inside each chunk plus a carry from the small per-chunk summary.
 """
@@ -53,6 +54,11 @@ def with_seq(df: DataFrame, keys: Sequence[str] | str = ("symbol",), order: str
     )
 
 
+def effective_chunk_rows(halo: int, chunk_rows: int) -> int:
+    """Chunks hold at least 4 halos, so copied rows stay under 25% of the data."""
+    return max(int(chunk_rows), 4 * int(halo), 1)
+
+
 def chunk_of(seq: str, chunk_rows: int) -> Column:
     return F.expr(f"`{seq}` div {int(chunk_rows)}")
 
@@ -63,6 +69,7 @@ def over_chunks(df: DataFrame, halo: int, chunk_rows: int = DEFAULT_CHUNK_ROWS,
     first ``halo`` rows need it. Adds ``_chunk`` and ``_home``."""
     if halo < 0:
         raise ValueError("halo must be >= 0")
+    chunk_rows = effective_chunk_rows(halo, chunk_rows)
     home = chunk_of(seq, chunk_rows)
     last = F.expr(f"(`{seq}` + {int(halo)}) div {int(chunk_rows)}")
     return (df.withColumn(CHUNK, F.explode(F.sequence(home, last)))

@@ -80,3 +80,18 @@ def test_affine_scan_method_equals_halo(spark):
 
 def series_of(spark):
     return with_seq(ohlcv_bars(lineitem_ticks(spark, SF001)))
+
+
+def test_halo_method_across_many_chunks(spark):
+    from barflow.operators import indicators as ind
+    bars = series_of(spark)  # ~1,400 bars per symbol; span 2/3 halos are ~41/64 rows
+    one = _by_key(ind.ema(bars, {"f": 2, "s": 3}, method="halo"), ["f", "s", "prev_f", "prev_s"])
+    many = _by_key(ind.ema(bars, {"f": 2, "s": 3}, method="halo", chunk_rows=50), ["f", "s", "prev_f", "prev_s"])
+    assert one.keys() == many.keys()
+    for k in one:
+        assert all(_close(a, b, 1e-12) for a, b in zip(one[k], many[k])), (k, one[k], many[k])
+    obars = with_seq(ohlcv_bars(order_ticks(spark, SF001)))
+    h1 = _by_key(ind.rsi(obars, 2, method="halo"), ["rsi", "prev_rsi"])
+    h2 = _by_key(ind.rsi(obars, 2, method="halo", chunk_rows=60), ["rsi", "prev_rsi"])
+    for k in h1:
+        assert all(_close(a, b, 1e-12) for a, b in zip(h1[k], h2[k])), (k, h1[k], h2[k])
