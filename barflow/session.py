@@ -54,6 +54,11 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([checkpoint_dir(spark).rstrip("/"), *parts])
 
 
+# When a list, ``materialize`` appends (name, executed plan text) to it; used by
+# tools/plan_report.py to show the plans of materialized stages too.
+PLAN_LOG: list | None = None
+
+
 def materialize(df, name: str = "table"):
     """Cut the lineage of ``df`` with a reliable checkpoint in the shared
     checkpoint folder and continue from the stored rows.
@@ -66,4 +71,7 @@ def materialize(df, name: str = "table"):
     (no commit protocol, no file listing). ``name`` is kept for logging.
     """
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    if PLAN_LOG is not None:
+        PLAN_LOG.append((name, df._jdf.queryExecution().executedPlan().toString()))
+    return out
