@@ -26,28 +26,31 @@ def encode_bars(bars: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
                        F.to_json(payload).cast("binary").alias("value"))
 
 
-def decode_bars(raw: DataFrame, value: str = "value") -> DataFrame:
-    """binary/string JSON -> ``data`` struct plus ``_corrupt`` (raw text when
-    the message is not valid JSON for the schema)."""
+def decode_bars(raw: DataFrame, value: str = "value", key: str = "key") -> DataFrame:
+    """binary/string JSON -> ``data`` struct, the raw text ``_text`` (kept for
+    the dead-letter table) and the message key ``_key`` when the source has one."""
     text = F.col(value).cast("string")
     parsed = F.from_json(text, WIRE_SCHEMA)
-    return raw.select(parsed.alias("data"), text.alias("_text"))
+    msg_key = F.col(key).cast("string") if key in raw.columns else F.lit(None).cast("string")
+    return raw.select(parsed.alias("data"), text.alias("_text"), msg_key.alias("_key"))
 
 
-def normalise_ts(decoded: DataFrame, keep_millis: bool = False) -> DataFrame:
+def normalise_ts(decoded: DataFrame, keep_millis: bool = False, default_symbol: str | None = None) -> DataFrame:
     """S3: epoch ms -> wall-clock UTC timestamp and flat bar columns.
 
     Reference rule: ms div 1000 (sub-second part dropped, truncation toward
     zero); ``keep_millis`` keeps it instead. Volume decoded as a double is cast
-    to bigint.
+    to bigint. The symbol is the message's ``symbol`` field, else the message
+    key, else ``default_symbol`` (messages of a single-ticker feed carry none).
     """
     ms = F.col("data.timestamp")
     if keep_millis:
         ts = F.expr(f"timestampadd(MILLISECOND, data.timestamp, {_EPOCH})")
     else:
         ts = F.expr(f"timestampadd(SECOND, data.timestamp div 1000, {_EPOCH})")
+    symbol = F.coalesce(F.col("data.symbol"), F.col("_key"), F.lit(default_symbol).cast("string"))
     return decoded.select(
-        F.col("data.symbol").alias("symbol"),
+        symbol.alias("symbol"),
         F.when(ms.isNotNull(), ts).alias("ts"),
         F.col("data.open").alias("open"), F.col("data.high").alias("high"),
         F.col("data.low").alias("low"), F.col("data.close").alias("close"),
@@ -57,9 +60,10 @@ def normalise_ts(decoded: DataFrame, keep_millis: bool = False) -> DataFrame:
 
 
 def split_quarantine(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Bars usable by strategies, and the dead-letter rest: missing ts or close,
-    or close <= 0 (sizing divides by the close)."""
-    ok = F.col("ts").isNotNull() & F.col("close").isNotNull() & (F.col("close") > 0)
+    """Bars usable by strategies, and the dead-letter rest: missing symbol, ts or
+    close, or close <= 0 (sizing divides by the close)."""
+    ok = (F.col("symbol").isNotNull() & F.col("ts").isNotNull() & F.col("close").isNotNull()
+          & (F.col("close") > 0))
     good = rows.filter(ok).select(*BAR_COLUMNS)
     bad = rows.filter(~ok | ok.isNull())
     return good, bad

@@ -40,7 +40,7 @@ def pack_order(ts: str, ident: str) -> Column:
 
 
 def _valid(px: Column) -> Column:
-    return px.isNotNull() & (px > 0)
+    return px.isNotNull() & (px > 0) & F.col("symbol").isNotNull()
 
 
 def lineitem_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:

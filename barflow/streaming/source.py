@@ -32,8 +32,8 @@ def bar_stream(spark: SparkSession, path: str | None = None, *, kafka_servers: s
     return reader.load(path)
 
 
-def parsed_bars(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+def parsed_bars(raw: DataFrame, default_symbol: str | None = None) -> tuple[DataFrame, DataFrame]:
     """S2 + S3 + quarantine on a raw stream: (bars, dead letters)."""
-    rows = normalise_ts(decode_bars(raw))
+    rows = normalise_ts(decode_bars(raw), default_symbol=default_symbol)
     good, bad = split_quarantine(rows)
     return good, bad.select(F.col("_text").alias("message"), "symbol", "ts", "close")

@@ -14,7 +14,7 @@ from barflow.sources.ticks import lineitem_ticks
 
 def _decode(spark, msgs):
     raw = spark.createDataFrame([(m,) for m in msgs], "value string")
-    return split_quarantine(normalise_ts(decode_bars(raw)))
+    return split_quarantine(normalise_ts(decode_bars(raw), default_symbol="S"))
 
 
 def test_decode_cases(spark):
@@ -56,3 +56,13 @@ def test_scan_range_is_pushed_down(spark, tmp_path):
     assert "PushedFilters" in plan and "EqualTo(symbol,A)" in plan
     rows = q.collect()
     assert len(rows) == 10 and [r["ts"] for r in rows] == sorted(r["ts"] for r in rows)
+
+
+def test_symbol_from_key_or_default(spark):
+    raw = spark.createDataFrame(
+        [(b"AAA", b'{"timestamp":1685592000000,"close":2.0}'),
+         (None, b'{"timestamp":1685592000000,"close":3.0}')], "key binary, value binary")
+    good, bad = split_quarantine(normalise_ts(decode_bars(raw)))
+    assert [r["symbol"] for r in good.collect()] == ["AAA"] and bad.count() == 1
+    good, bad = split_quarantine(normalise_ts(decode_bars(raw), default_symbol="ONE"))
+    assert sorted(r["symbol"] for r in good.collect()) == ["AAA", "ONE"] and bad.count() == 0
