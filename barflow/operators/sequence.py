@@ -21,6 +21,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHUNK = "_chunk"
 HOME = "_home"
@@ -46,7 +47,11 @@ def with_seq(df: DataFrame, keys: Sequence[str] | str = ("symbol",), order: str
     counts = d.groupBy(*ks, "_seg").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*ks).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*ks, "_seg", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    inside = Window.partitionBy(*ks, "_seg").orderBy(order)
+    # Remaining columns break ties, so the numbering is the same on every
+    # attempt of a task even if a (key, ts) pair repeats (dedupe bars first).
+    ties = [c for c in df.columns if c not in (*ks, order)
+            and not isinstance(df.schema[c].dataType, (T.MapType, T.ArrayType))]
+    inside = Window.partitionBy(*ks, "_seg").orderBy(order, *ties)
     return (
         d.join(offsets, [*ks, "_seg"])
         .withColumn(seq, (F.col("_off") + F.row_number().over(inside) - 1).cast("long"))

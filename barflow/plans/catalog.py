@@ -230,6 +230,10 @@ def _state_partitions(spark) -> int:
     return max(1, spark.sparkContext.defaultParallelism)
 
 
+# Progress reports of the last replayed stream (for the bench).
+LAST_PROGRESS: list[dict] = []
+
+
 def _replay_through(spark, bars: DataFrame, make_output) -> tuple[Run, str]:
     """Replay ``bars`` slice by slice through a file-source stream; each slice is
     fully processed before the next is published. Returns the run and the
@@ -246,6 +250,7 @@ def _replay_through(spark, bars: DataFrame, make_output) -> tuple[Run, str]:
         for k in range(1, REPLAY_SLICES):
             rep.feed(k)
             q.processAllAvailable()
+        LAST_PROGRESS[:] = [p for p in q.recentProgress if p.get("numInputRows", 0) > 0]
     finally:
         run.stop()
     return run, hist
