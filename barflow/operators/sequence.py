@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 CHUNK = "_chunk"
 HOME = "_home"
 DEFAULT_CHUNK_ROWS = 250_000
-DEFAULT_SEGMENT_DAYS = 32
+DEFAULT_SEGMENT_SECONDS = 32 * 86_400
 
 
 def _keys(keys) -> list[str]:
@@ -34,15 +34,16 @@ def _keys(keys) -> list[str]:
 
 
 def with_seq(df: DataFrame, keys: Sequence[str] | str = ("symbol",), order: str = "ts",
-             seq: str = "seq", segment_days: int = DEFAULT_SEGMENT_DAYS) -> DataFrame:
+             seq: str = "seq", segment_seconds: int = DEFAULT_SEGMENT_SECONDS) -> DataFrame:
     """Add a dense 0-based index per key in ``order`` (unique per key) order.
 
-    The largest sort is one (key, segment): at most ``segment_days`` of bars.
-    The count table has one row per (key, segment) and is the only input of
-    the prefix sum.
+    The largest sort is one (key, segment): the bars of ``segment_seconds``
+    (32 days by default; use less for sub-minute bars). The count table has one
+    row per (key, segment) and is the only input of the prefix sum.
     """
     ks = _keys(keys)
-    seg = F.floor(F.unix_date(F.col(order).cast("date")) / F.lit(segment_days))
+    micros = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{order}`)")
+    seg = F.floor(micros / F.lit(int(segment_seconds) * 1_000_000))
     d = df.withColumn("_seg", seg)
     counts = d.groupBy(*ks, "_seg").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*ks).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)

@@ -24,7 +24,7 @@ def test_seq_is_dense_row_number(spark):
     from pyspark.sql import Window
     from pyspark.sql import functions as F
     bars = ohlcv_bars(lineitem_ticks(spark, SF001))
-    got = with_seq(bars, segment_days=7)
+    got = with_seq(bars, segment_seconds=7 * 86_400)
     want = bars.withColumn("rn", F.row_number().over(Window.partitionBy("symbol").orderBy("ts")) - 1)
     j = got.join(want, ["symbol", "ts"])
     assert j.filter("seq != rn").count() == 0
