@@ -26,7 +26,7 @@ from barflow.sources.codec import decode_bars, encode_bars, normalise_ts, split_
 from barflow.sources.scan import scan_bars
 from barflow.sources.ticks import event_ticks, lineitem_ticks, order_ticks
 from barflow.streaming.control import Run
-from barflow.streaming.protocol import EmaCross
+from barflow.streaming.protocol import EmaCross, RsiThreshold, SmaCross
 from barflow.streaming.replay import stage_frame_replay, stage_replay
 from barflow.streaming.sinks import accumulate, history
 from barflow.streaming.source import bar_stream, parsed_bars
@@ -264,15 +264,27 @@ def q_replay_sma(spark, sf):
     return _final_out(sma_crossover(got, CASH, SHORT, LONG))
 
 
-def q_stream_ema(spark, sf):
-    """EMA crossover evaluated bar by bar with per-symbol state."""
-    bars = bars_L(spark, sf).select(*BAR_COLUMNS)
-    run, hist = _replay_through(
-        spark, bars, lambda good: stream_strategy(good, EmaCross(SHORT, LONG), CASH))
+def _stream_equity(spark, bars: DataFrame, strategy, cash: float) -> DataFrame:
+    run, hist = _replay_through(spark, bars, lambda good: stream_strategy(good, strategy, cash))
     out = history(spark, hist, run.run_id).filter(~F.col("late"))
     return out.select("symbol", "ts", "close", r2("cash").alias("cash"), "pos", r2("equity").alias("equity"))
 
 
+def q_stream_ema(spark, sf):
+    """EMA crossover evaluated bar by bar with per-symbol state."""
+    return _stream_equity(spark, bars_L(spark, sf).select(*BAR_COLUMNS), EmaCross(SHORT, LONG), CASH)
+
+
+def q_stream_sma(spark, sf):
+    """SMA crossover bar by bar (state: ring of the last LONG closes)."""
+    return _stream_equity(spark, bars_L(spark, sf).select(*BAR_COLUMNS), SmaCross(SHORT, LONG), CASH)
+
+
+def q_stream_rsi(spark, sf):
+    """RSI strategy bar by bar on the orders series."""
+    return _stream_equity(spark, bars_O(spark, sf).select(*BAR_COLUMNS), RsiThreshold(RSI_N), RSI_CASH)
+
+
 def q_bars_stream_hourly(spark, sf):
     """S7 on a stream: event ticks replayed in time slices, hourly windows with a
     watermark in update mode, history compacted to the last version per bar."""
@@ -337,4 +349,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "final_sma_orders": q_final_sma_orders,
     "replay_sma": q_replay_sma,
     "stream_ema": q_stream_ema,
+    "stream_sma": q_stream_sma,
+    "stream_rsi": q_stream_rsi,
 }
