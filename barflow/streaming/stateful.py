@@ -11,6 +11,7 @@ are emitted with ``late = true`` and leave the state untouched.
 from __future__ import annotations
 
 import math
+import warnings
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -51,6 +52,9 @@ def stream_strategy(bars: DataFrame, strategy: BarStrategy, starting_cash: float
     cash0 = float(starting_cash)
 
     def step(key, pdfs, state):
+        # pandas deprecation notice raised by the Arrow serializer for columns that
+        # are all-NULL in a batch (e.g. the slow average during warm-up): noise only.
+        warnings.filterwarnings("ignore", category=FutureWarning, message=".*concatenation with empty.*")
         pdf = pd.concat(list(pdfs), ignore_index=True)
         if state.exists:
             last_ts, cash, pos, ind = state.get
