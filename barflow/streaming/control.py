@@ -17,9 +17,11 @@ from pyspark.sql.streaming import StreamingQuery
 from barflow.session import scratch_path
 
 
-def trigger_options(interval_ms: int | None, floor_ms: int = 0) -> dict:
+def trigger_options(interval_ms: int | None, floor_ms: int = 0, available_now: bool = False) -> dict:
     """Processing-time trigger in ms (clamped to ``floor_ms``); None = as
-    fast as possible."""
+    fast as possible; ``available_now`` = process what is there, then stop."""
+    if available_now:
+        return {"availableNow": True}
     if interval_ms is None:
         return {}
     return {"processingTime": f"{max(int(interval_ms), int(floor_ms))} milliseconds"}
@@ -41,7 +43,7 @@ class Run:
 
     def start(self, stream: DataFrame, foreach_batch=None, interval_ms: int | None = None,
               fmt: str | None = None, path: str | None = None, output_mode: str = "append",
-              state_partitions: int | None = None) -> StreamingQuery:
+              state_partitions: int | None = None, available_now: bool = False) -> StreamingQuery:
         """Stop the current query (if any) and start ``stream``.
 
         ``state_partitions`` sets the number of state-store partitions of a new
@@ -50,7 +52,7 @@ class Run:
         restored right after."""
         self.stop()
         w = stream.writeStream.option("checkpointLocation", self.checkpoint).outputMode(output_mode)
-        trig = trigger_options(interval_ms)
+        trig = trigger_options(interval_ms, available_now=available_now)
         if trig:
             w = w.trigger(**trig)
         if foreach_batch is not None:

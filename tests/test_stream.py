@@ -98,3 +98,20 @@ def test_dedupe_stream_and_publish_roundtrip(spark):
     got = spark.table("dedup_test")
     assert got.count() == bars.count()
     assert got.select(*BAR_COLUMNS).exceptAll(bars).count() == 0
+
+
+def test_available_now_runs_resume_from_checkpoint(spark):
+    bars = ohlcv_bars(lineitem_ticks(spark, SF001)).select(*BAR_COLUMNS)
+    run = Run(spark)
+    rep = stage_replay(bars, f"{run.folder}/replay", 3)
+    hist = f"{run.folder}/history"
+    for k in range(3):  # one availableNow run per published slice, same checkpoint
+        rep.feed(k)
+        good, _ = parsed_bars(bar_stream(spark, rep.source))
+        q = run.start(stream_strategy(good, EmaCross(5, 30), 1000.0),
+                      foreach_batch=accumulate(hist, run.run_id), available_now=True)
+        q.awaitTermination(300)
+        assert run.new_rows() > 0
+    out = history(spark, hist, run.run_id)
+    assert out.filter("late").count() == 0
+    _compare(out.collect(), ema_crossover(bars, 1000.0, 5, 30).equity.collect(), ["fast", "slow", "sig", "equity"])
