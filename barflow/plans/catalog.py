@@ -17,6 +17,7 @@ from barflow.operators.bars import latest_bars, ohlcv_bar_stream, ohlcv_bars
 from barflow.operators.dedupe import dedupe_bars
 from barflow.operators import indicators as ind
 from barflow.plans import report
+from barflow.plans.custom import backtest_bar_strategy
 from barflow.plans.strategies import (
     Backtest, ema_crossover, rsi_strategy, series, sma_crossover, trim_warmup, with_warmup,
 )
@@ -264,6 +265,12 @@ def q_replay_sma(spark, sf):
     return _final_out(sma_crossover(got, CASH, SHORT, LONG))
 
 
+def q_custom_ema(spark, sf):
+    """Y5 in batch: the per-bar EMA strategy class run over whole symbols."""
+    out = backtest_bar_strategy(bars_L(spark, sf), EmaCross(SHORT, LONG), CASH)
+    return out.select("symbol", "ts", "close", r2("cash").alias("cash"), "pos", r2("equity").alias("equity"))
+
+
 def _stream_equity(spark, bars: DataFrame, strategy, cash: float) -> DataFrame:
     run, hist = _replay_through(spark, bars, lambda good: stream_strategy(good, strategy, cash))
     out = history(spark, hist, run.run_id).filter(~F.col("late"))
@@ -348,6 +355,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "final_ema_hourly": q_final_ema_hourly,
     "final_sma_orders": q_final_sma_orders,
     "replay_sma": q_replay_sma,
+    "custom_ema": q_custom_ema,
     "stream_ema": q_stream_ema,
     "stream_sma": q_stream_sma,
     "stream_rsi": q_stream_rsi,

@@ -306,6 +306,7 @@ def oracle_sql() -> dict[str, str]:
     q["final_ema_hourly"] = _final_q("ema_hourly")
     q["final_sma_orders"] = _final_q("sma_orders")
     q["replay_sma"] = q["final_sma"]
+    q["custom_ema"] = q["equity_ema"]
     q["stream_ema"] = q["equity_ema"]
     q["stream_sma"] = q["equity_sma"]
     q["stream_rsi"] = q["equity_rsi"]

@@ -31,3 +31,22 @@ def test_prefix_law_and_final_is_last_equity(spark, make):
     for k in (10, 37, 61):  # strategies only look backward: a prefix run ends at row k-1 of the full run
         pre = make(make_bars(spark, closes[:k])).final.collect()[0]["final_value"]
         assert abs(pre - eq[k - 1]) < 1e-9, (k, pre, eq[k - 1])
+
+
+def test_bar_strategy_batch_runner_equals_builtin(spark):
+    from barflow.plans.custom import backtest_bar_strategy
+    from barflow.streaming.protocol import EmaCross, RsiThreshold, SmaCross
+    a = make_bars(spark, _walk(90, 5), "A")
+    b = make_bars(spark, _walk(70, 9), "B")
+    bars = a.unionByName(b)
+    for strat, builtin, cols in [(SmaCross(3, 8), sma_crossover(bars, 500.0, 3, 8), ["fast", "slow"]),
+                                 (EmaCross(3, 8), ema_crossover(bars, 500.0, 3, 8), ["fast", "slow"]),
+                                 (RsiThreshold(4), rsi_strategy(bars, 500.0, 4), ["rsi"])]:
+        got = {(r["symbol"], r["ts"]): r for r in backtest_bar_strategy(bars, strat, 500.0).collect()}
+        want = {(r["symbol"], r["ts"]): r for r in builtin.equity.collect()}
+        assert got.keys() == want.keys()
+        for k, w in want.items():
+            g = got[k]
+            assert g["sig"] == w["sig"] and g["pos"] == w["pos"]
+            for c in cols + ["equity"]:
+                assert (g[c] is None and w[c] is None) or abs(g[c] - w[c]) < 1e-9, (k, c, g[c], w[c])
