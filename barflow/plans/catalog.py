@@ -23,6 +23,7 @@ from barflow.plans.strategies import (
 )
 from barflow.plans.sweep import sweep_sma
 from barflow.schema import BAR_COLUMNS, INDICATOR_DIGITS, MONEY_DIGITS
+from barflow.session import default_parallelism
 from barflow.sources.codec import decode_bars, encode_bars, normalise_ts, split_quarantine
 from barflow.sources.scan import scan_bars
 from barflow.sources.ticks import event_ticks, lineitem_ticks, order_ticks
@@ -228,7 +229,7 @@ def q_summary(spark, sf):
 
 def _state_partitions(spark) -> int:
     """State-store partitions for the catalog's streams: the cluster's cores."""
-    return max(1, spark.sparkContext.defaultParallelism)
+    return default_parallelism(spark)
 
 
 # Progress reports of the last replayed stream (for the bench).

@@ -40,15 +40,33 @@ def checkpoint_dir(spark: SparkSession) -> str:
     machine-local path.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = _spark_context(spark)
+    if not conf_dir and sc is not None:
+        conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="barflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
-    spark.sparkContext.setCheckpointDir(conf_dir)
+    if sc is not None:
+        sc.setCheckpointDir(conf_dir)
     return conf_dir
 
 
+def _spark_context(spark: SparkSession):
+    """The SparkContext of a classic session; None under Spark Connect, where
+    the server reads ``spark.checkpoint.dir`` from the session conf."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    sc = _spark_context(spark)
+    if sc is not None:
+        return max(1, sc.defaultParallelism)
+    return max(1, int(spark.conf.get("spark.default.parallelism", "8")))
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path below the shared checkpoint folder."""
     return "/".join([checkpoint_dir(spark).rstrip("/"), *parts])
