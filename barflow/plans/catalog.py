@@ -25,7 +25,7 @@ from barflow.plans.sweep import sweep_sma
 from barflow.schema import BAR_COLUMNS, INDICATOR_DIGITS, MONEY_DIGITS
 from barflow.session import default_parallelism
 from barflow.sources.codec import decode_bars, encode_bars, normalise_ts, split_quarantine
-from barflow.sources.scan import scan_bars
+from barflow.sources.scan import scan_bars, scan_bars_from_ticks  # noqa: F401
 from barflow.sources.ticks import event_ticks, lineitem_ticks, order_ticks
 from barflow.streaming.control import Run
 from barflow.streaming.protocol import EmaCross, RsiThreshold, SmaCross
@@ -93,7 +93,8 @@ def q_bars_orders(spark, sf):
 
 
 def q_scan_range(spark, sf):
-    return scan_bars(_bars_out(bars_L(spark, sf)), *SCAN)
+    """Symbol and date range pushed into the lineitem scan, then bars."""
+    return _bars_out(scan_bars_from_ticks(lineitem_ticks(spark, sf), *SCAN, every="1 day"))
 
 
 def q_json_roundtrip(spark, sf):

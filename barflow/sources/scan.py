@@ -15,3 +15,33 @@ def scan_bars(bars: DataFrame, symbol: str, start: str, end: str, limit: int = S
     hi = F.lit(end).cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY")
     return (bars.filter((F.col("symbol") == symbol) & (F.col("ts") >= lo) & (F.col("ts") < hi))
             .orderBy("ts").limit(int(limit)))
+
+
+def _divides_day(every: str) -> bool:
+    """True when tumbling buckets of ``every`` tile each day exactly."""
+    import re
+    m = re.fullmatch(r"\s*(\d+)\s*(second|seconds|minute|minutes|hour|hours|day|days)\s*", every.lower())
+    if not m:
+        return False
+    n, unit = int(m.group(1)), m.group(2).rstrip("s")
+    secs = n * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit]
+    return secs > 0 and (86400 % secs == 0 or secs == 86400)
+
+
+def scan_bars_from_ticks(ticks: DataFrame, symbol: str, start: str, end: str, every: str = "1 day",
+                         limit: int = SCAN_LIMIT) -> DataFrame:
+    """S5 straight from ticks: bars of ``symbol`` whose start lies in [start, end].
+
+    When the bucket width divides a day, a bar starting in the range holds
+    exactly the ticks of [start, end + 1 day), so the ticks are filtered first
+    and the range reaches the parquet scan together with the symbol; otherwise
+    only the symbol is pre-filtered.
+    """
+    from barflow.operators.bars import ohlcv_bars
+
+    t = ticks.filter(F.col("symbol") == symbol)
+    if _divides_day(every):
+        lo = F.lit(start).cast("timestamp_ntz")
+        hi = F.lit(end).cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY")
+        t = t.filter((F.col("ts") >= lo) & (F.col("ts") < hi))
+    return scan_bars(ohlcv_bars(t, every), symbol, start, end, limit)

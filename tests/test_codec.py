@@ -66,3 +66,16 @@ def test_symbol_from_key_or_default(spark):
     assert [r["symbol"] for r in good.collect()] == ["AAA"] and bad.count() == 1
     good, bad = split_quarantine(normalise_ts(decode_bars(raw), default_symbol="ONE"))
     assert sorted(r["symbol"] for r in good.collect()) == ["AAA", "ONE"] and bad.count() == 0
+
+
+def test_scan_from_ticks_pushes_range_and_matches(spark):
+    from barflow.sources.scan import scan_bars_from_ticks
+    ticks = lineitem_ticks(spark, SF001)
+    q = scan_bars_from_ticks(ticks, "A", "1996-01-01", "1996-06-30")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    pushed = plan.split("PushedFilters: ")[1]  # Spark truncates long metadata strings
+    assert "EqualTo(l_returnflag,A)" in pushed and "GreaterThanOrEqual(l_sh" in pushed
+    full = scan_bars(ohlcv_bars(ticks), "A", "1996-01-01", "1996-06-30")
+    assert q.exceptAll(full).count() == 0 and full.exceptAll(q).count() == 0
+    hourly = scan_bars_from_ticks(ticks, "A", "1996-01-01", "1996-06-30", every="1 hour")
+    assert hourly.count() == q.count()  # l_shipdate has no time of day
