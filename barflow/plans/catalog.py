@@ -19,7 +19,7 @@ from barflow.operators import indicators as ind
 from barflow.plans import report
 from barflow.plans.custom import backtest_bar_strategy
 from barflow.plans.strategies import (
-    Backtest, ema_crossover, rsi_strategy, series, sma_crossover, trim_warmup, with_warmup,
+    Backtest, backtest_range, ema_crossover, rsi_strategy, series, sma_crossover, trim_warmup, with_warmup,
 )
 from barflow.plans.sweep import sweep_sma
 from barflow.schema import BAR_COLUMNS, INDICATOR_DIGITS, MONEY_DIGITS
@@ -209,6 +209,13 @@ def q_warmup_sma(spark, sf):
     return f.select("symbol", "ts", "close", r6("fast").alias("fast"), r6("slow").alias("slow"), "sig")
 
 
+def q_range_backtest(spark, sf):
+    """The form flow: one ticker, a date range, SMA 5/30 with warm-up, final value."""
+    bt = backtest_range(bars_L(spark, sf), SCAN[0], WARMUP[0], WARMUP[1], "sma", CASH,
+                        short_period=SHORT, long_period=LONG)
+    return _final_out(bt)
+
+
 def q_sweep_sma(spark, sf):
     bt = sweep_sma(bars_L(spark, sf), SWEEP_PAIRS, CASH)
     f = bt.final
@@ -350,6 +357,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "equity_ema": q_equity_ema,
     "equity_rsi": q_equity_rsi,
     "warmup_sma": q_warmup_sma,
+    "range_backtest": q_range_backtest,
     "sweep_sma": q_sweep_sma,
     "chart_frame": q_chart_frame,
     "summary": q_summary,

@@ -149,7 +149,7 @@ def _step(cash: str, pos: str, sig: str, price: str, halt: bool) -> dict[str, st
     }
 
 
-def fold_ctes(cash0: float, halt: bool = False, keys=("symbol",)) -> str:
+def fold_ctes(cash0: float, halt: bool = False, keys=("symbol",), src: str = "frame") -> str:
     ks = ", ".join(keys)
     on = " AND ".join(f"s.{k} = f.{k}" for k in keys)
     first = _step(dbl(cash0), "CAST(0 AS BIGINT)", "sig", "price", halt)
@@ -157,7 +157,7 @@ def fold_ctes(cash0: float, halt: bool = False, keys=("symbol",)) -> str:
     cols = ["closed", "opened", "cash", "pos"]
     return f"""sr AS (SELECT {ks}, seq, ts, sig, close AS price,
                      row_number() OVER (PARTITION BY {ks} ORDER BY seq) AS k
-              FROM frame WHERE sig <> 0),
+              FROM {src} WHERE sig <> 0),
     fold({ks}, k, seq, ts, sig, price, closed, opened, cash, pos) AS (
         SELECT {ks}, k, seq, ts, sig, price, {', '.join(first[c] for c in cols)} FROM sr WHERE k = 1
         UNION ALL
@@ -166,12 +166,12 @@ def fold_ctes(cash0: float, halt: bool = False, keys=("symbol",)) -> str:
         FROM fold f JOIN sr s ON {on} AND s.k = f.k + 1)"""
 
 
-def final_select(cash0: float, keys=("symbol",)) -> str:
+def final_select(cash0: float, keys=("symbol",), src: str = "frame") -> str:
     ks = ", ".join(keys)
     cash = f"coalesce(s.cash, {dbl(cash0)})"
     pos = "coalesce(s.pos, CAST(0 AS BIGINT))"
     return f"""lastbar AS (SELECT {ks}, arg_max(close, seq) AS last_close, count(*) AS n_bars,
-                          count(*) FILTER (WHERE sig <> 0) AS n_signals FROM frame GROUP BY {ks}),
+                          count(*) FILTER (WHERE sig <> 0) AS n_signals FROM {src} GROUP BY {ks}),
     laststate AS (SELECT {ks}, arg_max(cash, k) AS cash, arg_max(pos, k) AS pos,
                          count(*) FILTER (WHERE opened <> 0) AS n_opened FROM fold GROUP BY {ks}),
     fin AS (SELECT {', '.join('l.' + k for k in keys)}, n_bars, n_signals,
@@ -243,16 +243,28 @@ def _sweep_q() -> str:
     FROM fin JOIN periods USING (param_id)"""
 
 
-def _warmup_q() -> str:
+def _warmup_ctes(symbol: str | None = None) -> str:
     start, end = C.WARMUP
     end_ts = f"(CAST('{end}' AS TIMESTAMP) + INTERVAL 1 DAY - INTERVAL 1 MICROSECOND)"
-    return f"""WITH RECURSIVE {series_ctes('L')},
-    lim AS (SELECT * FROM b WHERE ts <= {end_ts}),
+    only = "" if symbol is None else f" AND symbol = '{symbol}'"
+    return f"""{series_ctes('L')},
+    lim AS (SELECT * FROM b WHERE ts <= {end_ts}{only}),
     firsts AS (SELECT symbol, min(seq) AS f FROM lim WHERE ts >= CAST('{start}' AS TIMESTAMP) GROUP BY symbol),
     win AS (SELECT symbol, ts, close, lim.seq - greatest(f - {C.LONG}, 0) AS seq,
                    ts >= CAST('{start}' AS TIMESTAMP) AS in_range
             FROM lim JOIN firsts USING (symbol) WHERE lim.seq >= greatest(f - {C.LONG}, 0)),
-    {sma_frame_ctes(C.SHORT, C.LONG, 'win')}
+    {sma_frame_ctes(C.SHORT, C.LONG, 'win')}"""
+
+
+def _range_backtest_q() -> str:
+    return f"""WITH RECURSIVE {_warmup_ctes(C.SCAN[0])},
+    tr AS (SELECT * FROM frame WHERE in_range), {fold_ctes(C.CASH, src='tr')}, {final_select(C.CASH, src='tr')}
+    SELECT symbol, n_bars, n_signals, n_opened, {r2('cash')} AS cash, pos, last_close,
+           {r2('final_value')} AS final_value FROM fin"""
+
+
+def _warmup_q() -> str:
+    return f"""WITH RECURSIVE {_warmup_ctes()}
     SELECT symbol, ts, close, {r6('fast')} AS fast, {r6('slow')} AS slow, sig FROM frame WHERE in_range"""
 
 
@@ -294,6 +306,7 @@ def oracle_sql() -> dict[str, str]:
         "equity_ema": _equity_q("ema"),
         "equity_rsi": _equity_q("rsi"),
         "warmup_sma": _warmup_q(),
+        "range_backtest": _range_backtest_q(),
         "sweep_sma": _sweep_q(),
         "chart_frame": f"""WITH RECURSIVE {_strategy_ctes('sma')[0]}, {equity_ctes(C.CASH)}
             SELECT symbol, ts, open, high, low, close, {r6('fast')} AS fast, {r6('slow')} AS slow, sig,

@@ -140,3 +140,27 @@ def with_warmup(bars: DataFrame, start: str, end: str | None, n: int,
 def trim_warmup(frame: DataFrame) -> DataFrame:
     """Drop warm-up rows and their signals after indicators are computed."""
     return frame.filter(F.col("in_range"))
+
+
+def backtest_range(bars: DataFrame, symbol: str | None, start: str, end: str, strategy: str = "sma",
+                   starting_cash: float = DEFAULT_CASH, warmup: bool = True, insolvency: str = "reference",
+                   **params) -> Backtest:
+    """One run of the form "ticker, dates, cash, strategy, periods".
+
+    Bars of ``symbol`` (all symbols when None) in [start, end]; with ``warmup``
+    the indicators first see the bars just before ``start`` (as many as the
+    longest lookback), and only in-range bars can trade. Periods default to the
+    strategy's defaults.
+    """
+    if strategy in ("sma", "ema"):
+        params.setdefault("short_period", DEFAULT_SHORT)
+        params.setdefault("long_period", DEFAULT_LONG)
+        lookback = max(params["short_period"], params["long_period"])
+    else:
+        params.setdefault("rsi_period", DEFAULT_RSI_PERIOD)
+        lookback = params["rsi_period"] + 1
+    b = bars if symbol is None else bars.filter(F.col("symbol") == symbol)
+    win = with_warmup(b, start, end, lookback if warmup else 0)
+    bt = run_strategy(strategy, win, starting_cash=starting_cash, insolvency=insolvency, **params)
+    return Backtest(bt.name, trim_warmup(bt.frame), bt.starting_cash, bt.keys, bt.insolvency,
+                    bt.chunk_rows, bt.overlays)
