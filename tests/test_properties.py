@@ -50,3 +50,21 @@ def test_bar_strategy_batch_runner_equals_builtin(spark):
             assert g["sig"] == w["sig"] and g["pos"] == w["pos"]
             for c in cols + ["equity"]:
                 assert (g[c] is None and w[c] is None) or abs(g[c] - w[c]) < 1e-9, (k, c, g[c], w[c])
+
+
+def test_backtest_range_warmup_matches_full_history(spark):
+    import datetime as dt
+    from barflow.plans.strategies import backtest_range
+    bars = make_bars(spark, _walk(120, 21), "A").unionByName(make_bars(spark, _walk(120, 4), "B"))
+    start, end = dt.datetime(2024, 2, 20), dt.datetime(2024, 4, 10)
+    bt = backtest_range(bars, "A", "2024-02-20", "2024-04-10", "sma", 500.0, short_period=3, long_period=8)
+    ranged = {r["ts"]: (r["fast"], r["slow"], r["sig"]) for r in bt.frame.collect()}
+    full = {r["ts"]: (r["fast"], r["slow"], r["sig"])
+            for r in sma_crossover(bars.filter("symbol = 'A'"), 500.0, 3, 8).frame.collect()
+            if start <= r["ts"] <= end}
+    assert ranged.keys() == full.keys() and min(ranged) == start
+    for ts, (f, s, sig) in full.items():
+        assert abs(ranged[ts][0] - f) < 1e-12 and abs(ranged[ts][1] - s) < 1e-12 and ranged[ts][2] == sig
+    trades = bt.trades.collect()
+    assert trades and all(start <= t["ts"] <= end for t in trades)
+    assert bt.final.collect()[0]["symbol"] == "A"
