@@ -12,6 +12,13 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def valid_price(x) -> Column:
+    """Not NULL, not NaN, finite and > 0 (Spark orders NaN above every number, so
+    ``> 0`` alone would let it through)."""
+    c = _c(x)
+    return c.isNotNull() & ~F.isnan(c) & (c > 0) & (c < F.lit(float("inf")))
+
+
 def round_half_up(x, digits: int) -> Column:
     """floor(x * 10^d + 0.5) / 10^d.
 

@@ -49,7 +49,7 @@ def bars_sql(frame: str) -> str:
     return f"""SELECT symbol, date_trunc('{unit}', t0) AS ts,
         first(px ORDER BY {order}) AS open, max(px) AS high, min(px) AS low,
         first(px ORDER BY {desc}) AS close, CAST(sum(qty) AS BIGINT) AS volume, count(*) AS n_ticks
-      FROM ({ticks}) t WHERE px IS NOT NULL AND px > 0
+      FROM ({ticks}) t WHERE px IS NOT NULL AND NOT isnan(px) AND isfinite(px) AND px > 0
       GROUP BY symbol, date_trunc('{unit}', t0)"""
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barflow.functions.columns import valid_price
 from barflow.schema import BAR_COLUMNS, UPSTREAM_FIELDS, WIRE_SCHEMA
 
 _EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
@@ -60,10 +61,9 @@ def normalise_ts(decoded: DataFrame, keep_millis: bool = False, default_symbol:
 
 
 def split_quarantine(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Bars usable by strategies, and the dead-letter rest: missing symbol, ts or
-    close, or close <= 0 (sizing divides by the close)."""
-    ok = (F.col("symbol").isNotNull() & F.col("ts").isNotNull() & F.col("close").isNotNull()
-          & (F.col("close") > 0))
+    """Bars usable by strategies, and the dead-letter rest: missing symbol or ts,
+    or a close that is missing, NaN, infinite or <= 0 (sizing divides by it)."""
+    ok = F.col("symbol").isNotNull() & F.col("ts").isNotNull() & valid_price("close")
     good = rows.filter(ok).select(*BAR_COLUMNS)
     bad = rows.filter(~ok | ok.isNull())
     return good, bad

@@ -13,7 +13,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barflow.functions.columns import round_half_up
+from barflow.functions.columns import round_half_up, valid_price
 
 _TWO_61 = 2 ** 61
 _TWO_63 = 2 ** 63
@@ -40,7 +40,7 @@ def pack_order(ts: str, ident: str) -> Column:
 
 
 def _valid(px: Column) -> Column:
-    return px.isNotNull() & (px > 0) & F.col("symbol").isNotNull()
+    return valid_price(px) & F.col("symbol").isNotNull()
 
 
 def lineitem_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:

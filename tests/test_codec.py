@@ -79,3 +79,13 @@ def test_scan_from_ticks_pushes_range_and_matches(spark):
     assert q.exceptAll(full).count() == 0 and full.exceptAll(q).count() == 0
     hourly = scan_bars_from_ticks(ticks, "A", "1996-01-01", "1996-06-30", every="1 hour")
     assert hourly.count() == q.count()  # l_shipdate has no time of day
+
+
+def test_nan_and_infinite_prices_are_quarantined(spark):
+    raw = spark.createDataFrame(
+        [('{"symbol":"S","timestamp":1685592000000,"close":NaN}',),
+         ('{"symbol":"S","timestamp":1685592060000,"close":"Infinity"}',),
+         ('{"symbol":"S","timestamp":1685592120000,"close":-1.0}',),
+         ('{"symbol":"S","timestamp":1685592180000,"close":2.5}',)], "value string")
+    good, bad = split_quarantine(normalise_ts(decode_bars(raw)))
+    assert [r["close"] for r in good.collect()] == [2.5] and bad.count() == 3
