@@ -49,6 +49,7 @@ def main() -> None:
     times["sweep_sma_50"] = round(time.perf_counter() - t0, 3)
     n_bars = C.bars_L(spark, SF_DIR).count()
     n_ticks = spark.read.parquet(f"{SF_DIR}/lineitem.parquet").count()
+    n_bars_o = C.bars_O(spark, SF_DIR).count()
     total = round(sum(times.values()), 3)
     print(json.dumps({
         "metric": "total_query_time", "value": total, "unit": "sec", "queries": times,
@@ -56,6 +57,8 @@ def main() -> None:
         "bars_L": n_bars, "ticks_L": n_ticks,
         "bars_daily_ticks_per_sec": round(n_ticks / times["bars_daily"], 1),
         "sma_bars_per_sec": round(n_bars / times["final_sma"], 1),
+        "ema_bars_per_sec": round(n_bars / times["final_ema"], 1),
+        "rsi_bars_per_sec": round(n_bars_o / times["final_rsi"], 1),
         "sweep50_bar_params_per_sec": round(n_bars * len(SWEEP_50) / times["sweep_sma_50"], 1),
         "stream_ema_batch_ms": stream_batch_ms,
     }))
