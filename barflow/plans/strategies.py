@@ -23,9 +23,10 @@ from barflow.session import materialize
 
 @dataclass
 class Backtest:
-    """A strategy run. ``frame`` (per bar: bar columns, seq, indicators, sig) is
-    materialized once; ``trades`` is materialized on first use, so ``final``
-    and ``equity`` read small stored tables instead of re-running the plan."""
+    """A strategy run. ``frame`` is the per-bar plan (bar columns, seq,
+    indicators, sig). The ledger, final values and equity read a stored copy
+    of it, made on first use, and ``trades`` is stored on first use too: they
+    feed several branches, which would otherwise each re-run the plan."""
 
     name: str
     frame: DataFrame
@@ -34,26 +35,30 @@ class Backtest:
     insolvency: str = "reference"
     chunk_rows: int = DEFAULT_CHUNK_ROWS
     overlays: tuple[str, ...] = ()
+    _stored: DataFrame | None = field(default=None, repr=False)
     _trades: DataFrame | None = field(default=None, repr=False)
 
-    def __post_init__(self):
-        self.frame = materialize(self.frame, f"{self.name}-frame")
+    @property
+    def stored_frame(self) -> DataFrame:
+        if self._stored is None:
+            self._stored = materialize(self.frame, f"{self.name}-frame")
+        return self._stored
 
     @property
     def trades(self) -> DataFrame:
         if self._trades is None:
             self._trades = materialize(
-                run_ledger(self.frame, self.starting_cash, self.keys, insolvency=self.insolvency),
+                run_ledger(self.stored_frame, self.starting_cash, self.keys, insolvency=self.insolvency),
                 f"{self.name}-trades")
         return self._trades
 
     @property
     def final(self) -> DataFrame:
-        return final_values(self.frame, self.trades, self.starting_cash, self.keys)
+        return final_values(self.stored_frame, self.trades, self.starting_cash, self.keys)
 
     @property
     def equity(self) -> DataFrame:
-        return equity_curve(self.frame, self.trades, self.starting_cash, self.keys,
+        return equity_curve(self.stored_frame, self.trades, self.starting_cash, self.keys,
                             chunk_rows=self.chunk_rows)
 
 
