@@ -44,8 +44,12 @@ def _micros(ts: pd.Series) -> pd.Series:
 
 
 def stream_strategy(bars: DataFrame, strategy: BarStrategy, starting_cash: float,
-                    insolvency: str = "reference") -> DataFrame:
-    """Bars stream (``symbol, ts, close``) -> per-bar strategy rows."""
+                    insolvency: str = "reference", warmup_col: str | None = None) -> DataFrame:
+    """Bars stream (``symbol, ts, close``) -> per-bar strategy rows.
+
+    With ``warmup_col``, bars where that boolean column is true only advance the
+    indicator state (Y1 for streams): they never trade and are not emitted, so
+    the first live bar already sees full indicators."""
     out_schema = output_schema(strategy)
     cols = list(strategy.columns)
     halt = insolvency == "halt"
@@ -63,6 +67,7 @@ def stream_strategy(bars: DataFrame, strategy: BarStrategy, starting_cash: float
             last_ts, cash, pos, ind = None, cash0, 0, strategy.init_state()
         pdf = pdf.sort_values("ts", kind="stable").reset_index(drop=True)
         micros = _micros(pdf["ts"]).tolist()
+        warm = pdf[warmup_col].fillna(False).tolist() if warmup_col else [False] * len(pdf)
         rows = []
         for i, (t, close) in enumerate(zip(micros, pdf["close"].tolist())):
             if last_ts is not None and t <= last_ts:
@@ -70,6 +75,9 @@ def stream_strategy(bars: DataFrame, strategy: BarStrategy, starting_cash: float
                              "equity": None, "late": True, "_i": i})
                 continue
             ind, vals = strategy.next(ind, float(close))
+            if warm[i]:
+                last_ts = t
+                continue
             sig = int(vals["sig"])
             if sig != 0:
                 cash, pos, _, _ = ledger_step(cash, pos, sig, float(close), halt)
@@ -80,12 +88,15 @@ def stream_strategy(bars: DataFrame, strategy: BarStrategy, starting_cash: float
             state.update((int(last_ts), float(cash), int(pos),
                           [float(v) if not (isinstance(v, float) and math.isnan(v)) else float("nan")
                            for v in ind]))
+        if not rows:
+            return
         out = pd.DataFrame(rows)
         base = pdf.loc[out["_i"], ["symbol", "ts", "close"]].reset_index(drop=True)
         out = pd.concat([base, out.drop(columns="_i").reset_index(drop=True)], axis=1)
         out["sig"] = out["sig"].astype("int32")
         yield out[[f.name for f in out_schema.fields]]
 
-    return (bars.select("symbol", "ts", "close").groupBy("symbol")
+    cols_in = ["symbol", "ts", "close"] + ([warmup_col] if warmup_col else [])
+    return (bars.select(*cols_in).groupBy("symbol")
             .applyInPandasWithState(step, out_schema, STATE_SCHEMA, "append",
                                     GroupStateTimeout.NoTimeout))

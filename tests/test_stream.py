@@ -115,3 +115,27 @@ def test_available_now_runs_resume_from_checkpoint(spark):
     out = history(spark, hist, run.run_id)
     assert out.filter("late").count() == 0
     _compare(out.collect(), ema_crossover(bars, 1000.0, 5, 30).equity.collect(), ["fast", "slow", "sig", "equity"])
+
+
+def test_stream_warmup_equals_backtest_range(spark):
+    from barflow.plans.strategies import backtest_range, with_warmup
+
+    bars = ohlcv_bars(lineitem_ticks(spark, SF001)).select(*BAR_COLUMNS)
+    start, end = "1997-01-01", "1997-12-31"
+    window = with_warmup(bars, start, end, 30).select(*BAR_COLUMNS)
+    run = Run(spark)
+    rep = stage_replay(window, f"{run.folder}/replay", 3)
+    hist = f"{run.folder}/history"
+    rep.feed(0)
+    good, _ = parsed_bars(bar_stream(spark, rep.source))
+    flagged = good.withColumn("warm", F.col("ts") < F.lit(start).cast("timestamp_ntz"))
+    q = run.start(stream_strategy(flagged, SmaCross(5, 30), 1000.0, warmup_col="warm"),
+                  foreach_batch=accumulate(hist, run.run_id))
+    q.processAllAvailable()
+    for k in (1, 2):
+        rep.feed(k)
+        q.processAllAvailable()
+    run.stop()
+    out = history(spark, hist, run.run_id)
+    batch = backtest_range(bars, None, start, end, "sma", 1000.0, short_period=5, long_period=30)
+    _compare(out.collect(), batch.equity.collect(), ["fast", "slow", "sig", "cash", "pos", "equity"])
