@@ -25,6 +25,8 @@ from barflow.plans.sweep import sweep_sma
 from barflow.schema import BAR_COLUMNS, INDICATOR_DIGITS, MONEY_DIGITS
 from barflow.session import default_parallelism
 from barflow.sources.codec import decode_bars, encode_bars, normalise_ts, split_quarantine
+from barflow.session import scratch_path
+from barflow.sources.bar_table import read_bar_table, write_bar_table
 from barflow.sources.scan import scan_bars_from_ticks
 from barflow.sources.ticks import event_ticks, lineitem_ticks, order_ticks
 from barflow.streaming.control import Run
@@ -41,6 +43,7 @@ SHORT, LONG = 5, 30
 RSI_N = 5
 SWEEP_PAIRS = [(5, 30), (10, 50), (3, 20), (20, 60)]
 SCAN = ("A", "1996-01-01", "1996-12-31")
+TABLE_SCAN = (["A", "R"], "1996-03-01", "1997-06-30")
 WARMUP = ("1997-01-01", "1998-12-31")
 REPLAY_SLICES = 4
 
@@ -97,6 +100,15 @@ def q_scan_range(spark, sf):
     return _bars_out(scan_bars_from_ticks(lineitem_ticks(spark, sf), *SCAN, every="1 day"))
 
 
+def q_bar_table(spark, sf):
+    """Bars stored partitioned by symbol/year, read back for two symbols and a
+    date range (partition pruning + ts pushdown)."""
+    import uuid
+    path = scratch_path(spark, "bar_tables", uuid.uuid4().hex)
+    write_bar_table(bars_L(spark, sf), path)
+    return read_bar_table(spark, path, *TABLE_SCAN)
+
+
 def q_json_roundtrip(spark, sf):
     wire = encode_bars(bars_L(spark, sf))
     good, _bad = split_quarantine(normalise_ts(decode_bars(wire)))
@@ -336,6 +348,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bars_hourly": q_bars_hourly,
     "bars_orders": q_bars_orders,
     "scan_range": q_scan_range,
+    "bar_table": q_bar_table,
     "json_roundtrip": q_json_roundtrip,
     "dedupe": q_dedupe,
     "sma": q_sma,

@@ -277,6 +277,9 @@ def oracle_sql() -> dict[str, str]:
         "scan_range": f"""SELECT * FROM ({_bars_q('L')}) x WHERE symbol = '{sym}'
             AND ts >= CAST('{lo}' AS TIMESTAMP) AND ts < CAST('{hi}' AS TIMESTAMP) + INTERVAL 1 DAY
             ORDER BY ts LIMIT {50000}""",
+        "bar_table": f"""SELECT * FROM ({_bars_q('L')}) x WHERE symbol IN ({', '.join(repr(v) for v in C.TABLE_SCAN[0])})
+            AND ts >= CAST('{C.TABLE_SCAN[1]}' AS TIMESTAMP)
+            AND ts < CAST('{C.TABLE_SCAN[2]}' AS TIMESTAMP) + INTERVAL 1 DAY""",
         "json_roundtrip": f"SELECT symbol, ts, open, high, low, close, volume FROM ({bars_sql('L')}) x",
         "dedupe": f"SELECT DISTINCT symbol, ts, open, high, low, close, volume FROM ({bars_sql('L')}) x",
         "sma": f"""WITH {series_ctes('L')} SELECT symbol, ts, close, {r6(sma_expr(C.SHORT))} AS fast,

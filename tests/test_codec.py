@@ -89,3 +89,17 @@ def test_nan_and_infinite_prices_are_quarantined(spark):
          ('{"symbol":"S","timestamp":1685592180000,"close":2.5}',)], "value string")
     good, bad = split_quarantine(normalise_ts(decode_bars(raw)))
     assert [r["close"] for r in good.collect()] == [2.5] and bad.count() == 3
+
+
+def test_bar_table_prunes_partitions(spark, tmp_path):
+    from barflow.sources.bar_table import read_bar_table, write_bar_table
+    bars = ohlcv_bars(lineitem_ticks(spark, SF001))
+    path = str(tmp_path / "bars")
+    write_bar_table(bars, path)
+    got = read_bar_table(spark, path, ["A"], "1996-02-01", "1996-02-29")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(symbol" in plan and "year" in plan.split("PartitionFilters: ")[1]
+    want = bars.filter("symbol = 'A' and ts >= '1996-02-01' and ts < '1996-03-01'").select(*got.columns)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    write_bar_table(bars.filter("symbol = 'A'"), path)  # dynamic overwrite keeps other symbols
+    assert read_bar_table(spark, path, ["N"]).count() == bars.filter("symbol = 'N'").count()
