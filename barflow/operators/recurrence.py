@@ -8,12 +8,13 @@ grouped pandas function (``ewm(adjust=False)``, a compiled loop). Groups are
 
 Inside chunk c > 0 the recurrence starts H rows early from the observed value
 there. Whatever that start differs from the true value by is scaled by
-(1-a)^H <= 2^-64 at the chunk's first home row, far below double rounding of
-bounded inputs, so the chunked result equals a single pass to the last bits.
-Chunk 0 starts at the series' first row exactly like a single pass.
+(1-a)^H <= 2^-64 at the chunk's first home row, below the rounding of a double
+for inputs of bounded range, so the chunked result matches a single pass to
+within rounding (tests check 1e-12 relative). Chunk 0 starts at the series'
+first row exactly like a single pass.
 
-``affine_scan`` is the exact alternative (three passes: per-chunk composition,
-a scan over the per-chunk summaries, re-application); ``ewm_scan_columns``
+``affine_scan`` is the exact alternative, up to floating-point rounding (three
+passes: per-chunk composition, a scan over the per-chunk summaries, re-application); ``ewm_scan_columns``
 builds EMA/Wilder on it (``method="scan"`` in the indicator functions).
 """
 
@@ -85,8 +86,8 @@ def affine_scan(df: DataFrame, series: Sequence[tuple[str, str, str]],
     """y_t = a_t·y_{t-1} + b_t per key along ``seq`` (y_{-1} = 0), for each
     ``(a column, b column, output column)`` in ``series``.
 
-    Affine maps compose, so the scan is exact in three passes, none of which
-    holds more than a chunk:
+    Affine maps compose, so the scan is exact (up to floating-point rounding) in
+    three passes, none of which holds more than a chunk:
       1. per (key, chunk): compose the chunk's maps into one (A, B);
       2. per key, over the one-row-per-chunk summaries: the value entering each
          chunk (this table has rows/chunk_rows rows per key);

@@ -37,9 +37,10 @@ def with_seq(df: DataFrame, keys: Sequence[str] | str = ("symbol",), order: str
              seq: str = "seq", segment_seconds: int = DEFAULT_SEGMENT_SECONDS) -> DataFrame:
     """Add a dense 0-based index per key in ``order`` (unique per key) order.
 
-    The largest sort is one (key, segment): the bars of ``segment_seconds``
-    (32 days by default; use less for sub-minute bars). The count table has one
-    row per (key, segment) and is the only input of the prefix sum.
+    Rows are spread over tasks by (key, segment) and no window group is larger
+    than one segment: the bars of ``segment_seconds`` (32 days by default; use
+    less for sub-minute bars). The count table has one row per (key, segment)
+    and is the only input of the prefix sum.
     """
     ks = _keys(keys)
     micros = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{order}`)")
