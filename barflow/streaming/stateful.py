@@ -3,8 +3,9 @@
 ``groupBy(symbol).applyInPandasWithState``: each micro-batch hands a symbol's
 new bars to a function that sorts them, applies the Y5 strategy step and the
 ledger step bar by bar, emits one row per bar and stores the small state
-(indicator state, cash, position, last ts) in the state store. Work per bar is
-O(1); nothing is recomputed from history. Bars at or before the last seen ts
+(indicator state, cash, position, last ts) in the state store. State and work
+per bar are bounded by the lookback (the SMA keeps its last ``long`` closes),
+not by the length of the history; nothing is recomputed from history. Bars at or before the last seen ts
 are emitted with ``late = true`` and leave the state untouched.
 """
 
