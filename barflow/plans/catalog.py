@@ -21,7 +21,7 @@ from barflow.plans.custom import backtest_bar_strategy
 from barflow.plans.strategies import (
     Backtest, backtest_range, ema_crossover, rsi_strategy, series, sma_crossover, trim_warmup, with_warmup,
 )
-from barflow.plans.sweep import sweep_sma
+from barflow.plans.sweep import sweep_ema, sweep_sma
 from barflow.schema import BAR_COLUMNS, INDICATOR_DIGITS, MONEY_DIGITS
 from barflow.session import default_parallelism
 from barflow.sources.codec import decode_bars, encode_bars, normalise_ts, split_quarantine
@@ -235,6 +235,13 @@ def q_sweep_sma(spark, sf):
                     r2("final_value").alias("final_value"))
 
 
+def q_sweep_ema(spark, sf):
+    bt = sweep_ema(bars_L(spark, sf), SWEEP_PAIRS, CASH)
+    f = bt.final
+    return f.select("symbol", "fast_period", "slow_period", "n_signals", "n_opened",
+                    r2("final_value").alias("final_value"))
+
+
 def q_chart_frame(spark, sf):
     c = report.chart_frame(bt_sma(spark, sf))
     return c.select("symbol", "ts", "open", "high", "low", "close", r6("fast").alias("fast"),
@@ -372,6 +379,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "warmup_sma": q_warmup_sma,
     "range_backtest": q_range_backtest,
     "sweep_sma": q_sweep_sma,
+    "sweep_ema": q_sweep_ema,
     "chart_frame": q_chart_frame,
     "summary": q_summary,
     "bars_stream_hourly": q_bars_stream_hourly,

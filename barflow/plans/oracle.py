@@ -243,6 +243,31 @@ def _sweep_q() -> str:
     FROM fin JOIN periods USING (param_id)"""
 
 
+def _sweep_ema_q() -> str:
+    spans = sorted({p for pair in C.SWEEP_PAIRS for p in pair})
+    cols = ", ".join(f"e{p}" for p in spans)
+    steps = ", ".join(ewm_step(f"e.e{p}", "b.close", 2.0 / (p + 1)) for p in spans)
+    parts = []
+    for i, (s, l_) in enumerate(C.SWEEP_PAIRS):
+        parts.append(f"""f{i} AS (SELECT symbol, seq, ts, close, {i} AS param_id, {s} AS fast_period,
+                   {l_} AS slow_period, e{s} AS fast, e{l_} AS slow,
+                   {cross_expr(f'lag(e{s}) OVER w', f'lag(e{l_}) OVER w', f'e{s}', f'e{l_}')} AS sig
+              FROM ind WINDOW w AS (PARTITION BY symbol ORDER BY seq))""")
+    union = " UNION ALL ".join(f"SELECT * FROM f{i}" for i in range(len(C.SWEEP_PAIRS)))
+    keys = ("symbol", "param_id")
+    return f"""WITH RECURSIVE {series_ctes('L')},
+    ema(symbol, seq, {cols}) AS (
+        SELECT symbol, seq, {', '.join('close' for _ in spans)} FROM b WHERE seq = 0
+        UNION ALL
+        SELECT b.symbol, b.seq, {steps} FROM ema e JOIN b ON b.symbol = e.symbol AND b.seq = e.seq + 1),
+    ind AS (SELECT b.*, {', '.join('e.e' + str(p) for p in spans)} FROM b JOIN ema e USING (symbol, seq)),
+    {', '.join(parts)},
+    frame AS ({union}), {fold_ctes(C.CASH, False, keys)}, {final_select(C.CASH, keys)},
+    periods AS (SELECT DISTINCT param_id, fast_period, slow_period FROM frame)
+    SELECT symbol, fast_period, slow_period, n_signals, n_opened, {r2('final_value')} AS final_value
+    FROM fin JOIN periods USING (param_id)"""
+
+
 def _warmup_ctes(symbol: str | None = None) -> str:
     start, end = C.WARMUP
     end_ts = f"(CAST('{end}' AS TIMESTAMP) + INTERVAL 1 DAY - INTERVAL 1 MICROSECOND)"
@@ -311,6 +336,7 @@ def oracle_sql() -> dict[str, str]:
         "warmup_sma": _warmup_q(),
         "range_backtest": _range_backtest_q(),
         "sweep_sma": _sweep_q(),
+        "sweep_ema": _sweep_ema_q(),
         "chart_frame": f"""WITH RECURSIVE {_strategy_ctes('sma')[0]}, {equity_ctes(C.CASH)}
             SELECT symbol, ts, open, high, low, close, {r6('fast')} AS fast, {r6('slow')} AS slow, sig,
                    {r2('cash + pos * close')} AS equity FROM eq""",

@@ -1,8 +1,9 @@
 """Y2: many (fast, slow) parameter pairs in one plan.
 
-Window frames must be literals, so each *distinct* period gets one column, all
-in one window node (one sort per chunk). The pairs are then exploded into
-rows and every (symbol, pair) runs its own ledger, in parallel.
+Each *distinct* period gets one indicator column, computed once: for the SMA
+all in one window node (frames must be literals; one sort per chunk), for the
+EMA all in one recurrence pass. The pairs are then exploded into rows and every
+(symbol, pair) runs its own ledger, in parallel.
 """
 
 from __future__ import annotations
@@ -22,20 +23,37 @@ from barflow.schema import DEFAULT_CASH
 def sweep_sma(bars: DataFrame, pairs: Sequence[tuple[int, int]], starting_cash: float = DEFAULT_CASH,
               insolvency: str = "reference", keys: Sequence[str] | str = ("symbol",),
               chunk_rows: int = DEFAULT_CHUNK_ROWS) -> Backtest:
+    """Y2 for the SMA crossover."""
     ks = _keys(keys)
     if not pairs:
         raise ValueError("at least one (fast, slow) pair is required")
     periods = sorted({int(p) for pair in pairs for p in pair})
     f = ind.rolling_means(_prepare(bars, ks), {f"sma_{p}": p for p in periods}, keys=ks,
                           chunk_rows=chunk_rows)
+    return _explode_pairs(f, pairs, "sma", ks, starting_cash, insolvency, chunk_rows)
+
+
+def sweep_ema(bars: DataFrame, pairs: Sequence[tuple[int, int]], starting_cash: float = DEFAULT_CASH,
+              insolvency: str = "reference", keys: Sequence[str] | str = ("symbol",),
+              chunk_rows: int = DEFAULT_CHUNK_ROWS) -> Backtest:
+    """Y2 for the EMA crossover: every distinct span in one recurrence pass."""
+    ks = _keys(keys)
+    if not pairs:
+        raise ValueError("at least one (fast, slow) pair is required")
+    spans = sorted({int(p) for pair in pairs for p in pair})
+    f = ind.ema(_prepare(bars, ks), {f"ema_{p}": p for p in spans}, keys=ks, chunk_rows=chunk_rows)
+    return _explode_pairs(f, pairs, "ema", ks, starting_cash, insolvency, chunk_rows)
+
+
+def _explode_pairs(f: DataFrame, pairs, prefix: str, ks, starting_cash, insolvency, chunk_rows) -> Backtest:
     grid = F.array(*[
         F.struct(F.lit(i).alias("param_id"), F.lit(int(s)).alias("fast_period"),
                  F.lit(int(l_)).alias("slow_period"),
-                 F.col(f"sma_{s}").alias("fast"), F.col(f"sma_{l_}").alias("slow"),
-                 F.col(f"prev_sma_{s}").alias("prev_fast"), F.col(f"prev_sma_{l_}").alias("prev_slow"))
+                 F.col(f"{prefix}_{s}").alias("fast"), F.col(f"{prefix}_{l_}").alias("slow"),
+                 F.col(f"prev_{prefix}_{s}").alias("prev_fast"), F.col(f"prev_{prefix}_{l_}").alias("prev_slow"))
         for i, (s, l_) in enumerate(pairs)])
-    base = [c for c in f.columns if not c.startswith("sma_") and not c.startswith("prev_sma_")]
+    base = [c for c in f.columns if not c.startswith(f"{prefix}_") and not c.startswith(f"prev_{prefix}_")]
     exploded = f.select(*base, F.explode(grid).alias("_p")).select(*base, "_p.*")
     framed = with_cross_signal(exploded, "fast", "slow")
-    return Backtest("sma", framed, float(starting_cash), [*ks, "param_id", "fast_period", "slow_period"],
+    return Backtest(prefix, framed, float(starting_cash), [*ks, "param_id", "fast_period", "slow_period"],
                     insolvency, chunk_rows, ("fast", "slow"))
