@@ -77,6 +77,37 @@ def _ewm(method: str, alphas, chunk_rows: int):
     raise ValueError("method must be 'auto', 'halo' or 'scan'")
 
 
+def rsi_many(df: DataFrame, periods: Sequence[int], keys: Sequence[str] | str = ("symbol",),
+             seq: str = "seq", chunk_rows: int = DEFAULT_CHUNK_ROWS, method: str = "auto") -> DataFrame:
+    """RSI for several periods at once: ``rsi_<n>`` and ``prev_rsi_<n>``.
+
+    One window pass for the price change and every period's seed means, one
+    recurrence pass for every period's Wilder averages."""
+    ns = sorted({_check_period(n) for n in periods})
+    w = chunk_window(keys, seq)
+    ch = over_chunks(df, 1 + max(ns), chunk_rows, seq)
+    ch = ch.withColumn("price_change", price_change(F.lag("close", 1).over(w), F.col("close")))
+    ch = ch.withColumn("gain", gain("price_change")).withColumn("loss", loss("price_change"))
+    for n in ns:
+        f = w.rowsBetween(1 - n, 0)
+        for c in ("gain", "loss"):
+            mean = F.when(F.count(c).over(f) == n, F.avg(c).over(f))
+            ch = ch.withColumn(f"_w_{c}_{n}", F.when(F.col(seq) < n, F.lit(None).cast("double"))
+                               .when(F.col(seq) == n, mean).otherwise(F.col(c)))
+    seeded = home_rows(ch)
+    specs = {}
+    for n in ns:
+        specs[f"avg_gain_{n}"] = (f"_w_gain_{n}", 1.0 / n)
+        specs[f"avg_loss_{n}"] = (f"_w_loss_{n}", 1.0 / n)
+    run = _ewm(method, [1.0 / n for n in ns], chunk_rows)
+    out = run(seeded, specs, keys=keys, seq=seq, with_prev=True, chunk_rows=chunk_rows)
+    for n in ns:
+        out = (out.withColumn(f"rsi_{n}", rsi_from_averages(f"avg_gain_{n}", f"avg_loss_{n}"))
+                  .withColumn(f"prev_rsi_{n}", rsi_from_averages(f"prev_avg_gain_{n}", f"prev_avg_loss_{n}")))
+    drop = [c for c in out.columns if c.startswith(("_w_", "avg_", "prev_avg_"))]
+    return out.drop(*drop)
+
+
 def ema(df: DataFrame, spans: Mapping[str, int], src: str = "close", with_prev: bool = True,
         keys: Sequence[str] | str = ("symbol",), seq: str = "seq",
         chunk_rows: int = DEFAULT_CHUNK_ROWS, method: str = "auto") -> DataFrame:

@@ -21,7 +21,7 @@ from barflow.plans.custom import backtest_bar_strategy
 from barflow.plans.strategies import (
     Backtest, backtest_range, ema_crossover, rsi_strategy, series, sma_crossover, trim_warmup, with_warmup,
 )
-from barflow.plans.sweep import sweep_ema, sweep_sma
+from barflow.plans.sweep import sweep_ema, sweep_rsi, sweep_sma
 from barflow.schema import BAR_COLUMNS, INDICATOR_DIGITS, MONEY_DIGITS
 from barflow.session import default_parallelism
 from barflow.sources.codec import decode_bars, encode_bars, normalise_ts, split_quarantine
@@ -42,6 +42,7 @@ RSI_CASH = 100000.0      # orders trade above 1000 per unit; a larger account tr
 SHORT, LONG = 5, 30
 RSI_N = 5
 SWEEP_PAIRS = [(5, 30), (10, 50), (3, 20), (20, 60)]
+RSI_SWEEP = [3, 5, 7, 14]
 SCAN = ("A", "1996-01-01", "1996-12-31")
 TABLE_SCAN = (["A", "R"], "1996-03-01", "1997-06-30")
 WARMUP = ("1997-01-01", "1998-12-31")
@@ -242,6 +243,12 @@ def q_sweep_ema(spark, sf):
                     r2("final_value").alias("final_value"))
 
 
+def q_sweep_rsi(spark, sf):
+    bt = sweep_rsi(bars_O(spark, sf), RSI_SWEEP, RSI_CASH)
+    f = bt.final
+    return f.select("symbol", "rsi_period", "n_signals", "n_opened", r2("final_value").alias("final_value"))
+
+
 def q_chart_frame(spark, sf):
     c = report.chart_frame(bt_sma(spark, sf))
     return c.select("symbol", "ts", "open", "high", "low", "close", r6("fast").alias("fast"),
@@ -380,6 +387,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "range_backtest": q_range_backtest,
     "sweep_sma": q_sweep_sma,
     "sweep_ema": q_sweep_ema,
+    "sweep_rsi": q_sweep_rsi,
     "chart_frame": q_chart_frame,
     "summary": q_summary,
     "bars_stream_hourly": q_bars_stream_hourly,

@@ -108,27 +108,27 @@ def ema_frame_ctes(fast: int, slow: int) -> str:
               FROM ind WINDOW w AS (PARTITION BY symbol ORDER BY seq))"""
 
 
-def gains_ctes(n: int) -> str:
+def gains_ctes(n: int, sfx: str = "") -> str:
     zero = dbl(0.0)
-    return f"""pc AS (SELECT *, close - lag(close) OVER (PARTITION BY symbol ORDER BY seq) AS price_change FROM b),
-    gl AS (SELECT *, CASE WHEN price_change IS NULL THEN NULL ELSE greatest(price_change, {zero}) END AS gain,
+    return f"""pc{sfx} AS (SELECT *, close - lag(close) OVER (PARTITION BY symbol ORDER BY seq) AS price_change FROM b),
+    gl{sfx} AS (SELECT *, CASE WHEN price_change IS NULL THEN NULL ELSE greatest(price_change, {zero}) END AS gain,
                      CASE WHEN price_change IS NULL THEN NULL ELSE greatest(-price_change, {zero}) END AS loss
-           FROM pc),
-    rg AS (SELECT *, {sma_expr(n, 'gain')} AS rolling_gain, {sma_expr(n, 'loss')} AS rolling_loss FROM gl)"""
+           FROM pc{sfx}),
+    rg{sfx} AS (SELECT *, {sma_expr(n, 'gain')} AS rolling_gain, {sma_expr(n, 'loss')} AS rolling_loss FROM gl{sfx})"""
 
 
-def rsi_frame_ctes(n: int) -> str:
+def rsi_frame_ctes(n: int, sfx: str = "") -> str:
     a = 1.0 / n
-    return f"""{gains_ctes(n)},
-    wl(symbol, seq, avg_gain, avg_loss) AS (
-        SELECT symbol, seq, rolling_gain, rolling_loss FROM rg WHERE seq = {n}
+    return f"""{gains_ctes(n, sfx)},
+    wl{sfx}(symbol, seq, avg_gain, avg_loss) AS (
+        SELECT symbol, seq, rolling_gain, rolling_loss FROM rg{sfx} WHERE seq = {n}
         UNION ALL
         SELECT r.symbol, r.seq, {ewm_step('w.avg_gain', 'r.gain', a)}, {ewm_step('w.avg_loss', 'r.loss', a)}
-        FROM wl w JOIN rg r ON r.symbol = w.symbol AND r.seq = w.seq + 1),
-    ind AS (SELECT rg.*, wl.avg_gain, wl.avg_loss, {rsi_expr('wl.avg_gain', 'wl.avg_loss')} AS rsi
-            FROM rg LEFT JOIN wl USING (symbol, seq)),
-    frame AS (SELECT *, {threshold_expr('lag(rsi) OVER w', 'rsi')} AS sig
-              FROM ind WINDOW w AS (PARTITION BY symbol ORDER BY seq))"""
+        FROM wl{sfx} w JOIN rg{sfx} r ON r.symbol = w.symbol AND r.seq = w.seq + 1),
+    ind{sfx} AS (SELECT rg{sfx}.*, wl{sfx}.avg_gain, wl{sfx}.avg_loss, {rsi_expr('wl' + sfx + '.avg_gain', 'wl' + sfx + '.avg_loss')} AS rsi
+            FROM rg{sfx} LEFT JOIN wl{sfx} USING (symbol, seq)),
+    frame{sfx} AS (SELECT *, {threshold_expr('lag(rsi) OVER w', 'rsi')} AS sig
+              FROM ind{sfx} WINDOW w AS (PARTITION BY symbol ORDER BY seq))"""
 
 
 # ---------------------------------------------------------------- ledger
@@ -268,6 +268,19 @@ def _sweep_ema_q() -> str:
     FROM fin JOIN periods USING (param_id)"""
 
 
+def _sweep_rsi_q() -> str:
+    parts = [rsi_frame_ctes(n, f"_{n}") for n in C.RSI_SWEEP]
+    union = " UNION ALL ".join(
+        f"SELECT symbol, seq, ts, close, sig, {i} AS param_id, {n} AS rsi_period FROM frame_{n}"
+        for i, n in enumerate(C.RSI_SWEEP))
+    keys = ("symbol", "param_id")
+    return f"""WITH RECURSIVE {series_ctes('O')}, {', '.join(parts)},
+    frame AS ({union}), {fold_ctes(C.RSI_CASH, False, keys)}, {final_select(C.RSI_CASH, keys)},
+    periods AS (SELECT DISTINCT param_id, rsi_period FROM frame)
+    SELECT symbol, rsi_period, n_signals, n_opened, {r2('final_value')} AS final_value
+    FROM fin JOIN periods USING (param_id)"""
+
+
 def _warmup_ctes(symbol: str | None = None) -> str:
     start, end = C.WARMUP
     end_ts = f"(CAST('{end}' AS TIMESTAMP) + INTERVAL 1 DAY - INTERVAL 1 MICROSECOND)"
@@ -337,6 +350,7 @@ def oracle_sql() -> dict[str, str]:
         "range_backtest": _range_backtest_q(),
         "sweep_sma": _sweep_q(),
         "sweep_ema": _sweep_ema_q(),
+        "sweep_rsi": _sweep_rsi_q(),
         "chart_frame": f"""WITH RECURSIVE {_strategy_ctes('sma')[0]}, {equity_ctes(C.CASH)}
             SELECT symbol, ts, open, high, low, close, {r6('fast')} AS fast, {r6('slow')} AS slow, sig,
                    {r2('cash + pos * close')} AS equity FROM eq""",

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from barflow.operators import indicators as ind
 from barflow.operators.sequence import DEFAULT_CHUNK_ROWS, _keys
-from barflow.operators.signals import with_cross_signal
+from barflow.operators.signals import with_cross_signal, with_threshold_signal
 from barflow.plans.strategies import Backtest, _prepare
 from barflow.schema import DEFAULT_CASH
 
@@ -57,3 +57,23 @@ def _explode_pairs(f: DataFrame, pairs, prefix: str, ks, starting_cash, insolven
     framed = with_cross_signal(exploded, "fast", "slow")
     return Backtest(prefix, framed, float(starting_cash), [*ks, "param_id", "fast_period", "slow_period"],
                     insolvency, chunk_rows, ("fast", "slow"))
+
+
+def sweep_rsi(bars: DataFrame, periods: Sequence[int], starting_cash: float = DEFAULT_CASH,
+              insolvency: str = "reference", keys: Sequence[str] | str = ("symbol",),
+              chunk_rows: int = DEFAULT_CHUNK_ROWS) -> Backtest:
+    """Y2 for the RSI strategy: every period's RSI in one window and one
+    recurrence pass, then one ledger per (symbol, period)."""
+    ks = _keys(keys)
+    if not periods:
+        raise ValueError("at least one period is required")
+    f = ind.rsi_many(_prepare(bars, ks), periods, keys=ks, chunk_rows=chunk_rows)
+    grid = F.array(*[
+        F.struct(F.lit(i).alias("param_id"), F.lit(int(n)).alias("rsi_period"),
+                 F.col(f"rsi_{n}").alias("rsi"), F.col(f"prev_rsi_{n}").alias("prev_rsi"))
+        for i, n in enumerate(periods)])
+    base = [c for c in f.columns if not c.startswith(("rsi_", "prev_rsi_"))]
+    exploded = f.select(*base, F.explode(grid).alias("_p")).select(*base, "_p.*")
+    framed = with_threshold_signal(exploded, "rsi")
+    return Backtest("rsi", framed, float(starting_cash), [*ks, "param_id", "rsi_period"],
+                    insolvency, chunk_rows, ("rsi",))

@@ -95,3 +95,13 @@ def test_halo_method_across_many_chunks(spark):
     h2 = _by_key(ind.rsi(obars, 2, method="halo", chunk_rows=60), ["rsi", "prev_rsi"])
     for k in h1:
         assert all(_close(a, b, 1e-12) for a, b in zip(h1[k], h2[k])), (k, h1[k], h2[k])
+
+
+def test_rsi_many_equals_single_period(spark):
+    from barflow.operators import indicators as ind
+    obars = with_seq(ohlcv_bars(order_ticks(spark, SF001)))
+    many = _by_key(ind.rsi_many(obars, [3, 5]), ["rsi_3", "prev_rsi_3", "rsi_5", "prev_rsi_5"])
+    r3 = _by_key(ind.rsi(obars, 3), ["rsi", "prev_rsi"])
+    r5 = _by_key(ind.rsi(obars, 5), ["rsi", "prev_rsi"])
+    for k in many:
+        assert all(_close(a, b, 1e-12) for a, b in zip(many[k], r3[k] + r5[k])), (k, many[k], r3[k], r5[k])
