@@ -139,3 +139,20 @@ def test_stream_warmup_equals_backtest_range(spark):
     out = history(spark, hist, run.run_id)
     batch = backtest_range(bars, None, start, end, "sma", 1000.0, short_period=5, long_period=30)
     _compare(out.collect(), batch.equity.collect(), ["fast", "slow", "sig", "cash", "pos", "equity"])
+
+
+def test_publish_bar_stream_roundtrip(spark):
+    from barflow.streaming.publish import publish_bar_stream
+
+    bars = ohlcv_bars(lineitem_ticks(spark, SF001)).select(*BAR_COLUMNS)
+    run = Run(spark)
+    rep = stage_replay(bars, f"{run.folder}/replay", 2)
+    rep.feed(0)
+    rep.feed(1)
+    good, _ = parsed_bars(bar_stream(spark, rep.source))
+    out = f"{run.folder}/published"
+    q = publish_bar_stream(good, f"{run.folder}/pub-ckpt", out)
+    q.processAllAvailable()
+    q.stop()
+    back, _ = parsed_bars(spark.read.text(out))
+    assert back.exceptAll(bars).count() == 0 and bars.exceptAll(back).count() == 0
