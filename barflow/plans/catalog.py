@@ -21,7 +21,7 @@ from barflow.plans.custom import backtest_bar_strategy
 from barflow.plans.strategies import (
     Backtest, backtest_range, ema_crossover, rsi_strategy, series, sma_crossover, trim_warmup, with_warmup,
 )
-from barflow.plans.sweep import sweep_ema, sweep_rsi, sweep_sma
+from barflow.plans.sweep import sweep_all, sweep_ema, sweep_rsi, sweep_sma
 from barflow.schema import BAR_COLUMNS, INDICATOR_DIGITS, MONEY_DIGITS
 from barflow.session import default_parallelism
 from barflow.sources.codec import decode_bars, encode_bars, normalise_ts, split_quarantine
@@ -249,6 +249,14 @@ def q_sweep_rsi(spark, sf):
     return f.select("symbol", "rsi_period", "n_signals", "n_opened", r2("final_value").alias("final_value"))
 
 
+def q_sweep_all(spark, sf):
+    """All three grids of the sweep queries in one plan and one ledger job (on L bars)."""
+    bt = sweep_all(bars_L(spark, sf), SWEEP_PAIRS, SWEEP_PAIRS, RSI_SWEEP, CASH)
+    f = bt.final
+    return f.select("symbol", "strategy", "param_a", "param_b", "n_signals", "n_opened",
+                    r2("final_value").alias("final_value"))
+
+
 def q_chart_frame(spark, sf):
     c = report.chart_frame(bt_sma(spark, sf))
     return c.select("symbol", "ts", "open", "high", "low", "close", r6("fast").alias("fast"),
@@ -388,6 +396,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sweep_sma": q_sweep_sma,
     "sweep_ema": q_sweep_ema,
     "sweep_rsi": q_sweep_rsi,
+    "sweep_all": q_sweep_all,
     "chart_frame": q_chart_frame,
     "summary": q_summary,
     "bars_stream_hourly": q_bars_stream_hourly,

@@ -268,14 +268,15 @@ def _sweep_ema_q() -> str:
     FROM fin JOIN periods USING (param_id)"""
 
 
-def _sweep_rsi_q() -> str:
+def _sweep_rsi_q(frame: str = "O", cash: float | None = None) -> str:
+    cash = C.RSI_CASH if cash is None else cash
     parts = [rsi_frame_ctes(n, f"_{n}") for n in C.RSI_SWEEP]
     union = " UNION ALL ".join(
         f"SELECT symbol, seq, ts, close, sig, {i} AS param_id, {n} AS rsi_period FROM frame_{n}"
         for i, n in enumerate(C.RSI_SWEEP))
     keys = ("symbol", "param_id")
-    return f"""WITH RECURSIVE {series_ctes('O')}, {', '.join(parts)},
-    frame AS ({union}), {fold_ctes(C.RSI_CASH, False, keys)}, {final_select(C.RSI_CASH, keys)},
+    return f"""WITH RECURSIVE {series_ctes(frame)}, {', '.join(parts)},
+    frame AS ({union}), {fold_ctes(cash, False, keys)}, {final_select(cash, keys)},
     periods AS (SELECT DISTINCT param_id, rsi_period FROM frame)
     SELECT symbol, rsi_period, n_signals, n_opened, {r2('final_value')} AS final_value
     FROM fin JOIN periods USING (param_id)"""
@@ -351,6 +352,12 @@ def oracle_sql() -> dict[str, str]:
         "sweep_sma": _sweep_q(),
         "sweep_ema": _sweep_ema_q(),
         "sweep_rsi": _sweep_rsi_q(),
+        "sweep_all": f"""SELECT symbol, 'sma' AS strategy, fast_period AS param_a, slow_period AS param_b,
+                   n_signals, n_opened, final_value FROM ({_sweep_q()}) s1
+            UNION ALL SELECT symbol, 'ema', fast_period, slow_period, n_signals, n_opened, final_value
+                   FROM ({_sweep_ema_q()}) s2
+            UNION ALL SELECT symbol, 'rsi', rsi_period, 0, n_signals, n_opened, final_value
+                   FROM ({_sweep_rsi_q('L', C.CASH)}) s3""",
         "chart_frame": f"""WITH RECURSIVE {_strategy_ctes('sma')[0]}, {equity_ctes(C.CASH)}
             SELECT symbol, ts, open, high, low, close, {r6('fast')} AS fast, {r6('slow')} AS slow, sig,
                    {r2('cash + pos * close')} AS equity FROM eq""",

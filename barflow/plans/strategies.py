@@ -24,7 +24,7 @@ from barflow.session import materialize
 @dataclass
 class Backtest:
     """A strategy run. ``frame`` is the per-bar plan (bar columns, seq,
-    indicators, sig). The ledger, final values and equity read a stored copy
+    indicators, sig); ``keys`` identify one series (never NULL: they are join keys). The ledger, final values and equity read a stored copy
     of it, made on first use, and ``trades`` is stored on first use too: they
     feed several branches, which would otherwise each re-run the plan."""
 

@@ -77,3 +77,31 @@ def sweep_rsi(bars: DataFrame, periods: Sequence[int], starting_cash: float = DE
     framed = with_threshold_signal(exploded, "rsi")
     return Backtest("rsi", framed, float(starting_cash), [*ks, "param_id", "rsi_period"],
                     insolvency, chunk_rows, ("rsi",))
+
+
+def sweep_all(bars: DataFrame, sma_pairs: Sequence[tuple[int, int]] = (), ema_pairs: Sequence[tuple[int, int]] = (),
+              rsi_periods: Sequence[int] = (), starting_cash: float = DEFAULT_CASH, insolvency: str = "reference",
+              keys: Sequence[str] | str = ("symbol",), chunk_rows: int = DEFAULT_CHUNK_ROWS) -> Backtest:
+    """Y2 across strategies: the SMA, EMA and RSI grids in one frame and one
+    ledger job keyed by (symbol, strategy, param_id). Each strategy's row
+    carries ``param_a``/``param_b``: fast/slow periods, or the RSI period and 0
+    (key columns are join keys downstream and must not be NULL)."""
+    ks = _keys(keys)
+    bars = _prepare(bars, ks)
+    parts = []
+    for name, grid, make in (("sma", sma_pairs, sweep_sma), ("ema", ema_pairs, sweep_ema)):
+        if grid:
+            f = make(bars, grid, starting_cash, insolvency, ks, chunk_rows).frame
+            parts.append(f.select(*ks, "seq", "ts", "close", "sig", F.lit(name).alias("strategy"), "param_id",
+                                  F.col("fast_period").alias("param_a"), F.col("slow_period").alias("param_b")))
+    if rsi_periods:
+        f = sweep_rsi(bars, rsi_periods, starting_cash, insolvency, ks, chunk_rows).frame
+        parts.append(f.select(*ks, "seq", "ts", "close", "sig", F.lit("rsi").alias("strategy"), "param_id",
+                              F.col("rsi_period").alias("param_a"), F.lit(0).alias("param_b")))
+    if not parts:
+        raise ValueError("at least one grid is required")
+    framed = parts[0]
+    for p in parts[1:]:
+        framed = framed.unionByName(p)
+    return Backtest("all", framed, float(starting_cash), [*ks, "strategy", "param_id", "param_a", "param_b"],
+                    insolvency, chunk_rows, ())

@@ -68,3 +68,19 @@ def test_backtest_range_warmup_matches_full_history(spark):
     trades = bt.trades.collect()
     assert trades and all(start <= t["ts"] <= end for t in trades)
     assert bt.final.collect()[0]["symbol"] == "A"
+
+
+def test_sweep_all_equals_individual_sweeps(spark):
+    from barflow.plans.sweep import sweep_all, sweep_ema, sweep_rsi, sweep_sma
+    bars = make_bars(spark, _walk(100, 8), "A").unionByName(make_bars(spark, _walk(100, 13), "B"))
+    pairs, periods = [(3, 8), (5, 12)], [3, 6]
+    allf = {(r["symbol"], r["strategy"], r["param_a"], r["param_b"]): r["final_value"]
+            for r in sweep_all(bars, pairs, pairs, periods, 500.0).final.collect()}
+    want = {}
+    for name, bt in (("sma", sweep_sma(bars, pairs, 500.0)), ("ema", sweep_ema(bars, pairs, 500.0))):
+        for r in bt.final.collect():
+            want[(r["symbol"], name, r["fast_period"], r["slow_period"])] = r["final_value"]
+    for r in sweep_rsi(bars, periods, 500.0).final.collect():
+        want[(r["symbol"], "rsi", r["rsi_period"], 0)] = r["final_value"]
+    assert allf.keys() == want.keys()
+    assert all(abs(allf[k] - want[k]) < 1e-9 for k in want)
