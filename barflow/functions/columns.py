@@ -29,11 +29,6 @@ def round_half_up(x, digits: int) -> Column:
     return (F.floor(_c(x) * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale))
 
 
-def trunc_shares(cash, price) -> Column:
-    """int(cash / price): whole shares, truncated toward zero (negative when insolvent)."""
-    return (_c(cash) / _c(price)).cast("long")
-
-
 def price_change(prev_close, close) -> Column:
     """x_t - x_{t-1}; NULL on the first bar."""
     return _c(close) - _c(prev_close)

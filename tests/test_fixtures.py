@@ -130,3 +130,9 @@ def test_run_strategy_dispatch_and_validation(spark):
         run_strategy("macd", bars)
     with pytest.raises(ValueError):
         run_strategy("sma", bars, short_period=0, long_period=4)
+
+
+def test_sma_operator_alone(spark):
+    out = ind.sma(with_seq(make_bars(spark, [float(c) for c in CLOSES])), 4, out="s4")
+    approx_list([r[0] for r in rows_by_ts(out, ["s4"])],
+                [None, None, None, 11.0, 10.75, 10.0, 9.25, 9.25, 10.25, 11.25, 11.5, 11.0])

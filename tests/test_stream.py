@@ -51,8 +51,10 @@ def _compare(stream_rows, batch_rows, cols):
 
 
 def test_stream_ema_equals_batch_with_restart_and_duplicates(spark):
+    from barflow.streaming.protocol import make_strategy
     bars = ohlcv_bars(lineitem_ticks(spark, SF001)).select(*BAR_COLUMNS)
-    out = _run_stream(spark, bars, EmaCross(5, 30), 1000.0, duplicate_slice=2)
+    out = _run_stream(spark, bars, make_strategy("ema", short_period=5, long_period=30), 1000.0,
+                      duplicate_slice=2)
     late = out.filter("late").count()
     assert late > 0  # the repeated slice is flagged, not applied
     batch = ema_crossover(bars, 1000.0, 5, 30).equity
@@ -156,3 +158,17 @@ def test_publish_bar_stream_roundtrip(spark):
     q.stop()
     back, _ = parsed_bars(spark.read.text(out))
     assert back.exceptAll(bars).count() == 0 and bars.exceptAll(back).count() == 0
+
+
+def test_new_run_stops_previous_and_starts_clean(spark):
+    from barflow.streaming.control import new_run
+    bars = ohlcv_bars(lineitem_ticks(spark, SF001)).select(*BAR_COLUMNS)
+    first = Run(spark)
+    rep = stage_replay(bars, f"{first.folder}/replay", 1)
+    rep.feed(0)
+    good, _ = parsed_bars(bar_stream(spark, rep.source))
+    q = first.start(good, foreach_batch=accumulate(f"{first.folder}/history", first.run_id), interval_ms=200)
+    q.processAllAvailable()
+    second = new_run(spark, first)
+    assert not q.isActive and first.query is None
+    assert second.run_id != first.run_id and second.folder != first.folder
