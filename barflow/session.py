@@ -9,13 +9,14 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
-                  app: str = "barflow", driver_memory: str = "8g") -> SparkSession:
+                  app: str = "barflow", driver_memory: str | None = None) -> SparkSession:
     """Session for tests, the bench and local runs.
 
     On a cluster the session comes from the launcher; this helper only fills in
     what a local run needs. The UI stays off (no server is opened).
     """
     master = master or os.environ.get("BARFLOW_MASTER", "local[8]")
+    driver_memory = driver_memory or os.environ.get("BARFLOW_DRIVER_MEMORY", "4g")
     spark = (
         SparkSession.builder.master(master).appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
