@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barflow.operators.sequence import DEFAULT_CHUNK_ROWS, _keys, ffill_last
+from barflow.operators.sequence import DEFAULT_CHUNK_ROWS, _keys, ffill_last, join_on
 
 INSOLVENCY_MODES = ("reference", "halt")
 
@@ -112,7 +112,7 @@ def final_values(frame: DataFrame, trades: DataFrame, starting_cash: float,
         F.max_by("pos", seq).alias("_pos"),
         F.count(F.when(F.col("opened") != 0, True)).alias("n_opened"),
     )
-    j = last_bar.join(last_state, ks, "left")
+    j = join_on(last_bar, last_state, ks, "left")
     cash = F.coalesce(F.col("_cash"), F.lit(float(starting_cash)))
     pos = F.coalesce(F.col("_pos"), F.lit(0).cast("long"))
     return j.select(
@@ -130,7 +130,7 @@ def equity_curve(frame: DataFrame, trades: DataFrame, starting_cash: float,
     equity = cash + pos · close."""
     ks = _keys(keys)
     st = trades.select(*ks, seq, "cash", "pos", F.lit(True).alias("_has"))
-    j = frame.join(st, [*ks, seq], "left").withColumn("_has", F.coalesce("_has", F.lit(False)))
+    j = join_on(frame, st, [*ks, seq], "left").withColumn("_has", F.coalesce("_has", F.lit(False)))
     filled = ffill_last(j, "_has", ["cash", "pos"], keys=ks, seq=seq, chunk_rows=chunk_rows)
     cash = F.coalesce(F.col("cash"), F.lit(float(starting_cash)))
     pos = F.coalesce(F.col("pos"), F.lit(0).cast("long"))

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barflow.operators.sequence import CHUNK, DEFAULT_CHUNK_ROWS, HOME, _keys, over_chunks
+from barflow.operators.sequence import CHUNK, DEFAULT_CHUNK_ROWS, HOME, _keys, join_on, over_chunks
 
 
 def halo_rows(alpha: float, bits: int = 64) -> int:
@@ -157,7 +157,7 @@ def affine_scan(df: DataFrame, series: Sequence[tuple[str, str, str]],
                 pdf[f"prev_{o}"] = prevs
         return pdf[out_names]
 
-    joined = chunked.join(carry, [*ks, CHUNK])
+    joined = join_on(chunked, carry, [*ks, CHUNK])
     return joined.groupBy(*ks, CHUNK).applyInPandas(apply, out_schema)
 
 
@@ -180,7 +180,7 @@ def ewm_scan_columns(df: DataFrame, specs: Mapping[str, tuple[str, float]],
         a_eff = 1.0 / (1.0 + (1.0 - alpha) / alpha)
         first = (d.filter(F.col(src).isNotNull()).groupBy(*ks)
                  .agg(F.min(seq).alias(f"_first{i}")))
-        d = d.join(first, ks, "left")
+        d = join_on(d, first, ks, "left")
         x, s, f = F.col(src), F.col(seq), F.col(f"_first{i}")
         d = (d.withColumn(f"_a{i}", F.when(x.isNull(), F.lit(1.0)).when(s == f, F.lit(0.0))
                           .otherwise(F.lit(1.0 - a_eff)))

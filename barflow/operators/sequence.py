@@ -33,6 +33,19 @@ def _keys(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
+def join_on(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on the columns ``on`` with NULL matching NULL (``<=>``), keeping
+    one copy of each join column, like ``left.join(right, on, how)``.
+
+    A NULL in a key column then forms its own series, as it does in
+    ``groupBy`` and window partitions. Spark still plans ``<=>`` keys as a hash,
+    sort-merge or broadcast equi-join."""
+    on = list(on)
+    r = right.select(*[F.col(c).alias(f"_r_{c}") for c in on], *[c for c in right.columns if c not in on])
+    cond = [left[c].eqNullSafe(r[f"_r_{c}"]) for c in on]
+    return left.join(r, cond, how).drop(*[f"_r_{c}" for c in on])
+
+
 def with_seq(df: DataFrame, keys: Sequence[str] | str = ("symbol",), order: str = "ts",
              seq: str = "seq", segment_seconds: int = DEFAULT_SEGMENT_SECONDS) -> DataFrame:
     """Add a dense 0-based index per key in ``order`` (unique per key) order.
@@ -55,7 +68,7 @@ def with_seq(df: DataFrame, keys: Sequence[str] | str = ("symbol",), order: str
             and not isinstance(df.schema[c].dataType, (T.MapType, T.ArrayType))]
     inside = Window.partitionBy(*ks, "_seg").orderBy(order, *ties)
     return (
-        d.join(offsets, [*ks, "_seg"])
+        join_on(d, offsets, [*ks, "_seg"])
         .withColumn(seq, (F.col("_off") + F.row_number().over(inside) - 1).cast("long"))
         .drop("_seg", "_off")
     )
@@ -112,7 +125,7 @@ def ffill_last(df: DataFrame, flag: str, cols: Sequence[str], keys: Sequence[str
         carry_seq.alias("_c_seq"),
     )
     upto = chunk_window(ks, seq).rowsBetween(Window.unboundedPreceding, 0)
-    out = d.join(carry, [*ks, CHUNK], "left").select(
+    out = join_on(d, carry, [*ks, CHUNK], "left").select(
         "*",
         F.last(flagged_seq, ignorenulls=True).over(upto).alias("_l_seq"),
         *[F.last(F.when(F.col(flag), F.col(c)), ignorenulls=True).over(upto).alias(f"_l_{c}") for c in cols],

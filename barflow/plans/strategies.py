@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from barflow.operators import indicators as ind
 from barflow.operators.ledger import equity_curve, final_values, run_ledger
-from barflow.operators.sequence import DEFAULT_CHUNK_ROWS, _keys, with_seq
+from barflow.operators.sequence import DEFAULT_CHUNK_ROWS, _keys, join_on, with_seq
 from barflow.operators.signals import with_cross_signal, with_threshold_signal
 from barflow.schema import DEFAULT_CASH, DEFAULT_LONG, DEFAULT_RSI_PERIOD, DEFAULT_SHORT
 from barflow.session import materialize
@@ -24,7 +24,8 @@ from barflow.session import materialize
 @dataclass
 class Backtest:
     """A strategy run. ``frame`` is the per-bar plan (bar columns, seq,
-    indicators, sig); ``keys`` identify one series (never NULL: they are join keys). The ledger, final values and equity read a stored copy
+    indicators, sig); ``keys`` identify one series (a NULL key value is a series of
+    its own: key joins are null-safe). The ledger, final values and equity read a stored copy
     of it, made on first use, and ``trades`` is stored on first use too: they
     feed several branches, which would otherwise each re-run the plan."""
 
@@ -135,7 +136,7 @@ def with_warmup(bars: DataFrame, start: str, end: str | None, n: int,
     first = b.filter(in_range).groupBy(*ks).agg(F.min("seq").alias("_first"))
     lo = F.greatest(F.col("_first") - F.lit(int(n)), F.lit(0).cast("long"))
     # Re-index from the first kept bar so the window is a series of its own.
-    return (b.join(first, ks)
+    return (join_on(b, first, ks)
             .filter(F.col("seq") >= lo)
             .withColumn("seq", F.col("seq") - lo)
             .withColumn("in_range", in_range)

@@ -84,3 +84,18 @@ def test_sweep_all_equals_individual_sweeps(spark):
         want[(r["symbol"], "rsi", r["rsi_period"], 0)] = r["final_value"]
     assert allf.keys() == want.keys()
     assert all(abs(allf[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_null_key_values_form_their_own_series(spark):
+    from pyspark.sql import functions as F
+    a = make_bars(spark, _walk(80, 31), "A").withColumn("grp", F.lit(None).cast("string"))
+    b = make_bars(spark, _walk(80, 32), "A").withColumn("grp", F.lit("x"))
+    both = a.unionByName(b)
+    for make in (lambda d, k: sma_crossover(d, 500.0, 3, 8, keys=k), lambda d, k: ema_crossover(d, 500.0, 3, 8, keys=k),
+                 lambda d, k: rsi_strategy(d, 500.0, 4, keys=k)):
+        got = {r["grp"]: r["final_value"] for r in make(both, ("symbol", "grp")).final.collect()}
+        alone_a = make(a.drop("grp"), ("symbol",)).final.collect()[0]["final_value"]
+        alone_b = make(b.drop("grp"), ("symbol",)).final.collect()[0]["final_value"]
+        assert got == {None: alone_a, "x": alone_b}
+        eq = make(both, ("symbol", "grp")).equity
+        assert eq.filter(F.col("grp").isNull()).count() == 80 and eq.count() == 160
