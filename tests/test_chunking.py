@@ -105,3 +105,11 @@ def test_rsi_many_equals_single_period(spark):
     r5 = _by_key(ind.rsi(obars, 5), ["rsi", "prev_rsi"])
     for k in many:
         assert all(_close(a, b, 1e-12) for a, b in zip(many[k], r3[k] + r5[k])), (k, many[k], r3[k], r5[k])
+
+
+def test_auto_method_picks_scan_for_very_long_spans():
+    from barflow.operators import indicators as ind
+    from barflow.operators.recurrence import ewm_columns, ewm_scan_columns, halo_rows, span_alpha
+    assert ind._ewm("auto", [span_alpha(30)], 250_000) is ewm_columns
+    assert ind._ewm("auto", [span_alpha(100_000)], 250_000) is ewm_scan_columns
+    assert halo_rows(span_alpha(30)) < 1000 and halo_rows(1.0) == 1
