@@ -103,3 +103,14 @@ def test_bar_table_prunes_partitions(spark, tmp_path):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     write_bar_table(bars.filter("symbol = 'A'"), path)  # dynamic overwrite keeps other symbols
     assert read_bar_table(spark, path, ["N"]).count() == bars.filter("symbol = 'N'").count()
+
+
+def test_scan_from_ticks_weekly_bars_fall_back_exactly(spark):
+    from barflow.sources.scan import _divides_day, scan_bars_from_ticks
+    assert _divides_day("1 day") and _divides_day("15 minutes") and _divides_day("1 hour")
+    assert not _divides_day("7 days") and not _divides_day("7 minutes") and not _divides_day("1 week")
+    ticks = lineitem_ticks(spark, SF001)
+    got = scan_bars_from_ticks(ticks, "N", "1996-01-01", "1996-06-30", every="7 days")
+    want = scan_bars(ohlcv_bars(ticks, "7 days"), "N", "1996-01-01", "1996-06-30")
+    assert got.count() > 0
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
