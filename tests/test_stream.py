@@ -198,3 +198,24 @@ def test_stream_bars_append_mode_emits_closed_windows(spark):
     assert len(keys) == len(set(keys))  # append mode: each bar once
     for r in got:
         assert tuple(r[c] for c in cols) == batch[(r["symbol"], r["ts"])]
+
+
+def test_stream_halt_mode_equals_batch_and_trigger_clamp(spark):
+    from barflow.streaming.control import trigger_options
+    assert trigger_options(200, floor_ms=1000) == {"processingTime": "1000 milliseconds"}
+    assert trigger_options(None) == {} and trigger_options(5, available_now=True) == {"availableNow": True}
+
+    bars = ohlcv_bars(lineitem_ticks(spark, SF001)).select(*BAR_COLUMNS)
+    run = Run(spark)
+    rep = stage_replay(bars, f"{run.folder}/replay", 2)
+    hist = f"{run.folder}/history"
+    rep.feed(0)
+    good, _ = parsed_bars(bar_stream(spark, rep.source))
+    q = run.start(stream_strategy(good, SmaCross(5, 30), 1000.0, insolvency="halt"),
+                  foreach_batch=accumulate(hist, run.run_id))
+    q.processAllAvailable()
+    rep.feed(1)
+    q.processAllAvailable()
+    run.stop()
+    batch = sma_crossover(bars, 1000.0, 5, 30, insolvency="halt").equity
+    _compare(history(spark, hist, run.run_id).collect(), batch.collect(), ["sig", "cash", "pos", "equity"])
