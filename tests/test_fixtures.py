@@ -136,3 +136,13 @@ def test_sma_operator_alone(spark):
     out = ind.sma(with_seq(make_bars(spark, [float(c) for c in CLOSES])), 4, out="s4")
     approx_list([r[0] for r in rows_by_ts(out, ["s4"])],
                 [None, None, None, 11.0, 10.75, 10.0, 9.25, 9.25, 10.25, 11.25, 11.5, 11.0])
+
+
+def test_ema_scan_method_null_rule(spark):
+    from pyspark.sql import functions as F
+    bars = make_bars(spark, [9.0, 1.0, 2.0, 3.0, 4.0, 5.0])
+    bars = bars.withColumn("close", F.when(F.col("ts").isin("2024-01-01", "2024-01-03", "2024-01-04"), None)
+                           .otherwise(F.col("close")))
+    out = ind.ema(with_seq(bars), {"e": 3}, with_prev=False, method="scan")
+    # leading NULL stays NULL; NULLs repeat the last value; the next value uses the plain weight 1/2
+    approx_list([r[0] for r in rows_by_ts(out, ["e"])], [None, 1.0, 1.0, 1.0, 2.5, 3.75])
