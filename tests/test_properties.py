@@ -99,3 +99,15 @@ def test_null_key_values_form_their_own_series(spark):
         assert got == {None: alone_a, "x": alone_b}
         eq = make(both, ("symbol", "grp")).equity
         assert eq.filter(F.col("grp").isNull()).count() == 80 and eq.count() == 160
+
+
+def test_backtest_range_without_warmup_equals_cut_series(spark):
+    from barflow.plans.strategies import backtest_range
+    bars = make_bars(spark, _walk(120, 41), "A")
+    bt = backtest_range(bars, "A", "2024-02-20", "2024-04-10", "ema", 500.0, warmup=False,
+                        short_period=3, long_period=8)
+    cut = bars.filter("ts >= '2024-02-20' and ts < '2024-04-11'")
+    want = ema_crossover(cut, 500.0, 3, 8).final.collect()[0]
+    got = bt.final.collect()[0]
+    assert got["n_bars"] == want["n_bars"] == 51
+    assert got["n_signals"] == want["n_signals"] and abs(got["final_value"] - want["final_value"]) < 1e-9
