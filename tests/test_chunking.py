@@ -113,3 +113,30 @@ def test_auto_method_picks_scan_for_very_long_spans():
     assert ind._ewm("auto", [span_alpha(30)], 250_000) is ewm_columns
     assert ind._ewm("auto", [span_alpha(100_000)], 250_000) is ewm_scan_columns
     assert halo_rows(span_alpha(30)) < 1000 and halo_rows(1.0) == 1
+
+
+def test_over_chunks_invariants(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+    from pyspark.sql import functions as F
+    from barflow.operators.sequence import CHUNK, HOME, effective_chunk_rows, home_rows, over_chunks
+
+    @settings(max_examples=6, deadline=None)
+    @given(n=st.integers(1, 300), chunk=st.integers(1, 80), halo=st.integers(0, 40))
+    def check(n, chunk, halo):
+        df = spark.range(n).select(F.lit("S").alias("symbol"), F.col("id").alias("seq"))
+        ch = over_chunks(df, halo, chunk).collect()
+        c = effective_chunk_rows(halo, chunk)
+        homes = sorted(r["seq"] for r in ch if r[HOME])
+        assert homes == list(range(n))  # every row once at home
+        members = {}
+        for r in ch:
+            members.setdefault(r[CHUNK], set()).add(r["seq"])
+        for k, rows in members.items():
+            first_home = k * c
+            if first_home < n:
+                need = set(range(max(0, first_home - halo), first_home))
+                assert need <= rows, (k, halo, c)
+        assert home_rows(over_chunks(df, halo, chunk)).count() == n
+
+    check()
