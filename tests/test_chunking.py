@@ -140,3 +140,25 @@ def test_over_chunks_invariants(spark):
         assert home_rows(over_chunks(df, halo, chunk)).count() == n
 
     check()
+
+
+def test_with_seq_property(spark):
+    import datetime as dt
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=4, deadline=None)
+    @given(gaps=st.lists(st.integers(1, 5000), min_size=1, max_size=120),
+           seg=st.sampled_from([3600, 86_400, 7 * 86_400, 32 * 86_400]))
+    def check(gaps, seg):
+        t, rows = dt.datetime(2020, 1, 1), []
+        for i, g in enumerate(gaps):
+            t += dt.timedelta(minutes=g)
+            rows.append(("AB"[i % 2], t, float(i)))
+        df = spark.createDataFrame(rows, "symbol string, ts timestamp_ntz, close double")
+        got = {(r["symbol"], r["ts"]): r["seq"] for r in with_seq(df, segment_seconds=seg).collect()}
+        for sym in "AB":
+            ts_sorted = sorted(r[1] for r in rows if r[0] == sym)
+            assert [got[(sym, x)] for x in ts_sorted] == list(range(len(ts_sorted)))
+
+    check()
