@@ -162,3 +162,23 @@ def test_with_seq_property(spark):
             assert [got[(sym, x)] for x in ts_sorted] == list(range(len(ts_sorted)))
 
     check()
+
+
+def test_ffill_last_property(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+    from pyspark.sql import functions as F
+
+    @settings(max_examples=4, deadline=None)
+    @given(flags=st.lists(st.booleans(), min_size=1, max_size=150), chunk=st.integers(1, 40))
+    def check(flags, chunk):
+        rows = [("S", i, bool(f), float(i) if f else None) for i, f in enumerate(flags)]
+        df = spark.createDataFrame(rows, "symbol string, seq long, flag boolean, v double")
+        out = {r["seq"]: r["v"] for r in ffill_last(df, "flag", ["v"], chunk_rows=chunk).collect()}
+        last = None
+        for i, f in enumerate(flags):
+            if f:
+                last = float(i)
+            assert out[i] == last, (i, out[i], last)
+
+    check()
