@@ -34,21 +34,27 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder for intermediate data.
 
-    Read from the session; only when it is unset (local tests) a private
-    folder is created and registered, so cluster runs never write to a
-    machine-local path.
+    A folder already set on the context (by the launcher through
+    ``spark.checkpoint.dir`` or by the user through ``setCheckpointDir``) is used
+    as it is; otherwise the session's ``spark.checkpoint.dir`` is applied once.
+    With neither, a local master (tests, one machine) gets a private temporary
+    folder and any other master is an error: executors could not read it.
     """
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     sc = _spark_context(spark)
-    if not conf_dir and sc is not None:
-        conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        master = sc.master if sc is not None else ""
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="barflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     if sc is not None:
         sc.setCheckpointDir(conf_dir)
+        return sc.getCheckpointDir()
     return conf_dir
 
 
