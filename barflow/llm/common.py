@@ -20,12 +20,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
-def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema: str) -> DataFrame:
+def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema: dict[str, str]) -> DataFrame:
     """Apply ``fn`` to each Arrow batch of ``df``; it returns the columns of the output batch.
 
     One task keeps one batch at a time, so memory does not grow with the partition.
     """
-    names = [part.split()[0] for part in schema.split(",")]
+    names = list(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -34,7 +34,7 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema
                 if out is not None and len(out[names[0]]):
                     yield pa.RecordBatch.from_arrays([as_array(out[n]) for n in names], names=names)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(run, ", ".join(f"{n} {t}" for n, t in schema.items()))
 
 
 def as_array(values) -> pa.Array:

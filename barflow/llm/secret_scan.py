@@ -191,7 +191,7 @@ def find_secrets(docs: DataFrame, rules: list[Rule] | None = None, text: str = "
 
     key_type = docs.schema[key].dataType.simpleString()
     out = arrow_map(docs.select(F.col(key).alias("id"), F.col(text).alias("text")), run,
-                    f"id {key_type}, spans array<struct<kind:string;start:bigint;end:bigint>>".replace(";", ","))
+                    {"id": key_type, "spans": "array<struct<kind:string,start:bigint,end:bigint>>"})
     return out.withColumnRenamed("id", key)
 
 
