@@ -229,8 +229,14 @@ def redact_texts(docs: DataFrame, rules: list[Rule] | None = None, mask: str = "
 def digest(spans: DataFrame) -> DataFrame:
     """The counts and digests of the base kinds from the operator's spans."""
     base = [r.kind for r in RULES if r.base]
-    line = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+
+    def line(s):
+        return F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     of_base = F.filter("spans", lambda s: s["kind"].isin(base))
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in base]
+    counts = [count(k) for k in base]
     return spans.select("doc_id", *counts, F.sha2(F.array_join(F.transform(of_base, line), ","), 256).alias("base_sha256"),
                         F.array_join(F.transform("spans", line), ",").alias("spans"))
