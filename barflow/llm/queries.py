@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from barflow.llm import packing, secret_scan
-from barflow.llm.common import documents
+from barflow.llm import fingerprint, packing, quality, secret_scan, toxicity, url_filter
+from barflow.llm.common import documents, held_out, table
 
 
 def word_tokenizer() -> str:
@@ -16,6 +17,11 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every whole text and its edited text, and their likeness."""
+    return fingerprint.compare_with_edits(documents(spark, sf_dir))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places of all documents' pieces in sequences of at most 4096 tokens."""
     return packing.pack_documents(documents(spark, sf_dir), word_tokenizer())
@@ -26,9 +32,34 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.find_secrets(documents(spark, sf_dir)))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text, learnt from the rows that are not held out."""
+    docs, apart = documents(spark, sf_dir), held_out(F.col("doc_id"), 5, 0)
+    lexicon = toxicity.learn(docs, table(spark, sf_dir, "labels").where(~apart))
+    scored = toxicity.score_documents(docs.select("doc_id", "text"), lexicon)
+    return scored.select("doc_id", apart.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url: the rules', else the language models'."""
+    return url_filter.judge_urls(table(spark, sf_dir, "pages")).drop("score")
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every whole text, learnt from the rows that are not held out."""
+    docs, apart = documents(spark, sf_dir).select("doc_id", "text"), held_out(F.col("doc_id"), 3, 1)
+    model = quality.learn(docs, table(spark, sf_dir, "labels").where(~apart))
+    scored = quality.score_documents(docs, model)
+    return scored.select("doc_id", apart.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_fingerprints": op2_fingerprints,
     "op3_packing": op3_packing,
     "op4_secrets": op4_secrets,
+    "op6_toxicity": op6_toxicity,
+    "op8_urls": op8_urls,
+    "op10_quality": op10_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {}
