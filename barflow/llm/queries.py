@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barflow.llm import fingerprint, packing, quality, secret_scan, toxicity, url_filter
+from barflow.llm import fingerprint, jaccard, lm_score, mixing, packing, quality, secret_scan, toxicity, url_filter
 from barflow.llm.common import documents, held_out, table
 
 
@@ -17,6 +17,11 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's calibrated probability in the mix, and whether it is drawn."""
+    return mixing.mix_documents(documents(spark, sf_dir)).select("doc_id", "source", "lang", "topic", "n_tokens", "probability", "sampled")
+
+
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every whole text and its edited text, and their likeness."""
     return fingerprint.compare_with_edits(documents(spark, sf_dir))
@@ -32,6 +37,11 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.find_secrets(documents(spark, sf_dir)))
 
 
+def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents under 5-shingle Jaccard links of 0.75 or more."""
+    return jaccard.join_documents(documents(spark, sf_dir))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every whole text, learnt from the rows that are not held out."""
     docs, apart = documents(spark, sf_dir), held_out(F.col("doc_id"), 5, 0)
@@ -40,6 +50,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", apart.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cross-entropy difference of every whole text between the benchmark's texts and the corpus."""
+    return lm_score.score_documents(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page's url: the rules', else the language models'."""
     return url_filter.judge_urls(table(spark, sf_dir, "pages")).drop("score")
@@ -54,10 +69,13 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
     "op2_fingerprints": op2_fingerprints,
     "op3_packing": op3_packing,
     "op4_secrets": op4_secrets,
+    "op5_jaccard": op5_jaccard,
     "op6_toxicity": op6_toxicity,
+    "op7_lm_score": op7_lm_score,
     "op8_urls": op8_urls,
     "op10_quality": op10_quality,
 }
