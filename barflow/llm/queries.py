@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barflow.llm import fingerprint, jaccard, lm_score, mixing, packing, quality, secret_scan, toxicity, url_filter
+from barflow.llm import embed_dedup, fingerprint, jaccard, lm_score, mixing, packing, quality, secret_scan, toxicity, url_filter
 from barflow.llm.common import documents, held_out, table
 
 
@@ -60,6 +60,11 @@ def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages")).drop("score")
 
 
+def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of all vectors at cosine 0.9 or more, and their components."""
+    return embed_dedup.link_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every whole text, learnt from the rows that are not held out."""
     docs, apart = documents(spark, sf_dir).select("doc_id", "text"), held_out(F.col("doc_id"), 3, 1)
@@ -77,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op7_lm_score": op7_lm_score,
     "op8_urls": op8_urls,
+    "op9_embeddings": op9_embeddings,
     "op10_quality": op10_quality,
 }
 
