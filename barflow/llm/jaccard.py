@@ -245,3 +245,10 @@ def join_documents(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) ->
     return (members.join(found, "key", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
+
+
+def one_of_each(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
+    """Documents without those that are near copies of one with a smaller id; repeated rows become one."""
+    found = join_documents(docs, size, percent)
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
+    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates(["doc_id", "text"])

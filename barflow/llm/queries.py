@@ -42,10 +42,16 @@ def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join_documents(documents(spark, sf_dir))
 
 
+def toxicity_lexicon(spark: SparkSession, sf_dir: str) -> toxicity.Lexicon:
+    """Learnt from the labelled documents that are not held out."""
+    apart = held_out(F.col("doc_id"), 5, 0)
+    return toxicity.learn(documents(spark, sf_dir), table(spark, sf_dir, "labels").where(~apart))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every whole text, learnt from the rows that are not held out."""
     docs, apart = documents(spark, sf_dir), held_out(F.col("doc_id"), 5, 0)
-    lexicon = toxicity.learn(docs, table(spark, sf_dir, "labels").where(~apart))
+    lexicon = toxicity_lexicon(spark, sf_dir)
     scored = toxicity.score_documents(docs.select("doc_id", "text"), lexicon)
     return scored.select("doc_id", apart.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 

@@ -162,6 +162,22 @@ def score_documents(docs: DataFrame, lexicon: Lexicon, text: str = "text") -> Da
     return weigh_documents(docs, lexicon, text).withColumn("score", 1.0 / (1.0 + F.exp(-exponent)))
 
 
+def without_toxic(docs: DataFrame, lexicon: Lexicon, least: float = 0.5) -> DataFrame:
+    """Documents, with all their columns, whose score is below ``least``."""
+    intercept, by_log, by_rate = lexicon.coefficients
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fold, automaton = Folder(), lexicon.automaton()
+        for batch in batches:
+            texts = [t or "" for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
+            weight = np.array([weigh(automaton, fold(t)) for t in texts], dtype=float)
+            log, rate = sums(weight, np.array([len(t) for t in texts], dtype=float))
+            score = 1.0 / (1.0 + np.exp(-(intercept + by_log * log + by_rate * rate)))
+            yield batch.filter(pa.array(score < least))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Lexicon:
     """Lexicon and coefficients from labelled documents (labels: doc_id, toxic 0/1)."""
     marked = (labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
