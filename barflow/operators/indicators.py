@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barflow.functions.columns import gain, loss, price_change, rsi_from_averages
-from barflow.operators.recurrence import ewm_columns, ewm_scan_columns, halo_rows, span_alpha
+from barflow.operators.recurrence import ewm_columns, ewm_scan_columns, halo_rows, has_gaps, span_alpha
 from barflow.operators.sequence import DEFAULT_CHUNK_ROWS, chunk_window, home_rows, over_chunks
 
 
@@ -27,8 +27,8 @@ def rolling_means(df: DataFrame, specs: Mapping[str, int], src: str = "close",
                   with_prev: bool = True, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """Mean of the last n rows, NULL until n non-NULL values exist.
 
-    ``prev_<name>`` is the same mean one row earlier (frame -n..-1), computed in
-    the same window node so the chunk is sorted once for all columns.
+    ``prev_<name>`` is the previous row's mean, a lag over the same order, so the
+    chunk is sorted once for all columns.
     """
     periods = {k: _check_period(v) for k, v in specs.items()}
     halo = max(periods.values()) + (1 if with_prev else 0)
@@ -37,10 +37,10 @@ def rolling_means(df: DataFrame, specs: Mapping[str, int], src: str = "close",
     for name, n in periods.items():
         f = w.rowsBetween(1 - n, 0)
         cols.append(F.when(F.count(src).over(f) == n, F.avg(src).over(f)).alias(name))
-        if with_prev:
-            fp = w.rowsBetween(-n, -1)
-            cols.append(F.when(F.count(src).over(fp) == n, F.avg(src).over(fp)).alias(f"prev_{name}"))
-    return home_rows(over_chunks(df, halo, chunk_rows, seq).select("*", *cols))
+    out = over_chunks(df, halo, chunk_rows, seq).select("*", *cols)
+    if with_prev:  # the previous row's mean, not a second sliding frame
+        out = out.select("*", *[F.lag(name).over(w).alias(f"prev_{name}") for name in periods])
+    return home_rows(out)
 
 
 def sma(df: DataFrame, n: int, src: str = "close", out: str = "sma", **kw) -> DataFrame:
@@ -65,11 +65,14 @@ def gains_losses(df: DataFrame, n: int | None = None, src: str = "close",
     return home_rows(ch)
 
 
-def _ewm(method: str, alphas, chunk_rows: int):
-    """'halo' (one pass), 'scan' (exact affine scan) or 'auto': halo unless the
-    halo would exceed a quarter chunk (very long spans), then scan."""
+def _ewm(method: str, df: DataFrame, specs, keys, seq: str, chunk_rows: int):
+    """'halo' (one pass), 'scan' (exact affine scan) or 'auto': halo unless it would
+    exceed a quarter chunk (very long spans) or values are missing inside a series
+    of several chunks, then scan. Both give the same values up to rounding."""
     if method == "auto":
-        method = "halo" if 4 * max(halo_rows(a) for a in alphas) <= chunk_rows else "scan"
+        method = "halo" if 4 * max(halo_rows(a) for _, a in specs.values()) <= chunk_rows else "scan"
+        if method == "halo" and has_gaps(df, list(dict.fromkeys(src for src, _ in specs.values())), keys, seq, chunk_rows):
+            method = "scan"
     if method == "halo":
         return ewm_columns
     if method == "scan":
@@ -99,7 +102,7 @@ def rsi_many(df: DataFrame, periods: Sequence[int], keys: Sequence[str] | str =
     for n in ns:
         specs[f"avg_gain_{n}"] = (f"_w_gain_{n}", 1.0 / n)
         specs[f"avg_loss_{n}"] = (f"_w_loss_{n}", 1.0 / n)
-    run = _ewm(method, [1.0 / n for n in ns], chunk_rows)
+    run = _ewm(method, seeded, specs, keys, seq, chunk_rows)
     out = run(seeded, specs, keys=keys, seq=seq, with_prev=True, chunk_rows=chunk_rows)
     for n in ns:
         out = (out.withColumn(f"rsi_{n}", rsi_from_averages(f"avg_gain_{n}", f"avg_loss_{n}"))
@@ -116,7 +119,7 @@ def ema(df: DataFrame, spans: Mapping[str, int], src: str = "close", with_prev:
     ``method="halo"``: one pass, chunks warm up on a halo; ``method="scan"``:
     exact three-pass affine scan (Y4); ``"auto"`` picks halo for ordinary spans."""
     specs = {name: (src, span_alpha(_check_period(s))) for name, s in spans.items()}
-    run = _ewm(method, [a for _, a in specs.values()], chunk_rows)
+    run = _ewm(method, df, specs, keys, seq, chunk_rows)
     return run(df, specs, keys=keys, seq=seq, with_prev=with_prev, chunk_rows=chunk_rows)
 
 
@@ -136,9 +139,9 @@ def wilder(df: DataFrame, n: int, keys: Sequence[str] | str = ("symbol",), seq:
             F.when(F.col(seq) < n, F.lit(None).cast("double"))
              .when(F.col(seq) == n, F.col(f"rolling_{c}"))
              .otherwise(F.col(c)))
-    run = _ewm(method, [1.0 / n], chunk_rows)
-    out = run(seeded, {"avg_gain": ("_w_gain", 1.0 / n), "avg_loss": ("_w_loss", 1.0 / n)},
-              keys=keys, seq=seq, with_prev=with_prev, chunk_rows=chunk_rows)
+    specs = {"avg_gain": ("_w_gain", 1.0 / n), "avg_loss": ("_w_loss", 1.0 / n)}
+    run = _ewm(method, seeded, specs, keys, seq, chunk_rows)
+    out = run(seeded, specs, keys=keys, seq=seq, with_prev=with_prev, chunk_rows=chunk_rows)
     return out.drop("_w_gain", "_w_loss")
 
 

@@ -97,30 +97,25 @@ def final_values(frame: DataFrame, trades: DataFrame, starting_cash: float,
                  keys: Sequence[str] | str = ("symbol",), seq: str = "seq") -> DataFrame:
     """P3 + R6: cash + pos · last close per key; keys without trades keep their cash.
 
-    Both sides are reduced to one row per key by decomposable aggregates
-    (map-side partial), then joined.
+    Bars and trades go through one aggregate together (decomposable, with map-side
+    partials): one shuffle of at most one row per key and task.
     """
     ks = _keys(keys)
-    last_bar = frame.groupBy(*ks).agg(
-        F.max_by("close", seq).alias("last_close"),
-        F.max(seq).alias("_last_seq"),
-        F.count(F.lit(1)).alias("n_bars"),
-        F.count(F.when(F.col("sig") != 0, True)).alias("n_signals"),
-    )
-    last_state = trades.groupBy(*ks).agg(
-        F.max_by("cash", seq).alias("_cash"),
-        F.max_by("pos", seq).alias("_pos"),
-        F.count(F.when(F.col("opened") != 0, True)).alias("n_opened"),
-    )
-    j = join_on(last_bar, last_state, ks, "left")
-    cash = F.coalesce(F.col("_cash"), F.lit(float(starting_cash)))
-    pos = F.coalesce(F.col("_pos"), F.lit(0).cast("long"))
-    return j.select(
-        *ks, "n_bars", "n_signals",
-        F.coalesce(F.col("n_opened"), F.lit(0).cast("long")).alias("n_opened"),
-        cash.alias("cash"), pos.alias("pos"), F.col("last_close"),
-        (cash + pos * F.col("last_close")).alias("final_value"),
-    )
+    null = F.lit(None)
+    bars = frame.select(*ks, F.struct(seq, "close").alias("_bar"), (F.col("sig") != 0).cast("long").alias("_sig"),
+                        null.cast(f"struct<{seq}:bigint,cash:double,pos:bigint>").alias("_state"), null.cast("long").alias("_open"))
+    states = trades.select(*ks, null.cast(bars.schema["_bar"].dataType).alias("_bar"), null.cast("long").alias("_sig"),
+                           F.struct(F.col(seq).cast("long").alias(seq), "cash", "pos").alias("_state"),
+                           (F.col("opened") != 0).cast("long").alias("_open"))
+    zero = F.lit(0).cast("long")
+    j = bars.unionByName(states).groupBy(*ks).agg(
+        F.max_by("_bar", f"_bar.{seq}").alias("_bar"), F.count("_bar").alias("n_bars"),
+        F.coalesce(F.sum("_sig"), zero).alias("n_signals"), F.max_by("_state", f"_state.{seq}").alias("_state"),
+        F.coalesce(F.sum("_open"), zero).alias("n_opened"))
+    cash = F.coalesce(F.col("_state.cash"), F.lit(float(starting_cash)))
+    pos = F.coalesce(F.col("_state.pos"), zero)
+    return j.select(*ks, "n_bars", "n_signals", "n_opened", cash.alias("cash"), pos.alias("pos"),
+                    F.col("_bar.close").alias("last_close"), (cash + pos * F.col("_bar.close")).alias("final_value"))
 
 
 def equity_curve(frame: DataFrame, trades: DataFrame, starting_cash: float,

@@ -24,11 +24,13 @@ import math
 from collections.abc import Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barflow.operators.sequence import CHUNK, DEFAULT_CHUNK_ROWS, HOME, _keys, join_on, over_chunks
+from barflow.operators.sequence import (
+    CHUNK, DEFAULT_CHUNK_ROWS, HOME, _keys, chunk_of, chunk_window, join_on, over_chunks,
+)
 
 
 def halo_rows(alpha: float, bits: int = 64) -> int:
@@ -166,33 +168,60 @@ def ewm_scan_columns(df: DataFrame, specs: Mapping[str, tuple[str, float]],
                      with_prev: bool = True, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """``ewm_columns`` computed with the exact ``affine_scan``.
 
-    Per source column: the first non-NULL row of a key starts the series
-    (a = 0, b = x), later rows use a = 1-alpha, b = alpha·x with pandas'
-    effective alpha, and a NULL row repeats the last value (a = 1, b = 0) and
-    does not re-weight the next one (the default method follows pandas there).
-    Values before the start are NULL. The first non-NULL row per key comes from
-    a one-row-per-key aggregate.
+    Same rule as there: per source column the first non-NULL row of a key starts
+    the series (a = 0, b = x); a value after k NULL rows weighs the carried one by
+    w = (1-alpha)^(k+1) against alpha, so a = w / (w + alpha), b = (1 - a)·x (alpha
+    as pandas derives it); a NULL row repeats the last value (a = 1, b = 0). Values
+    before the start are NULL. The start and the last value before a chunk come
+    from one aggregate with one row per (key, chunk) and one join, whatever the
+    number of columns.
     """
     ks = _keys(keys)
-    d = df
+    sources = list(dict.fromkeys(src for src, _ in specs.values()))
+    d = df.withColumn(CHUNK, chunk_of(seq, chunk_rows))
+    valued = {src: F.when(F.col(src).isNotNull(), F.col(seq)) for src in sources}
+    summary = d.groupBy(*ks, CHUNK).agg(*[F.min(v).alias(f"_lo{i}") for i, v in enumerate(valued.values())],
+                                        *[F.max(v).alias(f"_hi{i}") for i, v in enumerate(valued.values())])
+    prior = Window.partitionBy(*ks).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    summary = summary.select(*ks, CHUNK,
+                             *[F.min(f"_lo{i}").over(Window.partitionBy(*ks)).alias(f"_first{i}") for i in range(len(sources))],
+                             *[F.max(f"_hi{i}").over(prior).alias(f"_carry{i}") for i in range(len(sources))])
+    d = join_on(d, summary, [*ks, CHUNK])
+    earlier = chunk_window(ks, seq).rowsBetween(Window.unboundedPreceding, -1)
+    d = d.select("*", *[F.coalesce(F.last(v, ignorenulls=True).over(earlier), F.col(f"_carry{i}")).alias(f"_before{i}")
+                        for i, v in enumerate(valued.values())])
     series = []
     for i, (name, (src, alpha)) in enumerate(specs.items()):
+        j = sources.index(src)
         a_eff = 1.0 / (1.0 + (1.0 - alpha) / alpha)
-        first = (d.filter(F.col(src).isNotNull()).groupBy(*ks)
-                 .agg(F.min(seq).alias(f"_first{i}")))
-        d = join_on(d, first, ks, "left")
-        x, s, f = F.col(src), F.col(seq), F.col(f"_first{i}")
-        d = (d.withColumn(f"_a{i}", F.when(x.isNull(), F.lit(1.0)).when(s == f, F.lit(0.0))
-                          .otherwise(F.lit(1.0 - a_eff)))
+        x, s, f = F.col(src), F.col(seq), F.col(f"_first{j}")
+        w = F.pow(F.lit(1.0 - a_eff), s - F.col(f"_before{j}"))
+        kept = w / (w + F.lit(a_eff))
+        d = (d.withColumn(f"_a{i}", F.when(x.isNull(), F.lit(1.0)).when(s == f, F.lit(0.0)).otherwise(kept))
               .withColumn(f"_b{i}", F.when(x.isNull(), F.lit(0.0)).when(s == f, x)
-                          .otherwise(F.lit(a_eff) * x)))
+                          .otherwise(F.lit(a_eff) / (w + F.lit(a_eff)) * x)))
         series.append((f"_a{i}", f"_b{i}", name))
+    d = d.drop(CHUNK, *[f"_carry{j}" for j in range(len(sources))], *[f"_before{j}" for j in range(len(sources))])
     out = affine_scan(d, series, keys=ks, seq=seq, chunk_rows=chunk_rows, with_prev=with_prev)
-    for i, name in enumerate(specs):
-        f = F.col(f"_first{i}")
+    for i, (name, (src, _)) in enumerate(specs.items()):
+        f = F.col(f"_first{sources.index(src)}")
         out = out.withColumn(name, F.when(f.isNotNull() & (F.col(seq) >= f), F.col(name)))
         if with_prev:
             out = out.withColumn(f"prev_{name}", F.when(f.isNotNull() & (F.col(seq) - 1 >= f),
                                                         F.col(f"prev_{name}")))
-        out = out.drop(f"_first{i}", f"_a{i}", f"_b{i}")
-    return out
+        out = out.drop(f"_a{i}", f"_b{i}")
+    return out.drop(*[f"_first{j}" for j in range(len(sources))])
+
+
+def has_gaps(df: DataFrame, sources: Sequence[str], keys: Sequence[str] | str = ("symbol",), seq: str = "seq",
+             chunk_rows: int = DEFAULT_CHUNK_ROWS) -> bool:
+    """Whether a key longer than one chunk has a NULL after its first value in any source column.
+
+    One aggregate with one row per key; only the flag comes to the driver.
+    """
+    gap = F.lit(False)
+    for src in sources:
+        first = F.min(F.when(F.col(src).isNotNull(), F.col(seq)))
+        gap = gap | F.coalesce(F.max(seq) - first + 1 != F.count(src), F.lit(False))
+    found = df.groupBy(*_keys(keys)).agg((gap & (F.max(seq) >= chunk_rows)).alias("gap"))
+    return bool(found.where("gap").limit(1).count())

@@ -46,7 +46,6 @@ RSI_SWEEP = [3, 5, 7, 14]
 SCAN = ("A", "1996-01-01", "1996-12-31")
 TABLE_SCAN = (["A", "R"], "1996-03-01", "1997-06-30")
 WARMUP = ("1997-01-01", "1998-12-31")
-REPLAY_SLICES = 4
 
 
 def bars_L(spark, sf):
@@ -279,24 +278,21 @@ LAST_PROGRESS: list[dict] = []
 
 
 def _replay_through(spark, bars: DataFrame, make_output) -> tuple[Run, str]:
-    """Replay ``bars`` slice by slice through a file-source stream; each slice is
-    fully processed before the next is published. Returns the run and the
-    folder of its accumulated history."""
+    """Replay ``bars`` slice by slice through a file-source stream: a slice is published
+    whole, then the query runs over all of it on the run's checkpoint and ends before
+    the next. Returns the run and the folder of its accumulated history."""
     run = Run(spark)
-    rep = stage_replay(bars, f"{run.folder}/replay", REPLAY_SLICES)
-    rep.feed(0)
-    good, _dead = parsed_bars(bar_stream(spark, rep.source))
+    rep = stage_replay(bars, f"{run.folder}/replay")
     hist = f"{run.folder}/history"
-    q = run.start(make_output(good), foreach_batch=accumulate(hist, run.run_id),
-                  state_partitions=_state_partitions(spark))
-    try:
-        q.processAllAvailable()
-        for k in range(1, REPLAY_SLICES):
-            rep.feed(k)
-            q.processAllAvailable()
-        LAST_PROGRESS[:] = [p for p in q.recentProgress if p.get("numInputRows", 0) > 0]
-    finally:
-        run.stop()
+    LAST_PROGRESS.clear()
+
+    def drain(_k):
+        good, _dead = parsed_bars(bar_stream(spark, rep.source))
+        done = run.drain(make_output(good), foreach_batch=accumulate(hist, run.run_id),
+                         state_partitions=_state_partitions(spark))
+        LAST_PROGRESS.extend(p for p in done if p.get("numInputRows", 0) > 0)
+
+    rep.feed_all(after_each=drain)
     return run, hist
 
 
@@ -316,7 +312,10 @@ def q_custom_ema(spark, sf):
 
 def _stream_equity(spark, bars: DataFrame, strategy, cash: float) -> DataFrame:
     run, hist = _replay_through(spark, bars, lambda good: stream_strategy(good, strategy, cash))
-    out = history(spark, hist, run.run_id).filter(~F.col("late"))
+    out = history(spark, hist, run.run_id)
+    late = out.filter("late").count()
+    if late:
+        raise RuntimeError(f"{late} bars came after later bars of their symbol")
     return out.select("symbol", "ts", "close", r2("cash").alias("cash"), "pos", r2("equity").alias("equity"))
 
 
@@ -339,19 +338,11 @@ def q_bars_stream_hourly(spark, sf):
     """S7 on a stream: event ticks replayed in time slices, hourly windows with a
     watermark in update mode, history compacted to the last version per bar."""
     run = Run(spark)
-    rep = stage_frame_replay(event_ticks(spark, sf), f"{run.folder}/ticks", REPLAY_SLICES)
-    rep.feed(0)
+    rep = stage_frame_replay(event_ticks(spark, sf), f"{run.folder}/ticks")
     hist = f"{run.folder}/history"
-    q = run.start(ohlcv_bar_stream(rep.stream(), "1 hour", "1 hour"),
-                  foreach_batch=accumulate(hist, run.run_id), output_mode="update",
-                  state_partitions=_state_partitions(spark))
-    try:
-        q.processAllAvailable()
-        for k in range(1, REPLAY_SLICES):
-            rep.feed(k)
-            q.processAllAvailable()
-    finally:
-        run.stop()
+    rep.feed_all(after_each=lambda _k: run.drain(
+        ohlcv_bar_stream(rep.stream(), "1 hour", "1 hour"), foreach_batch=accumulate(hist, run.run_id),
+        output_mode="update", state_partitions=_state_partitions(spark)))
     return latest_bars(history(spark, hist, run.run_id)).select(*BAR_COLUMNS, "n_ticks")
 
 

@@ -5,16 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barflow.schema import SCAN_LIMIT
 
-
-def scan_bars(bars: DataFrame, symbol: str, start: str, end: str, limit: int = SCAN_LIMIT) -> DataFrame:
-    """Filter (pushed to the scan when ``bars`` is a table), order by ts, cap at
-    ``limit`` rows: the cap is the upstream request's, part of the feature."""
+def scan_bars(bars: DataFrame, symbol: str, start: str, end: str, limit: int | None = None) -> DataFrame:
+    """Filter (pushed to the scan when ``bars`` is a table), order by ts. ``limit``
+    caps the rows as the upstream request does (``schema.SCAN_LIMIT``); by default all come."""
     lo = F.lit(start).cast("timestamp_ntz")
     hi = F.lit(end).cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY")
-    return (bars.filter((F.col("symbol") == symbol) & (F.col("ts") >= lo) & (F.col("ts") < hi))
-            .orderBy("ts").limit(int(limit)))
+    found = bars.filter((F.col("symbol") == symbol) & (F.col("ts") >= lo) & (F.col("ts") < hi)).orderBy("ts")
+    return found if limit is None else found.limit(int(limit))
 
 
 def _divides_day(every: str) -> bool:
@@ -29,19 +27,20 @@ def _divides_day(every: str) -> bool:
 
 
 def scan_bars_from_ticks(ticks: DataFrame, symbol: str, start: str, end: str, every: str = "1 day",
-                         limit: int = SCAN_LIMIT) -> DataFrame:
+                         limit: int | None = None) -> DataFrame:
     """S5 straight from ticks: bars of ``symbol`` whose start lies in [start, end].
 
-    When the bucket width divides a day, a bar starting in the range holds
-    exactly the ticks of [start, end + 1 day), so the ticks are filtered first
-    and the range reaches the parquet scan together with the symbol; otherwise
-    only the symbol is pre-filtered.
+    The ticks are filtered first, so symbol and range reach the parquet scan. When
+    the bucket width divides a day, a bar starting in the range holds exactly the
+    ticks of [start, end + 1 day); otherwise the ticks of one bucket more on either
+    side are read and the bars are filtered after.
     """
     from barflow.operators.bars import ohlcv_bars
 
     t = ticks.filter(F.col("symbol") == symbol)
-    if _divides_day(every):
-        lo = F.lit(start).cast("timestamp_ntz")
-        hi = F.lit(end).cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY")
-        t = t.filter((F.col("ts") >= lo) & (F.col("ts") < hi))
+    lo = F.lit(start).cast("timestamp_ntz")
+    hi = F.lit(end).cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY")
+    if not _divides_day(every):
+        lo, hi = lo - F.expr(f"INTERVAL {every}"), hi + F.expr(f"INTERVAL {every}")
+    t = t.filter((F.col("ts") >= lo) & (F.col("ts") < hi))
     return scan_bars(ohlcv_bars(t, every), symbol, start, end, limit)

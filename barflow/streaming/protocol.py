@@ -39,15 +39,20 @@ def ewm_alpha(alpha: float) -> float:
     return 1.0 / (1.0 + (1.0 - alpha) / alpha)
 
 
-def ewm_next(prev: float, x: float, a: float) -> float:
+def ewm_next(prev: float, x: float, a: float, gap: float = 0.0) -> float:
+    """The next mean; ``gap`` missing values since the last one decay the carried weight."""
     if _isnan(x):
         return prev
-    if _isnan(prev):
+    if _isnan(prev) or prev == x:
         return x
-    if prev == x:
-        return x
-    oma = 1.0 - a
-    return (oma * prev + a * x) / (oma + a)
+    kept = (1.0 - a) ** (gap + 1)
+    return (kept * prev + a * x) / (kept + a)
+
+
+def _period(n) -> int:
+    if int(n) != n or n < 1:
+        raise ValueError(f"period must be an integer >= 1, got {n}")
+    return int(n)
 
 
 class BarStrategy(Protocol):
@@ -66,7 +71,7 @@ class SmaCross:
     columns = ("fast", "slow")
 
     def __init__(self, short_period: int, long_period: int):
-        self.s, self.l = int(short_period), int(long_period)
+        self.s, self.l = _period(short_period), _period(long_period)
         self.keep = max(self.s, self.l)
 
     def init_state(self):
@@ -90,38 +95,39 @@ class SmaCross:
 
 
 class EmaCross:
-    """State: [n, fast, slow]."""
+    """State: [n, fast, slow, missing closes since the last one]."""
 
     name = "ema"
     columns = ("fast", "slow")
 
     def __init__(self, short_period: int, long_period: int):
-        self.a1 = ewm_alpha(2.0 / (int(short_period) + 1))
-        self.a2 = ewm_alpha(2.0 / (int(long_period) + 1))
+        self.a1 = ewm_alpha(2.0 / (_period(short_period) + 1))
+        self.a2 = ewm_alpha(2.0 / (_period(long_period) + 1))
 
     def init_state(self):
-        return [0.0, NAN, NAN]
+        return [0.0, NAN, NAN, 0.0]
 
     def next(self, state, close):
-        n, pf, ps = state
-        f, s = ewm_next(pf, close, self.a1), ewm_next(ps, close, self.a2)
+        n, pf, ps, gap = state
+        f, s = ewm_next(pf, close, self.a1, gap), ewm_next(ps, close, self.a2, gap)
         sig = _cross(pf, ps, f, s)
-        return [n + 1, f, s], {"fast": f, "slow": s, "sig": sig}
+        return [n + 1, f, s, gap + 1 if _isnan(close) else 0.0], {"fast": f, "slow": s, "sig": sig}
 
 
 class RsiThreshold:
-    """State: [n, last_close, avg_gain, avg_loss, prev_rsi, last n gains..., last n losses...]."""
+    """State: [n, last_close, avg_gain, avg_loss, prev_rsi, missing changes since the last one,
+    last n gains..., last n losses...]."""
 
     name = "rsi"
     columns = ("rsi",)
 
     def __init__(self, period: int, low: float = RSI_LOW, high: float = RSI_HIGH):
-        self.n = int(period)
+        self.n = _period(period)
         self.a = ewm_alpha(1.0 / self.n)
         self.low, self.high = low, high
 
     def init_state(self):
-        return [0.0, NAN, NAN, NAN, NAN]
+        return [0.0, NAN, NAN, NAN, NAN, 0.0]
 
     @staticmethod
     def _rsi(g, l_):
@@ -132,13 +138,13 @@ class RsiThreshold:
         return 100.0 - 100.0 / (1.0 + g / l_)
 
     def next(self, state, close):
-        n, last, ag, al, prev_rsi = state[:5]
-        hist = state[5:]
+        n, last, ag, al, prev_rsi, gap = state[:6]
+        hist = state[6:]
         gains, losses = list(hist[: len(hist) // 2]), list(hist[len(hist) // 2:])
         seq = int(n)
         if seq > 0:
             d = close - last
-            g, l_ = max(d, 0.0), max(-d, 0.0)
+            g, l_ = (NAN, NAN) if _isnan(d) else (max(d, 0.0), max(-d, 0.0))
             if seq <= self.n:
                 gains.append(g)
                 losses.append(l_)
@@ -149,9 +155,10 @@ class RsiThreshold:
                 for v in losses:
                     tl += v
                 ag, al = tg / self.n, tl / self.n
-                gains, losses = [], []
+                gains, losses, gap = [], [], 0.0
             elif seq > self.n:
-                ag, al = ewm_next(ag, g, self.a), ewm_next(al, l_, self.a)
+                ag, al = ewm_next(ag, g, self.a, gap), ewm_next(al, l_, self.a, gap)
+                gap = gap + 1 if _isnan(g) else 0.0
         rsi = self._rsi(ag, al)
         sig = 0
         if not (_isnan(prev_rsi) or _isnan(rsi)):
@@ -159,7 +166,7 @@ class RsiThreshold:
                 sig = 1
             elif prev_rsi >= self.high and rsi < self.high:
                 sig = -1
-        return [n + 1, close, ag, al, rsi, *gains, *losses], {"rsi": rsi, "sig": sig}
+        return [n + 1, close, ag, al, rsi, gap, *gains, *losses], {"rsi": rsi, "sig": sig}
 
 
 def make_strategy(name: str, **params) -> BarStrategy:

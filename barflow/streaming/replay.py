@@ -38,20 +38,30 @@ class Replay:
                 after_each(k)
 
 
-def stage_replay(bars: DataFrame, folder: str, n_slices: int = 4) -> Replay:
-    """Cut bars into ``n_slices`` equal time spans and stage their messages.
+# Rows that a slice holds about when the number of slices is not given, and the least number of slices.
+SLICE_ROWS = 1_000_000
+LEAST_SLICES = 4
 
-    The bars are materialized once; the span bounds come from one min/max
-    aggregate (a single row)."""
-    if n_slices < 1:
+
+def _slices(df: DataFrame, n_slices: int | None) -> tuple[object, int]:
+    """Slice number of a row by equal spans of ``_us``, and how many there are (one aggregate row is read)."""
+    lo, hi, n = df.agg(F.min("_us"), F.max("_us"), F.count(F.lit(1))).first()
+    if n_slices is None:
+        n_slices = max(LEAST_SLICES, -(-n // SLICE_ROWS))
+    lo, hi = (0, 0) if lo is None else (int(lo), int(hi))
+    span = max(1, (hi - lo) // n_slices + 1)
+    return F.least(F.floor((F.col("_us") - F.lit(lo)) / F.lit(span)), F.lit(n_slices - 1)).cast("int"), n_slices
+
+
+def stage_replay(bars: DataFrame, folder: str, n_slices: int | None = None) -> Replay:
+    """Cut bars into ``n_slices`` equal time spans (by default as many as their number
+    asks for) and stage their messages. The bars are materialized once."""
+    if n_slices is not None and n_slices < 1:
         raise ValueError("n_slices must be >= 1")
     spark = bars.sparkSession
     b = materialize(bars.withColumn("_us", F.expr(_MICROS)), "replay-bars")
-    lo, hi = b.agg(F.min("_us"), F.max("_us")).first()
-    lo, hi = (0, 0) if lo is None else (int(lo), int(hi))
-    span = max(1, (hi - lo) // n_slices + 1)
-    slice_col = F.least(F.floor((F.col("_us") - F.lit(lo)) / F.lit(span)), F.lit(n_slices - 1))
-    staged = encode_bars(b.withColumn("slice", slice_col.cast("int")), keep=("slice",))
+    number, n_slices = _slices(b, n_slices)
+    staged = encode_bars(b.withColumn("slice", number), keep=("slice",))
     base = folder.rstrip("/")
     staged.write.mode("overwrite").partitionBy("slice").parquet(f"{base}/staging")
     return Replay(spark, f"{base}/staging", f"{base}/source", n_slices)
@@ -75,18 +85,22 @@ class FrameReplay:
         return self.spark.readStream.schema(self.schema).parquet(self.source)
 
 
-def stage_frame_replay(df: DataFrame, folder: str, n_slices: int = 4, ts: str = "ts") -> FrameReplay:
-    """Like ``stage_replay`` but keeps the rows as they are (parquet)."""
-    if n_slices < 1:
+    def feed_all(self, after_each=None) -> None:
+        for k in range(self.n_slices):
+            self.feed(k)
+            if after_each is not None:
+                after_each(k)
+
+
+def stage_frame_replay(df: DataFrame, folder: str, n_slices: int | None = None, ts: str = "ts") -> FrameReplay:
+    """Like ``stage_replay`` but keeps the rows as they are (parquet). The bounds come from a
+    plain aggregate, so the rows are written once to the staging folder and once a slice."""
+    if n_slices is not None and n_slices < 1:
         raise ValueError("n_slices must be >= 1")
     spark = df.sparkSession
-    micros = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{ts}`)")
-    b = materialize(df.withColumn("_us", micros), "replay-frame")
-    lo, hi = b.agg(F.min("_us"), F.max("_us")).first()
-    lo, hi = (0, 0) if lo is None else (int(lo), int(hi))
-    span = max(1, (hi - lo) // n_slices + 1)
-    slice_col = F.least(F.floor((F.col("_us") - F.lit(lo)) / F.lit(span)), F.lit(n_slices - 1))
+    b = df.withColumn("_us", F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{ts}`)"))
+    number, n_slices = _slices(b, n_slices)
     base = folder.rstrip("/")
-    b.withColumn("slice", slice_col.cast("int")).drop("_us").write.mode("overwrite") \
+    b.withColumn("slice", number).drop("_us").write.mode("overwrite") \
         .partitionBy("slice").parquet(f"{base}/staging")
     return FrameReplay(spark, f"{base}/staging", f"{base}/source", n_slices, df.schema)

@@ -144,5 +144,28 @@ def test_ema_scan_method_null_rule(spark):
     bars = bars.withColumn("close", F.when(F.col("ts").isin("2024-01-01", "2024-01-03", "2024-01-04"), None)
                            .otherwise(F.col("close")))
     out = ind.ema(with_seq(bars), {"e": 3}, with_prev=False, method="scan")
-    # leading NULL stays NULL; NULLs repeat the last value; the next value uses the plain weight 1/2
-    approx_list([r[0] for r in rows_by_ts(out, ["e"])], [None, 1.0, 1.0, 1.0, 2.5, 3.75])
+    # leading NULL stays NULL; NULLs repeat the last value; after two of them the carried value weighs 1/8 against 1/2
+    approx_list([r[0] for r in rows_by_ts(out, ["e"])], [None, 1.0, 1.0, 1.0, 3.4, 4.2])
+    for method, chunk in (("halo", 250_000), ("auto", 250_000), ("auto", 2), ("scan", 2)):
+        same = ind.ema(with_seq(bars), {"e": 3}, with_prev=False, method=method, chunk_rows=chunk)
+        approx_list([r[0] for r in rows_by_ts(same, ["e"])], [None, 1.0, 1.0, 1.0, 3.4, 4.2])
+    from barflow.streaming.protocol import EmaCross
+    strategy = EmaCross(3, 3)
+    state, got = strategy.init_state(), []
+    for x in (float("nan"), 1.0, float("nan"), float("nan"), 4.0, 5.0):
+        state, row = strategy.next(state, x)
+        got.append(row["fast"])
+    approx_list(got[1:], [1.0, 1.0, 1.0, 3.4, 4.2])
+
+
+def test_ema_gap_longer_than_halo_over_a_chunk_start(spark):
+    import numpy as np
+    import pandas as pd
+    from pyspark.sql import functions as F
+    x = [float(10 + (i * 7) % 13) for i in range(500)]
+    bars = with_seq(make_bars(spark, x))
+    bars = bars.withColumn("close", F.when(F.col("seq").between(280, 419) | (F.col("seq") % 7 == 3), None).otherwise(F.col("close")))
+    want = pd.Series([None if 280 <= i <= 419 or i % 7 == 3 else v for i, v in enumerate(x)], dtype=float)
+    want = want.ewm(span=3, adjust=False).mean()
+    got = rows_by_ts(ind.ema(bars, {"e": 3}, with_prev=False, chunk_rows=360), ["e"])
+    assert np.allclose([r[0] for r in got], want, rtol=1e-12)
