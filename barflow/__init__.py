@@ -1,4 +1,4 @@
-"""barflow: trading-strategy backtests over OHLCV bars as Spark DataFrame plans.
+"""barflow: trading strategies over OHLCV bars as Spark DataFrame plans.
 
 Layout:
   sources/    tick frames from tables, JSON bar codec, range scan, bar stream source

@@ -14,17 +14,17 @@ from pyspark.sql import functions as F
 
 from barflow.functions.columns import round_half_up
 from barflow.operators.bars import latest_bars, ohlcv_bar_stream, ohlcv_bars
-from barflow.operators.dedupe import dedupe_bars
+from barflow.operators.dedupe import dedupe_bar_stream, dedupe_bars
 from barflow.operators import indicators as ind
 from barflow.plans import report
-from barflow.plans.custom import backtest_bar_strategy
+from barflow.plans.custom import run_bar_strategy
 from barflow.plans.strategies import (
-    Backtest, backtest_range, ema_crossover, rsi_strategy, series, sma_crossover, trim_warmup, with_warmup,
+    StrategyRun, run_range, ema_crossover, rsi_strategy, series, sma_crossover, trim_warmup, with_warmup,
 )
 from barflow.plans.sweep import sweep_all, sweep_ema, sweep_rsi, sweep_sma
-from barflow.schema import BAR_COLUMNS, INDICATOR_DIGITS, MONEY_DIGITS
+from barflow.schema import BAR_COLUMNS, INDICATOR_DIGITS, MONEY_DIGITS, UPSTREAM_FIELDS
 from barflow.session import default_parallelism
-from barflow.sources.codec import decode_bars, encode_bars, normalise_ts, split_quarantine
+from barflow.sources.codec import decode_bars, encode_bars, normalise_ts, rename_bar_fields, split_quarantine
 from barflow.session import scratch_path
 from barflow.sources.bar_table import read_bar_table, write_bar_table
 from barflow.sources.scan import scan_bars_from_ticks
@@ -72,13 +72,13 @@ def _bars_out(df: DataFrame) -> DataFrame:
     return df.select(*BAR_COLUMNS, "n_ticks")
 
 
-def _final_out(bt: Backtest) -> DataFrame:
+def _final_out(bt: StrategyRun) -> DataFrame:
     f = bt.final
     return f.select(*bt.keys, "n_bars", "n_signals", "n_opened", r2("cash").alias("cash"), "pos",
                     "last_close", r2("final_value").alias("final_value"))
 
 
-def _equity_out(bt: Backtest) -> DataFrame:
+def _equity_out(bt: StrategyRun) -> DataFrame:
     return bt.equity.select(*bt.keys, "ts", "close", r2("cash").alias("cash"), "pos",
                             r2("equity").alias("equity"))
 
@@ -221,9 +221,9 @@ def q_warmup_sma(spark, sf):
     return f.select("symbol", "ts", "close", r6("fast").alias("fast"), r6("slow").alias("slow"), "sig")
 
 
-def q_range_backtest(spark, sf):
+def q_range_run(spark, sf):
     """The form flow: one ticker, a date range, SMA 5/30 with warm-up, final value."""
-    bt = backtest_range(bars_L(spark, sf), SCAN[0], WARMUP[0], WARMUP[1], "sma", CASH,
+    bt = run_range(bars_L(spark, sf), SCAN[0], WARMUP[0], WARMUP[1], "sma", CASH,
                         short_period=SHORT, long_period=LONG)
     return _final_out(bt)
 
@@ -306,7 +306,7 @@ def q_replay_sma(spark, sf):
 
 def q_custom_ema(spark, sf):
     """Y5 in batch: the per-bar EMA strategy class run over whole symbols."""
-    out = backtest_bar_strategy(bars_L(spark, sf), EmaCross(SHORT, LONG), CASH)
+    out = run_bar_strategy(bars_L(spark, sf), EmaCross(SHORT, LONG), CASH)
     return out.select("symbol", "ts", "close", r2("cash").alias("cash"), "pos", r2("equity").alias("equity"))
 
 
@@ -356,6 +356,66 @@ def q_final_sma_orders(spark, sf):
     return _final_out(sma_crossover(bars_O(spark, sf), RSI_CASH, SHORT, LONG))
 
 
+# Rows per chunk of the *_chunked and *_scan queries: small, so that every symbol spans several chunks.
+SMALL_CHUNK = 500
+# Closes of bars whose index is a multiple of this are blanked for the gap queries.
+GAP_EVERY = 7
+
+
+def q_sma_chunked(spark, sf):
+    """I1 with several chunks a symbol."""
+    f = ind.rolling_means(series(bars_L(spark, sf)), {"fast": SHORT, "slow": LONG}, with_prev=False, chunk_rows=SMALL_CHUNK)
+    return f.select("symbol", "ts", "close", r6("fast").alias("fast"), r6("slow").alias("slow"))
+
+
+def q_ema_scan(spark, sf):
+    """The EMA by the affine scan over several chunks a symbol."""
+    f = ind.ema(series(bars_L(spark, sf)), {"fast": SHORT, "slow": LONG}, with_prev=False, method="scan", chunk_rows=SMALL_CHUNK)
+    return f.select("symbol", "ts", "close", r6("fast").alias("fast"), r6("slow").alias("slow"))
+
+
+def q_wilder_scan(spark, sf):
+    """The Wilder averages by the affine scan over several chunks a symbol."""
+    f = ind.wilder(_gains(spark, sf), RSI_N, with_prev=False, method="scan", chunk_rows=SMALL_CHUNK)
+    return f.select("symbol", "ts", r6("avg_gain").alias("avg_gain"), r6("avg_loss").alias("avg_loss"))
+
+
+def q_equity_chunked(spark, sf):
+    """P4 with several chunks a symbol."""
+    return _equity_out(bt_sma(spark, sf, chunk_rows=SMALL_CHUNK))
+
+
+def _gapped(spark, sf):
+    bars = series(bars_L(spark, sf))
+    return bars.withColumn("close", F.when(F.col("seq") % GAP_EVERY != 0, F.col("close")))
+
+
+def q_ema_gaps(spark, sf):
+    """I2 where closes are missing: after k missing ones the carried mean weighs (1-a)^(k+1)."""
+    f = ind.ema(_gapped(spark, sf), {"fast": SHORT, "slow": LONG}, with_prev=False)
+    return f.select("symbol", "ts", "close", r6("fast").alias("fast"), r6("slow").alias("slow"))
+
+
+def q_ema_gaps_chunked(spark, sf):
+    """The same with several chunks a symbol."""
+    f = ind.ema(_gapped(spark, sf), {"fast": SHORT, "slow": LONG}, with_prev=False, chunk_rows=SMALL_CHUNK)
+    return f.select("symbol", "ts", "close", r6("fast").alias("fast"), r6("slow").alias("slow"))
+
+
+def q_stream_dedupe(spark, sf):
+    """Every message comes twice; the query is restarted on its checkpoint for each slice."""
+    bars = bars_L(spark, sf).select(*BAR_COLUMNS)
+    run, hist = _replay_through(spark, bars.unionByName(bars), lambda good: dedupe_bar_stream(good, "36500 days"))
+    return history(spark, hist, run.run_id).select(*BAR_COLUMNS)
+
+
+def q_upstream_fields(spark, sf):
+    """Bars under the upstream's short field names, renamed to the long ones."""
+    short = {long: name for name, long in UPSTREAM_FIELDS.items()}
+    bars = bars_L(spark, sf).withColumnRenamed("ts", "timestamp").drop("n_ticks").withColumnsRenamed(short)
+    return rename_bar_fields(bars).withColumnRenamed("timestamp", "ts").select(*BAR_COLUMNS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bars_daily": q_bars_daily,
     "bars_hourly": q_bars_hourly,
@@ -383,7 +443,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "equity_ema": q_equity_ema,
     "equity_rsi": q_equity_rsi,
     "warmup_sma": q_warmup_sma,
-    "range_backtest": q_range_backtest,
+    "range_run": q_range_run,
     "sweep_sma": q_sweep_sma,
     "sweep_ema": q_sweep_ema,
     "sweep_rsi": q_sweep_rsi,
@@ -398,4 +458,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_ema": q_stream_ema,
     "stream_sma": q_stream_sma,
     "stream_rsi": q_stream_rsi,
+    "sma_chunked": q_sma_chunked,
+    "ema_scan": q_ema_scan,
+    "wilder_scan": q_wilder_scan,
+    "equity_chunked": q_equity_chunked,
+    "ema_gaps": q_ema_gaps,
+    "ema_gaps_chunked": q_ema_gaps_chunked,
+    "stream_dedupe": q_stream_dedupe,
+    "upstream_fields": q_upstream_fields,
 }

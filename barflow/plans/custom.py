@@ -53,7 +53,7 @@ def _run_batches(batches, keys, strategy, cash0, halt, cols):
         yield res
 
 
-def backtest_bar_strategy(bars: DataFrame, strategy: BarStrategy, starting_cash: float,
+def run_bar_strategy(bars: DataFrame, strategy: BarStrategy, starting_cash: float,
                           insolvency: str = "reference",
                           keys: Sequence[str] | str = ("symbol",)) -> DataFrame:
     """Per bar: keys, seq, ts, close, the strategy's columns, sig, cash, pos, equity."""

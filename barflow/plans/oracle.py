@@ -295,7 +295,7 @@ def _warmup_ctes(symbol: str | None = None) -> str:
     {sma_frame_ctes(C.SHORT, C.LONG, 'win')}"""
 
 
-def _range_backtest_q() -> str:
+def _range_run_q() -> str:
     return f"""WITH RECURSIVE {_warmup_ctes(C.SCAN[0])},
     tr AS (SELECT * FROM frame WHERE in_range), {fold_ctes(C.CASH, src='tr')}, {final_select(C.CASH, src='tr')}
     SELECT symbol, n_bars, n_signals, n_opened, {r2('cash')} AS cash, pos, last_close,
@@ -307,6 +307,24 @@ def _warmup_q() -> str:
     SELECT symbol, ts, close, {r6('fast')} AS fast, {r6('slow')} AS slow, sig FROM frame WHERE in_range"""
 
 
+def _ema_gaps_q() -> str:
+    """EMA over closes blanked at every GAP_EVERY-th bar; one missing close lies between two values at most."""
+    def step(y: str, alpha: float) -> str:
+        a = 1.0 / (1.0 + (1.0 - alpha) / alpha)
+        w = f"CASE WHEN (b.seq - 1) % {C.GAP_EVERY} = 0 THEN {dbl((1.0 - a) ** 2)} ELSE {dbl(1.0 - a)} END"
+        return (f"CASE WHEN b.seq % {C.GAP_EVERY} = 0 THEN {y} WHEN {y} IS NULL THEN b.close "
+                f"ELSE (({w}) * {y} + {dbl(a)} * b.close) / (({w}) + {dbl(a)}) END")
+
+    return f"""WITH RECURSIVE {series_ctes('L')},
+    ema(symbol, seq, fast, slow) AS (
+        SELECT symbol, seq, CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE) FROM b WHERE seq = 0
+        UNION ALL
+        SELECT b.symbol, b.seq, {step('e.fast', 2.0 / (C.SHORT + 1))}, {step('e.slow', 2.0 / (C.LONG + 1))}
+        FROM ema e JOIN b ON b.symbol = e.symbol AND b.seq = e.seq + 1)
+    SELECT symbol, ts, CASE WHEN seq % {C.GAP_EVERY} <> 0 THEN close END AS close,
+           {r6('e.fast')} AS fast, {r6('e.slow')} AS slow FROM b JOIN ema e USING (symbol, seq)"""
+
+
 def oracle_sql() -> dict[str, str]:
     sym, lo, hi = C.SCAN
     q: dict[str, str] = {
@@ -348,7 +366,7 @@ def oracle_sql() -> dict[str, str]:
         "equity_ema": _equity_q("ema"),
         "equity_rsi": _equity_q("rsi"),
         "warmup_sma": _warmup_q(),
-        "range_backtest": _range_backtest_q(),
+        "range_run": _range_run_q(),
         "sweep_sma": _sweep_q(),
         "sweep_ema": _sweep_ema_q(),
         "sweep_rsi": _sweep_rsi_q(),
@@ -373,4 +391,10 @@ def oracle_sql() -> dict[str, str]:
     q["stream_ema"] = q["equity_ema"]
     q["stream_sma"] = q["equity_sma"]
     q["stream_rsi"] = q["equity_rsi"]
+    q["sma_chunked"] = q["sma"]
+    q["ema_scan"] = q["ema"]
+    q["wilder_scan"] = q["wilder"]
+    q["equity_chunked"] = q["equity_sma"]
+    q["ema_gaps"] = q["ema_gaps_chunked"] = _ema_gaps_q()
+    q["stream_dedupe"] = q["upstream_fields"] = q["dedupe"]
     return q

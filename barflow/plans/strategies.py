@@ -2,7 +2,7 @@
 
 bars -> seq -> indicators (+prev) -> signal -> ledger fold -> final / equity.
 Every function takes bars with ``symbol, ts, open, high, low, close`` (extra
-columns ride along) and returns a ``Backtest`` of lazy DataFrames.
+columns ride along) and returns a ``StrategyRun`` of lazy DataFrames.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from barflow.session import materialize
 
 
 @dataclass
-class Backtest:
+class StrategyRun:
     """A strategy run. ``frame`` is the per-bar plan (bar columns, seq,
     indicators, sig); ``keys`` identify one series (a NULL key value is a series of
     its own: key joins are null-safe). The ledger, final values and equity read a stored copy
@@ -76,40 +76,40 @@ def _prepare(bars: DataFrame, keys) -> DataFrame:
 
 def sma_crossover(bars: DataFrame, starting_cash: float = DEFAULT_CASH, short_period: int = DEFAULT_SHORT,
                   long_period: int = DEFAULT_LONG, insolvency: str = "reference",
-                  keys: Sequence[str] | str = ("symbol",), chunk_rows: int = DEFAULT_CHUNK_ROWS) -> Backtest:
+                  keys: Sequence[str] | str = ("symbol",), chunk_rows: int = DEFAULT_CHUNK_ROWS) -> StrategyRun:
     """Simple moving-average crossover."""
     ks = _keys(keys)
     f = ind.rolling_means(_prepare(bars, ks), {"fast": short_period, "slow": long_period},
                           keys=ks, chunk_rows=chunk_rows)
     f = with_cross_signal(f, "fast", "slow")
-    return Backtest("sma", f, float(starting_cash), ks, insolvency, chunk_rows, ("fast", "slow"))
+    return StrategyRun("sma", f, float(starting_cash), ks, insolvency, chunk_rows, ("fast", "slow"))
 
 
 def ema_crossover(bars: DataFrame, starting_cash: float = DEFAULT_CASH, short_period: int = DEFAULT_SHORT,
                   long_period: int = DEFAULT_LONG, insolvency: str = "reference",
-                  keys: Sequence[str] | str = ("symbol",), chunk_rows: int = DEFAULT_CHUNK_ROWS) -> Backtest:
+                  keys: Sequence[str] | str = ("symbol",), chunk_rows: int = DEFAULT_CHUNK_ROWS) -> StrategyRun:
     """Exponential moving-average crossover."""
     ks = _keys(keys)
     f = ind.ema(_prepare(bars, ks), {"fast": short_period, "slow": long_period},
                 keys=ks, chunk_rows=chunk_rows)
     f = with_cross_signal(f, "fast", "slow")
-    return Backtest("ema", f, float(starting_cash), ks, insolvency, chunk_rows, ("fast", "slow"))
+    return StrategyRun("ema", f, float(starting_cash), ks, insolvency, chunk_rows, ("fast", "slow"))
 
 
 def rsi_strategy(bars: DataFrame, starting_cash: float = DEFAULT_CASH, rsi_period: int = DEFAULT_RSI_PERIOD,
                  insolvency: str = "reference", keys: Sequence[str] | str = ("symbol",),
-                 chunk_rows: int = DEFAULT_CHUNK_ROWS) -> Backtest:
+                 chunk_rows: int = DEFAULT_CHUNK_ROWS) -> StrategyRun:
     """Buy on leaving the oversold zone upward, sell on leaving overbought downward."""
     ks = _keys(keys)
     f = ind.rsi(_prepare(bars, ks), rsi_period, keys=ks, chunk_rows=chunk_rows)
     f = with_threshold_signal(f, "rsi")
-    return Backtest("rsi", f, float(starting_cash), ks, insolvency, chunk_rows, ("rsi",))
+    return StrategyRun("rsi", f, float(starting_cash), ks, insolvency, chunk_rows, ("rsi",))
 
 
 STRATEGIES = {"sma": sma_crossover, "ema": ema_crossover, "rsi": rsi_strategy}
 
 
-def run_strategy(name: str, bars: DataFrame, **params) -> Backtest:
+def run_strategy(name: str, bars: DataFrame, **params) -> StrategyRun:
     """Dispatch by name; periods must be integers >= 1."""
     if name not in STRATEGIES:
         raise ValueError(f"unknown strategy {name!r}; expected one of {sorted(STRATEGIES)}")
@@ -148,9 +148,9 @@ def trim_warmup(frame: DataFrame) -> DataFrame:
     return frame.filter(F.col("in_range"))
 
 
-def backtest_range(bars: DataFrame, symbol: str | None, start: str, end: str, strategy: str = "sma",
+def run_range(bars: DataFrame, symbol: str | None, start: str, end: str, strategy: str = "sma",
                    starting_cash: float = DEFAULT_CASH, warmup: bool = True, insolvency: str = "reference",
-                   **params) -> Backtest:
+                   **params) -> StrategyRun:
     """One run of the form "ticker, dates, cash, strategy, periods".
 
     Bars of ``symbol`` (all symbols when None) in [start, end]; with ``warmup``
@@ -168,5 +168,5 @@ def backtest_range(bars: DataFrame, symbol: str | None, start: str, end: str, st
     b = bars if symbol is None else bars.filter(F.col("symbol") == symbol)
     win = with_warmup(b, start, end, lookback if warmup else 0)
     bt = run_strategy(strategy, win, starting_cash=starting_cash, insolvency=insolvency, **params)
-    return Backtest(bt.name, trim_warmup(bt.frame), bt.starting_cash, bt.keys, bt.insolvency,
+    return StrategyRun(bt.name, trim_warmup(bt.frame), bt.starting_cash, bt.keys, bt.insolvency,
                     bt.chunk_rows, bt.overlays)

@@ -16,13 +16,13 @@ from pyspark.sql import functions as F
 from barflow.operators import indicators as ind
 from barflow.operators.sequence import DEFAULT_CHUNK_ROWS, _keys
 from barflow.operators.signals import with_cross_signal, with_threshold_signal
-from barflow.plans.strategies import Backtest, _prepare
+from barflow.plans.strategies import StrategyRun, _prepare
 from barflow.schema import DEFAULT_CASH
 
 
 def sweep_sma(bars: DataFrame, pairs: Sequence[tuple[int, int]], starting_cash: float = DEFAULT_CASH,
               insolvency: str = "reference", keys: Sequence[str] | str = ("symbol",),
-              chunk_rows: int = DEFAULT_CHUNK_ROWS) -> Backtest:
+              chunk_rows: int = DEFAULT_CHUNK_ROWS) -> StrategyRun:
     """Y2 for the SMA crossover."""
     ks = _keys(keys)
     if not pairs:
@@ -35,7 +35,7 @@ def sweep_sma(bars: DataFrame, pairs: Sequence[tuple[int, int]], starting_cash:
 
 def sweep_ema(bars: DataFrame, pairs: Sequence[tuple[int, int]], starting_cash: float = DEFAULT_CASH,
               insolvency: str = "reference", keys: Sequence[str] | str = ("symbol",),
-              chunk_rows: int = DEFAULT_CHUNK_ROWS) -> Backtest:
+              chunk_rows: int = DEFAULT_CHUNK_ROWS) -> StrategyRun:
     """Y2 for the EMA crossover: every distinct span in one recurrence pass."""
     ks = _keys(keys)
     if not pairs:
@@ -45,7 +45,7 @@ def sweep_ema(bars: DataFrame, pairs: Sequence[tuple[int, int]], starting_cash:
     return _explode_pairs(f, pairs, "ema", ks, starting_cash, insolvency, chunk_rows)
 
 
-def _explode_pairs(f: DataFrame, pairs, prefix: str, ks, starting_cash, insolvency, chunk_rows) -> Backtest:
+def _explode_pairs(f: DataFrame, pairs, prefix: str, ks, starting_cash, insolvency, chunk_rows) -> StrategyRun:
     grid = F.array(*[
         F.struct(F.lit(i).alias("param_id"), F.lit(int(s)).alias("fast_period"),
                  F.lit(int(l_)).alias("slow_period"),
@@ -55,13 +55,13 @@ def _explode_pairs(f: DataFrame, pairs, prefix: str, ks, starting_cash, insolven
     base = [c for c in f.columns if not c.startswith(f"{prefix}_") and not c.startswith(f"prev_{prefix}_")]
     exploded = f.select(*base, F.explode(grid).alias("_p")).select(*base, "_p.*")
     framed = with_cross_signal(exploded, "fast", "slow")
-    return Backtest(prefix, framed, float(starting_cash), [*ks, "param_id", "fast_period", "slow_period"],
+    return StrategyRun(prefix, framed, float(starting_cash), [*ks, "param_id", "fast_period", "slow_period"],
                     insolvency, chunk_rows, ("fast", "slow"))
 
 
 def sweep_rsi(bars: DataFrame, periods: Sequence[int], starting_cash: float = DEFAULT_CASH,
               insolvency: str = "reference", keys: Sequence[str] | str = ("symbol",),
-              chunk_rows: int = DEFAULT_CHUNK_ROWS) -> Backtest:
+              chunk_rows: int = DEFAULT_CHUNK_ROWS) -> StrategyRun:
     """Y2 for the RSI strategy: every period's RSI in one window and one
     recurrence pass, then one ledger per (symbol, period)."""
     ks = _keys(keys)
@@ -75,13 +75,13 @@ def sweep_rsi(bars: DataFrame, periods: Sequence[int], starting_cash: float = DE
     base = [c for c in f.columns if not c.startswith(("rsi_", "prev_rsi_"))]
     exploded = f.select(*base, F.explode(grid).alias("_p")).select(*base, "_p.*")
     framed = with_threshold_signal(exploded, "rsi")
-    return Backtest("rsi", framed, float(starting_cash), [*ks, "param_id", "rsi_period"],
+    return StrategyRun("rsi", framed, float(starting_cash), [*ks, "param_id", "rsi_period"],
                     insolvency, chunk_rows, ("rsi",))
 
 
 def sweep_all(bars: DataFrame, sma_pairs: Sequence[tuple[int, int]] = (), ema_pairs: Sequence[tuple[int, int]] = (),
               rsi_periods: Sequence[int] = (), starting_cash: float = DEFAULT_CASH, insolvency: str = "reference",
-              keys: Sequence[str] | str = ("symbol",), chunk_rows: int = DEFAULT_CHUNK_ROWS) -> Backtest:
+              keys: Sequence[str] | str = ("symbol",), chunk_rows: int = DEFAULT_CHUNK_ROWS) -> StrategyRun:
     """Y2 across strategies: the SMA, EMA and RSI grids in one frame and one
     ledger job keyed by (symbol, strategy, param_id). Each strategy's row
     carries ``param_a``/``param_b``: fast/slow periods, or the RSI period and 0
@@ -103,5 +103,5 @@ def sweep_all(bars: DataFrame, sma_pairs: Sequence[tuple[int, int]] = (), ema_pa
     framed = parts[0]
     for p in parts[1:]:
         framed = framed.unionByName(p)
-    return Backtest("all", framed, float(starting_cash), [*ks, "strategy", "param_id", "param_a", "param_b"],
+    return StrategyRun("all", framed, float(starting_cash), [*ks, "strategy", "param_id", "param_a", "param_b"],
                     insolvency, chunk_rows, ())

@@ -1,4 +1,4 @@
-"""Run control for a replayed backtest.
+"""Run control for a replayed strategy run.
 
 A run owns a fresh ``run_id`` and its own checkpoint, source and history
 folders under the shared checkpoint directory. Starting a new run stops the

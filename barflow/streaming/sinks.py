@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter
 
 
 def accumulate(path: str, run_id: str):
@@ -29,17 +28,14 @@ def history(spark: SparkSession, path: str, run_id: str, schema=None) -> DataFra
     return reader.parquet(f"{path.rstrip('/')}/run_id={run_id}")
 
 
-def memory_table(stream: DataFrame, name: str, trigger_ms: int | None = None,
-                 checkpoint: str | None = None):
-    """Append a stream into an in-memory table queryable by ``name``."""
-    w: DataStreamWriter = stream.writeStream.format("memory").queryName(name).outputMode("append")
-    if checkpoint:
-        w = w.option("checkpointLocation", checkpoint)
-    if trigger_ms:
-        w = w.trigger(processingTime=f"{int(trigger_ms)} milliseconds")
-    return w.start()
+def live_view(spark: SparkSession, path: str, run_id: str, name: str, schema) -> DataFrame:
+    """The run's accumulated history as a view queryable by ``name``; the rows stay in the
+    history's files. Call it again to see batches written since."""
+    view = history(spark, path, run_id, schema)
+    view.createOrReplaceTempView(name)
+    return view
 
 
-def snapshot(spark: SparkSession, name: str) -> DataFrame:
+def snapshot(spark: SparkSession, path: str, run_id: str, schema=None) -> DataFrame:
     """Everything received so far, by time."""
-    return spark.table(name).orderBy(F.col("ts").asc_nulls_last())
+    return history(spark, path, run_id, schema).orderBy(F.col("ts").asc_nulls_last())

@@ -34,7 +34,7 @@ def test_prefix_law_and_final_is_last_equity(spark, make):
 
 
 def test_bar_strategy_batch_runner_equals_builtin(spark):
-    from barflow.plans.custom import backtest_bar_strategy
+    from barflow.plans.custom import run_bar_strategy
     from barflow.streaming.protocol import EmaCross, RsiThreshold, SmaCross
     a = make_bars(spark, _walk(90, 5), "A")
     b = make_bars(spark, _walk(70, 9), "B")
@@ -42,7 +42,7 @@ def test_bar_strategy_batch_runner_equals_builtin(spark):
     for strat, builtin, cols in [(SmaCross(3, 8), sma_crossover(bars, 500.0, 3, 8), ["fast", "slow"]),
                                  (EmaCross(3, 8), ema_crossover(bars, 500.0, 3, 8), ["fast", "slow"]),
                                  (RsiThreshold(4), rsi_strategy(bars, 500.0, 4), ["rsi"])]:
-        got = {(r["symbol"], r["ts"]): r for r in backtest_bar_strategy(bars, strat, 500.0).collect()}
+        got = {(r["symbol"], r["ts"]): r for r in run_bar_strategy(bars, strat, 500.0).collect()}
         want = {(r["symbol"], r["ts"]): r for r in builtin.equity.collect()}
         assert got.keys() == want.keys()
         for k, w in want.items():
@@ -52,12 +52,12 @@ def test_bar_strategy_batch_runner_equals_builtin(spark):
                 assert (g[c] is None and w[c] is None) or abs(g[c] - w[c]) < 1e-9, (k, c, g[c], w[c])
 
 
-def test_backtest_range_warmup_matches_full_history(spark):
+def test_run_range_warmup_matches_full_history(spark):
     import datetime as dt
-    from barflow.plans.strategies import backtest_range
+    from barflow.plans.strategies import run_range
     bars = make_bars(spark, _walk(120, 21), "A").unionByName(make_bars(spark, _walk(120, 4), "B"))
     start, end = dt.datetime(2024, 2, 20), dt.datetime(2024, 4, 10)
-    bt = backtest_range(bars, "A", "2024-02-20", "2024-04-10", "sma", 500.0, short_period=3, long_period=8)
+    bt = run_range(bars, "A", "2024-02-20", "2024-04-10", "sma", 500.0, short_period=3, long_period=8)
     ranged = {r["ts"]: (r["fast"], r["slow"], r["sig"]) for r in bt.frame.collect()}
     full = {r["ts"]: (r["fast"], r["slow"], r["sig"])
             for r in sma_crossover(bars.filter("symbol = 'A'"), 500.0, 3, 8).frame.collect()
@@ -101,10 +101,10 @@ def test_null_key_values_form_their_own_series(spark):
         assert eq.filter(F.col("grp").isNull()).count() == 80 and eq.count() == 160
 
 
-def test_backtest_range_without_warmup_equals_cut_series(spark):
-    from barflow.plans.strategies import backtest_range
+def test_run_range_without_warmup_equals_cut_series(spark):
+    from barflow.plans.strategies import run_range
     bars = make_bars(spark, _walk(120, 41), "A")
-    bt = backtest_range(bars, "A", "2024-02-20", "2024-04-10", "ema", 500.0, warmup=False,
+    bt = run_range(bars, "A", "2024-02-20", "2024-04-10", "ema", 500.0, warmup=False,
                         short_period=3, long_period=8)
     cut = bars.filter("ts >= '2024-02-20' and ts < '2024-04-11'")
     want = ema_crossover(cut, 500.0, 3, 8).final.collect()[0]

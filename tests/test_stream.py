@@ -11,7 +11,7 @@ from barflow.sources.ticks import lineitem_ticks, order_ticks
 from barflow.streaming.control import Run
 from barflow.streaming.protocol import EmaCross, RsiThreshold, SmaCross
 from barflow.streaming.replay import stage_replay
-from barflow.streaming.sinks import accumulate, history, memory_table, snapshot
+from barflow.streaming.sinks import accumulate, history, live_view, snapshot
 from barflow.streaming.source import bar_stream, parsed_bars
 from barflow.streaming.stateful import stream_strategy
 
@@ -70,18 +70,46 @@ def test_stream_sma_and_rsi_equal_batch(spark):
     _compare(out.collect(), rsi_strategy(obars, 100000.0, 5).equity.collect(), ["rsi", "sig", "equity"])
 
 
-def test_memory_sink_snapshot(spark):
+def test_live_view_and_snapshot(spark):
     bars = ohlcv_bars(lineitem_ticks(spark, SF001)).select(*BAR_COLUMNS)
     run = Run(spark)
+    hist = f"{run.folder}/history"
     rep = stage_replay(bars, f"{run.folder}/replay", 2)
-    rep.feed(0)
-    rep.feed(1)
-    good, _ = parsed_bars(bar_stream(spark, rep.source))
-    q = memory_table(good, "ohlcv_table_test", checkpoint=run.checkpoint)
-    q.processAllAvailable()
-    snap = snapshot(spark, "ohlcv_table_test")
-    assert snap.count() == bars.count()
-    q.stop()
+
+    def drain(_k):
+        good, _ = parsed_bars(bar_stream(spark, rep.source))
+        run.drain(good, foreach_batch=accumulate(hist, run.run_id))
+
+    rep.feed_all(after_each=drain)
+    live_view(spark, hist, run.run_id, "live_bars", bars.schema)
+    assert spark.table("live_bars").count() == bars.count()
+    stamps = [r["ts"] for r in snapshot(spark, hist, run.run_id).collect()]
+    assert stamps == sorted(stamps) and len(stamps) == bars.count()
+
+
+def test_replay_of_many_files_a_slice_loses_nothing(spark):
+    """Slices of many files each: a drained slice is read whole, so nothing comes late."""
+    bars = ohlcv_bars(lineitem_ticks(spark, SF001)).select(*BAR_COLUMNS)
+    bars = spark.createDataFrame(bars.toPandas(), bars.schema).repartition(64)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled",)}
+    for k in old:
+        spark.conf.set(k, "false")
+    try:
+        run = Run(spark)
+        hist = f"{run.folder}/history"
+        rep = stage_replay(bars, f"{run.folder}/replay", 3)
+
+        def drain(_k):
+            good, _ = parsed_bars(bar_stream(spark, rep.source))
+            run.drain(stream_strategy(good, EmaCross(5, 30), 1000.0), foreach_batch=accumulate(hist, run.run_id))
+
+        rep.feed_all(after_each=drain)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    out = history(spark, hist, run.run_id)
+    assert out.filter("late").count() == 0
+    _compare(out.collect(), ema_crossover(bars, 1000.0, 5, 30).equity.collect(), ["fast", "slow", "sig", "equity"])
 
 
 def test_dedupe_stream_and_publish_roundtrip(spark):
@@ -94,10 +122,9 @@ def test_dedupe_stream_and_publish_roundtrip(spark):
     publish_bars(bars, src)
     publish_bars(bars, src)  # every message twice
     good, _ = parsed_bars(bar_stream(spark, src))
-    q = memory_table(dedupe_bar_stream(good, "30 days"), "dedup_test", checkpoint=run.checkpoint)
-    q.processAllAvailable()
-    q.stop()
-    got = spark.table("dedup_test")
+    hist = f"{run.folder}/history"
+    run.drain(dedupe_bar_stream(good, "30 days"), foreach_batch=accumulate(hist, run.run_id))
+    got = history(spark, hist, run.run_id)
     assert got.count() == bars.count()
     assert got.select(*BAR_COLUMNS).exceptAll(bars).count() == 0
 
@@ -119,8 +146,8 @@ def test_available_now_runs_resume_from_checkpoint(spark):
     _compare(out.collect(), ema_crossover(bars, 1000.0, 5, 30).equity.collect(), ["fast", "slow", "sig", "equity"])
 
 
-def test_stream_warmup_equals_backtest_range(spark):
-    from barflow.plans.strategies import backtest_range, with_warmup
+def test_stream_warmup_equals_run_range(spark):
+    from barflow.plans.strategies import run_range, with_warmup
 
     bars = ohlcv_bars(lineitem_ticks(spark, SF001)).select(*BAR_COLUMNS)
     start, end = "1997-01-01", "1997-12-31"
@@ -139,7 +166,7 @@ def test_stream_warmup_equals_backtest_range(spark):
         q.processAllAvailable()
     run.stop()
     out = history(spark, hist, run.run_id)
-    batch = backtest_range(bars, None, start, end, "sma", 1000.0, short_period=5, long_period=30)
+    batch = run_range(bars, None, start, end, "sma", 1000.0, short_period=5, long_period=30)
     _compare(out.collect(), batch.equity.collect(), ["fast", "slow", "sig", "cash", "pos", "equity"])
 
 
