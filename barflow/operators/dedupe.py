@@ -3,14 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from barflow.functions.columns import event_time
 
 
 def dedupe_bars(bars: DataFrame, keys=("symbol", "ts")) -> DataFrame:
-    """Batch: one row per (symbol, ts). A hash aggregate on a near-unique key,
-    pre-aggregated map-side."""
-    return bars.dropDuplicates(list(keys))
+    """Batch: one row per (symbol, ts), the least by the other columns if they differ,
+    so the survivor does not depend on the partitioning. An aggregate on a near-unique
+    key, pre-aggregated map-side."""
+    ks = list(keys)
+    rest = [c for c in bars.columns if c not in ks]
+    if not rest:
+        return bars.distinct()
+    kept = bars.groupBy(*ks).agg(F.min(F.struct(*rest)).alias("_kept"))
+    return kept.select(*ks, "_kept.*").select(*bars.columns)
 
 
 def dedupe_bar_stream(stream: DataFrame, delay: str = "1 day", keys=("symbol", "ts")) -> DataFrame:

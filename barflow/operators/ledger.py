@@ -15,11 +15,11 @@ from collections.abc import Sequence
 from functools import partial
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barflow.operators.sequence import DEFAULT_CHUNK_ROWS, _keys, ffill_last, join_on
+from barflow.operators.sequence import CHUNK, DEFAULT_CHUNK_ROWS, _keys, chunk_of, join_on
 
 INSOLVENCY_MODES = ("reference", "halt")
 
@@ -118,17 +118,66 @@ def final_values(frame: DataFrame, trades: DataFrame, starting_cash: float,
                     F.col("_bar.close").alias("last_close"), (cash + pos * F.col("_bar.close")).alias("final_value"))
 
 
+def sweep_final_values(bars: DataFrame, signals: DataFrame, trades: DataFrame, grid: Sequence[dict], starting_cash: float,
+                       keys: Sequence[str], seq: str = "seq") -> DataFrame:
+    """P3 for a grid of parameter sets: last close and bar count once per series, then one row per set.
+
+    ``keys`` are the series keys followed by the columns of ``grid``. The rows of all three inputs
+    go through one aggregate together.
+    """
+    sets = list(grid[0])
+    series = [k for k in keys if k not in sets]
+    last = bars.groupBy(*series).agg(F.max_by("close", seq).alias("last_close"), F.count(F.lit(1)).alias("n_bars"))
+    each = F.explode(F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in g.items()]) for g in grid])).alias("_g")
+    null = F.lit(None)
+    state = f"struct<{seq}:bigint,cash:double,pos:bigint>"
+    rows = last.select(*series, "last_close", "n_bars", each).select(
+        *series, "_g.*", "last_close", "n_bars", null.cast("long").alias("_sig"), null.cast(state).alias("_state"),
+        null.cast("long").alias("_open"))
+    marks = signals.select(*keys, null.cast("double").alias("last_close"), null.cast("long").alias("n_bars"), F.lit(1).cast("long").alias("_sig"),
+                           null.cast(state).alias("_state"), null.cast("long").alias("_open"))
+    states = trades.select(*keys, null.cast("double").alias("last_close"), null.cast("long").alias("n_bars"), null.cast("long").alias("_sig"),
+                           F.struct(F.col(seq).cast("long").alias(seq), "cash", "pos").alias("_state"),
+                           (F.col("opened") != 0).cast("long").alias("_open"))
+    zero = F.lit(0).cast("long")
+    j = rows.unionByName(marks).unionByName(states).groupBy(*keys).agg(
+        F.max("last_close").alias("last_close"), F.max("n_bars").alias("n_bars"), F.coalesce(F.sum("_sig"), zero).alias("n_signals"),
+        F.max_by("_state", f"_state.{seq}").alias("_state"), F.coalesce(F.sum("_open"), zero).alias("n_opened"))
+    cash = F.coalesce(F.col("_state.cash"), F.lit(float(starting_cash)))
+    pos = F.coalesce(F.col("_state.pos"), zero)
+    return j.select(*keys, "n_bars", "n_signals", "n_opened", cash.alias("cash"), pos.alias("pos"), "last_close",
+                    (cash + pos * F.col("last_close")).alias("final_value"))
+
+
 def equity_curve(frame: DataFrame, trades: DataFrame, starting_cash: float,
                  keys: Sequence[str] | str = ("symbol",), seq: str = "seq",
                  chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """Per bar, the state after the latest signal at or before it and
-    equity = cash + pos · close."""
+    equity = cash + pos · close.
+
+    Bars, trades and the state that enters each chunk are rows of one frame dealt by
+    (key, chunk): one large shuffle, one window. The entering states come from the
+    trades alone (the last one of a chunk holds until the next chunk with one).
+    """
     ks = _keys(keys)
-    st = trades.select(*ks, seq, "cash", "pos", F.lit(True).alias("_has"))
-    j = join_on(frame, st, [*ks, seq], "left").withColumn("_has", F.coalesce("_has", F.lit(False)))
-    filled = ffill_last(j, "_has", ["cash", "pos"], keys=ks, seq=seq, chunk_rows=chunk_rows)
-    cash = F.coalesce(F.col("cash"), F.lit(float(starting_cash)))
-    pos = F.coalesce(F.col("pos"), F.lit(0).cast("long"))
-    return (filled.withColumn("cash", cash).withColumn("pos", pos)
-            .withColumn("equity", F.col("cash") + F.col("pos") * F.col("close"))
-            .drop("_has"))
+    chunk = chunk_of(seq, chunk_rows)
+    state = F.struct("cash", "pos")
+    bars = frame.select(*ks, F.col(seq).cast("long").alias("_at"), chunk.alias(CHUNK), F.lit(2).alias("_kind"),
+                        F.struct(*frame.columns).alias("_bar"))
+    none = F.lit(None).cast(bars.schema["_bar"].dataType)
+    empty = F.lit(None).cast("struct<cash:double,pos:bigint>")
+    marks = trades.select(*ks, F.col(seq).cast("long").alias("_at"), chunk.alias(CHUNK), F.lit(1).alias("_kind"), none.alias("_bar"), state.alias("_state"))
+    ends = marks.groupBy(*ks, CHUNK).agg(F.max_by("_state", "_at").alias("_state"))
+    last = join_on(ends, frame.groupBy(*ks).agg(F.max(chunk).alias("_last")), ks)
+    following = F.lead(CHUNK).over(Window.partitionBy(*ks).orderBy(CHUNK))
+    until = F.coalesce(following, F.col("_last"))
+    entering = (last.withColumn("_to", until).where(F.col("_to") > F.col(CHUNK))
+                .withColumn(CHUNK, F.explode(F.sequence(F.col(CHUNK) + 1, F.col("_to"))))
+                .select(*ks, (F.col(CHUNK) * int(chunk_rows)).cast("long").alias("_at"), CHUNK, F.lit(0).alias("_kind"), none.alias("_bar"), "_state"))
+    order = Window.partitionBy(*ks, CHUNK).orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    filled = (bars.withColumn("_state", empty).unionByName(marks).unionByName(entering)
+              .withColumn("_state", F.last("_state", ignorenulls=True).over(order)).where("_kind = 2"))
+    cash = F.coalesce(F.col("_state.cash"), F.lit(float(starting_cash)))
+    pos = F.coalesce(F.col("_state.pos"), F.lit(0).cast("long"))
+    return (filled.select("_bar.*", cash.alias("cash"), pos.alias("pos"))
+            .withColumn("equity", F.col("cash") + F.col("pos") * F.col("close")))

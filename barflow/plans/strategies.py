@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barflow.operators import indicators as ind
-from barflow.operators.ledger import equity_curve, final_values, run_ledger
+from barflow.operators.ledger import equity_curve, final_values, run_ledger, sweep_final_values
 from barflow.operators.sequence import DEFAULT_CHUNK_ROWS, _keys, join_on, with_seq
 from barflow.operators.signals import with_cross_signal, with_threshold_signal
 from barflow.schema import DEFAULT_CASH, DEFAULT_LONG, DEFAULT_RSI_PERIOD, DEFAULT_SHORT
@@ -36,6 +36,11 @@ class StrategyRun:
     insolvency: str = "reference"
     chunk_rows: int = DEFAULT_CHUNK_ROWS
     overlays: tuple[str, ...] = ()
+    # Of a sweep: the signal rows, the series' bars (keys, seq, close) and the parameter sets.
+    signals: DataFrame | None = None
+    series_bars: DataFrame | None = None
+    grid: list[dict] | None = None
+    _stored_signals: DataFrame | None = field(default=None, repr=False)
     _stored: DataFrame | None = field(default=None, repr=False)
     _trades: DataFrame | None = field(default=None, repr=False)
 
@@ -45,21 +50,30 @@ class StrategyRun:
             self._stored = materialize(self.frame, f"{self.name}-frame")
         return self._stored
 
+    @property
+    def stored_signals(self) -> DataFrame:
+        if self._stored_signals is None:
+            self._stored_signals = materialize(self.signals, f"{self.name}-signals")
+        return self._stored_signals
+
     @property
     def trades(self) -> DataFrame:
         if self._trades is None:
+            source = self.stored_frame if self.signals is None else self.stored_signals
             self._trades = materialize(
-                run_ledger(self.stored_frame, self.starting_cash, self.keys, insolvency=self.insolvency),
+                run_ledger(source, self.starting_cash, self.keys, insolvency=self.insolvency),
                 f"{self.name}-trades")
         return self._trades
 
     @property
     def final(self) -> DataFrame:
+        if self.signals is not None:
+            return sweep_final_values(self.series_bars, self.stored_signals, self.trades, self.grid, self.starting_cash, self.keys)
         return final_values(self.stored_frame, self.trades, self.starting_cash, self.keys)
 
     @property
     def equity(self) -> DataFrame:
-        return equity_curve(self.stored_frame, self.trades, self.starting_cash, self.keys,
+        return equity_curve(self.frame if self.signals is not None else self.stored_frame, self.trades, self.starting_cash, self.keys,
                             chunk_rows=self.chunk_rows)
 
 

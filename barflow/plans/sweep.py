@@ -2,22 +2,24 @@
 
 Each *distinct* period gets one indicator column, computed once: for the SMA
 all in one window node (frames must be literals; one sort per chunk), for the
-EMA all in one recurrence pass. The pairs are then exploded into rows and every
-(symbol, pair) runs its own ledger, in parallel.
+EMA all in one recurrence pass. Each parameter set is one signal expression; only
+the bars with a signal become rows (one for each set that has one there), and every
+(symbol, set) runs its own ledger, in parallel. Bars are never multiplied by sets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barflow.operators import indicators as ind
 from barflow.operators.sequence import DEFAULT_CHUNK_ROWS, _keys
-from barflow.operators.signals import with_cross_signal, with_threshold_signal
+from barflow.functions.columns import cross_signal, threshold_signal
 from barflow.plans.strategies import StrategyRun, _prepare
-from barflow.schema import DEFAULT_CASH
+from barflow.schema import DEFAULT_CASH, RSI_HIGH, RSI_LOW
 
 
 def sweep_sma(bars: DataFrame, pairs: Sequence[tuple[int, int]], starting_cash: float = DEFAULT_CASH,
@@ -28,9 +30,10 @@ def sweep_sma(bars: DataFrame, pairs: Sequence[tuple[int, int]], starting_cash:
     if not pairs:
         raise ValueError("at least one (fast, slow) pair is required")
     periods = sorted({int(p) for pair in pairs for p in pair})
-    f = ind.rolling_means(_prepare(bars, ks), {f"sma_{p}": p for p in periods}, keys=ks,
+    bars = _prepare(bars, ks)
+    f = ind.rolling_means(bars, {f"sma_{p}": p for p in periods}, keys=ks,
                           chunk_rows=chunk_rows)
-    return _explode_pairs(f, pairs, "sma", ks, starting_cash, insolvency, chunk_rows)
+    return _explode_pairs(bars, f, pairs, "sma", ks, starting_cash, insolvency, chunk_rows)
 
 
 def sweep_ema(bars: DataFrame, pairs: Sequence[tuple[int, int]], starting_cash: float = DEFAULT_CASH,
@@ -41,22 +44,33 @@ def sweep_ema(bars: DataFrame, pairs: Sequence[tuple[int, int]], starting_cash:
     if not pairs:
         raise ValueError("at least one (fast, slow) pair is required")
     spans = sorted({int(p) for pair in pairs for p in pair})
-    f = ind.ema(_prepare(bars, ks), {f"ema_{p}": p for p in spans}, keys=ks, chunk_rows=chunk_rows)
-    return _explode_pairs(f, pairs, "ema", ks, starting_cash, insolvency, chunk_rows)
+    bars = _prepare(bars, ks)
+    f = ind.ema(bars, {f"ema_{p}": p for p in spans}, keys=ks, chunk_rows=chunk_rows)
+    return _explode_pairs(bars, f, pairs, "ema", ks, starting_cash, insolvency, chunk_rows)
+
 
+def _pair_params(pairs) -> list[dict[str, int]]:
+    return [{"param_id": i, "fast_period": int(s), "slow_period": int(l_)} for i, (s, l_) in enumerate(pairs)]
 
-def _explode_pairs(f: DataFrame, pairs, prefix: str, ks, starting_cash, insolvency, chunk_rows) -> StrategyRun:
-    grid = F.array(*[
-        F.struct(F.lit(i).alias("param_id"), F.lit(int(s)).alias("fast_period"),
-                 F.lit(int(l_)).alias("slow_period"),
-                 F.col(f"{prefix}_{s}").alias("fast"), F.col(f"{prefix}_{l_}").alias("slow"),
-                 F.col(f"prev_{prefix}_{s}").alias("prev_fast"), F.col(f"prev_{prefix}_{l_}").alias("prev_slow"))
-        for i, (s, l_) in enumerate(pairs)])
+
+def _explode_pairs(bars: DataFrame, f: DataFrame, pairs, prefix: str, ks, starting_cash, insolvency, chunk_rows) -> StrategyRun:
+    values = [{"fast": F.col(f"{prefix}_{s}"), "slow": F.col(f"{prefix}_{l_}")} for s, l_ in pairs]
+    sigs = [cross_signal(f"prev_{prefix}_{s}", f"prev_{prefix}_{l_}", f"{prefix}_{s}", f"{prefix}_{l_}") for s, l_ in pairs]
     base = [c for c in f.columns if not c.startswith(f"{prefix}_") and not c.startswith(f"prev_{prefix}_")]
-    exploded = f.select(*base, F.explode(grid).alias("_p")).select(*base, "_p.*")
-    framed = with_cross_signal(exploded, "fast", "slow")
-    return StrategyRun(prefix, framed, float(starting_cash), [*ks, "param_id", "fast_period", "slow_period"],
-                    insolvency, chunk_rows, ("fast", "slow"))
+    return _sweep_run(prefix, bars, f, base, _pair_params(pairs), values, sigs, ks, starting_cash, insolvency, chunk_rows)
+
+
+def _sweep_run(name, bars, f, base, params, values, sigs, ks, starting_cash, insolvency, chunk_rows) -> StrategyRun:
+    """A run over a grid: ``frame`` has a row per bar and parameter set (a plan, for equity curves);
+    what is stored are the signal rows alone, exploded after the zeros are dropped."""
+    rows = [F.struct(*[F.lit(v).alias(k) for k, v in p.items()], *[c.alias(k) for k, c in v.items()], s.alias("sig"))
+            for p, v, s in zip(params, values, sigs, strict=True)]
+    frame = f.select(*base, F.explode(F.array(*rows)).alias("_p")).select(*base, "_p.*")
+    marks = [F.struct(*[F.lit(v).alias(k) for k, v in p.items()], s.alias("sig")) for p, s in zip(params, sigs, strict=True)]
+    hits = F.filter(F.array(*marks), lambda x: x["sig"] != 0)
+    signals = f.select(*ks, "seq", "ts", "close", F.explode(hits).alias("_p")).select(*ks, "seq", "ts", "close", "_p.*")
+    return StrategyRun(name, frame, float(starting_cash), [*ks, *params[0]], insolvency, chunk_rows, tuple(values[0]),
+                       signals=signals, series_bars=bars.select(*ks, "seq", "close"), grid=params)
 
 
 def sweep_rsi(bars: DataFrame, periods: Sequence[int], starting_cash: float = DEFAULT_CASH,
@@ -67,16 +81,13 @@ def sweep_rsi(bars: DataFrame, periods: Sequence[int], starting_cash: float = DE
     ks = _keys(keys)
     if not periods:
         raise ValueError("at least one period is required")
-    f = ind.rsi_many(_prepare(bars, ks), periods, keys=ks, chunk_rows=chunk_rows)
-    grid = F.array(*[
-        F.struct(F.lit(i).alias("param_id"), F.lit(int(n)).alias("rsi_period"),
-                 F.col(f"rsi_{n}").alias("rsi"), F.col(f"prev_rsi_{n}").alias("prev_rsi"))
-        for i, n in enumerate(periods)])
+    bars = _prepare(bars, ks)
+    f = ind.rsi_many(bars, periods, keys=ks, chunk_rows=chunk_rows)
+    params = [{"param_id": i, "rsi_period": int(n)} for i, n in enumerate(periods)]
+    values = [{"rsi": F.col(f"rsi_{n}")} for n in periods]
+    sigs = [threshold_signal(f"prev_rsi_{n}", f"rsi_{n}", RSI_LOW, RSI_HIGH) for n in periods]
     base = [c for c in f.columns if not c.startswith(("rsi_", "prev_rsi_"))]
-    exploded = f.select(*base, F.explode(grid).alias("_p")).select(*base, "_p.*")
-    framed = with_threshold_signal(exploded, "rsi")
-    return StrategyRun("rsi", framed, float(starting_cash), [*ks, "param_id", "rsi_period"],
-                    insolvency, chunk_rows, ("rsi",))
+    return _sweep_run("rsi", bars, f, base, params, values, sigs, ks, starting_cash, insolvency, chunk_rows)
 
 
 def sweep_all(bars: DataFrame, sma_pairs: Sequence[tuple[int, int]] = (), ema_pairs: Sequence[tuple[int, int]] = (),
@@ -88,20 +99,21 @@ def sweep_all(bars: DataFrame, sma_pairs: Sequence[tuple[int, int]] = (), ema_pa
     (key columns are join keys downstream and must not be NULL)."""
     ks = _keys(keys)
     bars = _prepare(bars, ks)
-    parts = []
-    for name, grid, make in (("sma", sma_pairs, sweep_sma), ("ema", ema_pairs, sweep_ema)):
+    runs = []
+    for name, grid, make in (("sma", sma_pairs, sweep_sma), ("ema", ema_pairs, sweep_ema), ("rsi", rsi_periods, sweep_rsi)):
         if grid:
-            f = make(bars, grid, starting_cash, insolvency, ks, chunk_rows).frame
-            parts.append(f.select(*ks, "seq", "ts", "close", "sig", F.lit(name).alias("strategy"), "param_id",
-                                  F.col("fast_period").alias("param_a"), F.col("slow_period").alias("param_b")))
-    if rsi_periods:
-        f = sweep_rsi(bars, rsi_periods, starting_cash, insolvency, ks, chunk_rows).frame
-        parts.append(f.select(*ks, "seq", "ts", "close", "sig", F.lit("rsi").alias("strategy"), "param_id",
-                              F.col("rsi_period").alias("param_a"), F.lit(0).alias("param_b")))
-    if not parts:
+            runs.append((name, make(bars, grid, starting_cash, insolvency, ks, chunk_rows)))
+    if not runs:
         raise ValueError("at least one grid is required")
-    framed = parts[0]
-    for p in parts[1:]:
-        framed = framed.unionByName(p)
-    return StrategyRun("all", framed, float(starting_cash), [*ks, "strategy", "param_id", "param_a", "param_b"],
-                    insolvency, chunk_rows, ())
+
+    def named(df: DataFrame, name: str, run: StrategyRun) -> DataFrame:
+        a, b = (F.col("rsi_period"), F.lit(0)) if name == "rsi" else (F.col("fast_period"), F.col("slow_period"))
+        return df.select(*ks, "seq", "ts", "close", "sig", F.lit(name).alias("strategy"), "param_id",
+                         a.alias("param_a"), b.alias("param_b"))
+
+    frame = reduce(DataFrame.unionByName, [named(r.frame, n, r) for n, r in runs])
+    signals = reduce(DataFrame.unionByName, [named(r.signals, n, r) for n, r in runs])
+    params = [{"strategy": n, "param_id": p["param_id"], "param_a": p.get("rsi_period", p.get("fast_period")),
+               "param_b": p.get("slow_period", 0)} for n, r in runs for p in r.grid]
+    return StrategyRun("all", frame, float(starting_cash), [*ks, "strategy", "param_id", "param_a", "param_b"],
+                       insolvency, chunk_rows, (), signals=signals, series_bars=bars.select(*ks, "seq", "close"), grid=params)

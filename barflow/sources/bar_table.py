@@ -19,11 +19,11 @@ from barflow.schema import BAR_SCHEMA
 def write_bar_table(bars: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write bars under ``symbol=/year=`` folders.
 
-    No repartition before the write: each task writes the partitions it holds,
-    so a symbol with a third of all bars is written by many tasks. With
+    The rows are rebalanced by (symbol, year) first: a partition is written by few
+    tasks, and one with very many rows is split over several. With
     ``mode="overwrite"`` only the (symbol, year) partitions present in ``bars``
     are replaced (dynamic partition overwrite)."""
-    (bars.withColumn("year", F.year("ts"))
+    (bars.withColumn("year", F.year("ts")).hint("rebalance", "symbol", "year")
      .write.mode(mode).option("partitionOverwriteMode", "dynamic")
      .partitionBy("symbol", "year").parquet(path))
 
