@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from barflow.llm import embed_dedup, fingerprint, jaccard, lm_score, mixing, packing, quality, secret_scan, toxicity, url_filter
 from barflow.llm.common import documents, held_out, table
+from barflow.llm.oracle import ORACLE_SQL  # noqa: F401
 
 
 def word_tokenizer() -> str:
@@ -91,5 +92,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_embeddings": op9_embeddings,
     "op10_quality": op10_quality,
 }
-
-ORACLE_SQL: dict[str, str] = {}

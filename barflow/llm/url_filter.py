@@ -68,6 +68,10 @@ def symbols(host: Column, path: Column) -> Column:
     return F.concat(F.lit("^"), F.regexp_replace(folded, "[^a-z0./-]", "~"), F.lit("$"))
 
 
+def _hash(text: Column) -> Column:
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+
+
 def _grams(marks: Column) -> Column:
     """For each symbol but the start mark: the n-gram that ends there, as long as ORDER allows."""
     return F.transform(F.sequence(F.lit(2), F.length(marks)),
@@ -114,7 +118,7 @@ def score_urls(pages: DataFrame, rules=RULES) -> DataFrame:
             .withColumn("host", host).withColumn("path", path))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     urls = (urls.withColumn("rule", rule).withColumn("decided", verdict).withColumn("marks", symbols(F.col("host"), F.col("path")))
-            .withColumn("calibrates", F.col("decided").isNotNull() & (F.crc32(F.col("marks").cast("binary")) % CALIBRATE == 0)))
+            .withColumn("calibrates", F.col("decided").isNotNull() & (_hash(F.col("marks")) % CALIBRATE == 0)))
     urls = materialize(urls.drop("url").withColumn("row", F.monotonically_increasing_id()), "urls")
     learn = F.when(~F.col("calibrates"), F.col("decided"))
     table = gram_scores(urls.select("marks", learn.alias("learn")))

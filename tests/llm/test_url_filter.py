@@ -1,6 +1,6 @@
+import hashlib
 import math
 import re
-import zlib
 from collections import Counter, defaultdict
 
 from barflow.llm import queries
@@ -38,7 +38,7 @@ def brute(pages):
     distinct = {(r[0], r[6]): r for r in rows}
     copies = Counter((r[0], r[6]) for r in rows)
     counts = {v: Counter() for v in ("allow", "block")}
-    calibrate = lambda m: zlib.crc32(m.encode()) % U.CALIBRATE == 0
+    calibrate = lambda m: int(hashlib.md5(m.encode()).hexdigest()[:8], 16) % U.CALIBRATE == 0
     grams = lambda m: [m[max(0, i - U.ORDER + 1):i + 1] for i in range(1, len(m))]
     for r in distinct.values():
         if r[4] and not calibrate(r[5]):
