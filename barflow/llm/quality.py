@@ -62,15 +62,13 @@ class RuleModel:
         return 1.0 / (1.0 + F.exp(-total))
 
 
-def statistics(text: Column) -> dict[str, Column]:
-    """Numbers that describe a whole text; 0 where there is nothing to count."""
-    text = F.coalesce(text, F.lit(""))
-    chars = F.length(text)
-    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    n_words = F.size(words)
-    lines = F.filter(F.split(text, "\n"), lambda x: F.trim(x) != "")
+def statistics() -> dict[str, Column]:
+    """Numbers that describe a whole text, from the columns ``_text``, ``_words`` and ``_lines``; 0 where there is nothing to count."""
+    text, words, lines = F.col("_text"), F.col("_words"), F.col("_lines")
+    chars, n_words, n_lines = F.length(text), F.size(words), F.size(lines)
     share = lambda part, whole: F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
     left = lambda drop: F.length(F.translate(text, drop, ""))
+    same = F.filter(F.zip_with(F.slice(words, 2, F.greatest(n_words - 1, F.lit(0))), words, lambda a, b: a == b), lambda x: x)
     return {
         "log_chars": F.log1p(chars.cast("double")),
         "word_length": share(left(" \n\t"), n_words),
@@ -80,19 +78,24 @@ def statistics(text: Column) -> dict[str, Column]:
         "shout_share": share(chars - left("!?"), chars),
         "stop_share": share(chars - left(".,;:"), chars),
         "bar_share": share(chars - left("|"), n_words),
-        "line_length": share(n_words, F.size(lines)),
+        "line_length": share(n_words, n_lines),
         "distinct_words": share(F.size(F.array_distinct(words)), n_words),
-        "distinct_lines": share(F.size(F.array_distinct(lines)), F.size(lines)),
-        "repeats": share(n_words - 1 - F.size(F.filter(F.sequence(F.lit(1), F.greatest(n_words - 1, F.lit(1))),
-                                                      lambda i: F.get(words, i) != F.get(words, i - 1))), n_words),
+        "distinct_lines": share(F.size(F.array_distinct(lines)), n_lines),
+        "repeats": share(F.size(same), n_words),
     }
 
 
 def with_statistics(docs: DataFrame, text: str = "text") -> tuple[DataFrame, list[str]]:
-    """``docs`` without its text, with a column for each statistic."""
-    numbers = statistics(F.col(text))
+    """``docs`` without its text, with a column for each statistic.
+
+    Words and lines are columns of a projection of their own, so a text is split once.
+    """
+    numbers = statistics()
     kept = [c for c in docs.columns if c != text and c not in numbers]
-    return docs.select(*kept, *(v.cast("double").alias(n) for n, v in numbers.items())), list(numbers)
+    whole = F.coalesce(F.col(text), F.lit(""))
+    split = docs.select(*kept, whole.alias("_text"), F.filter(F.split(whole, r"[\x20\x09-\x0D]+"), lambda w: w != "").alias("_words"),
+                        F.filter(F.split(whole, "\n"), lambda x: F.trim(x) != "").alias("_lines"))
+    return split.select(*kept, *(v.cast("double").alias(n) for n, v in numbers.items())), list(numbers)
 
 
 def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> RuleModel:
