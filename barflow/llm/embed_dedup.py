@@ -4,7 +4,9 @@
 2. Shards: centroids are fitted on a bounded sample (``SAMPLE`` classes), those too
    close to an earlier one are dropped, and every class goes to its nearest shard
    (its home) and the second nearest. A shard above ``MAX_SHARD`` is cut again the same
-   way, by centroids of its own.
+   way, by centroids of its own, for ``ROUNDS`` rounds at most; one whose vectors are nearly
+   all in range of each other stays whole (its links are as many as its pairs, however it
+   is dealt).
 3. Build: in every shard each vector's nearest others are robust-pruned to ``DEGREE``
    out-edges, and edges get their reverse.
 4. Union: a vector's adjacency lists from its shards are joined.
@@ -37,6 +39,7 @@ SAMPLE = 20_000
 SHARD = 1_000
 MAX_SHARD = 8_000
 MAX_CENTROIDS = 128
+ROUNDS = 6
 POOL = 48
 DEGREE = 24
 ALPHA = 1.2
@@ -46,6 +49,8 @@ MARGIN = 0.05
 LEAST_RECALL = 0.97
 AUDIT_EVERY = 50
 _BLOCK = 256
+# Ends the name of a shard that centroids cannot cut.
+WHOLE = "!"
 
 
 def unit(rows) -> np.ndarray:
@@ -91,14 +96,16 @@ def deal_shards(vectors: DataFrame) -> DataFrame:
     schema = "cls long, vec array<double>, copies long, shard string, home boolean"
     rows = materialize(vectors.mapInPandas(first, schema), "shards")
     finished = None
-    while True:
+    for _ in range(ROUNDS):
         sizes = materialize(rows.groupBy("shard").agg(F.count("*").alias("size")), "shard_sizes")
-        large = sizes.where(F.col("size") > MAX_SHARD)
+        cut = (F.col("size") > MAX_SHARD) & ~F.endswith("shard", F.lit(WHOLE))
+        large = sizes.where(cut)
         if not large.limit(1).count():
             return rows if finished is None else finished.unionAll(rows)
-        small = rows.join(sizes.where(F.col("size") <= MAX_SHARD).select("shard"), "shard").select(rows.columns)
+        small = rows.join(sizes.where(~cut).select("shard"), "shard").select(rows.columns)
         finished = small if finished is None else finished.unionAll(small)
         rows = materialize(_cut_again(rows.join(large, "shard")), "shards")
+    return finished.unionAll(rows)
 
 
 def _cut_again(rows: DataFrame) -> DataFrame:
@@ -106,23 +113,23 @@ def _cut_again(rows: DataFrame) -> DataFrame:
     salts = 32
 
     def fit(key, f):
-        centers = fit_centroids(unit(f["vec"]), min(64, max(2, int(f["size"].iloc[0]) // SHARD)))
+        centers = fit_centroids(unit(f["vec"]), min(64, max(8, int(f["size"].iloc[0]) // SHARD)))
         return pd.DataFrame({"shard": [key[0]], "centers": [centers.ravel().tolist()], "width": [centers.shape[1]]})
 
     some = rows.where(F.pmod(F.xxhash64("cls"), F.greatest(F.col("size") / 4000, F.lit(1)).cast("long")) == 0)
     centers = some.groupBy("shard").applyInPandas(fit, "shard string, centers array<double>, width int")
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("cls"), F.lit(salts))).join(
-        centers.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long")), ["shard", "salt"])
+        centers.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))), ["shard", "salt"])
 
     def deal(frames):
         for f in frames:
             for shard, part in f.groupby("shard"):
                 own = np.asarray(part["centers"].iloc[0]).reshape(-1, int(part["width"].iloc[0]))
                 out = part[["cls", "vec", "copies"]]
-                if len(own) == 1:  # a ball that centroids cannot cut is halved by id into overlapping thirds
-                    two = np.column_stack([part["cls"] % 3, (part["cls"] + 1) % 3])
-                else:
-                    two = _nearest_two(unit(part["vec"]), own)
+                if len(own) < 4:  # two shards each of three would hold nearly all: such a ball stays whole
+                    yield out.assign(shard=f"{shard}{WHOLE}", home=part["home"])
+                    continue
+                two = _nearest_two(unit(part["vec"]), own)
                 for place in range(two.shape[1]):
                     yield out.assign(shard=[f"{shard}.{c}" for c in two[:, place]], home=part["home"] & (place == 0))
 
