@@ -65,13 +65,13 @@ def gains_losses(df: DataFrame, n: int | None = None, src: str = "close",
     return home_rows(ch)
 
 
-def _ewm(method: str, df: DataFrame, specs, keys, seq: str, chunk_rows: int):
+def _ewm(method: str, alphas, chunk_rows: int, gaps=None):
     """'halo' (one pass), 'scan' (exact affine scan) or 'auto': halo unless it would
-    exceed a quarter chunk (very long spans) or values are missing inside a series
-    of several chunks, then scan. Both give the same values up to rounding."""
+    exceed a quarter chunk (very long spans) or ``gaps()`` says that values are missing
+    inside a series of several chunks, then scan. Both give the same values up to rounding."""
     if method == "auto":
-        method = "halo" if 4 * max(halo_rows(a) for _, a in specs.values()) <= chunk_rows else "scan"
-        if method == "halo" and has_gaps(df, list(dict.fromkeys(src for src, _ in specs.values())), keys, seq, chunk_rows):
+        method = "halo" if 4 * max(halo_rows(a) for a in alphas) <= chunk_rows else "scan"
+        if method == "halo" and gaps is not None and gaps():
             method = "scan"
     if method == "halo":
         return ewm_columns
@@ -80,6 +80,12 @@ def _ewm(method: str, df: DataFrame, specs, keys, seq: str, chunk_rows: int):
     raise ValueError("method must be 'auto', 'halo' or 'scan'")
 
 
+def _ewm_of(method: str, df: DataFrame, specs, keys, seq: str, chunk_rows: int):
+    """The method for the columns of ``specs``."""
+    sources = list(dict.fromkeys(src for src, _ in specs.values()))
+    return _ewm(method, [a for _, a in specs.values()], chunk_rows, lambda: has_gaps(df, sources, keys, seq, chunk_rows))
+
+
 def rsi_many(df: DataFrame, periods: Sequence[int], keys: Sequence[str] | str = ("symbol",),
              seq: str = "seq", chunk_rows: int = DEFAULT_CHUNK_ROWS, method: str = "auto") -> DataFrame:
     """RSI for several periods at once: ``rsi_<n>`` and ``prev_rsi_<n>``.
@@ -102,7 +108,7 @@ def rsi_many(df: DataFrame, periods: Sequence[int], keys: Sequence[str] | str =
     for n in ns:
         specs[f"avg_gain_{n}"] = (f"_w_gain_{n}", 1.0 / n)
         specs[f"avg_loss_{n}"] = (f"_w_loss_{n}", 1.0 / n)
-    run = _ewm(method, seeded, specs, keys, seq, chunk_rows)
+    run = _ewm_of(method, seeded, specs, keys, seq, chunk_rows)
     out = run(seeded, specs, keys=keys, seq=seq, with_prev=True, chunk_rows=chunk_rows)
     for n in ns:
         out = (out.withColumn(f"rsi_{n}", rsi_from_averages(f"avg_gain_{n}", f"avg_loss_{n}"))
@@ -119,7 +125,7 @@ def ema(df: DataFrame, spans: Mapping[str, int], src: str = "close", with_prev:
     ``method="halo"``: one pass, chunks warm up on a halo; ``method="scan"``:
     exact three-pass affine scan (Y4); ``"auto"`` picks halo for ordinary spans."""
     specs = {name: (src, span_alpha(_check_period(s))) for name, s in spans.items()}
-    run = _ewm(method, df, specs, keys, seq, chunk_rows)
+    run = _ewm_of(method, df, specs, keys, seq, chunk_rows)
     return run(df, specs, keys=keys, seq=seq, with_prev=with_prev, chunk_rows=chunk_rows)
 
 
@@ -140,7 +146,7 @@ def wilder(df: DataFrame, n: int, keys: Sequence[str] | str = ("symbol",), seq:
              .when(F.col(seq) == n, F.col(f"rolling_{c}"))
              .otherwise(F.col(c)))
     specs = {"avg_gain": ("_w_gain", 1.0 / n), "avg_loss": ("_w_loss", 1.0 / n)}
-    run = _ewm(method, seeded, specs, keys, seq, chunk_rows)
+    run = _ewm_of(method, seeded, specs, keys, seq, chunk_rows)
     out = run(seeded, specs, keys=keys, seq=seq, with_prev=with_prev, chunk_rows=chunk_rows)
     return out.drop("_w_gain", "_w_loss")
 
