@@ -12,13 +12,14 @@ least 0.75. Every link between different sets is found:
    long the lists are, so counts of repeats within blocks suffice.)
 3. Lists: those of one class alone are dropped.
 4. Answers of a pivot first: in each list the other classes are compared with one
-   pivot, in exact counts. The classes that link with it have then the pivot's
+   pivot: by histograms of their members first, which rule out most pairs that do not
+   link, then in exact counts. The classes that link with it have then the pivot's
    answers: they are in its component whatever their own links are, and pairs among
    them need no comparison.
 5. What is left: in lists that still hold more than one component, lists are sorted by
    size and cut into blocks; whole blocks are skipped when their sizes or positions
    leave no room for the overlap a link needs, and the pairs in the other blocks whose
-   classes are in different components are compared, by exact counts again.
+   classes are in different components are compared in the same two steps.
 6. Components of all links by min-label propagation, on classes, then members.
 
 Comparisons are dealt by (set, block of at most ``BLOCK_SETS`` partners), so a set with
@@ -36,7 +37,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute  # noqa: F401  (pa.compute)
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barflow.llm.components import connected_components
@@ -48,6 +50,8 @@ PERCENT = 75
 # Repeated shingles that the global order knows of; it bounds what every task receives.
 MAX_REPEATED = 50_000
 BLOCK_SETS = 200
+# Bound of the filter that finds the texts of candidate sets (8 bytes each).
+MAX_FILTER_WORDS = 1 << 21
 _KEY = np.uint64(0xA24BAED4963EE407)
 
 
@@ -126,47 +130,180 @@ def index_entries(docs: DataFrame, size: int, percent: int, repeated: np.ndarray
     return docs.select("text").mapInArrow(run, "shingle bigint, key bigint, place bigint")
 
 
-def sets_of(texts: DataFrame, size: int) -> DataFrame:
-    """(key, members) of each text, members as little-endian 64-bit hashes, ascending."""
+def may_link(one: Column, other: Column, percent: int) -> Column:
+    """Whether sizes and positions of two entries of a list leave room for the overlap a link needs."""
+    n, m = (F.shiftright(x, 32) for x in (one, other))
+    left, right = (F.shiftright(x, 32) - x.bitwiseAND(2**32 - 1) for x in (one, other))
+    needed = F.ceil(percent * (n + m) / (100 + percent))
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (F.least(left, right) >= needed)
+
+
+def useful_entries(entries: DataFrame, percent: int) -> DataFrame:
+    """One entry a class and list, with the list's pivot, without entries that no other of the list can link with.
+
+    In a list sorted by size the neighbours are the nearest in size, so an entry with none of them
+    within the size ratio has no partner. In a list of two the positions decide as well.
+    """
+    beside = Window.partitionBy("shingle")
+    row = beside.orderBy("place", "key")
+    once = entries.withColumn("before", F.lag("key").over(row)).where("before is null or before != key").drop("before")
+    around = once.select("*", F.lag("place").over(row).alias("below"), F.lead("place").over(row).alias("above"),
+                         F.count("*").over(beside).alias("n")).where("n > 1")
+    size = F.shiftright("place", 32)
+    near = ((100 * F.shiftright("below", 32) >= percent * size) | (100 * size >= percent * F.shiftright("above", 32)))
+    pair = may_link(F.col("place"), F.coalesce("below", "above"), percent)
+    return (around.where(F.when(F.col("n") == 2, pair).otherwise(near)).select("shingle", "key", "place")
+            .withColumn("pivot", F.min(F.struct("key", "place")).over(beside)))
+
+
+def _slots(ids: np.ndarray, words: int) -> list[np.ndarray]:
+    return [mix64(ids.view(np.uint64) ^ np.uint64(salt)) & np.uint64(64 * words - 1) for salt in (1, 2, 3)]
+
+
+def _passes(wanted: np.ndarray, words: int, ids: np.ndarray) -> np.ndarray:
+    out = np.ones(len(ids), dtype=bool)
+    for slot in _slots(ids, words):
+        out &= (wanted[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
+    return out
+
+
+def id_filter(ids: DataFrame) -> np.ndarray:
+    """Bloom filter of the column ``id``: 16 bits an id, at most ``MAX_FILTER_WORDS`` 64-bit words.
+
+    With more ids than that it lets more others through, which costs time only.
+    """
+    words = 1 << max(4, (ids.count() // 4).bit_length())
+    words = min(words, MAX_FILTER_WORDS)
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(words, dtype=np.uint64)
+        for batch in batches:
+            for slot in _slots(batch.column(0).to_numpy(zero_copy_only=False), words):
+                np.bitwise_or.at(bits, (slot >> np.uint64(6)).astype(np.int64), np.uint64(1) << (slot & np.uint64(63)))
+        used = np.flatnonzero(bits)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(bits[used].view(np.int64))], names=["word", "bits"])
+
+    rows = ids.select("id").mapInArrow(build, "word bigint, bits bigint").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(words, dtype=np.uint64)
+    out[rows.column("word").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def sets_of(docs: DataFrame, size: int, wanted: np.ndarray) -> DataFrame:
+    """(key, members, histogram) of the documents whose id passes the filter, without copies inside a task.
+
+    Members are the upper 48 bits of the hashes, ascending, as 6-byte numbers; the histogram
+    counts them by their highest bits.
+    """
+    words = len(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: set[int] = set()
         for batch in batches:
-            for _, part in blocks(batch.column(0).to_pylist()):
+            batch = batch.filter(pa.compute.is_valid(batch.column(0)))
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            for _, part in blocks(batch.filter(pa.array(_passes(wanted, words, ids))).column(1).to_pylist()):
                 values, counts = shingle_sets(part, size)
-                cut = np.split(values, np.cumsum(counts)[:-1])
-                yield pa.RecordBatch.from_arrays([pa.array(set_keys(values, counts)), pa.array([c.tobytes() for c in cut], pa.binary())],
-                                                 names=["key", "members"])
+                keys = set_keys(values, counts).tolist()
+                short = np.ascontiguousarray((values >> np.uint64(16)).view(np.uint8).reshape(-1, 8)[:, :6])
+                ends = np.cumsum(counts)
+                fresh = [i for i, key in enumerate(keys) if counts[i] and key not in done and not done.add(key)]
+                if len(done) > 1_000_000:
+                    done.clear()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([keys[i] for i in fresh], pa.int64()),
+                     pa.array([short[ends[i] - counts[i]:ends[i]].tobytes() for i in fresh], pa.binary()),
+                     pa.array([histogram(values[ends[i] - counts[i]:ends[i]]) for i in fresh], pa.binary())],
+                    names=["key", "members", "histogram"])
 
-    return texts.select("text").mapInArrow(run, "key bigint, members binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "key bigint, members binary, histogram binary")
 
 
-def compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link, by exact counts of common members."""
+def histogram(values: np.ndarray) -> bytes:
+    """Members by their highest bits, in a power of two of counts (one to each or two members), each at most 255."""
+    bits = min(14, max(4, (len(values) - 1).bit_length()))
+    return np.minimum(np.bincount((values >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8).tobytes()
+
+
+def may_overlap(one: bytes, other: bytes, n: int, m: int, percent: int) -> bool:
+    """Whether two histograms leave room for the overlap that sets of sizes n and m need to link.
+
+    Two sets have in common at most the sum of the lesser counts; a count of 255 says nothing.
+    """
+    x, y = (np.frombuffer(h, dtype=np.uint8) for h in (one, other))
+    if x.max() == 255 or y.max() == 255:
+        return True
+    size = min(len(x), len(y))
+    x, y = (h.astype(np.int64).reshape(size, -1).sum(axis=1) for h in (x, y))
+    return int(np.minimum(x, y).sum()) >= least_overlap(n, m, percent)
+
+
+def _members(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 6, 8), dtype=np.uint8)
+    out[:, :6] = np.frombuffer(raw, dtype=np.uint8).reshape(-1, 6)
+    return out.view(np.uint64).ravel()
+
+
+def _deal_pairs(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
+    """Rows (a, block, other, key, ``column``): each set a followed by a block of its partners, sorted so in each task."""
     dealt = pairs.join(pairs.groupBy("a").agg(F.count("*").alias("n")), "a").withColumn(
         "block", F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / BLOCK_SETS)))
     rows = (dealt.select("a", "block", F.col("b").alias("key"))
-            .unionAll(dealt.select("a", "block", F.col("a").alias("key")).distinct()).join(sets, "key"))
+            .unionAll(dealt.select("a", "block", F.col("a").alias("key")).distinct()).join(sets.select("key", column), "key"))
+    return (rows.select("a", "block", (F.col("key") != F.col("a")).alias("other"), "key", column)
+            .repartition("a", "block").sortWithinPartitions("a", "block", "other"))
+
+
+def _keep_pairs(dealt: DataFrame, test) -> DataFrame:
+    """The pairs (a, b) for which ``test(value of a, value of b)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, mine = None, None
         for batch in batches:
             found = []
-            for a, block, other, key, members in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                theirs = np.frombuffer(members, dtype=np.uint64)
+            for a, block, other, key, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (a, block) != at:
                     at, mine = (a, block), None
                 if not other:
-                    mine = theirs
-                elif mine is not None and len(mine):
-                    common = int((mine[np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)] == theirs).sum())
-                    if 100 * common >= percent * (len(mine) + len(theirs) - common):
-                        found.append((a, key))
+                    mine = value
+                elif mine is not None and test(mine, value):
+                    found.append((a, key))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["a", "b"])
 
-    ordered = (rows.select("a", "block", (F.col("key") != F.col("a")).alias("other"), "key", "members")
-               .repartition("a", "block").sortWithinPartitions("a", "block", "other"))
-    return ordered.mapInArrow(run, "a bigint, b bigint")
+    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that link: first those that their histograms allow, then by exact counts of common members.
+
+    Histograms are small, so only the sets of few pairs are moved.
+    """
+
+    def room(one: bytes, other: bytes) -> bool:
+        # A histogram with no count at 255 holds the set's size.
+        n, m = (int(np.frombuffer(h, dtype=np.uint8).sum()) for h in (one, other))
+        return may_overlap(one, other, n, m, percent)
+
+    def linked(one: bytes, other: bytes) -> bool:
+        mine, theirs = _members(one), _members(other)
+        common = int((mine[np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)] == theirs).sum())
+        return 100 * common >= percent * (len(mine) + len(theirs) - common)
+
+    left = materialize(_keep_pairs(_deal_pairs(pairs, sets, "histogram"), room), "open_pairs")
+    keys = left.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    return _keep_pairs(_deal_pairs(left, _with_key(sets, id_filter(keys)), "members"), linked)
+
+
+def _with_key(sets: DataFrame, wanted: np.ndarray) -> DataFrame:
+    """The sets whose key passes the filter."""
+    words = len(wanted)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_passes(wanted, words, batch.column(0).to_numpy(zero_copy_only=False))))
+
+    return sets.select("key", "members").mapInArrow(run, "key bigint, members binary")
 
 
 def cross_pairs(entries: DataFrame, percent: int) -> DataFrame:
@@ -178,9 +315,9 @@ def cross_pairs(entries: DataFrame, percent: int) -> DataFrame:
     its own block and, as a guest, to the next smaller one.
     """
     step = float(np.log(100.0 / percent))
-    n, position = F.col("place") / 2**32, F.col("place").bitwiseAND(2**32 - 1)
-    block = F.floor(F.log(F.floor(n)) / step + 1e-9)
-    rows = entries.select("shingle", "key", "component", F.floor(n).alias("n"), position.alias("at"), block.alias("own"))
+    n, position = F.shiftright("place", 32), F.col("place").bitwiseAND(2**32 - 1)
+    block = F.floor(F.log(n) / step + 1e-9)
+    rows = entries.select("shingle", "key", "component", n.alias("n"), position.alias("at"), block.alias("own"))
     dealt = rows.withColumn("block", F.explode(F.array(F.col("own"), F.col("own") - 1)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,16 +358,11 @@ def join_documents(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) ->
     repeated = np.array([r["key"] for r in reversed(top)], dtype=np.int64).view(np.uint64)
     members = read.where("kind = 0").select(F.col("id").alias("doc_id"), "n", "key")
     classes = members.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("first"))
-    beside = Window.partitionBy("shingle")
-    entries = (index_entries(docs, size, percent, repeated)
-               .select("*", F.min("key").over(beside).alias("pivot"), F.max("key").over(beside).alias("most"),
-                       F.lag("key").over(beside.orderBy("key")).alias("before"))
-               .where("pivot != most and (before is null or before != key)").select("shingle", "key", "place", "pivot"))
-    entries = materialize(entries, "index_lists")
+    entries = materialize(useful_entries(index_entries(docs, size, percent, repeated), percent), "index_lists")
     wanted = entries.select("key").distinct().join(classes, "key")
-    texts = docs.join(wanted.select(F.col("first").alias("doc_id")), "doc_id", "left_semi")
-    sets = materialize(sets_of(texts, size).dropDuplicates(["key"]), "candidate_sets")
-    stars = entries.where("key != pivot").select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct()
+    sets = materialize(sets_of(docs, size, id_filter(wanted.select(F.col("first").alias("id")).where("id is not null"))), "candidate_sets")
+    stars = entries.where((F.col("key") != F.col("pivot.key")) & may_link(F.col("place"), F.col("pivot.place"), percent))
+    stars = stars.select(F.col("pivot.key").alias("a"), F.col("key").alias("b")).distinct()
     links = materialize(compare(stars, sets, percent), "pivot_links")
     labels = connected_components(links)
     named = entries.join(labels.withColumnsRenamed({"node": "key"}), "key", "left").withColumn("component", F.coalesce("component", "key"))
