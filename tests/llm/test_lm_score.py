@@ -67,3 +67,16 @@ def test_edge_cases(spark):
     same(L.score_documents(docs, target).collect(), brute(rows, ["the cat", None], L.WORDS))
     same(L.score_documents(docs, target.limit(0)).collect(), brute(rows, [], L.WORDS))
     assert L.score_documents(docs.limit(0), target).count() == 0
+
+
+def test_model_grows_with_the_corpus(spark, monkeypatch):
+    """Every word is told apart, over many blocks and buckets and with words that are dealt by both words."""
+    monkeypatch.setattr(L, "BLOCK", 3000)
+    monkeypatch.setattr(L, "BUCKET", 5000)
+    monkeypatch.setattr(L, "HOT", 8)
+    rows = [(k, " ".join(f"w{k * 31 + j} the v{j * k % 97}" for j in range(60))) for k in range(40)] + [(7, "w7 w8"), (None, None)] * 2
+    target = ["w1 the w2", " ".join(f"w{j}" for j in range(0, 500, 3)), None]
+    assert len({w for _, t in rows for w in words(t)}) > 1022
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = L.score_documents(docs, spark.createDataFrame([(t,) for t in target], "text string"))
+    same(got.collect(), brute(rows, target, None))
