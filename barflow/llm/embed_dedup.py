@@ -10,9 +10,10 @@
 3. Build: in every shard each vector's nearest others are robust-pruned to ``DEGREE``
    out-edges, and edges get their reverse.
 4. Union: a vector's adjacency lists from its shards are joined.
-5. Search: in its home shard every vector runs a greedy search from the medoid and
+5. Search: in each of its shards every vector runs a greedy search from the medoid and
    its own neighbours, which widens to every neighbour within range (less a margin)
-   until none is left. What it meets is verified by the exact cosine.
+   until none is left. What it meets is verified by the exact cosine and counts at both
+   ends, in the first shard that has both.
 6. Audit: in every shard the searches of a fixed part of the vectors are compared with
    an exact scan; a shard below ``LEAST_RECALL`` is searched again with a wider beam
    and margin, and scanned in blocks if that fails too.
@@ -267,7 +268,19 @@ def link_vectors(table: DataFrame, key: str = "vec_id", vector: str = "embedding
 
 def _link_classes(vectors: DataFrame, classes: DataFrame, least: float) -> DataFrame:
     """(cls, n linked vectors outside the class, component_id) of classes with links."""
-    shards = materialize(deal_shards(vectors), "shards")
+    found = _search_shards(deal_shards(vectors), least)
+    labels = connected_components(found.where("cls != mate").select(F.col("cls").alias("a"), F.col("mate").alias("b")))
+    labels = labels.withColumnsRenamed({"node": "cls"})
+    lowest = labels.join(classes.select("cls", "low"), "cls").groupBy("component").agg(F.min("low").alias("component_id"))
+    of_class = labels.join(lowest, "component").select("cls", "component_id")
+    return found.groupBy("cls").agg(F.sum("n").alias("n")).join(of_class, "cls")
+
+
+def _search_shards(dealt: DataFrame, least: float) -> DataFrame:
+    """(cls, n, mate) for every class and shard; a link counts at both ends, in the first shard that both ends are in."""
+    dealt = materialize(dealt.withColumn("code", F.xxhash64("shard")), "shards")
+    every = dealt.groupBy("cls").agg(F.collect_set("code").alias("codes"))
+    shards = materialize(dealt.join(every, "cls").withColumn("earlier", F.filter("codes", lambda c: c < F.col("code"))).drop("codes"), "shards")
 
     def build(f: pd.DataFrame) -> pd.DataFrame:
         names = f["cls"].to_numpy()
@@ -287,8 +300,9 @@ def _link_classes(vectors: DataFrame, classes: DataFrame, least: float) -> DataF
             at = np.minimum(np.searchsorted(names, near, sorter=order), len(names) - 1)
             at = order[at]
             lists.append(at[names[at] == near])
-        x = unit(f["vec"])
-        links, label = np.zeros(len(names), dtype=np.int64), np.arange(len(names))
+        x, n = unit(f["vec"]), len(names)
+        links, label = np.zeros(n, dtype=np.int64), np.arange(n)
+        earlier = _members(f["earlier"].tolist())
 
         def root(i):
             while label[i] != i:
@@ -296,19 +310,41 @@ def _link_classes(vectors: DataFrame, classes: DataFrame, least: float) -> DataF
                 i = label[i]
             return i
 
-        for query, vertex in search_shard(x, lists, np.flatnonzero(f["home"].to_numpy()), least):
-            np.add.at(links, query, copies[vertex])
+        # What one end meets counts at the other end too; an exact scan meets both ways by itself.
+        met = np.zeros((n, n), dtype=bool) if n <= 2 * MAX_SHARD else None
+        everyone = np.arange(n)
+        pairs = exact_search(x, everyone, least) if met is None else search_shard(x, lists, everyone, least)
+        for query, vertex in pairs:
+            own = _apart(earlier, query, vertex)
+            query, vertex = query[own], vertex[own]
+            if met is None:
+                np.add.at(links, query, copies[vertex])
+            else:
+                met[query, vertex] = met[vertex, query] = True
             for a, b in zip(query.tolist(), vertex.tolist(), strict=True):
                 a, b = root(a), root(b)
                 if a != b:
                     label[max(a, b)] = min(a, b)
-        group = names[[root(i) for i in range(len(names))]]
-        kept = f["home"].to_numpy() | (group != names)
+        if met is not None:
+            for at in range(0, n, _BLOCK):
+                links[at:at + _BLOCK] = met[at:at + _BLOCK] @ copies
+        group = names[[root(i) for i in range(n)]]
+        kept = f["home"].to_numpy() | (group != names) | (links > 0)
         return pd.DataFrame({"cls": names, "n": links, "mate": group})[kept]
 
-    found = materialize(shards.join(graph, "cls").groupBy("shard").applyInPandas(search, "cls long, n long, mate long"), "links")
-    labels = connected_components(found.where("cls != mate").select(F.col("cls").alias("a"), F.col("mate").alias("b")))
-    labels = labels.withColumnsRenamed({"node": "cls"})
-    lowest = labels.join(classes.select("cls", "low"), "cls").groupBy("component").agg(F.min("low").alias("component_id"))
-    of_class = labels.join(lowest, "component").select("cls", "component_id")
-    return found.groupBy("cls").agg(F.sum("n").alias("n")).join(of_class, "cls")
+    return materialize(shards.join(graph, "cls").groupBy("shard").applyInPandas(search, "cls long, n long, mate long"), "links")
+
+
+def _members(sets: list) -> np.ndarray:
+    """One row for each set, one column for each code of any, 1 where the set has it."""
+    codes = np.unique(np.concatenate([np.asarray(s, dtype=np.int64) for s in sets])) if sets else np.empty(0, np.int64)
+    out = np.zeros((len(sets), len(codes)), dtype=np.float32)
+    for row, s in zip(out, sets, strict=True):
+        row[np.searchsorted(codes, np.asarray(s, dtype=np.int64))] = 1
+    return out
+
+
+def _apart(members: np.ndarray, query: np.ndarray, vertex: np.ndarray) -> np.ndarray:
+    """Whether the sets of the two have nothing in common; queries come a block at a time."""
+    some, lane = np.unique(query, return_inverse=True)
+    return (members[some] @ members.T)[lane, vertex] == 0

@@ -85,3 +85,20 @@ def test_components(spark):
     got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {k: 50 for k in range(50, 91)} | {1: 1, 2: 1, 3: 1, 100: 1} | {k: 200 for k in range(200, 260)}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_links_count_at_both_ends(spark, monkeypatch):
+    """A pair that shares two shards counts once, a pair that meets away from one end's home counts at both ends."""
+    rows = balls(3, 0, [2, 2, 2], 0.05)
+    rows.sort(key=lambda r: r[1])
+    x = D.unit([v for _, v in rows])
+    near = {i: int(np.argsort(-(x @ x[i]))[1]) for i in range(len(x))}
+    a = 0
+    b = near[a]
+    c = next(i for i in near if i not in (a, b))
+    d = near[c]
+    # a's home has b, b's home lacks a; c and d share both shards.
+    dealt = [(a, "0", True), (a, "1", False), (b, "2", True), (b, "0", False), (c, "3", True), (c, "4", False), (d, "4", True), (d, "3", False)]
+    table = spark.createDataFrame([(i, rows[i][1], 1, s, h) for i, s, h in dealt], "cls long, vec array<double>, copies long, shard string, home boolean")
+    got = D._search_shards(table, 0.9).groupBy("cls").sum("n").collect()
+    assert {r[0]: r[1] for r in got} == {a: 1, b: 1, c: 1, d: 1}
