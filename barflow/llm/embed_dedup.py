@@ -3,7 +3,7 @@
 1. Vectors that are equal are one class; null, zero or non-finite ones are set aside.
 2. Shards: centroids are fitted on a bounded sample (``SAMPLE`` classes), those too
    close to an earlier one are dropped, and every class goes to its nearest shard
-   (its home) and the second nearest. A shard above ``MAX_SHARD`` is cut again the same
+   (its home) and the second nearest (more if the audit asks for it). A shard above ``MAX_SHARD`` is cut again the same
    way, by centroids of its own, for ``ROUNDS`` rounds at most; one whose vectors are nearly
    all in range of each other stays whole (its links are as many as its pairs, however it
    is dealt).
@@ -16,7 +16,10 @@
    ends, in the first shard that has both.
 6. Audit: in every shard the searches of a fixed part of the vectors are compared with
    an exact scan; a shard below ``LEAST_RECALL`` is searched again with a wider beam
-   and margin, and scanned in blocks if that fails too.
+   and margin, and scanned in blocks if that fails too. Against what lies between the
+   shards, the links of ``AUDIT`` fixed vectors are counted by a scan of all vectors;
+   while fewer than ``LEAST_RECALL`` of them are found, every vector is dealt to twice as
+   many shards, in the end all to one.
 7. Components of all links, from one label a vector and shard, never from all pairs.
 
 Edge cases: vectors set aside have no links and are their own component; equal vectors
@@ -49,6 +52,7 @@ HOPS = 12
 MARGIN = 0.05
 LEAST_RECALL = 0.97
 AUDIT_EVERY = 50
+AUDIT = 1_000
 _BLOCK = 256
 # Ends the name of a shard that centroids cannot cut.
 WHOLE = "!"
@@ -77,22 +81,24 @@ def fit_centroids(x: np.ndarray, k: int, rounds: int = 5, seed: int = 1) -> np.n
     return centers[kept]
 
 
-def _nearest_two(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
-    return np.argsort(-(x @ centers.T), axis=1, kind="stable")[:, :2]
+def _nearest(x: np.ndarray, centers: np.ndarray, places: int) -> np.ndarray:
+    return np.argsort(-(x @ centers.T), axis=1, kind="stable")[:, :places]
 
 
-def deal_shards(vectors: DataFrame) -> DataFrame:
-    """(cls, vec, copies, shard, home): every class in its nearest shard (home) and the next."""
+def deal_shards(vectors: DataFrame, places: int = 2) -> DataFrame:
+    """(cls, vec, copies, shard, home): every class in its ``places`` nearest shards, the first its home; in one if that is all of them."""
     n = vectors.count()
     k = min(MAX_CENTROIDS, max(1, -(-n // SHARD)))
+    if places > 2 and places >= k:
+        return vectors.select("cls", "vec", "copies", F.lit(WHOLE).alias("shard"), F.lit(True).alias("home"))
     sample = unit([r["vec"] for r in vectors.orderBy(F.xxhash64("cls")).limit(SAMPLE).select("vec").collect()])
     centers = fit_centroids(sample, k)
 
     def first(frames):
         for f in frames:
-            two = _nearest_two(unit(f["vec"]), centers)
-            for place in range(two.shape[1]):
-                yield f.assign(shard=[str(c) for c in two[:, place]], home=place == 0)
+            near = _nearest(unit(f["vec"]), centers, places)
+            for place in range(near.shape[1]):
+                yield f.assign(shard=[str(c) for c in near[:, place]], home=place == 0)
 
     schema = "cls long, vec array<double>, copies long, shard string, home boolean"
     rows = materialize(vectors.mapInPandas(first, schema), "shards")
@@ -105,11 +111,11 @@ def deal_shards(vectors: DataFrame) -> DataFrame:
             return rows if finished is None else finished.unionAll(rows)
         small = rows.join(sizes.where(~cut).select("shard"), "shard").select(rows.columns)
         finished = small if finished is None else finished.unionAll(small)
-        rows = materialize(_cut_again(rows.join(large, "shard")), "shards")
+        rows = materialize(_cut_again(rows.join(large, "shard"), places), "shards")
     return finished.unionAll(rows)
 
 
-def _cut_again(rows: DataFrame) -> DataFrame:
+def _cut_again(rows: DataFrame, places: int = 2) -> DataFrame:
     """Shards that are too large, each dealt to centroids fitted on a bounded part of it."""
     salts = 32
 
@@ -130,9 +136,9 @@ def _cut_again(rows: DataFrame) -> DataFrame:
                 if len(own) < 4:  # two shards each of three would hold nearly all: such a ball stays whole
                     yield out.assign(shard=f"{shard}{WHOLE}", home=part["home"])
                     continue
-                two = _nearest_two(unit(part["vec"]), own)
-                for place in range(two.shape[1]):
-                    yield out.assign(shard=[f"{shard}.{c}" for c in two[:, place]], home=part["home"] & (place == 0))
+                near = _nearest(unit(part["vec"]), own, min(places, len(own) // 2))
+                for place in range(near.shape[1]):
+                    yield out.assign(shard=[f"{shard}.{c}" for c in near[:, place]], home=part["home"] & (place == 0))
 
     return salted.mapInPandas(deal, "cls long, vec array<double>, copies long, shard string, home boolean")
 
@@ -268,7 +274,12 @@ def link_vectors(table: DataFrame, key: str = "vec_id", vector: str = "embedding
 
 def _link_classes(vectors: DataFrame, classes: DataFrame, least: float) -> DataFrame:
     """(cls, n linked vectors outside the class, component_id) of classes with links."""
-    found = _search_shards(deal_shards(vectors), least)
+    truth, places = _audit(vectors, least), 2
+    while True:
+        found = _search_shards(deal_shards(vectors, places), least)
+        if recall(found, truth) >= LEAST_RECALL or places >= MAX_CENTROIDS:
+            break
+        places *= 2
     labels = connected_components(found.where("cls != mate").select(F.col("cls").alias("a"), F.col("mate").alias("b")))
     labels = labels.withColumnsRenamed({"node": "cls"})
     lowest = labels.join(classes.select("cls", "low"), "cls").groupBy("component").agg(F.min("low").alias("component_id"))
@@ -276,6 +287,30 @@ def _link_classes(vectors: DataFrame, classes: DataFrame, least: float) -> DataF
     return found.groupBy("cls").agg(F.sum("n").alias("n")).join(of_class, "cls")
 
 
+def _audit(vectors: DataFrame, least: float) -> DataFrame:
+    """(cls, links) of a fixed part of the classes, by a scan of every vector."""
+    some = vectors.orderBy(F.xxhash64("cls")).limit(AUDIT).select("cls", "vec").collect()
+    names, queries = np.array([r["cls"] for r in some], dtype=np.int64), unit([r["vec"] for r in some])
+
+    def scan(frames):
+        links = np.zeros(len(names), dtype=np.int64)
+        for f in frames:
+            x, cls, copies = unit(f["vec"]), f["cls"].to_numpy(), f["copies"].to_numpy()
+            for at in range(0, len(x), _BLOCK):
+                near = (queries @ x[at:at + _BLOCK].T >= least) & (names[:, None] != cls[at:at + _BLOCK])
+                links += near @ copies[at:at + _BLOCK]
+        yield pd.DataFrame({"cls": names, "links": links})
+
+    return materialize(vectors.mapInPandas(scan, "cls long, links long").groupBy("cls").agg(F.sum("links").alias("links")), "audit")
+
+
+def recall(found: DataFrame, truth: DataFrame) -> float:
+    """Share of the audited links that were found."""
+    met = found.groupBy("cls").agg(F.sum("n").alias("n"))
+    row = truth.join(met, "cls", "left").agg(F.sum("links").alias("all"), F.sum(F.least("links", F.coalesce("n", F.lit(0)))).alias("met")).collect()[0]
+    return row["met"] / row["all"] if row["all"] else 1.0
+
+
 def _search_shards(dealt: DataFrame, least: float) -> DataFrame:
     """(cls, n, mate) for every class and shard; a link counts at both ends, in the first shard that both ends are in."""
     dealt = materialize(dealt.withColumn("code", F.xxhash64("shard")), "shards")

@@ -102,3 +102,13 @@ def test_links_count_at_both_ends(spark, monkeypatch):
     table = spark.createDataFrame([(i, rows[i][1], 1, s, h) for i, s, h in dealt], "cls long, vec array<double>, copies long, shard string, home boolean")
     got = D._search_shards(table, 0.9).groupBy("cls").sum("n").collect()
     assert {r[0]: r[1] for r in got} == {a: 1, b: 1, c: 1, d: 1}
+
+
+def test_links_between_shards(spark, monkeypatch):
+    """Pairs of random directions that two shards of many would part."""
+    monkeypatch.setattr(D, "SHARD", 15)
+    rows = balls(5, 300, [2] * 150, 0.2)
+    want, got = brute(rows), spark_rows(spark, rows)
+    assert sum(r[1] for r in want) >= 200
+    assert all(a[1] <= b[1] for a, b in zip(got, want))
+    assert sum(r[1] for r in got) >= 0.97 * sum(r[1] for r in want)
