@@ -4,8 +4,9 @@ Tokens are summed for each (source, language, topic) cell; the cells' kept token
 raked to the three stated marginals in turn until all hold, never above what a cell
 has nor below a twentieth of it; each document is then kept with its cell's calibrated probability.
 
-Categories without a target share one ``other`` category of each dimension, so there
-are at most (sources + 1) x (languages + 1) x (topics + 1) cells, a bound set by the
+Categories without a target share one ``other`` category of each dimension. Its target
+is the mix's own share for ``other``; without one it is the share of the tokens that these
+categories have, and the named targets are scaled to the rest. So there are at most (sources + 1) x (languages + 1) x (topics + 1) cells, a bound set by the
 stated targets alone; only that table goes to the driver and back to the documents.
 A source that a third of all rows have costs one partial sum a task.
 
@@ -105,6 +106,18 @@ def _scaled(cells: np.ndarray, low: np.ndarray, high: np.ndarray, amount: float)
     return np.clip(cells * np.exp(most), low, high)
 
 
+def _targets(tokens: np.ndarray, axis: int, names: list[str], shares: dict[str, float]) -> np.ndarray:
+    """Target shares of an axis; ``other`` without one gets its share of the tokens, the named ones that occur the rest."""
+    there = tokens.sum(axis=tuple(k for k in range(tokens.ndim) if k != axis))
+    out = np.array([shares.get(x, 0.0) for x in names])
+    if OTHER not in shares and there.sum():
+        out[there == 0] = 0.0
+        own = there[names.index(OTHER)] / there.sum()
+        out *= (1 - own) / out.sum() if out.sum() else 0.0
+        out[names.index(OTHER)] = own
+    return out
+
+
 def mix_documents(docs: DataFrame, mix: Mix = MIX, seed: str = "mix") -> DataFrame:
     """``docs`` with ``topic``, ``n_tokens``, ``probability`` and ``sampled``."""
     shares = {d: dict(getattr(mix, d)) for d in DIMENSIONS}
@@ -117,7 +130,7 @@ def mix_documents(docs: DataFrame, mix: Mix = MIX, seed: str = "mix") -> DataFra
     at = [tuple(n.index(r[f"_{d}"]) for n, d in zip(names, DIMENSIONS, strict=True)) for r in cells]
     for place, row in zip(at, cells, strict=True):
         tokens[place] = row["tokens"]
-    kept, residual = rake(tokens, [np.array([shares[d].get(x, 0.0) for x in n]) for n, d in zip(names, DIMENSIONS, strict=True)], mix.keep)
+    kept, residual = rake(tokens, [_targets(tokens, axis, n, shares[d]) for axis, (n, d) in enumerate(zip(names, DIMENSIONS, strict=True))], mix.keep)
     rows = [(*(n[k] for n, k in zip(names, place, strict=True)),
              float(min(1.0, kept[place] / tokens[place])) if tokens[place] else float(mix.keep)) for place in at]
     table = docs.sparkSession.createDataFrame(rows, ", ".join(f"_{d} string" for d in DIMENSIONS) + ", probability double")

@@ -71,3 +71,19 @@ def test_edge_cases(spark):
     again = {str(r["doc_id"]): r["sampled"] for r in M.mix_documents(docs.repartition(7)).collect()}
     assert all(again[str(r["doc_id"])] == r["sampled"] for r in got)
     assert M.mix_documents(docs.limit(0)).count() == 0
+
+
+def test_unnamed_categories_are_kept_like_the_rest(spark):
+    rnd = random.Random(8)
+    rows = [(k, "some plain words " * 60, rnd.choices([*M.MIX.source, "new", None], [*M.MIX.source.values(), 0.06, 0.06])[0],
+             rnd.choices([*M.MIX.lang, "xx", None], [*M.MIX.lang.values(), 0.03, 0.03])[0]) for k in range(3000)]
+    got = M.mix_documents(spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")).collect()
+    for d in ("source", "lang"):
+        named = [r["probability"] for r in got if r[d] in getattr(M.MIX, d)]
+        for unnamed in ("new" if d == "source" else "xx", None):
+            some = [r["probability"] for r in got if r[d] == unnamed]
+            assert some and abs(np.mean(some) - np.mean(named)) < 0.05
+    explicit = M.Mix(M.MIX.source | {M.OTHER: 0.02}, M.MIX.lang, M.MIX.topic, 0.5)
+    got = M.mix_documents(spark.createDataFrame(rows, "doc_id long, text string, source string, lang string"), explicit).collect()
+    share = sum(r["probability"] for r in got if r["source"] in ("new", None)) / sum(r["probability"] for r in got)
+    assert abs(share - 0.02 / (sum(M.MIX.source.values()) + 0.02)) < 0.01
