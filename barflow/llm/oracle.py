@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from barflow.llm import embed_dedup, jaccard, url_filter
+from barflow.llm import embed_dedup, jaccard, lexical_search, url_filter
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -91,4 +91,22 @@ def urls_sql() -> str:
     FROM u JOIN scored USING (id), range(1, copies + 1)"""
 
 
-ORACLE_SQL = {"op5_jaccard": jaccard_sql(), "op8_urls": urls_sql(), "op9_embeddings": embeddings_sql()}
+def search_sql() -> str:
+    """Every document's score for every item, by one join on terms."""
+    terms = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+    def words(table: str, key: str) -> str:
+        return f"SELECT {key} AS id, row_number() OVER () AS r, unnest(regexp_extract_all({_lower('text')}, '{terms}')) AS term FROM {table}"
+
+    return f"""WITH d AS ({words("documents", "doc_id")}), q AS (SELECT DISTINCT * FROM ({words("benchmark", "item_id")})),
+    size AS (SELECT r, count(*) AS n FROM d GROUP BY r), whole AS (SELECT count(*) AS docs, sum(n)::BIGINT AS l FROM size),
+    tf AS (SELECT r, id, term, count(*) AS tf FROM d WHERE term IN (SELECT term FROM q) GROUP BY r, id, term),
+    w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, whole GROUP BY term, docs),
+    v AS (SELECT r, id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // l))) AS v FROM tf JOIN w USING (term) JOIN size USING (r), whole),
+    scores AS (SELECT q.r AS item, q.id AS item_id, v.r, v.id AS doc_id, sum(v)::BIGINT AS score FROM q JOIN v USING (term) GROUP BY ALL),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS place FROM scores WHERE score > 0)
+    SELECT item_id, CAST(place AS INT) AS rank, doc_id, score FROM ranked WHERE place <= {lexical_search.K}"""
+
+
+ORACLE_SQL = {"op5_jaccard": jaccard_sql(), "op8_urls": urls_sql(), "op9_embeddings": embeddings_sql(),
+              "op13_search": search_sql()}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barflow.llm import embed_dedup, fingerprint, jaccard, lm_score, mixing, packing, quality, secret_scan, toxicity, url_filter
+from barflow.llm import embed_dedup, fingerprint, jaccard, lexical_search, lm_score, mixing, packing, quality, secret_scan, toxicity, url_filter
 from barflow.llm.common import documents, held_out, table
 from barflow.llm.oracle import ORACLE_SQL  # noqa: F401
 
@@ -80,6 +80,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", apart.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return lexical_search.search(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_fingerprints": op2_fingerprints,
@@ -91,4 +96,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_urls": op8_urls,
     "op9_embeddings": op9_embeddings,
     "op10_quality": op10_quality,
+    "op13_search": op13_search,
 }
