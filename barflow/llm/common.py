@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -10,6 +11,10 @@ from pyspark.sql import functions as F
 
 # Rows of a text table that one Arrow batch of a Python stage holds (long texts stay few per batch).
 BATCH_ROWS = 1000
+# Characters of a text that one call of a regular expression reads.
+PIECE = 1 << 20
+
+_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,3 +53,20 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list:
 def held_out(doc_id, folds: int, fold: int):
     """crc32 of the id written as text, modulo ``folds``, equals ``fold``."""
     return F.crc32(doc_id.cast("string").cast("binary")) % folds == fold
+
+
+def lower_ascii(text: str | None) -> str:
+    """The text with A-Z alone in lower case; null is empty."""
+    return (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).decode("utf-8", "surrogatepass")
+
+
+def pieces(text: str, inside: re.Pattern, size: int = PIECE) -> Iterator[str]:
+    """``text`` in parts of about ``size`` characters, cut where no match of the character class ``inside`` is cut."""
+    at = 0
+    while at < len(text):
+        end = min(at + size, len(text))
+        while end < len(text) and inside.match(text[end]) and inside.match(text[end - 1]):
+            run = inside.match(text, end)
+            end = run.end()
+        yield text[at:end]
+        at = end

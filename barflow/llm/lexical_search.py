@@ -34,35 +34,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from barflow.llm.common import lower_ascii, pieces
 from barflow.llm.lm_score import pack, unpack
 from barflow.session import materialize
 
 K = 10
 BLOCK_ITEMS = 2000
-# Characters of a text that one regular expression call reads, and classes that are scored at once.
-PIECE = 1 << 20
+# Classes that are scored at once.
 BLOCK_CLASSES = 256
 
 _TERM = re.compile("[0-9a-z\u0080-\U0010ffff]+")
-_LOWER_BYTES = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-
-
-def pieces(text: str, inside: re.Pattern, size: int = PIECE) -> Iterator[str]:
-    """``text`` in parts of about ``size`` characters, cut where no match of the character class ``inside`` is cut."""
-    at = 0
-    while at < len(text):
-        end = min(at + size, len(text))
-        while end < len(text) and inside.match(text[end]) and inside.match(text[end - 1]):
-            run = inside.match(text, end)
-            end = run.end()
-        yield text[at:end]
-        at = end
 
 
 def terms_of(text: str | None) -> Iterator[list[str]]:
     """The terms of a whole text, a piece at a time."""
-    lower = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER_BYTES).decode("utf-8", "surrogatepass")
-    for piece in pieces(lower, _TERM):
+    for piece in pieces(lower_ascii(text), _TERM):
         yield _TERM.findall(piece)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barflow.llm import embed_dedup, fingerprint, jaccard, lexical_search, lm_score, mixing, packing, quality, secret_scan, toxicity, url_filter
+from barflow.llm import embed_dedup, fingerprint, jaccard, lexical_search, lm_score, mixing, packing, pii, quality, secret_scan, spelling, toxicity, url_filter
 from barflow.llm.common import documents, held_out, table
 from barflow.llm.oracle import ORACLE_SQL  # noqa: F401
 
@@ -80,6 +80,17 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", apart.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near words, form and root of every frequent word of the documents."""
+    return spelling.spelling_variants(documents(spark, sf_dir))
+
+
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every whole text: counts and digest of the base kinds, and all spans."""
+    docs = documents(spark, sf_dir)
+    return pii.digest(pii.find_pii(docs, pii.learn(docs)))
+
+
 def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best documents of every benchmark item."""
     return lexical_search.search(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
@@ -96,5 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_urls": op8_urls,
     "op9_embeddings": op9_embeddings,
     "op10_quality": op10_quality,
+    "op11_spelling": op11_spelling,
+    "op12_pii": op12_pii,
     "op13_search": op13_search,
 }

@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 
 from barflow.llm import lexical_search as L
+from barflow.llm.common import pieces
 
 TERM = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 
@@ -67,7 +68,7 @@ def test_pieces_cut_no_term():
     rnd = random.Random(5)
     for _ in range(300):
         text = "".join(rnd.choice("ab  é.") for _ in range(rnd.randint(0, 60)))
-        parts = list(L.pieces(text, L._TERM, rnd.randint(1, 9)))
+        parts = list(pieces(text, L._TERM, rnd.randint(1, 9)))
         assert "".join(parts) == text
         assert [t for p in parts for t in L._TERM.findall(p)] == L._TERM.findall(text)
 
