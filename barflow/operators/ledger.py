@@ -1,10 +1,13 @@
 """The all-in position ledger.
 
 P1 is a fold: integer share counts make the step non-associative, so the
-signals of one (symbol, parameter set) are applied in order. Only signal rows
-enter it; they are hash-partitioned by key and sorted, and ``mapInPandas``
-streams them batch by batch with O(1) state per key, so a key's signals are
-never gathered into one array or one pandas frame. Keys run in parallel.
+signals of one (symbol, parameter set), a lane, are applied in order. Only
+signal rows enter it; lanes are dealt to tasks by a hash of their key, a task's
+rows are sorted by the bar index, so its lanes are interleaved, and
+``mapInPandas`` streams them batch by batch with two numbers of state a lane.
+In a batch the lanes step together (``lockstep``): step k takes the k-th signal
+of every lane as arrays, so the work in Python is one step for each signal of
+the busiest lane, not one for each row.
 
 P3 (final value) and P4 (equity) are joins and scans around the fold.
 """
@@ -14,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import partial
 
-import pandas as pd
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,28 +51,59 @@ def ledger_step(cash: float, pos: int, sig: int, price: float, halt: bool = Fals
     return cash, pos, closed, opened
 
 
-def _fold_batches(batches, keys, seq, starting_cash, halt):
-    current = None
-    cash, pos = starting_cash, 0
+def lockstep(cash: np.ndarray, pos: np.ndarray, lane: np.ndarray, sig: np.ndarray, price: np.ndarray, halt: bool = False):
+    """``ledger_step`` on many lanes at once: one signal a row, the rows of a lane in order.
+
+    ``cash`` and ``pos`` hold each lane's state and are updated. The k-th rows of all lanes form
+    round k, and a round is one step of arrays. Returns (cash, pos, closed, opened) of each row.
+    """
+    n = len(lane)
+    by_lane = np.argsort(lane, kind="stable")
+    of = lane[by_lane]
+    first = np.flatnonzero(np.append(True, of[1:] != of[:-1])) if n else np.empty(0, dtype=np.int64)
+    rank = np.empty(n, dtype=np.int64)
+    rank[by_lane] = np.arange(n) - np.repeat(first, np.diff(np.append(first, n)))
+    order = np.argsort(rank, kind="stable")
+    bounds = np.append(np.flatnonzero(np.append(True, np.diff(rank[order]) > 0)), n) if n else [0]
+    lanes, sigs, prices = lane[order], np.sign(sig[order]).astype(np.float64), price[order]
+    out = np.empty((4, n))
+    for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
+        at, side, x = lanes[lo:hi], sigs[lo:hi], prices[lo:hi]
+        c, held = cash[at], pos[at]
+        closed = np.where(held * side < 0, held, 0.0)
+        c = c + closed * x
+        held = held - closed
+        shares = np.trunc(c / x)
+        # Whole shares in the signal's direction, from flat only.
+        opened = np.where((held == 0) & (c > 0) if halt else held == 0, side * shares, 0.0)
+        c = c - opened * x
+        held = held + opened
+        cash[at], pos[at] = c, held
+        out[0, lo:hi], out[1, lo:hi], out[2, lo:hi], out[3, lo:hi] = c, held, closed, opened
+    if n and np.abs(out[1:]).max() >= 2.0**53:
+        raise OverflowError("a position of 2**53 shares or more is not exact")
+    rows = np.empty_like(out)
+    rows[:, order] = out
+    return rows[0], *(r.astype(np.int64) for r in rows[1:])
+
+
+def _fold_batches(batches, keys, starting_cash, halt):
+    """Signals by bar index, all lanes of the task interleaved; its state is two numbers a lane."""
+    lanes: dict = {}
+    cash, pos = np.empty(0), np.empty(0)
     for pdf in batches:
         if pdf.empty:
             continue
-        key_vals = list(zip(*[pdf[k].tolist() for k in keys]))
-        sigs = pdf["sig"].tolist()
-        prices = pdf["price"].tolist()
-        out_cash, out_pos, out_closed, out_opened = [], [], [], []
-        for k, s, p in zip(key_vals, sigs, prices):
-            if k != current:
-                current, cash, pos = k, starting_cash, 0
-            cash, pos, closed, opened = ledger_step(cash, pos, int(s), float(p), halt)
-            out_cash.append(cash)
-            out_pos.append(pos)
-            out_closed.append(closed)
-            out_opened.append(opened)
-        yield pdf.assign(closed=pd.Series(out_closed, index=pdf.index, dtype="int64"),
-                         opened=pd.Series(out_opened, index=pdf.index, dtype="int64"),
-                         cash=pd.Series(out_cash, index=pdf.index, dtype="float64"),
-                         pos=pd.Series(out_pos, index=pdf.index, dtype="int64"))
+        groups = pdf.groupby(keys, sort=False, dropna=False)
+        code = groups.ngroup().to_numpy()
+        seen = pdf[keys].iloc[np.sort(np.unique(code, return_index=True)[1])]
+        named = seen.astype(object).where(seen.notna(), None).itertuples(index=False, name=None)
+        lane = np.array([lanes.setdefault(k, len(lanes)) for k in named], dtype=np.int64)
+        more = len(lanes) - len(cash)
+        if more:
+            cash, pos = np.append(cash, np.full(more, starting_cash)), np.append(pos, np.zeros(more))
+        after = lockstep(cash, pos, lane[code], pdf["sig"].to_numpy(), pdf["price"].to_numpy(dtype=np.float64), halt)
+        yield pdf.assign(**{c: v for c, v in zip(("cash", "pos", "closed", "opened"), after, strict=True)})[[*pdf.columns, "closed", "opened", "cash", "pos"]]
 
 
 def run_ledger(frame: DataFrame, starting_cash: float, keys: Sequence[str] | str = ("symbol",),
@@ -84,12 +118,11 @@ def run_ledger(frame: DataFrame, starting_cash: float, keys: Sequence[str] | str
     ks = _keys(keys)
     rows = (frame.filter(F.col("sig") != 0)
             .select(*ks, seq, "ts", F.col("sig").cast("int").alias("sig"), F.col("close").alias("price")))
-    rows = rows.repartition(*ks).sortWithinPartitions(*ks, seq)
+    rows = rows.repartition(*ks).sortWithinPartitions(seq, *ks)
     schema = T.StructType(rows.schema.fields + [
         T.StructField("closed", T.LongType()), T.StructField("opened", T.LongType()),
         T.StructField("cash", T.DoubleType()), T.StructField("pos", T.LongType())])
-    fold = partial(_fold_batches, keys=ks, seq=seq, starting_cash=float(starting_cash),
-                   halt=(insolvency == "halt"))
+    fold = partial(_fold_batches, keys=ks, starting_cash=float(starting_cash), halt=(insolvency == "halt"))
     return rows.mapInPandas(fold, schema)
 
 
@@ -122,12 +155,14 @@ def sweep_final_values(bars: DataFrame, signals: DataFrame, trades: DataFrame, g
                        keys: Sequence[str], seq: str = "seq") -> DataFrame:
     """P3 for a grid of parameter sets: last close and bar count once per series, then one row per set.
 
-    ``keys`` are the series keys followed by the columns of ``grid``. The rows of all three inputs
+    ``keys`` are the series keys followed by the columns of ``grid``. ``bars`` need no index: the last bar is
+    the one of the latest ``ts``, the greatest of equal ones. The rows of all three inputs
     go through one aggregate together.
     """
     sets = list(grid[0])
     series = [k for k in keys if k not in sets]
-    last = bars.groupBy(*series).agg(F.max_by("close", seq).alias("last_close"), F.count(F.lit(1)).alias("n_bars"))
+    latest = F.max(F.struct(*[c for c in bars.columns if c not in series])).alias("_bar")
+    last = bars.groupBy(*series).agg(latest, F.count(F.lit(1)).alias("n_bars")).select(*series, F.col("_bar.close").alias("last_close"), "n_bars")
     each = F.explode(F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in g.items()]) for g in grid])).alias("_g")
     null = F.lit(None)
     state = f"struct<{seq}:bigint,cash:double,pos:bigint>"
