@@ -23,6 +23,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,6 +33,9 @@ from barflow.operators.sequence import (
     CHUNK, DEFAULT_CHUNK_ROWS, HOME, _keys, chunk_of, chunk_window, join_on, over_chunks,
 )
 
+# Maps that ``apply_maps`` applies one after the other.
+BLOCK = 512
+
 
 def halo_rows(alpha: float, bits: int = 64) -> int:
     if not 0 < alpha <= 1:
@@ -82,6 +86,42 @@ def ewm_columns(df: DataFrame, specs: Mapping[str, tuple[str, float]],
     return chunked.groupBy(*ks, CHUNK).applyInPandas(run, out_schema)
 
 
+def compose_maps(a: np.ndarray, b: np.ndarray) -> tuple[float, float]:
+    """The map y -> A·y + B that the maps y -> a_t·y + b_t make in order: neighbours are composed pairwise in log steps."""
+    while len(a) > 1:
+        if len(a) % 2:
+            a, b = np.append(a, 1.0), np.append(b, 0.0)
+        a, b = a[1::2] * a[::2], a[1::2] * b[::2] + b[1::2]
+    return (float(a[0]), float(b[0])) if len(a) else (1.0, 0.0)
+
+
+def apply_maps(a: np.ndarray, b: np.ndarray, y: float) -> np.ndarray:
+    """All y_t = a_t·y_{t-1} + b_t from ``y``: blocks of ``BLOCK`` maps side by side, step by step, then from block to block.
+
+    The blocks are composed and their entering values found the same way, so the work in Python is ``BLOCK``
+    array steps a level. A block whose maps wipe the past (a product of 0, also by underflow) is then exact by itself.
+    """
+    n = len(a)
+    if n <= BLOCK:
+        out = np.empty(n)
+        for t, (x_a, x_b) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
+            y = x_a * y + x_b
+            out[t] = y
+        return out
+    rows = -(-n // BLOCK)
+    pad = rows * BLOCK - n
+    wide_a, wide_b = np.append(a, np.ones(pad)).reshape(rows, BLOCK), np.append(b, np.zeros(pad)).reshape(rows, BLOCK)
+    big_a, big_b = np.ones(rows), np.zeros(rows)
+    for t in range(BLOCK):
+        big_a, big_b = wide_a[:, t] * big_a, wide_a[:, t] * big_b + wide_b[:, t]
+    now = np.append(y, apply_maps(big_a, big_b, y)[:-1])
+    out = np.empty((rows, BLOCK))
+    for t in range(BLOCK):
+        now = wide_a[:, t] * now + wide_b[:, t]
+        out[:, t] = now
+    return out.ravel()[:n]
+
+
 def affine_scan(df: DataFrame, series: Sequence[tuple[str, str, str]],
                 keys: Sequence[str] | str = ("symbol",), seq: str = "seq",
                 chunk_rows: int = DEFAULT_CHUNK_ROWS, with_prev: bool = False) -> DataFrame:
@@ -112,10 +152,7 @@ def affine_scan(df: DataFrame, series: Sequence[tuple[str, str, str]],
         row = {k: pdf[k].iloc[0] for k in ks}
         row[CHUNK] = int(pdf[CHUNK].iloc[0])
         for i, (a, b) in enumerate(zip(a_cols, b_cols)):
-            big_a, big_b = 1.0, 0.0
-            for x_a, x_b in zip(pdf[a].tolist(), pdf[b].tolist()):
-                big_a, big_b = x_a * big_a, x_a * big_b + x_b
-            row[f"_A{i}"], row[f"_B{i}"] = big_a, big_b
+            row[f"_A{i}"], row[f"_B{i}"] = compose_maps(pdf[a].to_numpy(), pdf[b].to_numpy())
         return pd.DataFrame([row])
 
     carry_fields = summary_fields[: len(ks) + 1] + [T.StructField(f"_Y{i}", T.DoubleType())
@@ -126,11 +163,8 @@ def affine_scan(df: DataFrame, series: Sequence[tuple[str, str, str]],
         pdf = pdf.sort_values(CHUNK, kind="stable").reset_index(drop=True)
         out = pdf[[*ks, CHUNK]].copy()
         for i in range(len(series)):
-            y, ys = 0.0, []
-            for big_a, big_b in zip(pdf[f"_A{i}"].tolist(), pdf[f"_B{i}"].tolist()):
-                ys.append(y)
-                y = big_a * y + big_b
-            out[f"_Y{i}"] = ys
+            after = apply_maps(pdf[f"_A{i}"].to_numpy(), pdf[f"_B{i}"].to_numpy(), 0.0)
+            out[f"_Y{i}"] = np.append(0.0, after[:-1])
         return out
 
     summaries = (chunked.select(*ks, CHUNK, seq, *a_cols, *b_cols)
@@ -149,14 +183,10 @@ def affine_scan(df: DataFrame, series: Sequence[tuple[str, str, str]],
         pdf = pdf.sort_values(seq, kind="stable")
         for i, (a, b, o) in enumerate(series):
             y = float(pdf[f"_Y{i}"].iloc[0])
-            ys, prevs = [], []
-            for x_a, x_b in zip(pdf[a].tolist(), pdf[b].tolist()):
-                prevs.append(y)
-                y = x_a * y + x_b
-                ys.append(y)
+            ys = apply_maps(pdf[a].to_numpy(), pdf[b].to_numpy(), y)
             pdf[o] = ys
             if with_prev:
-                pdf[f"prev_{o}"] = prevs
+                pdf[f"prev_{o}"] = np.append(y, ys[:-1])
         return pdf[out_names]
 
     joined = join_on(chunked, carry, [*ks, CHUNK])
