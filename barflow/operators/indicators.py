@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barflow.functions.columns import gain, loss, price_change, rsi_from_averages
 from barflow.operators.recurrence import ewm_columns, ewm_scan_columns, halo_rows, has_gaps, span_alpha
-from barflow.operators.sequence import DEFAULT_CHUNK_ROWS, chunk_window, home_rows, over_chunks
+from barflow.operators.sequence import DEFAULT_CHUNK_ROWS, chunk_window, effective_chunk_rows, home_rows, over_chunks
 
 
 def _check_period(n: int) -> int:
@@ -22,6 +22,46 @@ def _check_period(n: int) -> int:
     return int(n)
 
 
+def prefix_means(chunked: DataFrame, specs: Mapping[str, tuple[str, int]], keys: Sequence[str] | str, seq: str, rows: int) -> DataFrame:
+    """Add, for each ``name -> (source column, n)``, the mean of the last n rows of the chunk, NULL unless all n have a value.
+
+    Each source has one running sum a chunk and every mean is a difference of two of its values, so the cost of a
+    row does not depend on n. The sums are compensated: a value is split into a multiple of a unit, a power of two
+    so chosen from the chunk's largest value that ``rows`` of them add up without rounding, and the small rest, whose
+    sum's error is about 2^-61 of the largest value. A window with a value that is not finite has the mean NaN.
+    ``rows``: bound of a chunk's rows, copies included.
+    """
+    w = chunk_window(keys, seq)
+    whole, upto = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing), w.rowsBetween(Window.unboundedPreceding, 0)
+    sources = list(dict.fromkeys(src for src, _ in specs.values()))
+    bits = 51 - int(rows).bit_length()
+    columns = list(chunked.columns)
+    finite = {src: F.abs(F.col(src)) < F.lit(float("inf")) for src in sources}
+    tops = [F.max(F.when(finite[src], F.abs(F.col(src)))).over(whole).alias(f"_top{i}") for i, src in enumerate(sources)]
+    out = chunked.select("*", *tops)
+    parts = []
+    for i, src in enumerate(sources):
+        unit = F.when(F.col(f"_top{i}") > 0, F.pow(F.lit(2.0), F.greatest(F.ceil(F.log2(f"_top{i}")) - bits, F.lit(-1000)))).otherwise(F.lit(1.0))
+        x = F.when(finite[src], F.col(src).cast("double"))
+        large = F.rint(x / unit) * unit
+        parts += [large.alias(f"_hi{i}"), (x - large).alias(f"_lo{i}")]
+    out = out.select(*columns, *parts)
+    zero = F.lit(0.0)
+    sums = [F.struct(F.coalesce(F.sum(f"_hi{i}").over(upto), zero).alias("hi"), F.coalesce(F.sum(f"_lo{i}").over(upto), zero).alias("lo"),
+                     F.count(src).over(upto).alias("n"), F.count(f"_hi{i}").over(upto).alias("ok")).alias(f"_sum{i}")
+            for i, src in enumerate(sources)]
+    out = out.select(*columns, *sums)
+    before = [F.lag(f"_sum{sources.index(src)}", n).over(w).alias(f"_before_{name}") for name, (src, n) in specs.items()]
+    out = out.select("*", *before)
+    means = []
+    for name, (src, n) in specs.items():
+        now, then = F.col(f"_sum{sources.index(src)}"), F.col(f"_before_{name}")
+        part = {f: now[f] - F.coalesce(then[f], F.lit(0)) for f in ("hi", "lo", "n", "ok")}
+        mean = F.when(part["ok"] == n, (part["hi"] + part["lo"]) / n).otherwise(F.lit(float("nan")))
+        means.append(F.when(part["n"] == n, mean).alias(name))
+    return out.select(*columns, *means)
+
+
 def rolling_means(df: DataFrame, specs: Mapping[str, int], src: str = "close",
                   keys: Sequence[str] | str = ("symbol",), seq: str = "seq",
                   with_prev: bool = True, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
@@ -33,12 +73,9 @@ def rolling_means(df: DataFrame, specs: Mapping[str, int], src: str = "close",
     periods = {k: _check_period(v) for k, v in specs.items()}
     halo = max(periods.values()) + (1 if with_prev else 0)
     w = chunk_window(keys, seq)
-    cols = []
-    for name, n in periods.items():
-        f = w.rowsBetween(1 - n, 0)
-        cols.append(F.when(F.count(src).over(f) == n, F.avg(src).over(f)).alias(name))
-    out = over_chunks(df, halo, chunk_rows, seq).select("*", *cols)
-    if with_prev:  # the previous row's mean, not a second sliding frame
+    out = prefix_means(over_chunks(df, halo, chunk_rows, seq), {k: (src, n) for k, n in periods.items()}, keys, seq,
+                       effective_chunk_rows(halo, chunk_rows) + halo)
+    if with_prev:
         out = out.select("*", *[F.lag(name).over(w).alias(f"prev_{name}") for name in periods])
     return home_rows(out)
 
@@ -59,9 +96,7 @@ def gains_losses(df: DataFrame, n: int | None = None, src: str = "close",
     ch = ch.withColumn("price_change", delta)
     ch = ch.withColumn("gain", gain("price_change")).withColumn("loss", loss("price_change"))
     if n:
-        f = w.rowsBetween(1 - n, 0)
-        for c in ("gain", "loss"):
-            ch = ch.withColumn(f"rolling_{c}", F.when(F.count(c).over(f) == n, F.avg(c).over(f)))
+        ch = prefix_means(ch, {f"rolling_{c}": (c, n) for c in ("gain", "loss")}, keys, seq, effective_chunk_rows(halo, chunk_rows) + halo)
     return home_rows(ch)
 
 
@@ -94,15 +129,14 @@ def rsi_many(df: DataFrame, periods: Sequence[int], keys: Sequence[str] | str =
     recurrence pass for every period's Wilder averages."""
     ns = sorted({_check_period(n) for n in periods})
     w = chunk_window(keys, seq)
-    ch = over_chunks(df, 1 + max(ns), chunk_rows, seq)
+    halo = 1 + max(ns)
+    ch = over_chunks(df, halo, chunk_rows, seq)
     ch = ch.withColumn("price_change", price_change(F.lag("close", 1).over(w), F.col("close")))
     ch = ch.withColumn("gain", gain("price_change")).withColumn("loss", loss("price_change"))
-    for n in ns:
-        f = w.rowsBetween(1 - n, 0)
-        for c in ("gain", "loss"):
-            mean = F.when(F.count(c).over(f) == n, F.avg(c).over(f))
-            ch = ch.withColumn(f"_w_{c}_{n}", F.when(F.col(seq) < n, F.lit(None).cast("double"))
-                               .when(F.col(seq) == n, mean).otherwise(F.col(c)))
+    seeds = {f"_w_{c}_{n}": (c, n) for n in ns for c in ("gain", "loss")}
+    ch = prefix_means(ch, seeds, keys, seq, effective_chunk_rows(halo, chunk_rows) + halo)
+    for name, (c, n) in seeds.items():
+        ch = ch.withColumn(name, F.when(F.col(seq) == n, F.col(name)).when(F.col(seq) > n, F.col(c)))
     seeded = home_rows(ch)
     specs = {}
     for n in ns:

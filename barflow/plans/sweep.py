@@ -1,7 +1,7 @@
 """Y2: many (fast, slow) parameter pairs in one plan.
 
 Each *distinct* period gets one indicator column, computed once: for the SMA
-all in one window node (frames must be literals; one sort per chunk), for the
+one running sum and a difference of two of its values each (one sort per chunk), for the
 EMA all in one recurrence pass. Each parameter set is one signal expression; only
 the bars with a signal become rows (one for each set that has one there), and every
 (symbol, set) runs its own ledger, in parallel. Bars are never multiplied by sets.
@@ -14,12 +14,23 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barflow.operators import indicators as ind
-from barflow.operators.sequence import DEFAULT_CHUNK_ROWS, _keys
+from barflow.operators.sequence import DEFAULT_CHUNK_ROWS, _keys, with_seq
 from barflow.functions.columns import cross_signal, threshold_signal
-from barflow.plans.strategies import StrategyRun, _prepare
+from barflow.plans.strategies import StrategyRun
 from barflow.schema import DEFAULT_CASH, RSI_HIGH, RSI_LOW
+from barflow.session import materialize
+
+
+def _numbered(bars: DataFrame, ks: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Bars with their index, and what tells each series' last close: the stored bars, which are not numbered for it again."""
+    if "seq" in bars.columns:
+        return bars, bars.select(*ks, "seq", "close")
+    stored = materialize(bars, "bars")
+    rest = [f.name for f in stored.schema.fields if f.name not in (*ks, "ts") and not isinstance(f.dataType, (T.MapType, T.ArrayType))]
+    return with_seq(stored, ks), stored.select(*ks, "ts", *rest)
 
 
 def sweep_sma(bars: DataFrame, pairs: Sequence[tuple[int, int]], starting_cash: float = DEFAULT_CASH,
@@ -30,10 +41,10 @@ def sweep_sma(bars: DataFrame, pairs: Sequence[tuple[int, int]], starting_cash:
     if not pairs:
         raise ValueError("at least one (fast, slow) pair is required")
     periods = sorted({int(p) for pair in pairs for p in pair})
-    bars = _prepare(bars, ks)
+    bars, last = _numbered(bars, ks)
     f = ind.rolling_means(bars, {f"sma_{p}": p for p in periods}, keys=ks,
                           chunk_rows=chunk_rows)
-    return _explode_pairs(bars, f, pairs, "sma", ks, starting_cash, insolvency, chunk_rows)
+    return _explode_pairs(last, f, pairs, "sma", ks, starting_cash, insolvency, chunk_rows)
 
 
 def sweep_ema(bars: DataFrame, pairs: Sequence[tuple[int, int]], starting_cash: float = DEFAULT_CASH,
@@ -44,9 +55,9 @@ def sweep_ema(bars: DataFrame, pairs: Sequence[tuple[int, int]], starting_cash:
     if not pairs:
         raise ValueError("at least one (fast, slow) pair is required")
     spans = sorted({int(p) for pair in pairs for p in pair})
-    bars = _prepare(bars, ks)
+    bars, last = _numbered(bars, ks)
     f = ind.ema(bars, {f"ema_{p}": p for p in spans}, keys=ks, chunk_rows=chunk_rows)
-    return _explode_pairs(bars, f, pairs, "ema", ks, starting_cash, insolvency, chunk_rows)
+    return _explode_pairs(last, f, pairs, "ema", ks, starting_cash, insolvency, chunk_rows)
 
 
 def _pair_params(pairs) -> list[dict[str, int]]:
@@ -70,7 +81,7 @@ def _sweep_run(name, bars, f, base, params, values, sigs, ks, starting_cash, ins
     hits = F.filter(F.array(*marks), lambda x: x["sig"] != 0)
     signals = f.select(*ks, "seq", "ts", "close", F.explode(hits).alias("_p")).select(*ks, "seq", "ts", "close", "_p.*")
     return StrategyRun(name, frame, float(starting_cash), [*ks, *params[0]], insolvency, chunk_rows, tuple(values[0]),
-                       signals=signals, series_bars=bars.select(*ks, "seq", "close"), grid=params)
+                       signals=signals, series_bars=bars, grid=params)
 
 
 def sweep_rsi(bars: DataFrame, periods: Sequence[int], starting_cash: float = DEFAULT_CASH,
@@ -81,13 +92,13 @@ def sweep_rsi(bars: DataFrame, periods: Sequence[int], starting_cash: float = DE
     ks = _keys(keys)
     if not periods:
         raise ValueError("at least one period is required")
-    bars = _prepare(bars, ks)
+    bars, last = _numbered(bars, ks)
     f = ind.rsi_many(bars, periods, keys=ks, chunk_rows=chunk_rows)
     params = [{"param_id": i, "rsi_period": int(n)} for i, n in enumerate(periods)]
     values = [{"rsi": F.col(f"rsi_{n}")} for n in periods]
     sigs = [threshold_signal(f"prev_rsi_{n}", f"rsi_{n}", RSI_LOW, RSI_HIGH) for n in periods]
     base = [c for c in f.columns if not c.startswith(("rsi_", "prev_rsi_"))]
-    return _sweep_run("rsi", bars, f, base, params, values, sigs, ks, starting_cash, insolvency, chunk_rows)
+    return _sweep_run("rsi", last, f, base, params, values, sigs, ks, starting_cash, insolvency, chunk_rows)
 
 
 def sweep_all(bars: DataFrame, sma_pairs: Sequence[tuple[int, int]] = (), ema_pairs: Sequence[tuple[int, int]] = (),
@@ -98,7 +109,7 @@ def sweep_all(bars: DataFrame, sma_pairs: Sequence[tuple[int, int]] = (), ema_pa
     carries ``param_a``/``param_b``: fast/slow periods, or the RSI period and 0
     (key columns are join keys downstream and must not be NULL)."""
     ks = _keys(keys)
-    bars = _prepare(bars, ks)
+    bars, last = _numbered(bars, ks)
     runs = []
     for name, grid, make in (("sma", sma_pairs, sweep_sma), ("ema", ema_pairs, sweep_ema), ("rsi", rsi_periods, sweep_rsi)):
         if grid:
@@ -116,4 +127,4 @@ def sweep_all(bars: DataFrame, sma_pairs: Sequence[tuple[int, int]] = (), ema_pa
     params = [{"strategy": n, "param_id": p["param_id"], "param_a": p.get("rsi_period", p.get("fast_period")),
                "param_b": p.get("slow_period", 0)} for n, r in runs for p in r.grid]
     return StrategyRun("all", frame, float(starting_cash), [*ks, "strategy", "param_id", "param_a", "param_b"],
-                       insolvency, chunk_rows, (), signals=signals, series_bars=bars.select(*ks, "seq", "close"), grid=params)
+                       insolvency, chunk_rows, (), signals=signals, series_bars=last, grid=params)

@@ -2,9 +2,11 @@
 
 import random
 
+import pytest
 from conftest import SF001, make_bars
 
 from barflow.operators.bars import ohlcv_bars
+from barflow.operators.indicators import rolling_means
 from barflow.operators.sequence import ffill_last, with_seq
 from barflow.plans.strategies import ema_crossover, rsi_strategy, sma_crossover
 from barflow.sources.ticks import lineitem_ticks, order_ticks
@@ -182,3 +184,54 @@ def test_ffill_last_property(spark):
             assert out[i] == last, (i, out[i], last)
 
     check()
+
+
+def test_affine_maps_in_blocks_match_a_loop():
+    import numpy as np
+
+    from barflow.operators import recurrence as R
+
+    rnd = np.random.default_rng(2)
+    for n in (0, 1, 2, 511, 512, 513, 5000):
+        a, b = rnd.uniform(0, 1, n), rnd.normal(size=n)
+        a[rnd.uniform(size=n) < 0.02] = 0.0
+        y, want = 3.0, []
+        for x_a, x_b in zip(a.tolist(), b.tolist(), strict=True):
+            y = x_a * y + x_b
+            want.append(y)
+        np.testing.assert_allclose(R.apply_maps(a, b, 3.0), want, rtol=1e-12, atol=1e-12)
+        big_a, big_b = R.compose_maps(a, b)
+        assert big_a * 3.0 + big_b == pytest.approx(want[-1] if n else 3.0, abs=1e-12)
+
+
+def test_prefix_means_match_sliding_frames(spark):
+    """Values far apart in size, missing ones and one that is not a number; the error is bound by the chunk's largest."""
+    import math
+    import random
+
+    rnd = random.Random(6)
+    closes = [rnd.choice([round(rnd.uniform(1, 500), 2), 10.1, 10.1, 7.0, rnd.uniform(0, 1e-6), 1e7]) for _ in range(700)]
+    for i in (5, 80, 81, 300, 640):
+        closes[i] = None
+    closes[500] = float("nan")
+    frame = with_seq(make_bars(spark, closes))
+    periods = {"a": 1, "b": 2, "c": 7, "d": 60}
+    for chunk_rows in (250, 100_000):
+        rows = rolling_means(frame, periods, chunk_rows=chunk_rows).orderBy("seq").collect()
+        for name, n in periods.items():
+            for i, r in enumerate(rows):
+                window = closes[max(0, i - n + 1):i + 1]
+                if len(window) < n or None in window:
+                    assert r[name] is None
+                elif any(math.isnan(x) for x in window):
+                    assert math.isnan(r[name])
+                else:
+                    assert r[name] == pytest.approx(math.fsum(window) / n, rel=1e-15, abs=1e-11)
+                before, prev = rows[i - 1][name] if i else None, r[f"prev_{name}"]
+                assert prev is None if before is None else math.isnan(before) and math.isnan(prev) or prev == pytest.approx(before, rel=1e-15, abs=1e-11)
+
+
+def test_means_of_equal_prices_are_the_price(spark):
+    """No rounding noise that could look like a crossing."""
+    rows = rolling_means(with_seq(make_bars(spark, [10.1] * 3000)), {"fast": 5, "slow": 30}, chunk_rows=500).collect()
+    assert {r["fast"] for r in rows if r["seq"] >= 4} | {r["slow"] for r in rows if r["seq"] >= 29} == {10.1}
