@@ -19,6 +19,7 @@ from barflow.operators.sequence import DEFAULT_CHUNK_ROWS, _keys, join_on, with_
 from barflow.operators.signals import with_cross_signal, with_threshold_signal
 from barflow.schema import DEFAULT_CASH, DEFAULT_LONG, DEFAULT_RSI_PERIOD, DEFAULT_SHORT
 from barflow.session import materialize
+from barflow.sources.bar_index import Reader, lookback_start
 
 
 @dataclass
@@ -142,10 +143,10 @@ def with_warmup(bars: DataFrame, start: str, end: str | None, n: int,
     on the first kept bar; adds ``in_range``.
     """
     ks = _keys(keys)
+    if end is not None:  # before anything is stored: later bars change no index
+        bars = bars.filter(F.col("ts") <= F.lit(end).cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY")
+                           - F.expr("INTERVAL 1 MICROSECOND"))
     b = _prepare(bars, ks)
-    if end is not None:
-        b = b.filter(F.col("ts") <= F.lit(end).cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY")
-                     - F.expr("INTERVAL 1 MICROSECOND"))
     in_range = F.col("ts") >= F.lit(start).cast("timestamp_ntz")
     first = b.filter(in_range).groupBy(*ks).agg(F.min("seq").alias("_first"))
     lo = F.greatest(F.col("_first") - F.lit(int(n)), F.lit(0).cast("long"))
@@ -162,6 +163,31 @@ def trim_warmup(frame: DataFrame) -> DataFrame:
     return frame.filter(F.col("in_range"))
 
 
+def _lookback(strategy: str, params: dict) -> int:
+    """Bars before a range that its first indicators need; fills in the default periods."""
+    if strategy in ("sma", "ema"):
+        params.setdefault("short_period", DEFAULT_SHORT)
+        params.setdefault("long_period", DEFAULT_LONG)
+        return max(params["short_period"], params["long_period"])
+    params.setdefault("rsi_period", DEFAULT_RSI_PERIOD)
+    return params["rsi_period"] + 1
+
+
+def read_warmup(read: Reader, index: DataFrame, start: str, end: str | None, n: int, symbols: Sequence[str] | None = None) -> DataFrame:
+    """Y1 on stored bars: ``with_warmup`` of what ``read`` gives for the range that the index allows,
+    so partitions and times outside are not read."""
+    return with_warmup(read(symbols, lookback_start(index, start, n, symbols), end), start, end, n)
+
+
+def run_stored_range(read: Reader, index: DataFrame, symbol: str | None, start: str, end: str, strategy: str = "sma",
+                     warmup: bool = True, **params) -> StrategyRun:
+    """``run_range`` on stored bars (or ticks) with a bar index: symbol and both dates reach the scan, and
+    nothing but the range with its look-back is aggregated or stored."""
+    n = _lookback(strategy, params) if warmup else 0
+    symbols = None if symbol is None else [symbol]
+    return run_range(read(symbols, lookback_start(index, start, n, symbols), end), symbol, start, end, strategy, warmup=warmup, **params)
+
+
 def run_range(bars: DataFrame, symbol: str | None, start: str, end: str, strategy: str = "sma",
                    starting_cash: float = DEFAULT_CASH, warmup: bool = True, insolvency: str = "reference",
                    **params) -> StrategyRun:
@@ -172,13 +198,7 @@ def run_range(bars: DataFrame, symbol: str | None, start: str, end: str, strateg
     longest lookback), and only in-range bars can trade. Periods default to the
     strategy's defaults.
     """
-    if strategy in ("sma", "ema"):
-        params.setdefault("short_period", DEFAULT_SHORT)
-        params.setdefault("long_period", DEFAULT_LONG)
-        lookback = max(params["short_period"], params["long_period"])
-    else:
-        params.setdefault("rsi_period", DEFAULT_RSI_PERIOD)
-        lookback = params["rsi_period"] + 1
+    lookback = _lookback(strategy, params)
     b = bars if symbol is None else bars.filter(F.col("symbol") == symbol)
     win = with_warmup(b, start, end, lookback if warmup else 0)
     bt = run_strategy(strategy, win, starting_cash=starting_cash, insolvency=insolvency, **params)

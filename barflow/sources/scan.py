@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +28,27 @@ def _divides_day(every: str) -> bool:
     return secs > 0 and (86400 % secs == 0 or secs == 86400)
 
 
+def ticks_between(ticks: DataFrame, symbols: Sequence[str] | None, start: str | None, end: str | None, every: str = "1 day") -> DataFrame:
+    """Bars of ``symbols`` (None: all) whose start lies in [start, end] (None: open), from the ticks of that range
+    alone: both reach the parquet scan (see ``scan_bars_from_ticks``)."""
+    from barflow.operators.bars import ohlcv_bars
+
+    one, tiles = F.expr("INTERVAL 1 DAY"), _divides_day(every)
+    lo = None if start is None else F.lit(start).cast("timestamp_ntz")
+    hi = None if end is None else F.lit(end).cast("timestamp_ntz") + one
+    if symbols is not None:
+        ticks = ticks.filter(F.col("symbol").isin(list(symbols)))
+    step = F.expr(f"INTERVAL {every}")
+    if lo is not None:
+        ticks = ticks.filter(F.col("ts") >= (lo if tiles else lo - step))
+    if hi is not None:
+        ticks = ticks.filter(F.col("ts") < (hi if tiles else hi + step))
+    bars = ohlcv_bars(ticks, every)
+    if lo is not None and not tiles:
+        bars = bars.filter(F.col("ts") >= lo)
+    return bars if hi is None or tiles else bars.filter(F.col("ts") < hi)
+
+
 def scan_bars_from_ticks(ticks: DataFrame, symbol: str, start: str, end: str, every: str = "1 day",
                          limit: int | None = None) -> DataFrame:
     """S5 straight from ticks: bars of ``symbol`` whose start lies in [start, end].
