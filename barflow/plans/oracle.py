@@ -325,6 +325,35 @@ def _ema_gaps_q() -> str:
            {r6('e.fast')} AS fast, {r6('e.slow')} AS slow FROM b JOIN ema e USING (symbol, seq)"""
 
 
+def _ema_gap_runs_q() -> str:
+    """EMA over closes of which each block of GAP_BLOCK bars misses the first 2 to LONGEST_GAP."""
+    run = f"(2 + (b.seq // {C.GAP_BLOCK}) % {C.LONGEST_GAP - 1})"
+    at = f"(b.seq % {C.GAP_BLOCK})"
+
+    def step(y: str, alpha: float) -> str:
+        a = 1.0 / (1.0 + (1.0 - alpha) / alpha)
+        w = f"pow({dbl(1.0 - a)}, CASE WHEN {at} = {run} THEN {run} + 1 ELSE 1 END)"
+        return f"CASE WHEN {at} < {run} THEN {y} WHEN {y} IS NULL THEN b.close ELSE (({w}) * {y} + {dbl(a)} * b.close) / (({w}) + {dbl(a)}) END"
+
+    return f"""WITH RECURSIVE {series_ctes('L')},
+    ema(symbol, seq, fast, slow) AS (
+        SELECT symbol, seq, CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE) FROM b WHERE seq = 0
+        UNION ALL
+        SELECT b.symbol, b.seq, {step('e.fast', 2.0 / (C.SHORT + 1))}, {step('e.slow', 2.0 / (C.LONG + 1))}
+        FROM ema e JOIN b ON b.symbol = e.symbol AND b.seq = e.seq + 1)
+    SELECT symbol, ts, CASE WHEN {at} >= {run} THEN close END AS close,
+           {r6('e.fast')} AS fast, {r6('e.slow')} AS slow FROM b JOIN ema e USING (symbol, seq)"""
+
+
+def _batch_rows_q() -> str:
+    """Equal spans of time, as many as a replay of few rows has."""
+    from barflow.streaming.replay import LEAST_SLICES as n
+
+    return f"""WITH t AS (SELECT epoch_us(ts) AS us FROM ({bars_sql('L')}) x), lim AS (SELECT min(us) AS lo, max(us) AS hi FROM t)
+    SELECT CAST(least((us - lo) // greatest(1, (hi - lo) // {n} + 1), {n - 1}) AS BIGINT) AS batch_id, count(*) AS n_rows
+    FROM t, lim GROUP BY 1"""
+
+
 def oracle_sql() -> dict[str, str]:
     sym, lo, hi = C.SCAN
     q: dict[str, str] = {
@@ -332,8 +361,7 @@ def oracle_sql() -> dict[str, str]:
         "bars_hourly": _bars_q("E"),
         "bars_orders": _bars_q("O"),
         "scan_range": f"""SELECT * FROM ({_bars_q('L')}) x WHERE symbol = '{sym}'
-            AND ts >= CAST('{lo}' AS TIMESTAMP) AND ts < CAST('{hi}' AS TIMESTAMP) + INTERVAL 1 DAY
-            ORDER BY ts LIMIT {50000}""",
+            AND ts >= CAST('{lo}' AS TIMESTAMP) AND ts < CAST('{hi}' AS TIMESTAMP) + INTERVAL 1 DAY""",
         "bar_table": f"""SELECT * FROM ({_bars_q('L')}) x WHERE symbol IN ({', '.join(repr(v) for v in C.TABLE_SCAN[0])})
             AND ts >= CAST('{C.TABLE_SCAN[1]}' AS TIMESTAMP)
             AND ts < CAST('{C.TABLE_SCAN[2]}' AS TIMESTAMP) + INTERVAL 1 DAY""",
@@ -396,5 +424,19 @@ def oracle_sql() -> dict[str, str]:
     q["wilder_scan"] = q["wilder"]
     q["equity_chunked"] = q["equity_sma"]
     q["ema_gaps"] = q["ema_gaps_chunked"] = _ema_gaps_q()
-    q["stream_dedupe"] = q["upstream_fields"] = q["dedupe"]
+    q["stream_dedupe"] = q["upstream_fields"] = q["trigger_bars"] = q["dedupe"]
+    q["custom_sma_chunked"] = q["equity_sma"]
+    q["custom_rsi"] = q["equity_rsi"]
+    q["stream_warmup_sma"] = q["warmup_sma"]
+    q["range_run_table"] = q["range_run"]
+    q["snapshot_sma"] = q["final_sma"]
+    q["live_view_bars"] = f"""SELECT symbol, count(*) AS n_bars, min(low) AS low, max(high) AS high, CAST(sum(volume) AS BIGINT) AS volume
+        FROM ({bars_sql('L')}) x GROUP BY symbol"""
+    q["batch_rows"] = _batch_rows_q()
+    q["dead_letters"] = f"""SELECT symbol, count(*) AS n_dead, count(*) FILTER (WHERE day(ts) = {C.CUT_DAY}) AS n_unread,
+        count(*) FILTER (WHERE day(ts) = {C.ZERO_DAY}) AS n_bad_close FROM ({bars_sql('L')}) x
+        WHERE day(ts) IN ({C.CUT_DAY}, {C.ZERO_DAY}) GROUP BY symbol"""
+    q["json_millis"] = f"""SELECT symbol, ts + to_milliseconds(volume % 1000) AS ts, open, high, low, close, volume
+        FROM ({bars_sql('L')}) x"""
+    q["ema_gap_runs"] = q["ema_gap_runs_chunked"] = _ema_gap_runs_q()
     return q

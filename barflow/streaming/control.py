@@ -16,6 +16,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from barflow.session import scratch_path
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def trigger_options(interval_ms: int | None, floor_ms: int = 0, available_now: bool = False) -> dict:
     """Processing-time trigger in ms (clamped to ``floor_ms``); None = as
@@ -32,6 +34,22 @@ class Run:
     spark: SparkSession
     run_id: str = field(default_factory=lambda: uuid.uuid4().hex[:12])
     query: StreamingQuery | None = None
+    _session: SparkSession | None = field(default=None, repr=False)
+
+    @property
+    def session(self) -> SparkSession:
+        """The run's own session, for its streams: the caller's settings, and RocksDB for states larger than memory.
+
+        What a run sets there is not seen by the caller's session."""
+        if self._session is None:
+            self._session = self.spark.newSession()
+            for name, value in self.spark.conf.getAll.items():
+                if name.startswith("spark.sql.") and self.spark.conf.isModifiable(name):
+                    self._session.conf.set(name, value)
+            self._session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+            # A commit uploads what changed, not the whole store.
+            self._session.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+        return self._session
 
     @property
     def folder(self) -> str:
@@ -43,16 +61,16 @@ class Run:
 
     def start(self, stream: DataFrame, foreach_batch=None, interval_ms: int | None = None,
               fmt: str | None = None, path: str | None = None, output_mode: str = "append",
-              state_partitions: int | None = None, available_now: bool = False) -> StreamingQuery:
+              state_partitions: int | None = None, available_now: bool = False, floor_ms: int = 0) -> StreamingQuery:
         """Stop the current query (if any) and start ``stream``.
 
         ``state_partitions`` sets the number of state-store partitions of a new
-        stateful query (fixed in its checkpoint from then on). The query copies
-        the session conf when it starts, so the session's own setting is
-        restored right after."""
+        stateful query (fixed in its checkpoint from then on). The stream must come from
+        this run's ``session`` for that and for the state store to hold; a stream of
+        another session runs with that session's settings."""
         self.stop()
         w = stream.writeStream.option("checkpointLocation", self.checkpoint).outputMode(output_mode)
-        trig = trigger_options(interval_ms, available_now=available_now)
+        trig = trigger_options(interval_ms, floor_ms, available_now)
         if trig:
             w = w.trigger(**trig)
         if foreach_batch is not None:
@@ -61,14 +79,9 @@ class Run:
             w = w.format(fmt)
             if path is not None:
                 w = w.option("path", path)
-        key = "spark.sql.shuffle.partitions"
-        before = self.spark.conf.get(key)
         if state_partitions:
-            self.spark.conf.set(key, str(int(state_partitions)))
-        try:
-            self.query = w.start()
-        finally:
-            self.spark.conf.set(key, before)
+            self.session.conf.set("spark.sql.shuffle.partitions", str(int(state_partitions)))
+        self.query = w.start()
         return self.query
 
     def drain(self, stream: DataFrame, **how) -> list[dict]:

@@ -1,10 +1,13 @@
-"""Replay bars into a stream source folder in time order.
+"""Replay bars, or any frame, to a stream in time order.
 
-The bars are encoded to wire messages once and staged as parquet partitioned
-by slice (one job; the staged table also cuts the lineage back to the ticks).
-``feed(k)`` then appends slice k's messages as JSON lines to the source folder,
-reading only that partition. Slices are contiguous time ranges, so feeding
-them in order replays the market in order; the pace is the caller's.
+The rows are stored once, as parquet partitioned by slice (one job; the stored table
+also cuts the lineage back to the ticks). Slices are contiguous time ranges, so
+reading them in order replays the market in order; the pace is the caller's.
+
+``slice_stream(k)`` reads slice k of the stored table as a stream: nothing is copied.
+Run on one checkpoint for k = 0, 1, ... it goes on where the last one ended, also after a restart: the
+file source remembers the files it has read, so a slice that is run again brings nothing twice.
+``feed(k)`` appends slice k to a source folder instead, for a query that stays up.
 """
 
 from __future__ import annotations
@@ -27,6 +30,10 @@ class Replay:
     source: str
     n_slices: int
 
+    def slice_stream(self, k: int, session: SparkSession | None = None) -> DataFrame:
+        """The messages (key, value) of slice k."""
+        return (session or self.spark).readStream.schema("key binary, value binary").parquet(_slice_path(self.staging, k))
+
     def feed(self, k: int) -> None:
         part = self.spark.read.parquet(self.staging).filter(F.col("slice") == int(k))
         part.select(F.col("value").cast("string").alias("value")).write.mode("append").text(self.source)
@@ -43,6 +50,12 @@ SLICE_ROWS = 1_000_000
 LEAST_SLICES = 4
 
 
+def _slice_path(folder: str, k: int) -> str:
+    """A pattern that one slice matches. Given a pattern, the file source can read files of earlier slices again, as a restart on
+    their checkpoint does; given the slice's own folder it expects every file below that."""
+    return f"{folder}/slice={{{int(k)}}}"
+
+
 def _slices(df: DataFrame, n_slices: int | None) -> tuple[object, int]:
     """Slice number of a row by equal spans of ``_us``, and how many there are (one aggregate row is read)."""
     lo, hi, n = df.agg(F.min("_us"), F.max("_us"), F.count(F.lit(1))).first()
@@ -53,6 +66,16 @@ def _slices(df: DataFrame, n_slices: int | None) -> tuple[object, int]:
     return F.least(F.floor((F.col("_us") - F.lit(lo)) / F.lit(span)), F.lit(n_slices - 1)).cast("int"), n_slices
 
 
+def _store(rows: DataFrame, path: str, n_slices: int) -> None:
+    """Write the rows by slice; a slice without rows (a quiet span) gets an empty folder's file, so that it can be streamed."""
+    spark = rows.sparkSession
+    rows.write.mode("overwrite").partitionBy("slice").parquet(path)
+    held = {r["slice"] for r in spark.read.parquet(path).select("slice").distinct().collect()} if n_slices else set()  # one row a slice
+    empty = spark.createDataFrame([], rows.drop("slice").schema)
+    for k in sorted(set(range(n_slices)) - held):
+        empty.write.mode("overwrite").parquet(f"{path}/slice={k}")
+
+
 def stage_replay(bars: DataFrame, folder: str, n_slices: int | None = None) -> Replay:
     """Cut bars into ``n_slices`` equal time spans (by default as many as their number
     asks for) and stage their messages. The bars are materialized once."""
@@ -63,7 +86,7 @@ def stage_replay(bars: DataFrame, folder: str, n_slices: int | None = None) -> R
     number, n_slices = _slices(b, n_slices)
     staged = encode_bars(b.withColumn("slice", number), keep=("slice",))
     base = folder.rstrip("/")
-    staged.write.mode("overwrite").partitionBy("slice").parquet(f"{base}/staging")
+    _store(staged, f"{base}/staging", n_slices)
     return Replay(spark, f"{base}/staging", f"{base}/source", n_slices)
 
 
@@ -77,13 +100,16 @@ class FrameReplay:
     n_slices: int
     schema: object
 
+    def slice_stream(self, k: int, session: SparkSession | None = None) -> DataFrame:
+        """The rows of slice k."""
+        return (session or self.spark).readStream.schema(self.schema).parquet(_slice_path(self.staging, k))
+
     def feed(self, k: int) -> None:
         part = self.spark.read.parquet(self.staging).filter(F.col("slice") == int(k)).drop("slice")
         part.write.mode("append").parquet(self.source)
 
-    def stream(self) -> DataFrame:
-        return self.spark.readStream.schema(self.schema).parquet(self.source)
-
+    def stream(self, session: SparkSession | None = None) -> DataFrame:
+        return (session or self.spark).readStream.schema(self.schema).parquet(self.source)
 
     def feed_all(self, after_each=None) -> None:
         for k in range(self.n_slices):
@@ -101,6 +127,5 @@ def stage_frame_replay(df: DataFrame, folder: str, n_slices: int | None = None,
     b = df.withColumn("_us", F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{ts}`)"))
     number, n_slices = _slices(b, n_slices)
     base = folder.rstrip("/")
-    b.withColumn("slice", number).drop("_us").write.mode("overwrite") \
-        .partitionBy("slice").parquet(f"{base}/staging")
+    _store(b.withColumn("slice", number).drop("_us"), f"{base}/staging", n_slices)
     return FrameReplay(spark, f"{base}/staging", f"{base}/source", n_slices, df.schema)
