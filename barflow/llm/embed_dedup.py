@@ -24,7 +24,7 @@
 
 Edge cases: vectors set aside have no links and are their own component; equal vectors
 link with each other; a null id is an id of its own rows only, with a null component if
-alone; vectors of another length than the most frequent one link only with equal ones;
+alone; vectors link with those of their own length only, each length being searched by itself;
 an empty table gives no rows; extra columns are ignored.
 """
 
@@ -259,10 +259,10 @@ def link_vectors(table: DataFrame, key: str = "vec_id", vector: str = "embedding
     rows = rows.select("vec_id", F.when(usable, plain).alias("vec"))
     classes = rows.where("vec is not null").groupBy("vec").agg(F.count("*").alias("copies"), F.min("vec_id").alias("low"))
     classes = materialize(classes.withColumn("cls", F.monotonically_increasing_id()), "vector_classes")
-    width = classes.groupBy(F.size("vec").alias("w")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "w").limit(1).collect()
+    widths = classes.groupBy(F.size("vec").alias("w")).agg(F.count("*").alias("n")).where("n > 1").orderBy("w").collect()  # a row a length
     linked = classes.select("cls", "low", "copies").limit(0).select("cls", F.col("copies").alias("n"), F.col("low").alias("component_id"))
-    if width and classes.count() > 1:
-        linked = _link_classes(classes.where(F.size("vec") == width[0]["w"]).select("cls", "vec", "copies"), classes, least)
+    for row in widths:  # only vectors of one length link
+        linked = linked.unionAll(_link_classes(classes.where(F.size("vec") == row["w"]).select("cls", "vec", "copies"), classes, least))
     named = (classes.join(linked, "cls", "left")
              .select("vec", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
                      F.coalesce("component_id", "low").alias("component_id")))

@@ -26,9 +26,10 @@ Comparisons are dealt by (set, block of at most ``BLOCK_SETS`` partners), so a s
 very many partners is spread over tasks. No text is kept for the driver.
 
 Edge cases: null, empty and word-less texts have size 0, link with nothing and are
-their own component; texts with fewer words than a shingle are one shingle; a null id
-is kept with a null component unless linked; repeated rows (same id and text) are one
-class and are all returned; very long texts are read whole; an empty table gives no rows.
+their own component; texts with fewer words than a shingle are one shingle; a text without an id
+takes part like any other, also between two others, and has a null component if no linked text has
+an id; repeated rows (same id and text) are one class and are all returned; ties do not occur, as a component's name is its least id; very long texts are read whole; an empty
+table gives no rows; extra columns are ignored (``one_of_each`` returns them), whatever their names.
 """
 
 from __future__ import annotations
@@ -40,6 +41,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barflow.llm.components import connected_components
 from barflow.llm.shingles import blocks, mix64, shingle_sets
@@ -200,9 +202,10 @@ def sets_of(docs: DataFrame, size: int, wanted: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()
         for batch in batches:
-            batch = batch.filter(pa.compute.is_valid(batch.column(0)))
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for _, part in blocks(batch.filter(pa.array(_passes(wanted, words, ids))).column(1).to_pylist()):
+            # Rows without an id cannot be told by it and are all read.
+            unnamed = pa.compute.is_null(batch.column(0)).to_numpy(zero_copy_only=False)
+            ids = pa.compute.fill_null(batch.column(0), 0).to_numpy(zero_copy_only=False)
+            for _, part in blocks(batch.filter(pa.array(unnamed | _passes(wanted, words, ids))).column(1).to_pylist()):
                 values, counts = shingle_sets(part, size)
                 keys = set_keys(values, counts).tolist()
                 short = np.ascontiguousarray((values >> np.uint64(16)).view(np.uint8).reshape(-1, 8)[:, :6])
@@ -349,8 +352,8 @@ def cross_pairs(entries: DataFrame, percent: int) -> DataFrame:
     return ordered.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def join_documents(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every document."""
+def label_documents(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n, key, label, component_id) of every document: key of its set, key of a set that names its component."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     read = materialize(read_sets(docs, size), "sets_read")
     top = (read.where("kind = 1").groupBy("key").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "key")
@@ -373,14 +376,48 @@ def join_documents(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) ->
     labels = connected_components(every)
     named = classes.join(labels.withColumnsRenamed({"node": "key"}), "key").groupBy("component").agg(F.min("first").alias("component_id"))
     of_class = labels.withColumnsRenamed({"node": "key"}).join(named, "component").select("key", "component_id")
-    found = (classes.join(of_class, "key", "left").select("key", F.coalesce("component_id", "first").alias("component_id")))
+    found = (classes.join(of_class, "key", "left").join(labels.select(F.col("node").alias("key"), F.col("component").alias("label")), "key", "left")
+             .select("key", F.coalesce("label", "key").alias("label"), F.coalesce("component_id", "first").alias("component_id")))
     return (members.join(found, "key", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
+            .select("doc_id", "n", "key", "label", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
+
+
+def join_documents(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every document."""
+    return label_documents(docs, size, percent).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
 def one_of_each(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """Documents without those that are near copies of one with a smaller id; repeated rows become one."""
-    found = join_documents(docs, size, percent)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates(["doc_id", "text"])
+    """Documents without those that are near copies of one with a smaller id; repeated rows become one.
+
+    Of a component the text of the smallest id stays (of several under that id the one of the least set key; without
+    ids, the one of the least key); texts without words all stay. An id whose rows have one set tells them; the rows of
+    other ids, and those without an id, are told by id and set.
+    """
+    rows = materialize(label_documents(docs, size, percent).select("doc_id", "n", "key", "label"), "labelled")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("best")
+    kept = (rows.where("n > 0").groupBy("label").agg(best).select(F.col("best.doc_id").alias("_id"), F.col("best.key").alias("_key"))
+            .unionAll(rows.where("n = 0").select("doc_id", "key")).distinct())
+    several = rows.groupBy("doc_id").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low != high").select(F.col("doc_id").alias("_id"))
+    several = materialize(several, "ids_of_several")
+    row_id = docs["doc_id"].cast("long")
+    plain = (docs.join(several, row_id.eqNullSafe(several["_id"]), "left_anti"))
+    plain = plain.join(kept, row_id.eqNullSafe(kept["_id"]), "left_semi")
+    if several.isEmpty():
+        return plain.dropDuplicates(["doc_id", "text"])
+    told = with_set_key(docs.join(several, row_id.eqNullSafe(several["_id"]), "left_semi"), size)
+    told = told.join(kept, F.col("row.doc_id").cast("long").eqNullSafe(kept["_id"]) & (F.col("set") == kept["_key"]), "left_semi")
+    return plain.unionAll(told.select("row.*")).dropDuplicates(["doc_id", "text"])
+
+
+def with_set_key(docs: DataFrame, size: int) -> DataFrame:
+    """(row, set): each row as a struct and the key of its text's set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            keys = [set_keys(*shingle_sets(part, size)) for _, part in blocks(texts)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(keys) if keys else np.empty(0, dtype=np.int64))], names=["row", "set"])
+
+    rows = docs.select(F.struct("*").alias("row"), docs["text"].alias("text"))
+    return rows.mapInArrow(run, T.StructType([rows.schema["row"], T.StructField("set", T.LongType())]))

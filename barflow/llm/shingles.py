@@ -73,7 +73,7 @@ def shingle_sets(texts: list[bytes], size: int = 5) -> tuple[np.ndarray, np.ndar
     first = np.concatenate([[0], np.cumsum(counts)])[:-1]
     table = powers(_MUL, size)[::-1]
     rolled = np.zeros(max(len(words) - size + 1, 0), dtype=np.uint64)
-    for k in range(size):
+    for k in range(size if len(rolled) else 0):
         rolled += words[k:len(words) - size + 1 + k] * table[k]
     per = np.where(counts >= size, counts - size + 1, np.minimum(counts, 1))
     owner = np.repeat(np.arange(n), per)

@@ -112,3 +112,10 @@ def test_links_between_shards(spark, monkeypatch):
     assert sum(r[1] for r in want) >= 200
     assert all(a[1] <= b[1] for a, b in zip(got, want))
     assert sum(r[1] for r in got) >= 0.97 * sum(r[1] for r in want)
+
+
+def test_lengths_apart_link_among_themselves(spark):
+    rows = [(1, [1.0, 0.0]), (2, [1.0, 0.05]), (3, [1.0, 0.0, 0.0]), (4, [0.0, 1.0, 0.0]), (5, [0.0, 0.0, 1.0]), (6, [0.0, 0.02, 1.0]), (7, [5.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in D.link_vectors(df).collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 3: (0, 3), 4: (0, 4), 5: (1, 5), 6: (1, 5), 7: (0, 7)}

@@ -101,3 +101,39 @@ def test_table(spark):
     assert sorted((tuple(r) for r in J.join_documents(docs).collect()), key=str) == want
     kept = {r["doc_id"] for r in J.one_of_each(docs).collect()}
     assert kept == {c for _, _, c in want}
+
+
+@pytest.mark.parametrize("text", ["", "one", "one two", "one two three", "one two three four", "one two three four five", "one two three four five six"])
+def test_blocks_of_few_words(spark, text):
+    rows = [(1, text)]
+    assert spark_rows(spark, rows) == brute(rows)
+    halves = [(1, text[:text.rfind(" ")] if " " in text else text), (2, text[text.rfind(" ") + 1:])]
+    docs = spark.createDataFrame(halves, "doc_id long, text string").coalesce(1)
+    assert sorted((tuple(r) for r in J.join_documents(docs).collect()), key=str) == brute(halves)
+    assert J.one_of_each(docs).count() == len({t for _, t in halves if t.split()}) + sum(not t.split() for _, t in halves)
+
+
+def chain(n=60):
+    """Three texts of which the first and the last link with the middle one alone."""
+    words = [f"w{i}" for i in range(n)]
+    return " ".join(words), " ".join([*words[:-3], "x1", "x2", "x3"]), " ".join(["y1", "y2", "y3", *words[3:-3], "x1", "x2", "x3"])
+
+
+def test_a_text_without_an_id_links_two_others(spark):
+    a, middle, b = chain()
+    rows = [(1, a), (None, middle), (2, b), (None, "quite another text of its own here"), (5, "and one more text that is alone")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r["doc_id"], r["component_id"]) for r in J.join_documents(docs).collect()), key=str)
+    assert got == [(1, 1), (2, 1), (5, 5), (None, 1), (None, None)]
+    kept = sorted(r["text"] for r in J.one_of_each(docs).collect())
+    assert kept == sorted([a, rows[3][1], rows[4][1]])
+
+
+def test_one_of_each_with_ids_of_several_texts_and_clashing_columns(spark):
+    a, middle, b = chain()
+    other = "a text that nobody else has in this table"
+    rows = [(1, a), (1, other), (3, middle), (3, "one more that is alone in here"), (4, b), (4, b), (None, a + " end"), (6, None), (6, "")]
+    docs = spark.createDataFrame([(*r, 0, "k", 1, 2) for r in rows], "doc_id long, text string, n int, key string, _id int, component int")
+    out = J.one_of_each(docs)
+    assert out.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str) == sorted([(1, a), (1, other), rows[3], (6, None), (6, "")], key=str)
