@@ -4,12 +4,13 @@ Two documents link if their sets of word 5-shingles have a Jaccard similarity of
 least 0.75. Every link between different sets is found:
 
 1. Sets: one pass over the texts gives each document's set size and a 64-bit key of
-   its set, and counts of shingles that repeat. Documents with equal sizes and keys
-   are one class; from here on a class is handled once.
+   its set. Documents with equal sizes and keys are one class; from here on a class is handled once.
 2. Index: shingles are ordered globally, the most repeated last, then by hash. Two
    sets that link share a shingle among the first ``n - ceil(0.75 n) + 1`` of each, so
-   only those are indexed, with set size and position. (The order only decides how
-   long the lists are, so counts of repeats within blocks suffice.)
+   only those are indexed, with set size and position. A shingle's place in the order comes from its count in one
+   class of ``HEADS``, of those that would be indexed by hash alone: what a passage that many documents
+   share has there is put last and leaves the index, so it brings none of them together. (Any order
+   gives the same links; it only decides how long the lists are.)
 3. Lists: those of one class alone are dropped.
 4. Answers of a pivot first: in each list the other classes are compared with one
    pivot: by histograms of their members first, which rule out most pairs that do not
@@ -49,8 +50,9 @@ from barflow.session import materialize
 
 SIZE = 5
 PERCENT = 75
-# Repeated shingles that the global order knows of; it bounds what every task receives.
-MAX_REPEATED = 50_000
+# The order of shingles counts them in the heads of one class in ``HEADS`` and knows those that at least ``LEAST_REPEATED`` of them
+# have, the ``MAX_REPEATED`` most repeated at most (8 bytes each to every task). What it does not know costs longer lists only.
+HEADS, LEAST_REPEATED, MAX_REPEATED = 8, 3, 200_000
 BLOCK_SETS = 200
 # Bound of the filter that finds the texts of candidate sets (8 bytes each).
 MAX_FILTER_WORDS = 1 << 21
@@ -67,8 +69,14 @@ def set_keys(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
-def read_sets(docs: DataFrame, size: int) -> DataFrame:
-    """Rows of two kinds in one pass: 0 (id, set size, set key), 1 (null, repeats, shingle)."""
+def prefix_sizes(counts: np.ndarray, percent: int) -> np.ndarray:
+    """How many of a set's shingles, in the global order, are indexed."""
+    return counts - -(-percent * counts // 100) + 1
+
+
+def read_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """(id, n, key, head) in one pass: set size, set key, and for one class in ``HEADS`` the least shingles by value, as many
+    as are indexed (null for the others, and for copies inside a block)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -76,18 +84,40 @@ def read_sets(docs: DataFrame, size: int) -> DataFrame:
             for first, part in blocks(batch.column(1).to_pylist()):
                 values, counts = shingle_sets(part, size)
                 keys = set_keys(values, counts)
-                _, once = np.unique(keys, return_index=True)  # copies inside the block count once
-                owner = np.repeat(np.arange(len(part)), counts)
-                shingles, seen = np.unique(values[np.isin(owner, once)], return_counts=True)
-                again = seen > 1
-                n = int(again.sum())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(np.array([0, 1], dtype=np.int32), [len(part), n])),
-                     pa.concat_arrays([ids.slice(first, len(part)).cast(pa.int64()), pa.nulls(n, pa.int64())]),
-                     pa.array(np.concatenate([counts, seen[again]]).astype(np.int64)),
-                     pa.array(np.concatenate([keys, shingles[again].view(np.int64)]))], names=["kind", "id", "n", "key"])
+                once = np.zeros(len(part), dtype=bool)
+                once[np.unique(keys, return_index=True)[1]] = True
+                starts, wanted = np.cumsum(counts) - counts, prefix_sizes(counts, percent)
+                some = once & (counts > 0) & (keys.view(np.uint64) % np.uint64(HEADS) == 0)
+                heads = [values[s:s + w].tobytes() if h else None for h, s, w in zip(some.tolist(), starts.tolist(), wanted.tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([ids.slice(first, len(part)).cast(pa.int64()), pa.array(counts.astype(np.int64)), pa.array(keys), pa.array(heads, pa.binary())],
+                                                 names=["id", "n", "key", "head"])
+
+    return docs.mapInArrow(run, "id bigint, n bigint, key bigint, head binary")
 
-    return docs.mapInArrow(run, "kind int, id bigint, n bigint, key bigint")
+
+def repeated_shingles(read: DataFrame) -> np.ndarray:
+    """Shingles that several classes have, the most repeated last: counted in the heads of one class in ``HEADS``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values, n = np.unique(np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype=np.int64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(n)], names=["shingle", "n"])
+
+    heads = read.where("head is not null").groupBy("key").agg(F.first("head").alias("head"))  # equal keys, equal heads
+    counted = heads.select("head").mapInArrow(run, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n"))
+    counted = materialize(counted.where(F.col("n") >= LEAST_REPEATED), "repeated_shingles")
+    # The least count of which all fit.
+    how_many, least = 0, None
+    for row in counted.groupBy("n").agg(F.count("*").alias("shingles")).orderBy(F.desc("n")).limit(MAX_REPEATED).toLocalIterator():
+        how_many += row["shingles"]
+        if how_many > MAX_REPEATED:
+            break
+        least = row["n"]
+    if least is None:
+        return np.empty(0, dtype=np.uint64)
+    top = counted.where(F.col("n") >= least).toArrow()  # at most MAX_REPEATED rows of 16 bytes
+    shingles, n = (top.column(c).to_numpy() for c in ("shingle", "n"))
+    return shingles[np.lexsort((shingles, n))].view(np.uint64)
 
 
 def least_overlap(a, b, percent: int = PERCENT):
@@ -123,8 +153,7 @@ def index_entries(docs: DataFrame, size: int, percent: int, repeated: np.ndarray
                 order = np.lexsort((values, rank, owner))
                 values = values[order]
                 position = np.arange(len(values)) - np.repeat(np.cumsum(counts) - counts, counts)
-                wanted = counts - -(-percent * counts // 100) + 1
-                take = (position < wanted[owner]) & fresh[owner]
+                take = (position < prefix_sizes(counts, percent)[owner]) & fresh[owner]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(values[take].view(np.int64)), pa.array(keys[owner[take]]),
                      pa.array((counts[owner[take]] << 32) | position[take])], names=["shingle", "key", "place"])
@@ -355,11 +384,9 @@ def cross_pairs(entries: DataFrame, percent: int) -> DataFrame:
 def label_documents(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n, key, label, component_id) of every document: key of its set, key of a set that names its component."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    read = materialize(read_sets(docs, size), "sets_read")
-    top = (read.where("kind = 1").groupBy("key").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "key")
-           .limit(MAX_REPEATED).collect())  # at most MAX_REPEATED rows
-    repeated = np.array([r["key"] for r in reversed(top)], dtype=np.int64).view(np.uint64)
-    members = read.where("kind = 0").select(F.col("id").alias("doc_id"), "n", "key")
+    read = materialize(read_sets(docs, size, percent), "sets_read")
+    repeated = repeated_shingles(read)
+    members = read.select(F.col("id").alias("doc_id"), "n", "key")
     classes = members.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("first"))
     entries = materialize(useful_entries(index_entries(docs, size, percent, repeated), percent), "index_lists")
     wanted = entries.select("key").distinct().join(classes, "key")
