@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barflow.functions.columns import event_time, wall_clock
+from barflow.session import materialize
+
+
+# Bits of a tick's coarse key that hold its price in cents; the largest value stands for a price that does not fit.
+PRICE_BITS = 20
+NO_PRICE = (1 << PRICE_BITS) - 1
 
 
 def ohlcv_bars(ticks: DataFrame, every: str = "1 day", key: str = "symbol") -> DataFrame:
@@ -16,7 +24,11 @@ def ohlcv_bars(ticks: DataFrame, every: str = "1 day", key: str = "symbol") -> D
     Spark pre-aggregates inside each map task and the shuffle carries at most
     one partial row per (symbol, bucket, task): a symbol holding a third of all
     ticks costs no more shuffle than any other.
+
+    Ticks whose order needs several columns may carry ``ord_key`` (see ``_keyed_bars``).
     """
+    if "ord_key" in ticks.columns:
+        return _keyed_bars(ticks.withColumnRenamed(key, "symbol"), every)
     bucket = F.window("ts", every).start
     # Bucket first: when the order key forces a sort-based aggregate, the sort
     # prefix is then the timestamp (radix-sortable) instead of the symbol string.
@@ -34,6 +46,57 @@ def ohlcv_bars(ticks: DataFrame, every: str = "1 day", key: str = "symbol") -> D
     )
 
 
+def _keyed_bars(ticks: DataFrame, every: str) -> DataFrame:
+    """Bars in two phases, for ticks at midnight with a coarse order key.
+
+    ``ord_key`` (below 2^43, or NULL) orders the ticks of a day as ``ord`` does as far as it tells them apart. Phase one
+    is a hash aggregate on longs: key and price (in cents) in one number, whose least and greatest values give the first and
+    last tick with its price; the same with the price's complement tells whether another price has the same key.
+    Phase two reads again only the ticks of bars that phase one cannot decide (equal keys with different prices, no key, a price
+    that does not fit) and takes the first and last of them by the full ``ord``. Phase one's bars are
+    stored, as phase two is skipped if they are all decided.
+    """
+    bucket = (F.window("ts", every) if divides_day(every) else F.window("ts", "1 day")).start
+    cents = F.rint(F.col("px") * 100)
+    fits = (cents >= 0) & (cents < NO_PRICE) & (cents / 100 == F.col("px"))
+    slot = F.when(fits, cents.cast("long")).otherwise(F.lit(NO_PRICE).cast("long"))
+    low = F.shiftleft("ord_key", PRICE_BITS) + slot
+    high = F.shiftleft("ord_key", PRICE_BITS) + (F.lit(NO_PRICE) - slot)
+    first = materialize(ticks.groupBy(bucket.alias("ts"), "symbol").agg(
+        F.min(low).alias("_lo1"), F.min(high).alias("_lo2"), F.max(low).alias("_hi1"), F.max(high).alias("_hi2"),
+        (F.count("ord_key") == F.count(F.lit(1))).alias("_keyed"), F.max("px").alias("high"), F.min("px").alias("low"),
+        F.sum("qty").alias("qty"), F.count(F.lit(1)).alias("n_ticks")), "bars")
+    price = {c: F.col(f"_{c}1").bitwiseAND(NO_PRICE) for c in ("lo", "hi")}
+    decided = F.col("_keyed")
+    for c, p in price.items():
+        decided = decided & (p + F.col(f"_{c}2").bitwiseAND(NO_PRICE) == NO_PRICE) & (p != NO_PRICE)
+    named = first.withColumn("_decided", decided)
+    bars = named.select("symbol", "ts", (price["lo"] / 100).alias("open"), "high", "low", (price["hi"] / 100).alias("close"), "qty", "n_ticks", "_decided")
+    open_ones = bars.where(~F.col("_decided")).select("symbol", "ts")
+    if not open_ones.isEmpty():
+        again = ticks.withColumn("_bucket", bucket)
+        some = again.join(open_ones.withColumnsRenamed({"symbol": "_s", "ts": "_t"}), F.col("symbol").eqNullSafe(F.col("_s")) & (F.col("_bucket") == F.col("_t")), "left_semi")
+        ends = some.groupBy(F.col("_bucket").alias("_t"), F.col("symbol").alias("_s")).agg(F.min_by("px", "ord").alias("_open"), F.max_by("px", "ord").alias("_close"))
+        bars = (bars.join(ends, F.col("symbol").eqNullSafe(F.col("_s")) & (F.col("ts") == F.col("_t")), "left")
+                .withColumn("open", F.when(F.col("_decided"), F.col("open")).otherwise(F.col("_open")))
+                .withColumn("close", F.when(F.col("_decided"), F.col("close")).otherwise(F.col("_close"))))
+    if not divides_day(every):  # days make up the longer bars
+        bars = bars.groupBy(F.window("ts", every).start.alias("ts"), "symbol").agg(
+            F.min_by("open", "ts").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"), F.max_by("close", "ts").alias("close"),
+            F.sum("qty").alias("qty"), F.sum("n_ticks").alias("n_ticks"))
+    return bars.select("symbol", "ts", "open", "high", "low", "close", F.col("qty").cast("long").alias("volume"), "n_ticks")
+
+
+def divides_day(every: str) -> bool:
+    """True when tumbling buckets of ``every`` tile each day exactly."""
+    m = re.fullmatch(r"\s*(\d+)\s*(second|seconds|minute|minutes|hour|hours|day|days)\s*", every.lower())
+    if not m:
+        return False
+    n, unit = int(m.group(1)), m.group(2).rstrip("s")
+    secs = n * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit]
+    return secs > 0 and (86400 % secs == 0 or secs == 86400)
+
+
 def ohlcv_bar_stream(ticks: DataFrame, every: str = "1 hour", delay: str = "1 hour") -> DataFrame:
     """S7 on a tick stream: tumbling windows with a watermark.
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barflow.operators.bars import divides_day, ohlcv_bars
+
 
 def scan_bars(bars: DataFrame, symbol: str, start: str, end: str, limit: int | None = None) -> DataFrame:
     """Filter (pushed to the scan when ``bars`` is a table), order by ts. ``limit``
@@ -17,23 +19,10 @@ def scan_bars(bars: DataFrame, symbol: str, start: str, end: str, limit: int | N
     return found if limit is None else found.limit(int(limit))
 
 
-def _divides_day(every: str) -> bool:
-    """True when tumbling buckets of ``every`` tile each day exactly."""
-    import re
-    m = re.fullmatch(r"\s*(\d+)\s*(second|seconds|minute|minutes|hour|hours|day|days)\s*", every.lower())
-    if not m:
-        return False
-    n, unit = int(m.group(1)), m.group(2).rstrip("s")
-    secs = n * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit]
-    return secs > 0 and (86400 % secs == 0 or secs == 86400)
-
-
 def ticks_between(ticks: DataFrame, symbols: Sequence[str] | None, start: str | None, end: str | None, every: str = "1 day") -> DataFrame:
     """Bars of ``symbols`` (None: all) whose start lies in [start, end] (None: open), from the ticks of that range
     alone: both reach the parquet scan (see ``scan_bars_from_ticks``)."""
-    from barflow.operators.bars import ohlcv_bars
-
-    one, tiles = F.expr("INTERVAL 1 DAY"), _divides_day(every)
+    one, tiles = F.expr("INTERVAL 1 DAY"), divides_day(every)
     lo = None if start is None else F.lit(start).cast("timestamp_ntz")
     hi = None if end is None else F.lit(end).cast("timestamp_ntz") + one
     if symbols is not None:
@@ -58,12 +47,10 @@ def scan_bars_from_ticks(ticks: DataFrame, symbol: str, start: str, end: str, ev
     ticks of [start, end + 1 day); otherwise the ticks of one bucket more on either
     side are read and the bars are filtered after.
     """
-    from barflow.operators.bars import ohlcv_bars
-
     t = ticks.filter(F.col("symbol") == symbol)
     lo = F.lit(start).cast("timestamp_ntz")
     hi = F.lit(end).cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY")
-    if not _divides_day(every):
+    if not divides_day(every):
         lo, hi = lo - F.expr(f"INTERVAL {every}"), hi + F.expr(f"INTERVAL {every}")
     t = t.filter((F.col("ts") >= lo) & (F.col("ts") < hi))
     return scan_bars(ohlcv_bars(t, every), symbol, start, end, limit)

@@ -1,7 +1,8 @@
 """Tick frames built from the driver's tables.
 
 A tick frame has ``symbol string, ts timestamp_ntz, px double, qty double, ord``
-where ``ord`` totally orders the ticks of one symbol (first tick = open).
+where ``ord`` totally orders the ticks of one symbol (first tick = open), and may have ``ord_key``, a
+long that orders the ticks of a day in part (see ``operators.bars``).
 These builders only map table columns onto that schema; all bar and strategy
 work happens in the operators.
 """
@@ -47,10 +48,12 @@ def lineitem_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frame L: symbol l_returnflag, price per unit rounded to cents, ts l_shipdate.
 
     l_shipdate has no time of day and (l_orderkey, l_linenumber) repeats, so the
-    tick order is the full row key.
+    tick order is the full row key; ``ord_key`` is its order as far as those two tell, where they fit.
     """
     li = read_table(spark, sf_dir, "lineitem")
     px = F.when(F.col("l_quantity") != 0, F.col("l_extendedprice") / F.col("l_quantity"))
+    order, line = F.col("l_orderkey").cast("long"), F.col("l_linenumber").cast("long")
+    fits = order.between(0, 2**39 - 1) & line.between(0, 15) & (F.date_trunc("day", "l_shipdate") == F.col("l_shipdate"))
     t = li.select(
         F.col("l_returnflag").alias("symbol"),
         F.col("l_shipdate").alias("ts"),
@@ -58,6 +61,7 @@ def lineitem_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").alias("qty"),
         F.struct("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                  "l_extendedprice", "l_quantity").alias("ord"),
+        F.when(fits, order * 16 + line).alias("ord_key"),
     )
     return t.filter(F.col("ts").isNotNull() & _valid(F.col("px")))
 

@@ -1,3 +1,4 @@
+import contextlib
 import datetime as dt
 import os
 import sys
@@ -29,6 +30,18 @@ def spark():
     yield s
 
 
+@contextlib.contextmanager
+def stored_plans():
+    """(name, executed plan) of every table that is stored meanwhile."""
+    from barflow import session
+
+    session.PLAN_LOG = []
+    try:
+        yield session.PLAN_LOG
+    finally:
+        session.PLAN_LOG = None
+
+
 def make_bars(spark, closes, symbol="X", start=dt.datetime(2024, 1, 1)):
     """One bar per day; open/high/low follow the close (only close matters)."""
     from barflow.schema import BAR_SCHEMA

@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from conftest import SF001
+from conftest import SF001, stored_plans
 
 from barflow.operators.bars import ohlcv_bars
 from barflow.schema import BAR_COLUMNS
@@ -71,8 +71,9 @@ def test_symbol_from_key_or_default(spark):
 def test_scan_from_ticks_pushes_range_and_matches(spark):
     from barflow.sources.scan import scan_bars_from_ticks
     ticks = lineitem_ticks(spark, SF001)
-    q = scan_bars_from_ticks(ticks, "A", "1996-01-01", "1996-06-30")
-    plan = q._jdf.queryExecution().executedPlan().toString()
+    with stored_plans() as plans:
+        q = scan_bars_from_ticks(ticks, "A", "1996-01-01", "1996-06-30")
+    plan = plans[0][1]
     pushed = plan.split("PushedFilters: ")[1]  # Spark truncates long metadata strings
     assert "EqualTo(l_returnflag,A)" in pushed and "GreaterThanOrEqual(l_sh" in pushed
     full = scan_bars(ohlcv_bars(ticks), "A", "1996-01-01", "1996-06-30")
@@ -106,9 +107,10 @@ def test_bar_table_prunes_partitions(spark, tmp_path):
 
 
 def test_scan_from_ticks_weekly_bars_fall_back_exactly(spark):
-    from barflow.sources.scan import _divides_day, scan_bars_from_ticks
-    assert _divides_day("1 day") and _divides_day("15 minutes") and _divides_day("1 hour")
-    assert not _divides_day("7 days") and not _divides_day("7 minutes") and not _divides_day("1 week")
+    from barflow.operators.bars import divides_day
+    from barflow.sources.scan import scan_bars_from_ticks
+    assert divides_day("1 day") and divides_day("15 minutes") and divides_day("1 hour")
+    assert not divides_day("7 days") and not divides_day("7 minutes") and not divides_day("1 week")
     ticks = lineitem_ticks(spark, SF001)
     got = scan_bars_from_ticks(ticks, "N", "1996-01-01", "1996-06-30", every="7 days")
     want = scan_bars(ohlcv_bars(ticks, "7 days"), "N", "1996-01-01", "1996-06-30")
