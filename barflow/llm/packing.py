@@ -23,6 +23,7 @@ an empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -43,7 +44,10 @@ CACHE_WORDS = 1_000_000
 BLOCK_CHARS = 2 << 20
 # Fixed value (must equal the tokenizer file's rule): how it splits lower-cased text.
 PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-LATIN_1 = "\xff"
+# Finds a character other than the printable ones of Latin-1.
+ODD = re.compile(r"[^\x20-\x7e\xa1-\xac\xae-\xff]").search
+# New parts in one text for the tokenizer.
+RUN = 1000
 
 
 class WordEncoder:
@@ -51,7 +55,7 @@ class WordEncoder:
 
     Texts are cut at ASCII white space. The ids of a word not met before are those
     of its parts (runs of letters, single digits, runs of other marks); new parts
-    go to the tokenizer together, a thousand in one call, and are told apart by the
+    go to the tokenizer together, ``RUN`` in a text, and are told apart by the
     tokens that end a part. Words with other than printable Latin-1 characters go
     to the tokenizer as they are, and so do whole texts with a possible special token.
     """
@@ -64,9 +68,9 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.split = regex.compile(PARTS).findall
+        self.split = regex.compile(PARTS + r"|\n").findall
         self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {"\n": b""}
 
     def encode(self, texts: list) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
@@ -83,28 +87,38 @@ class WordEncoder:
         split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if "<|" not in t else None
                  for t in texts]
         if len(self.words) > CACHE_WORDS:
-            self.words, self.parts = {}, {}
-        self._learn(list(set().union(*(w for w in split if w)).difference(self.words)))
+            self.words, self.parts = {}, {"\n": b""}
+        fresh = list(set().union(*(w for w in split if w)).difference(self.words))
+        if fresh:
+            self._learn(fresh)
         known = self.words
         for text, words in zip(texts, split, strict=True):
             yield self._whole(text) if words is None else b"".join([known[w] for w in words])
 
     def _learn(self, fresh: list[str]) -> None:
-        cut = [(w, self.split(w.lower()) if w.isprintable() and (w.isascii() or max(w) <= LATIN_1) else None)
-               for w in fresh]
-        new = list({p for _, ps in cut if ps for p in ps}.difference(self.parts))
-        for at in range(0, len(new), 1000):
-            run = new[at:at + 1000]
-            ids = np.array(self.tokenizer.encode(" ".join(run), add_special_tokens=False).ids, dtype="<u4")
+        """Enter new words: all of them are cut in one pass, and the new parts go to the tokenizer in runs."""
+        if ODD(" ".join(fresh)):
+            odd = [w for w in fresh if ODD(w)]
+            self.words.update((w, self._whole(w)) for w in odd)
+            fresh = list(set(fresh).difference(odd))
+        cut = self.split("\n".join(fresh).lower())
+        new = list(set(cut).difference(self.parts))
+        runs = [new[at:at + RUN] for at in range(0, len(new), RUN)]
+        for run, found in zip(runs, self.tokenizer.encode_batch_fast([" ".join(r) for r in runs], add_special_tokens=False), strict=True):
+            ids = np.array(found.ids, dtype="<u4")
             ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
             raw = ids.tobytes()
             if len(ends) == len(run):
                 self.parts.update(zip(run, [raw[i:j] for i, j in zip([0, *ends], ends, strict=False)], strict=True))
             else:
                 self.parts.update((p, self._whole(p)) for p in run)
-        known = self.parts
-        for word, ps in cut:
-            self.words[word] = self._whole(word) if ps is None else b"".join([known[p] for p in ps])
+        # The parts' ids in one buffer; a word ends where a line did.
+        ids = [self.parts[p] for p in cut]
+        joined = b"".join(ids)
+        sizes = np.cumsum(np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)))
+        breaks = np.flatnonzero(np.fromiter(map("\n".__eq__, cut), dtype=bool, count=len(cut)))
+        ends = np.append(sizes[breaks], len(joined)).tolist()
+        self.words.update(zip(fresh, [joined[i:j] for i, j in zip([0, *ends], ends, strict=False)], strict=True))
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
