@@ -16,7 +16,7 @@ least 0.75. Every link between different sets is found:
    pivot: by histograms of their members first, which rule out most pairs that do not
    link, then in exact counts. The classes that link with it have then the pivot's
    answers: they are in its component whatever their own links are, and pairs among
-   them need no comparison.
+   them need no comparison. Long lists that still hold more than one component get another pivot, ``PIVOTS`` in all.
 5. What is left: in lists that still hold more than one component, lists are sorted by
    size and cut into blocks; whole blocks are skipped when their sizes or positions
    leave no room for the overlap a link needs, and the pairs in the other blocks whose
@@ -52,7 +52,9 @@ SIZE = 5
 PERCENT = 75
 # The order of shingles counts them in the heads of one class in ``HEADS`` and knows those that at least ``LEAST_REPEATED`` of them
 # have, the ``MAX_REPEATED`` most repeated at most (8 bytes each to every task). What it does not know costs longer lists only.
-HEADS, LEAST_REPEATED, MAX_REPEATED = 8, 3, 200_000
+HEADS, LEAST_REPEATED, LEAST_STEPS, MAX_REPEATED = 8, 3, 3, 200_000
+# Rounds of pivots, and entries of a list from which on it gets another pivot.
+PIVOTS, LONG_LIST = 4, 12
 BLOCK_SETS = 200
 # Bound of the filter that finds the texts of candidate sets (8 bytes each).
 MAX_FILTER_WORDS = 1 << 21
@@ -95,17 +97,28 @@ def read_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
     return docs.mapInArrow(run, "id bigint, n bigint, key bigint, head binary")
 
 
-def repeated_shingles(read: DataFrame) -> np.ndarray:
-    """Shingles that several classes have, the most repeated last: counted in the heads of one class in ``HEADS``."""
+def repeated_shingles(read: DataFrame, percent: int) -> np.ndarray:
+    """Shingles that classes of ``LEAST_STEPS`` or more ranges of size have, the most repeated last: counted in the heads of one class
+    in ``HEADS``.
+
+    Sets of a range are within the size ratio of a link. A passage stands in texts of all sizes, most of which cannot
+    link; what near copies share stands in one or two ranges and is better left in the index, where their pivot meets them all.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values, n = np.unique(np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype=np.int64), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(n)], names=["shingle", "n"])
-
-    heads = read.where("head is not null").groupBy("key").agg(F.first("head").alias("head"))  # equal keys, equal heads
-    counted = heads.select("head").mapInArrow(run, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n"))
-    counted = materialize(counted.where(F.col("n") >= LEAST_REPEATED), "repeated_shingles")
+            raw = batch.column(0).to_pylist()
+            values = np.frombuffer(b"".join(raw), dtype=np.int64)
+            step = (np.log(batch.column(1).to_numpy()) / np.log(100.0 / percent)).astype(np.int64) % 63
+            steps = np.repeat(np.int64(1) << step, [len(h) // 8 for h in raw])
+            order = np.argsort(values, kind="stable")
+            values, first, n = np.unique(values[order], return_index=True, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(n), pa.array(np.bitwise_or.reduceat(steps[order], first))], names=["shingle", "n", "steps"])
+
+    heads = read.where("head is not null").groupBy("key").agg(F.first("head").alias("head"), F.first("n").alias("n"))  # equal keys, equal heads
+    counted = (heads.select("head", "n").mapInArrow(run, "shingle bigint, n bigint, steps bigint")
+               .groupBy("shingle").agg(F.sum("n").alias("n"), F.bit_count(F.bit_or("steps")).alias("steps")))
+    counted = materialize(counted.where((F.col("n") >= LEAST_REPEATED) & (F.col("steps") >= LEAST_STEPS)), "repeated_shingles")
     # The least count of which all fit.
     how_many, least = 0, None
     for row in counted.groupBy("n").agg(F.count("*").alias("shingles")).orderBy(F.desc("n")).limit(MAX_REPEATED).toLocalIterator():
@@ -338,6 +351,16 @@ def _with_key(sets: DataFrame, wanted: np.ndarray) -> DataFrame:
     return sets.select("key", "members").mapInArrow(run, "key bigint, members binary")
 
 
+def next_stars(named: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Pairs (pivot, other) of long lists that hold more than one component: another entry of each as the pivot, and those of other components."""
+    held = named.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"),
+                                        F.min(F.struct(F.xxhash64("key", F.lit(turn)), "key", "place", "component")).alias("next"))
+    held = held.where((F.col("low") != F.col("high")) & (F.col("n") >= LONG_LIST)).select("shingle", "next")
+    rest = named.drop("pivot").join(held, "shingle").where((F.col("component") != F.col("next.component")) & may_link(F.col("place"), F.col("next.place"), percent))
+    pair = F.sort_array(F.array("next.key", "key"))
+    return materialize(rest.select(pair[0].alias("a"), pair[1].alias("b")).distinct(), "more_pivots")
+
+
 def cross_pairs(entries: DataFrame, percent: int) -> DataFrame:
     """Pairs of one list whose components differ, with blocks skipped by size and position.
 
@@ -385,7 +408,7 @@ def label_documents(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -
     """(doc_id, n, key, label, component_id) of every document: key of its set, key of a set that names its component."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     read = materialize(read_sets(docs, size, percent), "sets_read")
-    repeated = repeated_shingles(read)
+    repeated = repeated_shingles(read, percent)
     members = read.select(F.col("id").alias("doc_id"), "n", "key")
     classes = members.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("first"))
     entries = materialize(useful_entries(index_entries(docs, size, percent, repeated), percent), "index_lists")
@@ -394,9 +417,16 @@ def label_documents(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -
     stars = entries.where((F.col("key") != F.col("pivot.key")) & may_link(F.col("place"), F.col("pivot.place"), percent))
     stars = stars.select(F.col("pivot.key").alias("a"), F.col("key").alias("b")).distinct()
     links = materialize(compare(stars, sets, percent), "pivot_links")
-    labels = connected_components(links)
-    named = entries.join(labels.withColumnsRenamed({"node": "key"}), "key", "left").withColumn("component", F.coalesce("component", "key"))
-    named = materialize(named, "named_lists")
+    for turn in range(1, PIVOTS + 1):
+        labels = connected_components(links)
+        named = entries.join(labels.withColumnsRenamed({"node": "key"}), "key", "left").withColumn("component", F.coalesce("component", "key"))
+        named = materialize(named, "named_lists")
+        if turn == PIVOTS:
+            break
+        stars = next_stars(named, percent, turn)
+        if stars.isEmpty():
+            break
+        links = materialize(links.unionAll(compare(stars, sets, percent)), "pivot_links")
     mixed = named.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
     more = compare(cross_pairs(named.join(mixed.select("shingle"), "shingle").drop("pivot"), percent), sets, percent)
     every = materialize(links.unionAll(more), "links")
