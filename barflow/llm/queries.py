@@ -19,8 +19,8 @@ def word_tokenizer() -> str:
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's calibrated probability in the mix, and whether it is drawn."""
-    return mixing.mix_documents(documents(spark, sf_dir)).select("doc_id", "source", "lang", "topic", "n_tokens", "probability", "sampled")
+    """Every document's calibrated probability in the mix, whether it is drawn, and the mix's largest miss of a target share."""
+    return mixing.mix_documents(documents(spark, sf_dir)).select("doc_id", "source", "lang", "topic", "n_tokens", "probability", "sampled", "residual")
 
 
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

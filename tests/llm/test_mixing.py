@@ -55,6 +55,16 @@ def test_documents_against_brute_force(spark):
         assert r["n_tokens"] == len(text.split())
         tokens[at(r)] += r["n_tokens"]
     kept, _ = M.rake(tokens, [np.array([getattr(M.MIX, d).get(x, 0.0) for x in n]) for n, d in zip(names, M.DIMENSIONS)], M.MIX.keep)
+    # The largest miss, from the probabilities that were returned.
+    sums = np.zeros(tokens.shape)
+    for r in rows:
+        sums[at(r)] += r["probability"] * r["n_tokens"]
+    misses = []
+    for axis, (n, d) in enumerate(zip(names, M.DIMENSIONS, strict=True)):
+        others = tuple(k for k in range(3) if k != axis)
+        goal = np.array([getattr(M.MIX, d).get(x, 0.0) for x in n]) * (tokens.sum(axis=others) > 0)
+        misses.append(np.abs(sums.sum(axis=others) - M.MIX.keep * tokens.sum() * goal / goal.sum()).max())
+    assert all(abs(r["residual"] - max(misses) / (M.MIX.keep * tokens.sum())) < 1e-6 for r in rows)
     for r in rows:
         p = kept[at(r)] / tokens[at(r)]
         u = int(hashlib.md5(f"mix:{r['doc_id']}".encode()).hexdigest()[:8], 16) / 2**32
