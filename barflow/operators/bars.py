@@ -11,7 +11,7 @@ from barflow.functions.columns import event_time, wall_clock
 from barflow.session import materialize
 
 
-# Bits of a tick's coarse key that hold its price in cents; the largest value stands for a price that does not fit.
+# Bits beside a tick's coarse key that hold half of its price in cents; the largest upper half stands for a price that does not fit.
 PRICE_BITS = 20
 NO_PRICE = (1 << PRICE_BITS) - 1
 
@@ -50,28 +50,34 @@ def _keyed_bars(ticks: DataFrame, every: str) -> DataFrame:
     """Bars in two phases, for ticks at midnight with a coarse order key.
 
     ``ord_key`` (below 2^43, or NULL) orders the ticks of a day as ``ord`` does as far as it tells them apart. Phase one
-    is a hash aggregate on longs: key and price (in cents) in one number, whose least and greatest values give the first and
-    last tick with its price; the same with the price's complement tells whether another price has the same key.
+    is a hash aggregate on longs: the key with half of the price (in cents) in one number, whose least and greatest values give the first and
+    last tick with its price; the same with the half's complement tells whether another price has the same key.
     Phase two reads again only the ticks of bars that phase one cannot decide (equal keys with different prices, no key, a price
     that does not fit) and takes the first and last of them by the full ``ord``. Phase one's bars are
     stored, as phase two is skipped if they are all decided.
     """
     bucket = (F.window("ts", every) if divides_day(every) else F.window("ts", "1 day")).start
     cents = F.rint(F.col("px") * 100)
-    fits = (cents >= 0) & (cents < NO_PRICE) & (cents / 100 == F.col("px"))
-    slot = F.when(fits, cents.cast("long")).otherwise(F.lit(NO_PRICE).cast("long"))
-    low = F.shiftleft("ord_key", PRICE_BITS) + slot
-    high = F.shiftleft("ord_key", PRICE_BITS) + (F.lit(NO_PRICE) - slot)
+    fits = (cents >= 0) & (cents < float(NO_PRICE << PRICE_BITS)) & (cents / 100 == F.col("px"))
+    whole = cents.cast("long")
+    halves = {"low": F.when(fits, whole.bitwiseAND(NO_PRICE)), "up": F.when(fits, F.shiftright(whole, PRICE_BITS))}
+    ends = []
+    for name, half in halves.items():
+        slot = F.coalesce(half, F.lit(NO_PRICE).cast("long"))
+        key, other = (F.shiftleft("ord_key", PRICE_BITS) + x for x in (slot, F.lit(NO_PRICE) - slot))
+        ends += [F.min(key).alias(f"_first_{name}"), F.min(other).alias(f"_first_{name}_not"), F.max(key).alias(f"_last_{name}"), F.max(other).alias(f"_last_{name}_not")]
     first = materialize(ticks.groupBy(bucket.alias("ts"), "symbol").agg(
-        F.min(low).alias("_lo1"), F.min(high).alias("_lo2"), F.max(low).alias("_hi1"), F.max(high).alias("_hi2"),
-        (F.count("ord_key") == F.count(F.lit(1))).alias("_keyed"), F.max("px").alias("high"), F.min("px").alias("low"),
+        *ends, (F.count("ord_key") == F.count(F.lit(1))).alias("_keyed"), F.max("px").alias("high"), F.min("px").alias("low"),
         F.sum("qty").alias("qty"), F.count(F.lit(1)).alias("n_ticks")), "bars")
-    price = {c: F.col(f"_{c}1").bitwiseAND(NO_PRICE) for c in ("lo", "hi")}
-    decided = F.col("_keyed")
-    for c, p in price.items():
-        decided = decided & (p + F.col(f"_{c}2").bitwiseAND(NO_PRICE) == NO_PRICE) & (p != NO_PRICE)
-    named = first.withColumn("_decided", decided)
-    bars = named.select("symbol", "ts", (price["lo"] / 100).alias("open"), "high", "low", (price["hi"] / 100).alias("close"), "qty", "n_ticks", "_decided")
+    decided, price = F.col("_keyed"), {}
+    for end in ("first", "last"):
+        low, up = (F.col(f"_{end}_{name}").bitwiseAND(NO_PRICE) for name in halves)
+        for name, half in (("low", low), ("up", up)):  # the same half, whichever of equal keys has the least and the greatest
+            decided = decided & (half + F.col(f"_{end}_{name}_not").bitwiseAND(NO_PRICE) == NO_PRICE)
+        decided = decided & (up != NO_PRICE)
+        price[end] = (F.shiftleft(up, PRICE_BITS) + low) / 100
+    bars = first.select("symbol", "ts", price["first"].alias("open"), "high", "low", price["last"].alias("close"), "qty", "n_ticks",
+                        decided.alias("_decided"))
     open_ones = bars.where(~F.col("_decided")).select("symbol", "ts")
     if not open_ones.isEmpty():
         again = ticks.withColumn("_bucket", bucket)

@@ -26,7 +26,7 @@ def made_ticks(spark, n=400):
     rows = []
     for i in range(n):
         day, order = dt.datetime(2024, 1, 1) + dt.timedelta(days=rnd.randrange(40)), rnd.randrange(3)
-        px = rnd.choice([1.0, 2.5, 2.5, 99.99, 10485.74, 10485.75, 20000.0, 0.001, 1 / 3])
+        px = rnd.choice([1.0, 2.5, 2.5, 99.99, 10485.75, 20971.51, 1e7, 1e12, 0.001, 1 / 3])
         rows.append((rnd.choice(["A", "B", None]), day, px, float(rnd.randrange(1, 9)), (day, order, i), rnd.choice([order, order, order, None]) if i % 7 else order))
     return spark.createDataFrame(rows, "symbol string, ts timestamp_ntz, px double, qty double, ord struct<d:timestamp_ntz,o:int,i:int>, ord_key long")
 
