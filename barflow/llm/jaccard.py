@@ -52,7 +52,7 @@ SIZE = 5
 PERCENT = 75
 # The order of shingles counts them in the heads of one class in ``HEADS`` and knows those that at least ``LEAST_REPEATED`` of them
 # have, the ``MAX_REPEATED`` most repeated at most (8 bytes each to every task). What it does not know costs longer lists only.
-HEADS, LEAST_REPEATED, LEAST_STEPS, MAX_REPEATED = 8, 3, 3, 200_000
+HEADS, LEAST_REPEATED, LEAST_STEPS, MAX_REPEATED, MAX_COPIED = 8, 3, 3, 100_000, 50_000
 BLOCK_SETS = 200
 # Bound of the filter that finds the texts of candidate sets (8 bytes each).
 MAX_FILTER_WORDS = 1 << 21
@@ -75,8 +75,8 @@ def prefix_sizes(counts: np.ndarray, percent: int) -> np.ndarray:
 
 
 def read_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """(id, n, key, head) in one pass: set size, set key, and for one class in ``HEADS`` the least shingles by value, as many
-    as are indexed (null for the others, and for copies inside a block)."""
+    """Rows of two kinds in one pass. 0: (id, n, key, head): set size, set key, and for one class in ``HEADS`` the least shingles by
+    value, as many as are indexed (null for the others, and for copies inside a block). 1: (null, repeats in a block, shingle, null)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -89,18 +89,22 @@ def read_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 starts, wanted = np.cumsum(counts) - counts, prefix_sizes(counts, percent)
                 some = once & (counts > 0) & (keys.view(np.uint64) % np.uint64(HEADS) == 0)
                 heads = [values[s:s + w].tobytes() if h else None for h, s, w in zip(some.tolist(), starts.tolist(), wanted.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([ids.slice(first, len(part)).cast(pa.int64()), pa.array(counts.astype(np.int64)), pa.array(keys), pa.array(heads, pa.binary())],
-                                                 names=["id", "n", "key", "head"])
+                shingles, seen = np.unique(values[np.repeat(once, counts)], return_counts=True)
+                shingles, seen = shingles[seen > 1], seen[seen > 1]
+                more = len(shingles)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(np.array([0, 1], dtype=np.int32), [len(part), more])),
+                     pa.concat_arrays([ids.slice(first, len(part)).cast(pa.int64()), pa.nulls(more, pa.int64())]),
+                     pa.array(np.concatenate([counts, seen]).astype(np.int64)), pa.array(np.concatenate([keys, shingles.view(np.int64)])),
+                     pa.array([*heads, *[None] * more], pa.binary())], names=["kind", "id", "n", "key", "head"])
 
-    return docs.mapInArrow(run, "id bigint, n bigint, key bigint, head binary")
+    return docs.mapInArrow(run, "kind int, id bigint, n bigint, key bigint, head binary")
 
 
 def repeated_shingles(read: DataFrame, percent: int) -> np.ndarray:
-    """Shingles that classes of ``LEAST_STEPS`` or more ranges of size have, the most repeated last: counted in the heads of one class
-    in ``HEADS``.
-
-    Sets of a range are within the size ratio of a link. A passage stands in texts of all sizes, most of which cannot
-    link; what near copies share stands in one or two ranges and is better left in the index, where their pivot meets them all.
+    """The shingles that come last in the order: first those that classes of ``LEAST_STEPS`` or more ranges of size have, counted in the
+    heads of one class in ``HEADS`` (sets of a range are within the size ratio of a link; a passage stands in texts of all
+    sizes, most of which cannot link); then the ``MAX_COPIED`` that repeat most often inside blocks of texts, the most repeated last.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,11 +128,13 @@ def repeated_shingles(read: DataFrame, percent: int) -> np.ndarray:
         if how_many > MAX_REPEATED:
             break
         least = row["n"]
-    if least is None:
-        return np.empty(0, dtype=np.uint64)
-    top = counted.where(F.col("n") >= least).toArrow()  # at most MAX_REPEATED rows of 16 bytes
-    shingles, n = (top.column(c).to_numpy() for c in ("shingle", "n"))
-    return shingles[np.lexsort((shingles, n))].view(np.uint64)
+    passages = np.empty(0, dtype=np.int64)
+    if least is not None:
+        passages = np.sort(counted.where(F.col("n") >= least).select("shingle").toArrow().column(0).to_numpy())  # at most MAX_REPEATED
+    copied = (read.where("kind = 1").groupBy("key").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "key")
+              .limit(MAX_COPIED).collect())  # at most MAX_COPIED rows
+    copied = np.array([r["key"] for r in reversed(copied)], dtype=np.int64)
+    return np.concatenate([passages[~np.isin(passages, copied)], copied]).view(np.uint64)
 
 
 def least_overlap(a, b, percent: int = PERCENT):
@@ -397,7 +403,7 @@ def label_documents(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     read = materialize(read_sets(docs, size, percent), "sets_read")
     repeated = repeated_shingles(read, percent)
-    members = read.select(F.col("id").alias("doc_id"), "n", "key")
+    members = read.where("kind = 0").select(F.col("id").alias("doc_id"), "n", "key")
     classes = members.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("first"))
     entries = materialize(useful_entries(index_entries(docs, size, percent, repeated), percent), "index_lists")
     wanted = entries.select("key").distinct().join(classes, "key")
