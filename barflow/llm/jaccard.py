@@ -7,10 +7,10 @@ least 0.75. Every link between different sets is found:
    its set. Documents with equal sizes and keys are one class; from here on a class is handled once.
 2. Index: shingles are ordered globally, the most repeated last, then by hash. Two
    sets that link share a shingle among the first ``n - ceil(0.75 n) + 1`` of each, so
-   only those are indexed, with set size and position. A shingle's place in the order comes from its count in one
-   class of ``HEADS``, of those that would be indexed by hash alone: what a passage that many documents
-   share has there is put last and leaves the index, so it brings none of them together. (Any order
-   gives the same links; it only decides how long the lists are.)
+   only those are indexed, with set size and position. Last come the shingles of passages that documents of all sizes share,
+   counted in one class of ``HEADS`` among those that would be indexed by hash alone, and the shingles that repeat most often
+   inside blocks of texts, as those of large groups of near copies do. They leave the index, so they bring no
+   documents together. (Any order gives the same links; it only decides how long the lists are.)
 3. Lists: those of one class alone are dropped.
 4. Answers of a pivot first: in each list the other classes are compared with one
    pivot: by histograms of their members first, which rule out most pairs that do not
