@@ -11,20 +11,19 @@ least 0.75. Every link between different sets is found:
    counted in one class of ``HEADS`` among those that would be indexed by hash alone, and the shingles that repeat most often
    inside blocks of texts, as those of large groups of near copies do. They leave the index, so they bring no
    documents together. (Any order gives the same links; it only decides how long the lists are.)
-3. Lists: those of one class alone are dropped.
-4. Answers of a pivot first: in each list the other classes are compared with one
-   pivot: by histograms of their members first, which rule out most pairs that do not
-   link, then in exact counts. The classes that link with it have then the pivot's
-   answers: they are in its component whatever their own links are, and pairs among
-   them need no comparison.
-5. What is left: in lists that still hold more than one component, lists are sorted by
-   size and cut into blocks; whole blocks are skipped when their sizes or positions
-   leave no room for the overlap a link needs, and the pairs in the other blocks whose
-   classes are in different components are compared in the same two steps.
-6. Components of all links by min-label propagation, on classes, then members.
-
-Comparisons are dealt by (set, block of at most ``BLOCK_SETS`` partners), so a set with
-very many partners is spread over tasks. No text is kept for the driver.
+3. Clusters: lists of one class are dropped, and entries that no neighbour in size can link with make no member. A list's pivot
+   is its least class; the classes of all lists with one pivot are a cluster, one row a class however many lists it shares. Near copies
+   share most of their lists, so they are together in few clusters, and two sets that link are together in one at least.
+4. Units: a cluster is compared in one task; one that is too large is cut by sizes, and then into blocks, each two of which meet.
+5. Counts first: by the indexed shingles alone (those of lists of several classes), only the members stay that share with another
+   as many of them as a link needs. Sets are read and moved for these only.
+6. Inside a unit the sets are taken by size. Its exact counts order the shingles again, the rarest first; a set meets the earlier ones
+   with which it shares some of the first, is compared first with those that share most, and whole parts are skipped: those out of the size ratio,
+   those whose shared first shingles leave no room for the overlap a link needs, and all sets of a component that it has joined,
+   whose answers it takes over. The others are compared in exact counts. What comes out is fewer links than there are sets.
+7. Components of all links by min-label propagation, on classes, then members.
+
+No list of pairs is stored: what is moved grows with the classes in clusters. No text is kept for the driver.
 
 Edge cases: null, empty and word-less texts have size 0, link with nothing and are
 their own component; texts with fewer words than a shingle are one shingle; a text without an id
@@ -53,7 +52,8 @@ PERCENT = 75
 # The order of shingles counts them in the heads of one class in ``HEADS`` and knows those that at least ``LEAST_REPEATED`` of them
 # have, the ``MAX_REPEATED`` most repeated at most (8 bytes each to every task). What it does not know costs longer lists only.
 HEADS, LEAST_REPEATED, LEAST_STEPS, MAX_REPEATED, MAX_COPIED = 8, 3, 3, 100_000, 50_000
-BLOCK_SETS = 200
+# A unit of a cluster holds at most two blocks of so many sets and shingles (a larger set is a block by itself).
+BLOCK_SETS, BLOCK_SHINGLES = 4000, 500_000
 # Bound of the filter that finds the texts of candidate sets (8 bytes each).
 MAX_FILTER_WORDS = 1 << 21
 _KEY = np.uint64(0xA24BAED4963EE407)
@@ -186,11 +186,12 @@ def may_link(one: Column, other: Column, percent: int) -> Column:
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (F.least(left, right) >= needed)
 
 
-def useful_entries(entries: DataFrame, percent: int) -> DataFrame:
-    """One entry a class and list, with the list's pivot, without entries that no other of the list can link with.
+def shared_entries(entries: DataFrame, percent: int) -> DataFrame:
+    """(shingle, key, n, pivot): one entry a class and list, of lists of several classes; the pivot is the list's least class.
 
-    In a list sorted by size the neighbours are the nearest in size, so an entry with none of them
-    within the size ratio has no partner. In a list of two the positions decide as well.
+    It is null for an entry that no other of the list can be the first to link with: in a list sorted by size the neighbours are the
+    nearest in size, so an entry with none of them within the size ratio has no partner; in a list of two the positions
+    decide as well.
     """
     beside = Window.partitionBy("shingle")
     row = beside.orderBy("place", "key")
@@ -200,8 +201,9 @@ def useful_entries(entries: DataFrame, percent: int) -> DataFrame:
     size = F.shiftright("place", 32)
     near = ((100 * F.shiftright("below", 32) >= percent * size) | (100 * size >= percent * F.shiftright("above", 32)))
     pair = may_link(F.col("place"), F.coalesce("below", "above"), percent)
-    return (around.where(F.when(F.col("n") == 2, pair).otherwise(near)).select("shingle", "key", "place")
-            .withColumn("pivot", F.min(F.struct("key", "place")).over(beside)))
+    useful = F.coalesce(F.when(F.col("n") == 2, pair).otherwise(near), F.lit(False))
+    return (around.select("shingle", "key", size.alias("n"), useful.alias("useful"))
+            .select("shingle", "key", "n", F.when(F.col("useful"), F.min(F.when(F.col("useful"), F.col("key"))).over(beside)).alias("pivot")))
 
 
 def _slots(ids: np.ndarray, words: int) -> list[np.ndarray]:
@@ -238,11 +240,7 @@ def id_filter(ids: DataFrame) -> np.ndarray:
 
 
 def sets_of(docs: DataFrame, size: int, wanted: np.ndarray) -> DataFrame:
-    """(key, members, histogram) of the documents whose id passes the filter, without copies inside a task.
-
-    Members are the upper 48 bits of the hashes, ascending, as 6-byte numbers; the histogram
-    counts them by their highest bits.
-    """
+    """(key, members) of the documents whose id passes the filter, without copies inside a task; members are 64-bit hashes, ascending."""
     words = len(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,148 +252,173 @@ def sets_of(docs: DataFrame, size: int, wanted: np.ndarray) -> DataFrame:
             for _, part in blocks(batch.filter(pa.array(unnamed | _passes(wanted, words, ids))).column(1).to_pylist()):
                 values, counts = shingle_sets(part, size)
                 keys = set_keys(values, counts).tolist()
-                short = np.ascontiguousarray((values >> np.uint64(16)).view(np.uint8).reshape(-1, 8)[:, :6])
                 ends = np.cumsum(counts)
                 fresh = [i for i, key in enumerate(keys) if counts[i] and key not in done and not done.add(key)]
                 if len(done) > 1_000_000:
                     done.clear()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([keys[i] for i in fresh], pa.int64()),
-                     pa.array([short[ends[i] - counts[i]:ends[i]].tobytes() for i in fresh], pa.binary()),
-                     pa.array([histogram(values[ends[i] - counts[i]:ends[i]]) for i in fresh], pa.binary())],
-                    names=["key", "members", "histogram"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, "key bigint, members binary, histogram binary")
+                     pa.array([values[ends[i] - counts[i]:ends[i]].tobytes() for i in fresh], pa.binary())], names=["key", "members"])
 
+    return docs.select("doc_id", "text").mapInArrow(run, "key bigint, members binary")
 
-def histogram(values: np.ndarray) -> bytes:
-    """Members by their highest bits, in a power of two of counts (one to each or two members), each at most 255."""
-    bits = min(14, max(4, (len(values) - 1).bit_length()))
-    return np.minimum(np.bincount((values >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8).tobytes()
 
+def deal_clusters(clusters: DataFrame, percent: int) -> DataFrame:
+    """(pivot, band, one, two, side, guest, n, key): the classes of each unit, one row a class and unit.
 
-def may_overlap(one: bytes, other: bytes, n: int, m: int, percent: int) -> bool:
-    """Whether two histograms leave room for the overlap that sets of sizes n and m need to link.
-
-    Two sets have in common at most the sum of the lesser counts; a count of 255 says nothing.
+    A cluster of at most ``BLOCK_SETS`` sets and ``BLOCK_SHINGLES`` shingles is one unit. A larger one is cut into bands
+    of sizes with the same logarithm to the base 100 / percent: a set links only into its own band and the next, so it goes to its
+    own and, as a guest, to the next smaller one. A band that is still too large is cut into blocks, and each two of them are a unit.
     """
-    x, y = (np.frombuffer(h, dtype=np.uint8) for h in (one, other))
-    if x.max() == 255 or y.max() == 255:
-        return True
-    size = min(len(x), len(y))
-    x, y = (h.astype(np.int64).reshape(size, -1).sum(axis=1) for h in (x, y))
-    return int(np.minimum(x, y).sum()) >= least_overlap(n, m, percent)
-
-
-def _members(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // 6, 8), dtype=np.uint8)
-    out[:, :6] = np.frombuffer(raw, dtype=np.uint8).reshape(-1, 6)
-    return out.view(np.uint64).ravel()
 
+    def parts(*by: str) -> Column:
+        whole = Window.partitionBy(*by)
+        return F.greatest(F.ceil(F.count("*").over(whole) / BLOCK_SETS), F.ceil(F.sum("n").over(whole) / BLOCK_SHINGLES))
+
+    own = F.floor(F.log("n") / float(np.log(100.0 / percent)) + 1e-9)
+    banded = (clusters.select("*", parts("pivot").alias("parts"), own.alias("own"))
+              .select("pivot", "key", "n", "own", F.explode(F.when(F.col("parts") == 1, F.array(F.lit(-2).cast("long"))).otherwise(F.array("own", F.col("own") - 1))).alias("band")))
+    cut = banded.select("*", parts("pivot", "band").alias("parts")).withColumn("side", F.pmod(F.xxhash64("key"), "parts"))
+    return (cut.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("with"))
+            .select("pivot", "band", F.least("side", "with").alias("one"), F.greatest("side", "with").alias("two"), "side",
+                    ((F.col("band") != -2) & (F.col("band") != F.col("own"))).alias("guest"), "n", "key"))
+
+
+def meetings(ids: np.ndarray, owner: np.ndarray, many: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(i, others): for each of ``many`` owners the earlier ones, once for each id that they share, if there are any."""
+    listed = np.lexsort((owner, ids))
+    of, who = ids[listed], owner[listed]
+    begin = np.flatnonzero(np.append(True, of[1:] != of[:-1])) if len(of) else np.empty(0, dtype=np.int64)
+    begin = np.repeat(begin, np.diff(np.append(begin, len(of))))
+    mine = np.argsort(who, kind="stable")  # the entries of each owner
+    upto = np.searchsorted(who[mine], np.arange(many + 1))
+    for i in range(many):
+        at = mine[upto[i]:upto[i + 1]]
+        before = at - begin[at]  # what stands before an entry came earlier
+        if total := int(before.sum()):
+            yield i, who[np.repeat(begin[at] - (np.cumsum(before) - before), before) + np.arange(total)]
+
+
+def with_room(i: int, others: np.ndarray, n: np.ndarray, sides: np.ndarray, guests: np.ndarray, crossing: bool, percent: int) -> np.ndarray:
+    """The distinct ``others`` (one for each shingle shared among the first of both) that may link with i, those that share most first.
+
+    Common shingles are among the first of both sets, or behind the first of the one whose first end earlier. Two guests are
+    compared in their own unit, as are, if ``crossing``, two sets of one side.
+    """
+    others, common = np.unique(others[100 * n[others] >= percent * n[i]], return_counts=True)
+    behind = np.maximum(n[i] - prefix_sizes(n[i], percent), n[others] - prefix_sizes(n[others], percent))
+    room = (common + behind >= least_overlap(n[i], n[others], percent)) & ~(guests[others] & guests[i])
+    if crossing:
+        room &= sides[others] != sides[i]
+    return others[room][np.argsort(-common[room], kind="stable")]
+
+
+def possible(n: np.ndarray, sides: np.ndarray, guests: np.ndarray, firsts: list, crossing: bool, percent: int) -> np.ndarray:
+    """Which sets of a unit, given by size, may link with another, by the indexed shingles that both have."""
+    out = np.zeros(len(n), dtype=bool)
+    ids = np.unique(np.concatenate(firsts), return_inverse=True)[1]
+    for i, others in meetings(ids, np.repeat(np.arange(len(n)), [len(f) for f in firsts]), len(n)):
+        if out[i]:
+            others = others[~out[others]]
+        others = with_room(i, others, n, sides, guests, crossing, percent)
+        if len(others):
+            out[i] = out[others] = True
+    return out
 
-def _deal_pairs(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
-    """Rows (a, block, other, key, ``column``): each set a followed by a block of its partners, sorted so in each task."""
-    dealt = pairs.join(pairs.groupBy("a").agg(F.count("*").alias("n")), "a").withColumn(
-        "block", F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / BLOCK_SETS)))
-    rows = (dealt.select("a", "block", F.col("b").alias("key"))
-            .unionAll(dealt.select("a", "block", F.col("a").alias("key")).distinct()).join(sets.select("key", column), "key"))
-    return (rows.select("a", "block", (F.col("key") != F.col("a")).alias("other"), "key", column)
-            .repartition("a", "block").sortWithinPartitions("a", "block", "other"))
 
+def spanning_links(keys: list, sides: np.ndarray, guests: np.ndarray, sets: list, crossing: bool, percent: int) -> list:
+    """Links (key, key) that join the sets of one unit, given by size, to the components that all their links make.
 
-def _keep_pairs(dealt: DataFrame, test) -> DataFrame:
-    """The pairs (a, b) for which ``test(value of a, value of b)``."""
+    The unit's own order of shingles, the rarest first, brings sets together; a set that links with one of a component
+    has the answers of the others, which are not compared with it.
+    """
+    n = np.array([len(s) for s in sets])
+    many = len(n)
+    starts = np.cumsum(n) - n
+    distinct, ids, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rank = np.empty(len(distinct), dtype=np.int64)
+    rank[np.argsort(df, kind="stable")] = np.arange(len(distinct))
+    owner = np.repeat(np.arange(many), n)
+    order = np.lexsort((rank[ids], owner))
+    first = order[(np.arange(len(ids)) - np.repeat(starts, n) < np.repeat(prefix_sizes(n, percent), n)) & (df[ids[order]] > 1)]
+    component = np.arange(many)
+    marked = np.zeros(len(distinct), dtype=bool)
+    links = []
+    for i, others in meetings(ids[first], owner[first], many):
+        others = with_room(i, others[component[others] != component[i]], n, sides, guests, crossing, percent)
+        if not len(others):
+            continue
+        marked[ids[starts[i]:starts[i] + n[i]]] = True
+        step = 8
+        while len(others):
+            some, others, step = others[:step], others[step:], 4 * step
+            ends = np.cumsum(n[some])
+            members = ids[np.repeat(starts[some] - (ends - n[some]), n[some]) + np.arange(ends[-1])]
+            shared = np.add.reduceat(marked[members].astype(np.int64), ends - n[some])
+            for j in some[100 * shared >= percent * (n[i] + n[some] - shared)].tolist():
+                if component[j] != component[i]:
+                    component[component == component[j]] = component[i]
+                    links.append((keys[j], keys[i]))
+            others = others[component[others] != component[i]]
+        marked[ids[starts[i]:starts[i] + n[i]]] = False
+    return links
+
+
+def in_units(clusters: DataFrame, values: DataFrame, percent: int, work, schema: str) -> DataFrame:
+    """``work(pivot, keys, n, sides, guests, values, crossing)`` of every unit of two sets or more, given by size; it returns rows.
+
+    ``values``: (key, value), a list or the bytes of 64-bit numbers; of several rows of a key one is taken.
+    """
+    names = [field.split()[0] for field in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, mine = None, None
-        for batch in batches:
-            found = []
-            for a, block, other, key, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (a, block) != at:
-                    at, mine = (a, block), None
-                if not other:
-                    mine = value
-                elif mine is not None and test(mine, value):
-                    found.append((a, key))
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["a", "b"])
-
-    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
+        unit, rows = None, []
 
+        def done() -> Iterator[pa.RecordBatch]:
+            if len(rows) > 1:
+                keys, n, sides, guests, held = zip(*rows, strict=True)
+                found = work(unit[0], keys, np.array(n), np.array(sides), np.array(guests), held, unit[2] != unit[3])
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=names)
 
-def compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link: first those that their histograms allow, then by exact counts of common members.
-
-    Histograms are small, so only the sets of few pairs are moved.
-    """
+        for batch in batches:
+            column = batch.column(batch.num_columns - 1)
+            if pa.types.is_list(column.type):
+                numbers, ends = column.values.to_numpy(), column.offsets.to_numpy()
+                held = (numbers[a:b].copy() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True))
+            else:
+                held = (np.frombuffer(x.as_py(), dtype=np.uint64) for x in column)
+            for *at, side, guest, n, key, value in zip(*(c.to_pylist() for c in batch.columns[:-1]), held, strict=True):
+                if at != unit:
+                    yield from done()
+                    unit, rows = at, []
+                if not rows or rows[-1][0] != key:
+                    rows.append((key, n, side, guest, value))
+        yield from done()
 
-    def room(one: bytes, other: bytes) -> bool:
-        # A histogram with no count at 255 holds the set's size.
-        n, m = (int(np.frombuffer(h, dtype=np.uint8).sum()) for h in (one, other))
-        return may_overlap(one, other, n, m, percent)
+    unit = ["pivot", "band", "one", "two"]
+    rows = deal_clusters(clusters, percent).join(values, "key").repartition(*unit).sortWithinPartitions(*unit, "n", "key")
+    return rows.select(*unit, "side", "guest", "n", "key", "value").mapInArrow(run, schema).distinct()
 
-    def linked(one: bytes, other: bytes) -> bool:
-        mine, theirs = _members(one), _members(other)
-        common = int((mine[np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)] == theirs).sum())
-        return 100 * common >= percent * (len(mine) + len(theirs) - common)
 
-    left = materialize(_keep_pairs(_deal_pairs(pairs, sets, "histogram"), room), "open_pairs")
-    keys = left.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    return _keep_pairs(_deal_pairs(left, _with_key(sets, id_filter(keys)), "members"), linked)
+def possible_members(shared: DataFrame, percent: int) -> DataFrame:
+    """(pivot, key, n): the classes of all lists with one pivot (its cluster) that may link with another of them."""
 
+    def work(pivot, keys, n, sides, guests, firsts, crossing) -> list:
+        return [(pivot, keys[i], int(n[i])) for i in np.flatnonzero(possible(n, sides, guests, firsts, crossing, percent))]
 
-def _with_key(sets: DataFrame, wanted: np.ndarray) -> DataFrame:
-    """The sets whose key passes the filter."""
-    words = len(wanted)
+    clusters = materialize(shared.where("pivot is not null").select("pivot", "key", "n").distinct(), "clusters")
+    firsts = shared.groupBy("key").agg(F.collect_list("shingle").alias("value"))
+    return in_units(clusters, firsts, percent, work, "pivot bigint, key bigint, n bigint")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(_passes(wanted, words, batch.column(0).to_numpy(zero_copy_only=False))))
 
-    return sets.select("key", "members").mapInArrow(run, "key bigint, members binary")
+def cluster_links(clusters: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links enough to make the components of each unit, fewer than it has classes."""
 
+    def work(pivot, keys, n, sides, guests, members, crossing) -> list:
+        return spanning_links(keys, sides, guests, members, crossing, percent)
 
-def cross_pairs(entries: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one list whose components differ, with blocks skipped by size and position.
-
-    ``entries``: shingle, key, place, component. A block is the entries of one list
-    whose sizes have the same logarithm to the base 100 / percent: a set links only
-    into its own block and the next, so a list is dealt by block and an entry goes to
-    its own block and, as a guest, to the next smaller one.
-    """
-    step = float(np.log(100.0 / percent))
-    n, position = F.shiftright("place", 32), F.col("place").bitwiseAND(2**32 - 1)
-    block = F.floor(F.log(n) / step + 1e-9)
-    rows = entries.select("shingle", "key", "component", n.alias("n"), position.alias("at"), block.alias("own"))
-    dealt = rows.withColumn("block", F.explode(F.array(F.col("own"), F.col("own") - 1)))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held, told = None, [], set()
-        for batch in batches:
-            found = []
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                shingle, block, n, place, key, component, own = row
-                if (shingle, block) != at:
-                    at, held = (shingle, block), []
-                # Entries come by size, so what is too small for this one is too small for all that follow.
-                while held and 100 * held[0][0] < percent * n:
-                    held.pop(0)
-                for m, place2, key2, component2 in held:
-                    if component2 != component and 1 + min(n - place - 1, m - place2 - 1) >= -(-percent * (n + m) // (100 + percent)):
-                        pair = (key2, key) if key2 < key else (key, key2)
-                        if pair not in told:
-                            told.add(pair)
-                            found.append(pair)
-                if own == block:  # guests of a block meet its own entries only
-                    held.append((n, place, key, component))
-                if len(told) > 1_000_000:
-                    told.clear()
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["a", "b"])
-
-    ordered = (dealt.select("shingle", "block", "n", "at", "key", "component", "own").repartition("shingle", "block")
-               .sortWithinPartitions("shingle", "block", "n", "own", "key"))
-    return ordered.mapInArrow(run, "a bigint, b bigint").distinct()
+    return in_units(clusters, sets.withColumnRenamed("members", "value"), percent, work, "a bigint, b bigint")
 
 
 def label_documents(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
@@ -405,19 +428,11 @@ def label_documents(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -
     repeated = repeated_shingles(read, percent)
     members = read.where("kind = 0").select(F.col("id").alias("doc_id"), "n", "key")
     classes = members.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("first"))
-    entries = materialize(useful_entries(index_entries(docs, size, percent, repeated), percent), "index_lists")
-    wanted = entries.select("key").distinct().join(classes, "key")
-    sets = materialize(sets_of(docs, size, id_filter(wanted.select(F.col("first").alias("id")).where("id is not null"))), "candidate_sets")
-    stars = entries.where((F.col("key") != F.col("pivot.key")) & may_link(F.col("place"), F.col("pivot.place"), percent))
-    stars = stars.select(F.col("pivot.key").alias("a"), F.col("key").alias("b")).distinct()
-    links = materialize(compare(stars, sets, percent), "pivot_links")
-    labels = connected_components(links)
-    named = entries.join(labels.withColumnsRenamed({"node": "key"}), "key", "left").withColumn("component", F.coalesce("component", "key"))
-    named = materialize(named, "named_lists")
-    mixed = named.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
-    more = compare(cross_pairs(named.join(mixed.select("shingle"), "shingle").drop("pivot"), percent), sets, percent)
-    every = materialize(links.unionAll(more), "links")
-    labels = connected_components(every)
+    shared = materialize(shared_entries(index_entries(docs, size, percent, repeated), percent), "index_lists")
+    clusters = materialize(possible_members(shared, percent), "possible_members")
+    wanted = clusters.select("key").distinct().join(classes, "key").where("first is not null")
+    sets = sets_of(docs, size, id_filter(materialize(wanted.select(F.col("first").alias("id")), "wanted_ids")))
+    labels = connected_components(materialize(cluster_links(clusters, sets, percent), "links"))
     named = classes.join(labels.withColumnsRenamed({"node": "key"}), "key").groupBy("component").agg(F.min("first").alias("component_id"))
     of_class = labels.withColumnsRenamed({"node": "key"}).join(named, "component").select("key", "component_id")
     found = (classes.join(of_class, "key", "left").join(labels.select(F.col("node").alias("key"), F.col("component").alias("label")), "key", "left")

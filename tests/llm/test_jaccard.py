@@ -8,6 +8,7 @@ import pytest
 from barflow.llm import jaccard as J
 from barflow.llm.shingles import shingle_sets
 from barflow.llm.common import documents
+from barflow.session import materialize
 
 LOWER = str.maketrans({chr(65 + i): chr(97 + i) for i in range(26)})
 
@@ -144,3 +145,25 @@ def test_one_of_each_with_ids_of_several_texts_and_clashing_columns(spark):
     out = J.one_of_each(docs)
     assert out.columns == docs.columns
     assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str) == sorted([(1, a), (1, other), rows[3], (6, None), (6, "")], key=str)
+
+
+def test_rows_of_a_large_group_grow_with_its_members(spark, monkeypatch):
+    """Texts of which many pairs are near the threshold: what is stored behind the lists is rows of members, not of pairs."""
+    rnd = random.Random(4)
+    base = [f"w{k}" for k in range(120)]
+    rows = []
+    for doc in range(120):
+        own = list(base)
+        for at in rnd.sample(range(len(own)), 4):
+            own[at] = f"x{doc}-{at}"
+        rows.append((doc, " ".join(own)))
+    stored = {}
+
+    def counted(df, name="table"):
+        out = materialize(df, name)
+        stored[name] = max(out.count(), stored.get(name, 0))
+        return out
+
+    monkeypatch.setattr(J, "materialize", counted)
+    assert spark_rows(spark, rows) == brute(rows)
+    assert max(n for name, n in stored.items() if name not in ("sets_read", "index_lists")) <= 5 * len(rows), stored
