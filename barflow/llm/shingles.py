@@ -17,6 +17,8 @@ _MIX2 = 0x94D049BB133111EB
 
 # Batch size in bytes that one numpy pass works on.
 BLOCK_BYTES = 4 << 20
+# Bytes whose words are hashed at once: that takes some 50 bytes of memory for each.
+WORD_BYTES = 1 << 19
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -38,6 +40,17 @@ def powers(mul: int, n: int) -> np.ndarray:
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of ``texts`` in order, and the number of words of each text."""
+    parts, first, held = [], 0, 0
+    for i, text in enumerate(texts):
+        if held and held + len(text) > WORD_BYTES:
+            parts.append(_word_hashes(texts[first:i]))
+            first, held = i, 0
+        held += len(text)
+    parts.append(_word_hashes(texts[first:]))
+    return tuple(np.concatenate(p) for p in zip(*parts, strict=True))
+
+
+def _word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     joined = b" ".join(texts) + b" "
     raw = np.frombuffer(joined, dtype=np.uint8)
     space = (raw == 32) | ((raw >= 9) & (raw <= 13))

@@ -6,6 +6,7 @@ import re
 import pytest
 
 from barflow.llm import jaccard as J
+from barflow.llm import shingles
 from barflow.llm.shingles import shingle_sets
 from barflow.llm.common import documents
 from barflow.session import materialize
@@ -167,3 +168,12 @@ def test_rows_of_a_large_group_grow_with_its_members(spark, monkeypatch):
     monkeypatch.setattr(J, "materialize", counted)
     assert spark_rows(spark, rows) == brute(rows)
     assert max(n for name, n in stored.items() if name not in ("sets_read", "index_lists")) <= 5 * len(rows), stored
+
+
+def test_words_hashed_in_parts(monkeypatch):
+    texts = [b"", b"one Two three", b"  ", b"four five six seven eight nine " * 9, b"ten"]
+    whole, counts = shingles.word_hashes(texts)
+    monkeypatch.setattr(shingles, "WORD_BYTES", 8)
+    parts, n = shingles.word_hashes(texts)
+    assert whole.tolist() == parts.tolist() and counts.tolist() == n.tolist()
+    assert [len(x) for x in shingles.word_hashes([])] == [0, 0]
