@@ -43,6 +43,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barflow.llm.common import giving_back
 from barflow.llm.components import connected_components
 from barflow.llm.shingles import blocks, mix64, shingle_sets
 from barflow.session import materialize
@@ -98,7 +99,7 @@ def read_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
                      pa.array(np.concatenate([counts, seen]).astype(np.int64)), pa.array(np.concatenate([keys, shingles.view(np.int64)])),
                      pa.array([*heads, *[None] * more], pa.binary())], names=["kind", "id", "n", "key", "head"])
 
-    return docs.mapInArrow(run, "kind int, id bigint, n bigint, key bigint, head binary")
+    return docs.mapInArrow(giving_back(run), "kind int, id bigint, n bigint, key bigint, head binary")
 
 
 def repeated_shingles(read: DataFrame, percent: int) -> np.ndarray:
@@ -175,7 +176,7 @@ def index_entries(docs: DataFrame, size: int, percent: int, repeated: np.ndarray
                     [pa.array(values[take].view(np.int64)), pa.array(keys[owner[take]]),
                      pa.array((counts[owner[take]] << 32) | position[take])], names=["shingle", "key", "place"])
 
-    return docs.select("text").mapInArrow(run, "shingle bigint, key bigint, place bigint")
+    return docs.select("text").mapInArrow(giving_back(run), "shingle bigint, key bigint, place bigint")
 
 
 def may_link(one: Column, other: Column, percent: int) -> Column:

@@ -33,21 +33,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barflow.llm.common import texts_of
+from barflow.llm.common import giving_back, texts_of
 from barflow.session import materialize
 
 CAPACITY = 4096
 END_ID = 1
-# Entries of the word cache of one task before it starts anew.
-CACHE_WORDS = 1_000_000
-# Characters of texts that are split into words at a time.
-BLOCK_CHARS = 2 << 20
+# Entries of the word cache of one task before it starts anew; words met again move on, so it
+# holds twice as many and those of a block (some 200 bytes each).
+CACHE_WORDS = 150_000
+# Characters of texts that are split into words at a time (some 20 bytes for each).
+BLOCK_CHARS = 1 << 20
+# Rows whose texts are Python objects at a time.
+ROWS = 500
 # Fixed value (must equal the tokenizer file's rule): how it splits lower-cased text.
 PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # Finds a character other than the printable ones of Latin-1.
 ODD = re.compile(r"[^\x20-\x7e\xa1-\xac\xae-\xff]").search
-# New parts in one text for the tokenizer.
+# New parts in one text for the tokenizer, and texts in one call of it (its results take some 100 bytes a token).
 RUN = 1000
+CALL = 8
 
 
 class WordEncoder:
@@ -70,6 +74,7 @@ class WordEncoder:
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.split = regex.compile(PARTS + r"|\n").findall
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # words before the last start; those met again move on
         self.parts: dict[str, bytes] = {"\n": b""}
 
     def encode(self, texts: list) -> Iterator[bytes]:
@@ -87,8 +92,15 @@ class WordEncoder:
         split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if "<|" not in t else None
                  for t in texts]
         if len(self.words) > CACHE_WORDS:
-            self.words, self.parts = {}, {"\n": b""}
-        fresh = list(set().union(*(w for w in split if w)).difference(self.words))
+            self.older, self.words = self.words, {}
+        if len(self.parts) > CACHE_WORDS:
+            self.parts = {"\n": b""}
+        fresh = set().union(*(w for w in split if w)).difference(self.words)
+        if self.older:
+            again = [w for w in fresh if w in self.older]
+            self.words.update((w, self.older[w]) for w in again)
+            fresh.difference_update(again)
+        fresh = list(fresh)
         if fresh:
             self._learn(fresh)
         known = self.words
@@ -104,6 +116,18 @@ class WordEncoder:
         cut = self.split("\n".join(fresh).lower())
         new = list(set(cut).difference(self.parts))
         runs = [new[at:at + RUN] for at in range(0, len(new), RUN)]
+        for first in range(0, len(runs), CALL):
+            self._learn_parts(runs[first:first + CALL])
+        # The parts' ids in one buffer; a word ends where a line did.
+        ids = [self.parts[p] for p in cut]
+        joined = b"".join(ids)
+        sizes = np.cumsum(np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)))
+        breaks = np.flatnonzero(np.fromiter(map("\n".__eq__, cut), dtype=bool, count=len(cut)))
+        ends = np.append(sizes[breaks], len(joined)).tolist()
+        self.words.update(zip(fresh, [joined[i:j] for i, j in zip([0, *ends], ends, strict=False)], strict=True))
+
+    def _learn_parts(self, runs: list[list[str]]) -> None:
+        """Enter new parts, each run of them in one text."""
         for run, found in zip(runs, self.tokenizer.encode_batch_fast([" ".join(r) for r in runs], add_special_tokens=False), strict=True):
             ids = np.array(found.ids, dtype="<u4")
             ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
@@ -112,13 +136,6 @@ class WordEncoder:
                 self.parts.update(zip(run, [raw[i:j] for i, j in zip([0, *ends], ends, strict=False)], strict=True))
             else:
                 self.parts.update((p, self._whole(p)) for p in run)
-        # The parts' ids in one buffer; a word ends where a line did.
-        ids = [self.parts[p] for p in cut]
-        joined = b"".join(ids)
-        sizes = np.cumsum(np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)))
-        breaks = np.flatnonzero(np.fromiter(map("\n".__eq__, cut), dtype=bool, count=len(cut)))
-        ends = np.append(sizes[breaks], len(joined)).tolist()
-        self.words.update(zip(fresh, [joined[i:j] for i, j in zip([0, *ends], ends, strict=False)], strict=True))
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -137,7 +154,7 @@ def tokenize_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, e
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encoder = None
-        for batch in batches:
+        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             encoder = encoder or WordEncoder(tokenizer)
             rows = []
             for doc, ids in zip(batch.column(0).to_pylist(), encoder.encode(texts_of(batch)), strict=True):
@@ -151,7 +168,7 @@ def tokenize_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, e
                                                  names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     schema = PIECES.rpartition(",")[0]
-    out = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
+    out = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(giving_back(run), schema)
     return out.withColumn("part", F.spark_partition_id().cast("long"))
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barflow.llm.automaton import Automaton, compile_rules, run_segments
-from barflow.llm.common import arrow_map, texts_of
+from barflow.llm.common import arrow_map, giving_back, texts_of
 
 BLOCK_BYTES = 4 << 20
 
@@ -223,7 +223,7 @@ def redact_texts(docs: DataFrame, rules: list[Rule] | None = None, mask: str = "
                 columns["n_chars"] = pa.array(sizes, columns["n_chars"].type)
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(giving_back(run), docs.schema)
 
 
 def digest(spans: DataFrame) -> DataFrame:

@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barflow.llm.common import giving_back
 from barflow.session import materialize
 
 MAX_LABELLED = 20_000
@@ -175,7 +176,7 @@ def without_toxic(docs: DataFrame, lexicon: Lexicon, least: float = 0.5) -> Data
             score = 1.0 / (1.0 + np.exp(-(intercept + by_log * log + by_rate * rate)))
             yield batch.filter(pa.array(score < least))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(giving_back(run), docs.schema)
 
 
 def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Lexicon:
@@ -200,7 +201,7 @@ def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
             yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array([c[0] for c in counts.values()], pa.int64()),
                                               pa.array([c[1] for c in counts.values()], pa.int64())], names=["term", "clean", "toxic"])
 
-    seen = (sample.select("text", F.col("toxic").cast("long")).mapInArrow(candidates, "term string, clean bigint, toxic bigint")
+    seen = (sample.select("text", F.col("toxic").cast("long")).mapInArrow(giving_back(candidates), "term string, clean bigint, toxic bigint")
             .groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
     odds = F.log((F.col("toxic") + 0.5) / (n[1] + 1)) - F.log((F.col("clean") + 0.5) / (n[0] + 1))
     both, share = F.col("toxic") + F.col("clean"), n[1] / (n[0] + n[1])

@@ -27,6 +27,39 @@ def test_word_encoder_equals_the_tokenizer(tokenizer):
         assert np.frombuffer(raw, "<u4").tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids, text
 
 
+def test_what_the_encoder_holds_does_not_grow_with_a_task(tokenizer):
+    encoder = P.WordEncoder(PATH)
+    calls, call = [], encoder.tokenizer
+
+    class Counted:
+        def encode_batch_fast(self, texts, **kw):
+            calls.append(len(texts))
+            return call.encode_batch_fast(texts, **kw)
+
+        def encode(self, text, **kw):
+            return call.encode(text, **kw)
+
+    encoder.tokenizer = Counted()
+    texts = [" ".join(["common", *(f"w{chr(97 + k % 26)}x{k}" for k in range(at, at + 2000))]) for at in range(0, 500_000, 2000)]
+    held = 0
+    for text, raw in zip(texts, encoder.encode(texts), strict=True):
+        held = max(held, len(encoder.words), len(encoder.parts))
+        if text in texts[::50]:
+            assert np.frombuffer(raw, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert held < 400_000  # the bound and the words of one block
+    letters = "abcdefghijklmnopqrst"
+    assert list(encoder.encode([" ".join(a + b + c + d for a in letters for b in letters for c in letters for d in letters[:5])]))
+    assert max(calls) <= 8
+
+
+def test_texts_are_read_some_rows_at_a_time(spark, tokenizer, monkeypatch):
+    monkeypatch.setattr(P, "ROWS", 3)
+    docs = spark.createDataFrame([(k, None if k == 4 else "word other " * k) for k in range(11)], "doc_id long, text string").coalesce(1)
+    rows = P.pack_documents(docs, PATH).collect()
+    check(rows, [(r["doc_id"], r["text"]) for r in docs.collect()], tokenizer, 4096)
+    assert sorted(r["doc_id"] for r in rows) == list(range(11))
+
+
 @pytest.mark.parametrize("counts", [{}, {1: 9000}, {4096: 3}, {2048: 5, 2047: 1, 1: 2}, {3000: 4, 1096: 4, 500: 3, 596: 1},
                                     {k: (k * 7919) % 23 for k in range(1, 4097)}])
 def test_plan_uses_every_piece_once_and_nearly_no_room_is_lost(counts):
