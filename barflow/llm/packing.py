@@ -40,7 +40,9 @@ CAPACITY = 4096
 END_ID = 1
 # Entries of the word cache of one task before it starts anew; words met again move on, so it
 # holds twice as many and those of a block (some 200 bytes each).
-CACHE_WORDS = 150_000
+CACHE_WORDS = 200_000
+# Entries of the cache of words' parts before it starts anew; learning them again takes the tokenizer's time.
+CACHE_PARTS = 300_000
 # Characters of texts that are split into words at a time (some 20 bytes for each).
 BLOCK_CHARS = 1 << 20
 # Rows whose texts are Python objects at a time.
@@ -93,7 +95,7 @@ class WordEncoder:
                  for t in texts]
         if len(self.words) > CACHE_WORDS:
             self.older, self.words = self.words, {}
-        if len(self.parts) > CACHE_WORDS:
+        if len(self.parts) > CACHE_PARTS:
             self.parts = {"\n": b""}
         fresh = set().union(*(w for w in split if w)).difference(self.words)
         if self.older:
