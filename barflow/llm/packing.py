@@ -30,117 +30,161 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barflow.llm.common import giving_back, texts_of
+from barflow.llm.common import giving_back
 from barflow.session import materialize
 
 CAPACITY = 4096
 END_ID = 1
-# Entries of the word cache of one task before it starts anew; words met again move on, so it
-# holds twice as many and those of a block (some 200 bytes each).
-CACHE_WORDS = 200_000
 # Entries of the cache of words' parts before it starts anew; learning them again takes the tokenizer's time.
 CACHE_PARTS = 300_000
-# Characters of texts that are split into words at a time (some 20 bytes for each).
-BLOCK_CHARS = 1 << 20
-# Rows whose texts are Python objects at a time.
-ROWS = 500
-# Fixed value (must equal the tokenizer file's rule): how it splits lower-cased text.
-PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-# Finds a character other than the printable ones of Latin-1.
-ODD = re.compile(r"[^\x20-\x7e\xa1-\xac\xae-\xff]").search
+# Bytes of texts that are split into words at a time (a longer text alone).
+BLOCK_BYTES = 3 << 20
+# Rows whose texts are encoded and returned at a time.
+ROWS = 5000
+# Fixed values (must equal the tokenizer file's rule, for lower-cased printable Latin-1): the kind of a character, a run of
+# which is a part (other characters are parts of their own), and the endings that are parts.
+LETTER, MARK = ord("a"), ord("-")
+KINDS = np.array([LETTER if chr(c).isalpha() else c if chr(c).isnumeric() or chr(c).isspace() else MARK for c in range(256)], dtype=np.uint8)
+ENDINGS = re.compile("'(?:s|t|re|ve|m|ll|d)").finditer
+# A character other than the printable ones of Latin-1.
+ODD = r"[^\x20-\x7e\x{a1}-\x{ac}\x{ae}-\x{ff}]"
 # New parts in one text for the tokenizer, and texts in one call of it (its results take some 100 bytes a token).
 RUN = 1000
 CALL = 8
 
 
-class WordEncoder:
-    """ids of a tokenizer whose tokens never span white space, remembered by word.
+def _array(kind: pa.DataType, ends: np.ndarray, data: pa.Buffer) -> pa.Array:
+    """Strings or binaries that lie one behind the other in ``data``, up to each of ``ends``."""
+    return pa.Array.from_buffers(kind, len(ends), [None, pa.py_buffer(np.append(0, ends).astype(np.int64)), data])
+
+
+def _joined(ids: pa.Array, codes: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Joined values of ``ids`` at ``codes``, one result up to each of ``ends``."""
+    sizes = pc.binary_length(ids).to_numpy(zero_copy_only=False)
+    at = np.append(0, np.cumsum(sizes[codes]))
+    return _array(pa.large_binary(), at[ends], ids.take(pa.array(codes)).buffers()[2] or pa.py_buffer(b""))
+
+
+def _lines(texts: pa.Array, sep: str, n: int) -> list[str]:
+    """``texts`` joined by ``sep``, ``n`` in a line."""
+    ends = pa.array(np.append(np.arange(0, len(texts), n), len(texts)), pa.int32())
+    return pc.binary_join(pa.ListArray.from_arrays(ends, texts), pa.scalar(sep, texts.type)).to_pylist()
 
-    Texts are cut at ASCII white space. The ids of a word not met before are those
-    of its parts (runs of letters, single digits, runs of other marks); new parts
-    go to the tokenizer together, ``RUN`` in a text, and are told apart by the
-    tokens that end a part. Words with other than printable Latin-1 characters go
-    to the tokenizer as they are, and so do whole texts with a possible special token.
+
+def _cut(lines: str) -> pa.Array:
+    """Parts of lower-cased words of printable Latin-1, each followed by a line break, which is a part too."""
+    chars = np.frombuffer(lines.encode("latin-1"), dtype=np.uint8)
+    kinds = KINDS[chars]
+    ends = np.ones(len(chars), dtype=bool)
+    ends[:-1] = (kinds[1:] != kinds[:-1]) | ((kinds[1:] != LETTER) & (kinds[1:] != MARK))
+    for m in ENDINGS(lines):
+        if not m.start() or kinds[m.start() - 1] != MARK:
+            ends[m.start()], ends[m.end() - 1] = False, True
+    at = np.flatnonzero(ends)
+    return _array(pa.large_string(), at + 1 + np.cumsum(chars >= 128)[at], pa.py_buffer(lines.encode()))
+
+
+class WordEncoder:
+    """ids of a tokenizer whose tokens never span white space, remembered by parts of words.
+
+    Texts stay Arrow columns: a block of them is cut at ASCII white space, and each
+    distinct word is looked up once for all the places it has. A word's ids are those
+    of its parts (runs of letters, single digits, runs of other marks); parts not met
+    before go to the tokenizer together, ``RUN`` in a text, and are told apart by the
+    tokens that end a part. They are lower-cased and cut already, so its normalizer
+    and pattern, which would not change them, are left out there. Words with other
+    than printable Latin-1 characters go to the whole tokenizer as they are, and so do
+    whole texts with a possible special token.
     """
 
     def __init__(self, path: str):
-        import regex
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, Sequence, Split
 
-        self.tokenizer = Tokenizer.from_file(path)
-        vocabulary = self.tokenizer.get_vocab()
+        self.full = Tokenizer.from_file(path)
+        self.tokenizer = Tokenizer(self.full.model)
+        self.tokenizer.pre_tokenizer = Sequence([Split(" ", "removed"), ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = self.full.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.split = regex.compile(PARTS + r"|\n").findall
-        self.words: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}  # words before the last start; those met again move on
-        self.parts: dict[str, bytes] = {"\n": b""}
+        self.words = pa.array([], pa.large_string())  # distinct ones of the block at hand
+        self._start()
+
+    def _start(self) -> None:
+        self.parts, self.ids = pa.array(["\n"], pa.large_string()), pa.array([b""], pa.large_binary())
 
-    def encode(self, texts: list) -> Iterator[bytes]:
+    def encode(self, texts: list | pa.Array) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        part, held = [], 0
-        for text in texts:
-            part.append(text or "")
-            held += len(part[-1])
-            if held > BLOCK_CHARS:
-                yield from self._encode_block(part)
-                part, held = [], 0
-        yield from self._encode_block(part)
-
-    def _encode_block(self, texts: list[str]) -> Iterator[bytes]:
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if "<|" not in t else None
-                 for t in texts]
-        if len(self.words) > CACHE_WORDS:
-            self.older, self.words = self.words, {}
+        texts = texts.cast(pa.large_string()) if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+        texts = texts.fill_null("")
+        ends, at = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False)), 0
+        while at < len(texts):
+            before = ends[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, before + BLOCK_BYTES, side="right")))
+            yield from self._encode_block(texts.slice(at, to - at))
+            at = to
+
+    def _encode_block(self, texts: pa.Array) -> Iterator[bytes]:
+        special = pc.match_substring(texts, "<|")
+        split = pc.ascii_split_whitespace(pc.if_else(special, "", texts))
+        places = split.flatten().dictionary_encode()
+        self.words = places.dictionary
+        found = _joined(*self._words_ids(self.words, places.indices.to_numpy()), split.offsets.to_numpy()[1:])
+        for text, whole, ids in zip(texts, special.to_pylist(), found, strict=True):
+            yield self._whole(text.as_py()) if whole else ids.as_py()
+
+    def _words_ids(self, words: pa.Array, places: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+        """ids of distinct words, and where in them those of ``places`` are."""
+        odd = pc.match_substring_regex(words, ODD)
+        plain, as_is = words.filter(pc.invert(odd)), words.filter(odd)
+        cut = _cut("".join(f"{line}\n" for line in _lines(plain, "\n", len(plain) or 1)).lower()).dictionary_encode()
+        known = self._parts_ids(cut.dictionary, as_is)
+        # Plain words end where their lines do; behind them come the odd ones, each a part of its own.
+        codes = cut.indices.to_numpy()
+        ends = np.flatnonzero(codes == cut.dictionary.index("\n").as_py()) + 1
+        more = np.arange(len(as_is))
+        ids = _joined(known, np.append(codes, len(cut.dictionary) + more), np.append(ends, len(codes) + 1 + more))
+        order = np.empty(len(words), dtype=np.int64)
+        order[np.argsort(odd.to_numpy(zero_copy_only=False), kind="stable")] = np.arange(len(words))
+        return ids, order[places]
+
+    def _parts_ids(self, parts: pa.Array, odd: pa.Array) -> pa.Array:
+        """ids of the parts of plain words and behind them those of odd words; new ones are entered."""
         if len(self.parts) > CACHE_PARTS:
-            self.parts = {"\n": b""}
-        fresh = set().union(*(w for w in split if w)).difference(self.words)
-        if self.older:
-            again = [w for w in fresh if w in self.older]
-            self.words.update((w, self.older[w]) for w in again)
-            fresh.difference_update(again)
-        fresh = list(fresh)
-        if fresh:
-            self._learn(fresh)
-        known = self.words
-        for text, words in zip(texts, split, strict=True):
-            yield self._whole(text) if words is None else b"".join([known[w] for w in words])
-
-    def _learn(self, fresh: list[str]) -> None:
-        """Enter new words: all of them are cut in one pass, and the new parts go to the tokenizer in runs."""
-        if ODD(" ".join(fresh)):
-            odd = [w for w in fresh if ODD(w)]
-            self.words.update((w, self._whole(w)) for w in odd)
-            fresh = list(set(fresh).difference(odd))
-        cut = self.split("\n".join(fresh).lower())
-        new = list(set(cut).difference(self.parts))
-        runs = [new[at:at + RUN] for at in range(0, len(new), RUN)]
+            self._start()
+        wanted = pa.concat_arrays([parts, odd])
+        found = pc.index_in(wanted, value_set=self.parts)
+        fresh, found = pc.is_null(found), found.fill_null(0).to_numpy().copy()
+        new = [names.filter(mask) for names, mask in ((parts, fresh[:len(parts)]), (odd, fresh[len(parts):]))]
+        found[fresh.to_numpy(zero_copy_only=False)] = np.arange(len(self.parts), len(self.parts) + sum(map(len, new)))
+        if any(map(len, new)):
+            self.parts = pa.concat_arrays([self.parts, *new])
+            self.ids = pa.concat_arrays([self.ids, *self._learn(new[0]), self._values([self._whole(w) for w in new[1].to_pylist()])])
+        return self.ids.take(pa.array(found))
+
+    def _learn(self, new: pa.Array) -> Iterator[pa.Array]:
+        """ids of new parts, ``RUN`` of them in one text."""
+        runs = _lines(new, " ", RUN)
         for first in range(0, len(runs), CALL):
-            self._learn_parts(runs[first:first + CALL])
-        # The parts' ids in one buffer; a word ends where a line did.
-        ids = [self.parts[p] for p in cut]
-        joined = b"".join(ids)
-        sizes = np.cumsum(np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)))
-        breaks = np.flatnonzero(np.fromiter(map("\n".__eq__, cut), dtype=bool, count=len(cut)))
-        ends = np.append(sizes[breaks], len(joined)).tolist()
-        self.words.update(zip(fresh, [joined[i:j] for i, j in zip([0, *ends], ends, strict=False)], strict=True))
-
-    def _learn_parts(self, runs: list[list[str]]) -> None:
-        """Enter new parts, each run of them in one text."""
-        for run, found in zip(runs, self.tokenizer.encode_batch_fast([" ".join(r) for r in runs], add_special_tokens=False), strict=True):
-            ids = np.array(found.ids, dtype="<u4")
-            ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
-            raw = ids.tobytes()
-            if len(ends) == len(run):
-                self.parts.update(zip(run, [raw[i:j] for i, j in zip([0, *ends], ends, strict=False)], strict=True))
-            else:
-                self.parts.update((p, self._whole(p)) for p in run)
+            call = runs[first:first + CALL]
+            for run, found in zip(call, self.tokenizer.encode_batch_fast(call, add_special_tokens=False), strict=True):
+                ids = np.array(found.ids, dtype="<u4")
+                ends = np.flatnonzero(self.ends[ids]) + 1
+                if len(ends) == run.count(" ") + 1:
+                    yield _array(pa.large_binary(), 4 * ends, pa.py_buffer(ids))
+                else:
+                    yield self._values([self._whole(p) for p in run.split(" ")])
+
+    @staticmethod
+    def _values(ids: list[bytes]) -> pa.Array:
+        return pa.array(ids, pa.large_binary())
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return np.array(self.full.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, part bigint"
@@ -159,7 +203,7 @@ def tokenize_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, e
         for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             encoder = encoder or WordEncoder(tokenizer)
             rows = []
-            for doc, ids in zip(batch.column(0).to_pylist(), encoder.encode(texts_of(batch)), strict=True):
+            for doc, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1)), strict=True):
                 ids += end
                 for n, at in enumerate(range(0, len(ids), 4 * capacity)):
                     cut = ids[at:at + 4 * capacity]

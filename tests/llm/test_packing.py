@@ -1,8 +1,11 @@
+import json
 import random
+import sys
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import public_tokenizers
 from tokenizers import Tokenizer
@@ -52,6 +55,39 @@ def test_what_the_encoder_holds_does_not_grow_with_a_task(tokenizer):
     assert max(calls) <= 8
 
 
+def test_plain_words_are_cut_by_the_tokenizers_rule():
+    import regex
+
+    with open(PATH, encoding="utf-8") as file:
+        rule = json.load(file)["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+    rnd = random.Random(5)
+    latin = [chr(c) for c in (*range(0x21, 0x7f), *range(0xa1, 0xad), *range(0xae, 0x100))]
+    for chars in (latin, ["'", "'", "'", *"stremvldx1²-_é½"]):
+        lines = "".join("".join(rnd.choices(chars, k=rnd.randint(0, 12))) + "\n" for _ in range(5000)).lower()
+        assert P._cut(lines).to_pylist() == regex.findall(rule + r"|\n", lines)
+
+
+def test_arrow_columns_are_encoded_block_by_block(tokenizer, monkeypatch):
+    monkeypatch.setattr(P, "BLOCK_BYTES", 50)
+    monkeypatch.setattr(P, "CACHE_PARTS", 5)
+    texts = ["skipped", None, "", "don't stop, DON'T", "a\x0bb\x0cc", "ΑΣ é ÉÀ½", " lead and trail ", "<|endoftext|> x", "日本 語", None, "x " * 90, "日本 語", " "]
+    for kind in (pa.string(), pa.large_string()):
+        found = list(P.WordEncoder(PATH).encode(pa.array(texts, kind).slice(1)))
+        assert [np.frombuffer(x, "<u4").tolist() for x in found] == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts[1:]]
+    assert list(P.WordEncoder(PATH).encode(pa.array([None, None], pa.string()))) == [b"", b""]
+
+
+def test_words_met_again_make_no_python_objects(tokenizer):
+    words = [f"word{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(400)]
+    texts = [" ".join(words[k % 7:]) for k in range(1000)]
+    encoder = P.WordEncoder(PATH)
+    assert np.frombuffer(list(encoder.encode(texts))[3], "<u4").tolist() == tokenizer.encode(texts[3], add_special_tokens=False).ids
+    before = sys.getallocatedblocks()
+    found = encoder.encode(texts)
+    next(found)
+    assert sys.getallocatedblocks() - before < 20_000  # 397,000 words, 1,000 texts
+
+
 def test_texts_are_read_some_rows_at_a_time(spark, tokenizer, monkeypatch):
     monkeypatch.setattr(P, "ROWS", 3)
     docs = spark.createDataFrame([(k, None if k == 4 else "word other " * k) for k in range(11)], "doc_id long, text string").coalesce(1)
